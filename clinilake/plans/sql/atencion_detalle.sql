@@ -1,0 +1,21 @@
+-- Gold view atencion_detalle: one row per appointment with patient,
+-- speciality (and its group) and both statuses.  Inner joins, as designed.
+select f.ATTID,
+       f.ATTFIN01           as FECHA_ATENCION,
+       p.PACID,
+       p.PACDOC,
+       p.FIRST_NAME,
+       p.SECOND_NAME,
+       p.LAST_NAME,
+       p.PACCITY,
+       p.PACINGDAT,
+       s.SPENAME,
+       g.SPEGRP_NAME,
+       asg.STATUS_DESC      as ESTADO_ASIGNACION,
+       ast.ASSISTED         as ASISTENCIA
+from fact_attention f
+join dim_patient p             on p.PACID = f.PACID
+join dim_speciality s          on s.SPEID = f.SPEID
+join dim_speciality_group g    on g.SPEGRP_ID = s.SPEGRP_ID
+join dim_assignment_status asg on asg.ASSIGNMENT_STATUS_ID = f.ASSIGNMENT_STATUS_ID
+join dim_assistance_status ast on ast.ASSISTANCE_STATUS_ID = f.ASSISTANCE_STATUS_ID;
