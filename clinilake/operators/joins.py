@@ -16,9 +16,12 @@ Join strategy per dimension:
   back to Spark's choice and log it.
 * ``broadcast=False`` - never broadcast (sort-merge hint).
 
-Snowflake hops (a dimension keyed from another dimension) are joined into
-their parent first when that keeps the semantics, so the fact is joined once
-per top-level dimension instead of once per table.
+Snowflake hops (a dimension keyed from another dimension) are joined after
+their parent, on the joined rows.  With ``prejoin=True`` a hop is joined into
+its parent dimension first (when that keeps the semantics): worth it only
+when both are too large to broadcast, since it saves one shuffle of the fact.
+It is not the default because Spark estimates a join's size as the product of
+its inputs, so a pre-joined dimension is rarely broadcast even when tiny.
 """
 
 from __future__ import annotations
@@ -52,6 +55,7 @@ class Dim:
     broadcast: bool | None = None
     max_rows: int = DEFAULT_MAX_ROWS
     max_bytes: int = DEFAULT_MAX_BYTES
+    prejoin: bool = False
     children: list[Dim] = field(default_factory=list, repr=False)
 
 
@@ -131,13 +135,17 @@ def star_join(fact: DataFrame, dims: Sequence[Dim], select: Sequence[Column | st
             raise ValueError(f"dimension {d.alias} names unknown parent {d.parent}")
         # Pre-joining a child into its parent is the same as joining it after
         # the parent unless the parent is outer and the child inner.
-        if parent is not None and not (parent.how != "inner" and d.how == "inner"):
+        if parent is not None and d.prejoin and not (parent.how != "inner" and d.how == "inner"):
             parent.children.append(d)
         else:
             top.append(d)
     out = fact.alias(fact_alias)
+    joined = {fact_alias}
     for d in top:
         left = d.parent or fact_alias
+        if left not in joined:
+            raise ValueError(f"dimension {d.alias} must come after its parent {left}")
+        joined |= {d.alias} | {c.alias for c in d.children}
         out = out.join(_hinted(d, _absorb(d)), _condition(left, d.alias, d.on), d.how)
     if select is None:
         return out

@@ -4,10 +4,9 @@
 holding a third of the data makes one task do a third of the work.  The
 helpers here range-partition on the *whole* sort key instead: Spark samples
 ``(key, order...)``, so a hot key is cut across many ordered partitions.
-Work inside a partition is a window over ``(partition, key)`` whose groups
-are bounded by the partition size; what crosses a partition boundary is
-carried by a per-partition summary of at most one row per (partition, key),
-where any one key has at most as many rows as there are partitions.
+Work inside a partition is a window over the partition, bounded by its size;
+what crosses a partition boundary is carried by a summary of one row per
+partition, so it is bounded by the partition count.
 
 Results do not depend on where the range bounds fall (they are sampled), so
 a recomputed stage after an executor loss gives the same rows.
@@ -44,30 +43,38 @@ def lag_within(df: DataFrame, key: str, order: Sequence[str], values: Sequence[s
     """Add ``prefix + v`` = value of ``v`` on the previous row of the same
     ``key`` in ``order`` (null on a key's first row).
 
-    Same result as ``lag(v).over(Window.partitionBy(key).orderBy(*order))``;
-    ``order`` should make rows of a key unique (add a tie-breaker), otherwise
-    the predecessor among ties is arbitrary, as with the window.
+    Same result as ``lag(v).over(Window.partitionBy(key).orderBy(*order))``
+    (null keys form one group); ``order`` should make rows of a key unique
+    (add a tie-breaker), otherwise the predecessor among ties is arbitrary, as
+    with the window.
+
+    Partitions are ordered ranges of ``(key, order)``, so within partition
+    ``p`` only its first key can have rows in earlier partitions, and that
+    row's predecessor is the last row of the nearest non-empty earlier
+    partition.  The carried rows are therefore one per partition: a table
+    bounded by the partition count, safe to broadcast.
     """
-    order = list(order)
+    order, values = list(order), list(values)
     ranged = range_partitioned(df, [key, *order], partitions)
-    w = Window.partitionBy(PID, key).orderBy(*order)
+    w = Window.partitionBy(PID).orderBy(key, *order)
     local = ranged.select("*", F.row_number().over(w).alias("_seq"),
-                          *[F.lag(v).over(w).alias(prefix + v) for v in values])
-
-    # Last row of each (partition, key) and, per key, the last row of the
-    # nearest earlier partition holding that key.
-    last = F.max(F.struct(*[F.col(c) for c in order], *[F.col(v).alias(f"_v_{v}") for v in values]))
-    summary = ranged.groupBy(PID, key).agg(last.alias("_last"))
-    carry = summary.select(PID, key, F.lag("_last").over(
-        Window.partitionBy(key).orderBy(PID)).alias("_carry"))
-
-    base = [*ranged.columns, "_seq"]
-    firsts = (local.where(F.col("_seq") == 1).drop(*[prefix + v for v in values])
-              .join(carry, [PID, key], "left")
-              .select(*[F.col(f"`{c}`") for c in base],
-                      *[F.col(f"_carry._v_{v}").alias(prefix + v) for v in values]))
-    rest = local.where(F.col("_seq") > 1)
-    return rest.unionByName(firsts).drop(PID, "_seq")
+                          F.lag(key).over(w).alias("_lag_key"),
+                          *[F.lag(v).over(w).alias(f"_lag{i}") for i, v in enumerate(values)])
+
+    # One row per non-empty partition: its last row, and the previous
+    # partition's last row as the carry.
+    last = ranged.groupBy(PID).agg(F.max(F.struct(
+        F.col(key).alias("_k"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
+        *[F.col(v).alias(f"_v{i}") for i, v in enumerate(values)])).alias("_last"))
+    carry = last.select(PID, F.lag("_last").over(Window.orderBy(PID)).alias("_carry"))
+
+    same_as_carry = F.col("_carry._k").eqNullSafe(F.col(key))
+    same_as_lag = F.col("_lag_key").eqNullSafe(F.col(key))
+    prev = [F.when(F.col("_seq") == 1, F.when(same_as_carry, F.col(f"_carry._v{i}")))
+             .otherwise(F.when(same_as_lag, F.col(f"_lag{i}"))).alias(prefix + v)
+            for i, v in enumerate(values)]
+    return (local.join(F.broadcast(carry), PID, "left")
+                 .select(*[F.col(f"`{c}`") for c in df.columns], *prev))
 
 
 def dense_index(df: DataFrame, cols: Sequence[str], id_col: str = "id",

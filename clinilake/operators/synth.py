@@ -93,7 +93,8 @@ def patients(spark: SparkSession, n: int, seed: int = 0, as_of: dt.datetime = DE
 
 
 def _literal(spark: SparkSession, rows: list[tuple], name: str) -> DataFrame:
-    return spark.createDataFrame(rows, schemas.ALL[name])
+    from clinilake.sources import literal_table
+    return literal_table(spark, rows, schemas.ALL[name])
 
 
 def speciality_groups(spark: SparkSession) -> DataFrame:

@@ -23,6 +23,7 @@ from clinilake.operators import gold, quality, synth
 from clinilake.operators.joins import Dim, star_join
 from clinilake.operators.normalize import extract_dimension, split_person_name
 from clinilake.operators.reshape import diagnoses_long, unpivot_to_dates
+from clinilake.sources import literal_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,7 +41,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _status(spark: SparkSession, rows: list[tuple[str, str]], code: str, desc: str) -> DataFrame:
-    return spark.createDataFrame(rows, f"{code} string, {desc} string")
+    return literal_table(spark, rows, f"{code} string, {desc} string")
 
 
 # --- J1: star join -------------------------------------------------------

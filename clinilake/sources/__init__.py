@@ -73,3 +73,26 @@ def land_raw(spark: SparkSession, fmt: str, path: str, *, schema=None,
     df = reader.load(path)
     return df.select("*", F.col("_metadata.file_path").alias("_source_file"),
                      F.current_timestamp().alias("_ingested_at"))
+
+
+def literal_table(spark: SparkSession, rows: list[tuple], schema) -> DataFrame:
+    """A small fixed table (a catalogue) as a ``LocalRelation``.
+
+    Built from SQL ``VALUES`` with bound parameters, so Spark knows its exact
+    size: it is broadcast without a job and never shuffled.  ``schema`` is a
+    ``StructType`` or a DDL string.
+    """
+    from pyspark.sql.types import StructType
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    names = [f.name for f in schema]
+    args, tuples = {}, []
+    for i, row in enumerate(rows):
+        marks = []
+        for j, value in enumerate(row):
+            args[f"p{i}_{j}"] = value
+            marks.append(f":p{i}_{j}")
+        tuples.append("(" + ", ".join(marks) + ")")
+    cols = ", ".join(f"_c{j}" for j in range(len(names)))
+    raw = spark.sql(f"select * from values {', '.join(tuples)} as t({cols})", args=args)
+    return raw.select([F.col(f"_c{j}").cast(f.dataType).alias(f.name) for j, f in enumerate(schema)])
