@@ -23,6 +23,7 @@ from clinilake.operators import gold, quality, synth
 from clinilake.operators.joins import Dim, star_join
 from clinilake.operators.normalize import extract_dimension, split_person_name
 from clinilake.operators.reshape import diagnoses_long, unpivot_to_dates
+from clinilake.plans.jobs import detail_df
 from clinilake.sources import literal_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -214,7 +215,7 @@ def synthetic_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     n_dia = table(spark, sf_dir, "lineitem").count()
     s = synth.silver(spark, n_pat, n_att, n_dia, seed=7)
     pat, att, dia = s["dim_patient"], s["fact_attention"], s["fact_patient_diagnosis"]
-    detail = build_detail_df(s)
+    detail = detail_df(s)
     year_ago = synth.DEFAULT_AS_OF - dt.timedelta(days=366)
 
     def one(df: DataFrame, name: str, value) -> DataFrame:
@@ -236,22 +237,6 @@ def synthetic_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     ])
 
 
-def build_detail_df(silver: dict[str, DataFrame]) -> DataFrame:
-    """J1 on the health model, DataFrame form (same rows as the SQL file)."""
-    dims = [
-        Dim(silver["dim_patient"], "p", [("PACID", "PACID")]),
-        Dim(silver["dim_speciality"], "s", [("SPEID", "SPEID")]),
-        Dim(silver["dim_speciality_group"], "g", [("SPEGRP_ID", "SPEGRP_ID")], parent="s"),
-        Dim(silver["dim_assignment_status"], "a", [("ASSIGNMENT_STATUS_ID", "ASSIGNMENT_STATUS_ID")]),
-        Dim(silver["dim_assistance_status"], "ass", [("ASSISTANCE_STATUS_ID", "ASSISTANCE_STATUS_ID")]),
-    ]
-    return star_join(silver["fact_attention"], dims, [
-        "f.ATTID", F.col("f.ATTFIN01").alias("FECHA_ATENCION"), "p.PACID", "p.PACDOC",
-        "p.FIRST_NAME", "p.SECOND_NAME", "p.LAST_NAME", "p.PACCITY", "p.PACINGDAT", "s.SPENAME",
-        "g.SPEGRP_NAME", F.col("a.STATUS_DESC").alias("ESTADO_ASIGNACION"),
-        F.col("ass.ASSISTED").alias("ASISTENCIA")])
-
-
 QUERIES: dict[str, Query] = {
     "star_detail": star_detail,
     "star_detail_sql": star_detail_sql,

@@ -154,7 +154,9 @@ def read_workbook_cells(spark: SparkSession, path: str, data_address: str = "A1"
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for p, content in zip(batch["path"], batch["content"]):
-                yield _cells_of(p, bytes(content), sheet, start_row, start_col)
+                cells = _cells_of(p, bytes(content), sheet, start_row, start_col)
+                if not cells.empty:
+                    yield cells
 
     return files.mapInPandas(parse, CELL_SCHEMA)
 
@@ -199,6 +201,8 @@ def read_workbooks(spark: SparkSession, path: str, data_address: str = "A1",
                 if cells.empty:
                     continue
                 cells = cells[cells["header"].isin(names)]
+                if cells.empty:
+                    continue
                 value = cells["number"].where(cells["header"].isin(numeric), None)
                 text = cells["text"].where(~cells["header"].isin(numeric), None)
                 cells = cells.assign(value=value.astype(object).where(value.notna(), text))

@@ -1,0 +1,47 @@
+import random
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from clinilake.operators.ordered import dense_index, lag_within
+
+from conftest import rows
+
+
+def _events(spark, n=3000, seed=1):
+    rnd = random.Random(seed)
+    data = []
+    for i in range(n):
+        # key 0 holds about a third of all rows; some null keys; many ties in ts
+        k = 0 if rnd.random() < 0.34 else (None if rnd.random() < 0.02 else rnd.randint(1, 60))
+        data.append((k, rnd.randint(0, 200), i))
+    return spark.createDataFrame(data, "k int, ts int, tb int")
+
+
+def test_lag_within_matches_window_on_skewed_keys(spark):
+    df = _events(spark)
+    w = Window.partitionBy("k").orderBy("ts", "tb")
+    expect = df.select("k", "ts", "tb", F.lag("ts").over(w).alias("prev_ts"),
+                       F.lag("tb").over(w).alias("prev_tb"))
+    for parts in (1, 2, 7, 23):
+        got = lag_within(df, "k", ["ts", "tb"], ["ts", "tb"], partitions=parts)
+        assert got.columns == ["k", "ts", "tb", "prev_ts", "prev_tb"]
+        assert rows(got) == rows(expect), parts
+
+
+def test_lag_within_hot_key_spans_partitions(spark):
+    df = spark.range(2000).select(F.lit(1).alias("k"), F.col("id").alias("ts"))
+    got = lag_within(df, "k", ["ts"], ["ts"], partitions=8)
+    spread = got.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert spread > 1
+    bad = got.where(F.coalesce(F.col("ts") - F.col("prev_ts"), F.lit(1)) != 1).count()
+    assert bad == 0 and got.where(F.col("prev_ts").isNull()).count() == 1
+
+
+def test_dense_index_matches_row_number(spark):
+    rnd = random.Random(5)
+    df = spark.createDataFrame([(rnd.choice("abcdefghij") * rnd.randint(1, 3),) for _ in range(500)],
+                               "v string")
+    expect = df.distinct().select("v", F.row_number().over(Window.orderBy("v")).alias("id"))
+    for parts in (1, 3, 16):
+        assert rows(dense_index(df, ["v"], "id", parts)) == rows(expect)
