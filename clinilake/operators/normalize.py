@@ -45,9 +45,20 @@ def extract_dimension(df: DataFrame, col: str, key: str, value: str | None = Non
     value = value or col
     dim = (dense_index(df.where(F.col(col).isNotNull()), [col], key, partitions)
            .select(F.col(key).cast("int").alias(key), F.col(col).alias(value)))
-    fact = (df.join(dim.withColumnRenamed(value, "_code"), F.col(col) == F.col("_code"), "left")
-              .select(*[F.col(key) if c == col else F.col(f"`{c}`") for c in df.columns]))
-    return dim, fact
+    return dim, attach_dimension(df, col, dim, key, value)
+
+
+def attach_dimension(df: DataFrame, col: str, dim: DataFrame, key: str,
+                     value: str | None = None) -> DataFrame:
+    """Replace the code ``col`` of ``df`` by the dimension's ``key``.
+
+    Use with a dimension already written (or checkpointed) so the fact's plan
+    reads it instead of recomputing the distinct codes.
+    """
+    value = value or col
+    codes = dim.select(F.col(key).alias("_key"), F.col(value).alias("_code"))
+    return (df.join(codes, F.col(col) == F.col("_code"), "left")
+              .select(*[F.col("_key").alias(key) if c == col else F.col(f"`{c}`") for c in df.columns]))
 
 
 def erp_patient(bronze: DataFrame) -> DataFrame:
@@ -64,10 +75,7 @@ def erp_attention(bronze: DataFrame, partitions: int | None = None
                   ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Bronze ``Attention`` -> ``(fact_attention, dim_assignment_status,
     dim_assistance_status)`` (N2, N6)."""
-    coded = bronze.select(
-        F.col("ATTID").cast("int"), F.col("ATTFIN04").cast("int").alias("PACID"),
-        F.col("ATTFIN05").cast("int").alias("SPEID"), F.col("ATTFIN01").cast("timestamp"),
-        normalize_text("ATTFIN02").alias("ATTFIN02"), normalize_text("ATTFIN03").alias("ATTFIN03"))
+    coded = erp_attention_coded(bronze)
     assign, fact = extract_dimension(coded, "ATTFIN02", "ASSIGNMENT_STATUS_ID", "STATUS_DESC", partitions)
     assist, fact = extract_dimension(fact, "ATTFIN03", "ASSISTANCE_STATUS_ID", "ASSISTED", partitions)
     fact = fact.select("ATTID", "PACID", "SPEID", "ATTFIN01", "ASSIGNMENT_STATUS_ID",
@@ -75,6 +83,14 @@ def erp_attention(bronze: DataFrame, partitions: int | None = None
     return fact, assign, assist
 
 
+def erp_attention_coded(bronze: DataFrame) -> DataFrame:
+    """Bronze ``Attention`` with silver names and normalised status texts."""
+    return bronze.select(
+        F.col("ATTID").cast("int"), F.col("ATTFIN04").cast("int").alias("PACID"),
+        F.col("ATTFIN05").cast("int").alias("SPEID"), F.col("ATTFIN01").cast("timestamp"),
+        normalize_text("ATTFIN02").alias("ATTFIN02"), normalize_text("ATTFIN03").alias("ATTFIN03"))
+
+
 def erp_speciality(bronze: DataFrame, partitions: int | None = None
                    ) -> tuple[DataFrame, DataFrame]:
     """Bronze ``Speciality`` -> ``(dim_speciality, dim_speciality_group)``."""

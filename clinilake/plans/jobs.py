@@ -100,8 +100,9 @@ def transform_diagnoses(spark: SparkSession, lake: Lake, workbooks: str,
                         data_address: str = "'sheet1'!A1", literal: bool = False) -> DataFrame:
     """Point 6: diagnosis workbooks -> gold ``diagnosticos_transformados``.
 
-    ``literal=True`` runs the per-row chain (unpivot, parse, filter);
-    the default parses each month header once.
+    ``literal=True`` keeps the melt's intermediate ``MES_ANO`` step as
+    written in the design; both forms give the same rows with the same
+    narrow ``Expand`` plan.
     """
     wide = sources.read_workbooks(spark, workbooks, data_address).drop("_source_file")
     long = diagnoses_long(wide) if literal else unpivot_to_dates(wide)
@@ -110,15 +111,36 @@ def transform_diagnoses(spark: SparkSession, lake: Lake, workbooks: str,
 
 
 def normalize_erp(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
-    """Bronze ERP tables -> silver dimensions and facts."""
+    """Bronze ERP tables -> silver dimensions and facts.
+
+    Dimensions are written first and the facts are keyed against the written
+    tables, so writing a fact never recomputes the distinct codes and a lost
+    executor only repeats the fact's own stages.
+    """
     bronze = sources.read_tables(spark, lake, ["patient", "attention", "speciality"], zone="bronze")
-    patient = normalize.erp_patient(bronze["patient"])
-    fact, assign, assist = normalize.erp_attention(bronze["attention"])
-    spec, group = normalize.erp_speciality(bronze["speciality"])
-    out = {"dim_patient": patient, "fact_attention": fact, "dim_assignment_status": assign,
-           "dim_assistance_status": assist, "dim_speciality": spec, "dim_speciality_group": group}
-    for name, df in out.items():
+
+    def written(name: str, df: DataFrame) -> DataFrame:
         sinks.write_table(schemas.conform(df, schemas.ALL[name]), lake.path("silver", name))
+        return sources.read_table(spark, lake.path("silver", name))
+
+    out = {"dim_patient": written("dim_patient", normalize.erp_patient(bronze["patient"]))}
+    spec = bronze["speciality"].select(
+        F.col("SPEID").cast("int"), normalize.normalize_text("SPENAME").alias("SPENAME"),
+        normalize.normalize_text("SPEGRP").alias("SPEGRP"))
+    group, _ = normalize.extract_dimension(spec, "SPEGRP", "SPEGRP_ID", "SPEGRP_NAME")
+    out["dim_speciality_group"] = written("dim_speciality_group", group)
+    out["dim_speciality"] = written("dim_speciality", normalize.attach_dimension(
+        spec, "SPEGRP", out["dim_speciality_group"], "SPEGRP_ID", "SPEGRP_NAME"))
+    att = normalize.erp_attention_coded(bronze["attention"])
+    assign, _ = normalize.extract_dimension(att, "ATTFIN02", "ASSIGNMENT_STATUS_ID", "STATUS_DESC")
+    assist, _ = normalize.extract_dimension(att, "ATTFIN03", "ASSISTANCE_STATUS_ID", "ASSISTED")
+    out["dim_assignment_status"] = written("dim_assignment_status", assign)
+    out["dim_assistance_status"] = written("dim_assistance_status", assist)
+    fact = normalize.attach_dimension(att, "ATTFIN02", out["dim_assignment_status"],
+                                      "ASSIGNMENT_STATUS_ID", "STATUS_DESC")
+    fact = normalize.attach_dimension(fact, "ATTFIN03", out["dim_assistance_status"],
+                                      "ASSISTANCE_STATUS_ID", "ASSISTED")
+    out["fact_attention"] = written("fact_attention", fact)
     return out
 
 
