@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinilake.functions import normalize_text
-from clinilake.operators.ordered import dense_index
+from clinilake.operators.ordered import dense_index, row_index
 
 
 def split_person_name(col: Column | str) -> Column:
@@ -108,6 +108,9 @@ def diagnosis_fact(long: DataFrame, patients: DataFrame, catalogue: DataFrame
     ICD-10 code, else to the normalised description.  Rows matching no
     patient or no diagnosis go to ``rejects`` with a reason.  ``PATDIAG_ID``
     numbers the facts 1..n in ``(DOCUMENTO, FECHA, DIAGNOSTICO)`` order.
+    Every input row lands in exactly one of the two outputs.  Keys keep the
+    input types (``PATDIAG_ID`` is a long); catalogue codes and descriptions
+    are expected to be unique.
     """
     diag = F.upper(F.trim(F.col("DIAGNOSTICO")))
     keyed = long.select("DOCUMENTO", "FECHA", "DIAGNOSTICO", diag.alias("_code"),
@@ -124,9 +127,7 @@ def diagnosis_fact(long: DataFrame, patients: DataFrame, catalogue: DataFrame
                 .when(F.col("FECHA").isNull(), F.lit("unparsed month")))
     tagged = matched.withColumn("reason", reason)
     good = tagged.where(F.col("reason").isNull())
-    ids = dense_index(good, ["DOCUMENTO", "FECHA", "DIAGNOSTICO"], "PATDIAG_ID")
-    fact = (good.join(ids, ["DOCUMENTO", "FECHA", "DIAGNOSTICO"])
-                .select(F.col("PATDIAG_ID").cast("int"), F.col("PACID").cast("int"),
-                        F.col("DIAG_ID").cast("int"), F.col("FECHA").alias("DATE")))
+    fact = (row_index(good, ["DOCUMENTO", "FECHA", "DIAGNOSTICO", "DIAG_ID"], "PATDIAG_ID")
+            .select("PATDIAG_ID", "PACID", "DIAG_ID", F.col("FECHA").alias("DATE")))
     rejects = tagged.where(F.col("reason").isNotNull()).select("DOCUMENTO", "FECHA", "DIAGNOSTICO", "reason")
     return fact, rejects

@@ -8,8 +8,8 @@ Work inside a partition is a window over the partition, bounded by its size;
 what crosses a partition boundary is carried by a summary of one row per
 partition, so it is bounded by the partition count.
 
-Results do not depend on where the range bounds fall (they are sampled), so
-a recomputed stage after an executor loss gives the same rows.
+Results do not depend on where the range bounds fall (they are sampled);
+the tagged rows are checkpointed once so every branch sees the same bounds.
 """
 
 from __future__ import annotations
@@ -29,13 +29,20 @@ def _partitions(df: DataFrame, partitions: int | None) -> int:
 
 
 def range_partitioned(df: DataFrame, order: Sequence[str], partitions: int | None = None) -> DataFrame:
-    """Range-partition on ``order`` and tag each row with its partition index.
+    """Range-partition on ``order``, tag each row with its partition index,
+    and materialise the result once (reliable checkpoint).
 
     Partition indexes follow the sort order (AQE may merge neighbouring
-    partitions, which keeps them ordered).
+    partitions, which keeps them ordered).  The helpers below read these rows
+    in two branches (per-row work and a per-partition summary).  Spark samples
+    range bounds separately for every exchange it plans, from the input in
+    whatever order it arrives; after a shuffle that order varies, so two
+    exchanges could cut the data differently.  Materialising the tagged rows
+    makes both branches read one partitioning, also after executor loss.
     """
-    return (df.repartitionByRange(_partitions(df, partitions), *order)
-              .withColumn(PID, F.spark_partition_id()))
+    from clinilake.session import checkpointed
+    return checkpointed(df.repartitionByRange(_partitions(df, partitions), *order)
+                          .withColumn(PID, F.spark_partition_id()))
 
 
 def lag_within(df: DataFrame, key: str, order: Sequence[str], values: Sequence[str],
@@ -77,22 +84,33 @@ def lag_within(df: DataFrame, key: str, order: Sequence[str], values: Sequence[s
                  .select(*[F.col(f"`{c}`") for c in df.columns], *prev))
 
 
-def dense_index(df: DataFrame, cols: Sequence[str], id_col: str = "id",
-                partitions: int | None = None) -> DataFrame:
-    """Distinct values of ``cols`` numbered 1..n in sort order.
+def row_index(df: DataFrame, order: Sequence[str], id_col: str = "id",
+              partitions: int | None = None) -> DataFrame:
+    """Every row of ``df`` numbered 1..n in ``order``.
 
-    Equal to ``row_number() over (order by cols)`` on the distinct values,
-    computed without moving all values into one task: range partitions are
-    numbered locally and shifted by the row counts of the partitions before
-    them (a prefix sum over one row per partition).
+    Equal to ``row_number() over (order by order)`` (rows tied on ``order``
+    are numbered in an arbitrary order among themselves), computed without a
+    single-task sort: range partitions number their rows locally and add the
+    row counts of the partitions before them.
     """
-    cols = list(cols)
-    ranged = range_partitioned(df.select(*cols).distinct(), cols, partitions)
-    local = ranged.withColumn("_local", F.row_number().over(
-        Window.partitionBy(PID).orderBy(*cols)))
+    order = list(order)
+    ranged = range_partitioned(df, order, partitions)
+    local = ranged.withColumn("_local", F.row_number().over(Window.partitionBy(PID).orderBy(*order)))
     sizes = ranged.groupBy(PID).agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select(PID, F.coalesce(F.sum("_n").over(
         Window.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))
     # One row per partition: the broadcast is bounded by the partition count.
     return (local.join(F.broadcast(offsets), PID)
-                 .select(*cols, (F.col("_offset") + F.col("_local")).alias(id_col)))
+                 .select(*[F.col(f"`{c}`") for c in df.columns],
+                         (F.col("_offset") + F.col("_local")).alias(id_col)))
+
+
+def dense_index(df: DataFrame, cols: Sequence[str], id_col: str = "id",
+                partitions: int | None = None) -> DataFrame:
+    """Distinct values of ``cols`` numbered 1..n in sort order.
+
+    Equal to ``row_number() over (order by cols)`` on the distinct values,
+    computed without moving all values into one task (see :func:`row_index`).
+    """
+    cols = list(cols)
+    return row_index(df.select(*cols).distinct(), cols, id_col, partitions)

@@ -21,7 +21,7 @@ from clinilake.functions import (SPANISH_MONTHS, document_text, month_label, mon
                                  month_text_to_date, normalize_text)
 from clinilake.operators import gold, quality, synth
 from clinilake.operators.joins import Dim, star_join
-from clinilake.operators.normalize import extract_dimension, split_person_name
+from clinilake.operators.normalize import diagnosis_fact, extract_dimension, split_person_name
 from clinilake.operators.reshape import diagnoses_long, unpivot_to_dates
 from clinilake.plans.jobs import detail_df
 from clinilake.sources import literal_table
@@ -35,6 +35,10 @@ LINE_STATUS = [("F", "FULFILLED"), ("O", "OPEN")]
 ORDER_STATUS_DOMAIN = ["F", "O"]
 MARKET_SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 PIVOT_YEARS = (1997, 1998)
+# A diagnosis-like catalogue over order priorities.  "2-HIGH"
+# is found through its description, "5-LOW" is missing on purpose.
+PRIORITY_CATALOGUE = [(1, "1-URGENT", "URGENTE"), (2, "P2", "2-high"), (3, "3-MEDIUM", "MEDIO"),
+                      (4, "4-NOT SPECIFIED", "SIN ESPECIFICAR")]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -205,6 +209,48 @@ def split_name(spark: SparkSession, sf_dir: str) -> DataFrame:
                            name["LAST_NAME"].alias("LAST_NAME"))
 
 
+def _diagnosis_fact(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    long = months_wide_to_long(spark, sf_dir)
+    patients = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("PACDOC"), F.col("c_custkey").alias("PACID"))
+    catalogue = literal_table(spark, PRIORITY_CATALOGUE,
+                              "DIAG_ID int, CIE10_CODE string, DESCRIPTION string")
+    return diagnosis_fact(long, patients, catalogue)
+
+
+def diagnosis_fact_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _diagnosis_fact(spark, sf_dir)[0]
+
+
+def diagnosis_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _diagnosis_fact(spark, sf_dir)[1]
+
+
+# --- Q6: one report of every check -------------------------------------------
+
+def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = {n: table(spark, sf_dir, n) for n in
+         ("lineitem", "orders", "part", "supplier", "customer", "documents", "labels")}
+    li = t["lineitem"]
+    return quality.report([
+        quality.summary(li, "lineitem", not_null=["l_orderkey", "l_partkey", "l_suppkey", "l_shipdate"],
+                        domains={"l_returnflag": [c for c, _ in RETURN_STATUS],
+                                 "l_linestatus": [c for c, _ in LINE_STATUS]}),
+        quality.count_summary(quality.duplicate_keys(t["orders"], ["o_orderkey"]),
+                              "primary_key", "orders", "o_orderkey"),
+        quality.count_summary(quality.orphans(li, t["orders"], "l_orderkey", "o_orderkey"),
+                              "foreign_key", "lineitem", "l_orderkey"),
+        quality.count_summary(quality.orphans(li, t["part"], "l_partkey", "p_partkey"),
+                              "foreign_key", "lineitem", "l_partkey"),
+        quality.count_summary(quality.orphans(li, t["supplier"], "l_suppkey", "s_suppkey"),
+                              "foreign_key", "lineitem", "l_suppkey"),
+        quality.count_summary(quality.orphans(t["orders"], t["customer"], "o_custkey", "c_custkey"),
+                              "foreign_key", "orders", "o_custkey"),
+        quality.count_summary(quality.orphans(t["documents"], t["labels"], "doc_id"),
+                              "foreign_key", "documents", "doc_id"),
+    ])
+
+
 # --- G1-G8 + J1 on the health model, sized by the provided tables -------------
 
 def synthetic_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -260,6 +306,9 @@ QUERIES: dict[str, Query] = {
     "extract_dimension_dim": extract_dimension_dim,
     "split_name": split_name,
     "synthetic_checks": synthetic_checks,
+    "diagnosis_fact": diagnosis_fact_q,
+    "diagnosis_rejects": diagnosis_rejects,
+    "quality_report": quality_report,
 }
 
 _MONTH_LIST = "[" + ", ".join(f"'{m}'" for m in SPANISH_MONTHS) + "]"
@@ -274,6 +323,20 @@ where o_orderdate >= timestamp '{PIVOT_YEARS[0]}-01-01'
 group by 1, 2
 """
 
+_CATALOGUE_VALUES = ", ".join(f"({i}, '{c}', '{d}')" for i, c, d in PRIORITY_CATALOGUE)
+
+_DIAGNOSIS_MATCHED = f"""
+with long as ({_MONTHS_LONG}),
+cat (DIAG_ID, CIE10_CODE, DESCRIPTION) as (values {_CATALOGUE_VALUES}),
+m as (
+  select l.DOCUMENTO, l.FECHA, l.DIAGNOSTICO, c.c_custkey as PACID,
+         coalesce(bc.DIAG_ID, bd.DIAG_ID) as DIAG_ID
+  from long l
+  left join customer c on cast(c.c_custkey as varchar) = l.DOCUMENTO
+  left join cat bc on upper(trim(bc.CIE10_CODE)) = upper(trim(l.DIAGNOSTICO))
+  left join cat bd on upper(strip_accents(trim(bd.DESCRIPTION))) = upper(strip_accents(trim(l.DIAGNOSTICO)))
+)"""
+
 _SPLIT_NAME = r"""
 with v as (
   select p_partkey, 1 as variant, p_type as full_name from part
@@ -374,6 +437,38 @@ ORACLE: dict[str, str] = {
                o_orderpriority
         from (select distinct o_orderpriority from orders where o_orderpriority is not null)""",
     "split_name": _SPLIT_NAME,
+    "diagnosis_fact": _DIAGNOSIS_MATCHED + """
+        select row_number() over (order by DOCUMENTO, FECHA, DIAGNOSTICO, DIAG_ID) as PATDIAG_ID,
+               PACID, DIAG_ID, FECHA as DATE
+        from m where PACID is not null and DIAG_ID is not null and FECHA is not null""",
+    "diagnosis_rejects": _DIAGNOSIS_MATCHED + """
+        select DOCUMENTO, FECHA, DIAGNOSTICO,
+               case when PACID is null then 'unknown patient'
+                    when DIAG_ID is null then 'unknown diagnosis'
+                    else 'unparsed month' end as reason
+        from m where PACID is null or DIAG_ID is null or FECHA is null""",
+    "quality_report": """
+        select 'not_null' as check_name, 'lineitem' as table_name, 'l_orderkey' as column_name,
+               count(*) filter (where l_orderkey is null) as violations from lineitem
+        union all select 'not_null', 'lineitem', 'l_partkey', count(*) filter (where l_partkey is null) from lineitem
+        union all select 'not_null', 'lineitem', 'l_suppkey', count(*) filter (where l_suppkey is null) from lineitem
+        union all select 'not_null', 'lineitem', 'l_shipdate', count(*) filter (where l_shipdate is null) from lineitem
+        union all select 'domain', 'lineitem', 'l_returnflag',
+               count(*) filter (where l_returnflag not in ('A', 'N', 'R')) from lineitem
+        union all select 'domain', 'lineitem', 'l_linestatus',
+               count(*) filter (where l_linestatus not in ('F', 'O')) from lineitem
+        union all select 'primary_key', 'orders', 'o_orderkey', count(*)
+               from (select o_orderkey from orders group by 1 having count(*) > 1)
+        union all select 'foreign_key', 'lineitem', 'l_orderkey', count(*) from lineitem l
+               where not exists (select 1 from orders o where o.o_orderkey = l.l_orderkey)
+        union all select 'foreign_key', 'lineitem', 'l_partkey', count(*) from lineitem l
+               where not exists (select 1 from part p where p.p_partkey = l.l_partkey)
+        union all select 'foreign_key', 'lineitem', 'l_suppkey', count(*) from lineitem l
+               where not exists (select 1 from supplier s where s.s_suppkey = l.l_suppkey)
+        union all select 'foreign_key', 'orders', 'o_custkey', count(*) from orders o
+               where not exists (select 1 from customer c where c.c_custkey = o.o_custkey)
+        union all select 'foreign_key', 'documents', 'doc_id', count(*) from documents d
+               where not exists (select 1 from labels l where l.doc_id = d.doc_id)""",
     "synthetic_checks": """
         select 'n_patients' as check_name, count(*) as value from customer
         union all select 'distinct_pacdoc', count(*) from customer

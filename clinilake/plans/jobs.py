@@ -149,6 +149,7 @@ def link_diagnoses(spark: SparkSession, lake: Lake) -> tuple[DataFrame, DataFram
     long = sources.read_table(spark, lake.path("gold", "diagnosticos_transformados"))
     silver = sources.read_tables(spark, lake, ["dim_patient", "dim_diagnosis"], zone="silver")
     fact, rejects = normalize.diagnosis_fact(long, silver["dim_patient"], silver["dim_diagnosis"])
+    fact = schemas.conform(fact, schemas.FACT_PATIENT_DIAGNOSIS)
     sinks.write_table(fact, lake.path("silver", "fact_patient_diagnosis"))
     sinks.write_table(rejects, lake.path("bronze", "diagnosis_rejects"))
     return fact, rejects

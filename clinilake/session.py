@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import logging
+import tempfile
 from collections.abc import Iterator
 
 from pyspark import StorageLevel
@@ -56,20 +57,31 @@ def reused(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A fallback is only applied when the cluster names none (tests).
+    When the cluster names none, ``fallback`` is used; without a fallback a
+    fresh temporary folder is taken, but only in local mode, where every
+    executor runs on this machine.  On a cluster that is an error: a
+    machine-local folder would not be visible to other executors.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        spark.sparkContext.setCheckpointDir(current)
-        return current
-    if fallback is None:
-        raise RuntimeError("spark.checkpoint.dir is not set; pass a shared fallback")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    spark.sparkContext.setCheckpointDir(fallback)
-    return fallback
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not current:
+        if fallback is None:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+            fallback = tempfile.mkdtemp(prefix="clinilake-checkpoints-")
+        current = fallback
+        spark.conf.set("spark.checkpoint.dir", current)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
+    return current
 
 
 def checkpointed(df: DataFrame, fallback_dir: str | None = None) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (cuts lineage)."""
+    """Reliable checkpoint into the shared checkpoint folder (cuts lineage).
+
+    The rows are computed once and read back from storage by every later use,
+    so two branches of one plan see the same rows, and a lost executor does
+    not recompute them.
+    """
     checkpoint_dir(df.sparkSession, fallback_dir)
     return df.checkpoint(eager=True)

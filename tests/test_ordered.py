@@ -45,3 +45,24 @@ def test_dense_index_matches_row_number(spark):
     expect = df.distinct().select("v", F.row_number().over(Window.orderBy("v")).alias("id"))
     for parts in (1, 3, 16):
         assert rows(dense_index(df, ["v"], "id", parts)) == rows(expect)
+
+
+def test_row_index_on_shuffled_input_with_extra_columns(spark):
+    # Input order after a shuffle varies between evaluations; numbering must
+    # still agree with a global row_number.
+    from clinilake.operators.ordered import row_index
+    base = spark.range(20000).select((F.col("id") % 977).alias("k"), F.col("id"))
+    agg = base.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("payload"))
+    got = row_index(agg, ["k"], "rid", partitions=9)
+    expect = agg.select("k", "n", "payload", F.row_number().over(Window.orderBy("k")).alias("rid"))
+    assert rows(got) == rows(expect)
+
+
+def test_lag_within_on_shuffled_input(spark):
+    base = spark.range(6000).select((F.col("id") % 7).alias("k"), (F.col("id") % 1013).alias("ts"),
+                                    F.col("id").alias("tb"), F.lit("x").alias("extra"))
+    shuffled = base.repartition(5, "tb")
+    w = Window.partitionBy("k").orderBy("ts", "tb")
+    expect = shuffled.select("k", "ts", "tb", "extra", F.lag("tb").over(w).alias("prev_tb"))
+    got = lag_within(shuffled, "k", ["ts", "tb"], ["tb"], partitions=6)
+    assert rows(got) == rows(expect)
