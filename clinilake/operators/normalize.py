@@ -126,7 +126,8 @@ def diagnosis_fact(long: DataFrame, patients: DataFrame, catalogue: DataFrame
                 .when(F.col("DIAG_ID").isNull(), F.lit("unknown diagnosis"))
                 .when(F.col("FECHA").isNull(), F.lit("unparsed month")))
     tagged = matched.withColumn("reason", reason)
-    good = tagged.where(F.col("reason").isNull())
+    good = tagged.where(F.col("reason").isNull()).select(
+        "DOCUMENTO", "FECHA", "DIAGNOSTICO", "PACID", "DIAG_ID")
     fact = (row_index(good, ["DOCUMENTO", "FECHA", "DIAGNOSTICO", "DIAG_ID"], "PATDIAG_ID")
             .select("PATDIAG_ID", "PACID", "DIAG_ID", F.col("FECHA").alias("DATE")))
     rejects = tagged.where(F.col("reason").isNotNull()).select("DOCUMENTO", "FECHA", "DIAGNOSTICO", "reason")

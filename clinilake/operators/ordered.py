@@ -90,19 +90,26 @@ def row_index(df: DataFrame, order: Sequence[str], id_col: str = "id",
 
     Equal to ``row_number() over (order by order)`` (rows tied on ``order``
     are numbered in an arbitrary order among themselves), computed without a
-    single-task sort: range partitions number their rows locally and add the
-    row counts of the partitions before them.
+    single-task sort.  Rows are range-partitioned and sorted within each
+    partition, then tagged with ``monotonically_increasing_id`` (partition
+    index in the high bits, position in the low 33) and materialised, so the
+    tag is fixed.  A row's number is its position plus the row counts of the
+    partitions before it: a prefix sum over one row per partition.
     """
+    from clinilake.session import checkpointed
     order = list(order)
-    ranged = range_partitioned(df, order, partitions)
-    local = ranged.withColumn("_local", F.row_number().over(Window.partitionBy(PID).orderBy(*order)))
-    sizes = ranged.groupBy(PID).agg(F.count(F.lit(1)).alias("_n"))
+    tagged = checkpointed(df.repartitionByRange(_partitions(df, partitions), *order)
+                            .sortWithinPartitions(*order)
+                            .withColumn(PID, F.spark_partition_id())
+                            .withColumn("_pos", F.monotonically_increasing_id()))
+    sizes = tagged.groupBy(PID).agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select(PID, F.coalesce(F.sum("_n").over(
         Window.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))
+    position = F.col("_pos").bitwiseAND(F.lit((1 << 33) - 1))
     # One row per partition: the broadcast is bounded by the partition count.
-    return (local.join(F.broadcast(offsets), PID)
-                 .select(*[F.col(f"`{c}`") for c in df.columns],
-                         (F.col("_offset") + F.col("_local")).alias(id_col)))
+    return (tagged.join(F.broadcast(offsets), PID)
+                  .select(*[F.col(f"`{c}`") for c in df.columns],
+                          (F.col("_offset") + position + 1).alias(id_col)))
 
 
 def dense_index(df: DataFrame, cols: Sequence[str], id_col: str = "id",
