@@ -34,7 +34,6 @@ RETURN_STATUS = [("A", "ACCEPTED"), ("N", "NONE"), ("R", "RETURNED")]
 LINE_STATUS = [("F", "FULFILLED"), ("O", "OPEN")]
 ORDER_STATUS_DOMAIN = ["F", "O"]
 MARKET_SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
-PIVOT_YEARS = (1997, 1998)
 # A diagnosis-like catalogue over order priorities.  "2-HIGH"
 # is found through its description, "5-LOW" is missing on purpose.
 PRIORITY_CATALOGUE = [(1, "1-URGENT", "URGENTE"), (2, "P2", "2-high"), (3, "3-MEDIUM", "MEDIO"),
@@ -97,13 +96,15 @@ def key_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- U1, D1, F6, F7: reshape and text functions -----------------------------
 
 def _wide_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders of two years as a spreadsheet-like sheet: one row per customer
-    (document read as a double), one column per Spanish month header, value =
-    the lowest priority text ordered that month."""
-    lo, hi = PIVOT_YEARS
-    orders = table(spark, sf_dir, "orders").where(
-        (F.col("o_orderdate") >= F.lit(dt.datetime(lo, 1, 1))) &
-        (F.col("o_orderdate") < F.lit(dt.datetime(hi + 1, 1, 1))))
+    """All orders as a spreadsheet-like sheet: one row per customer (document
+    read as a double), one column per Spanish month header from the first to
+    the last order year, value = the lowest priority text ordered that month.
+
+    The header list is the only thing taken to the driver: one aggregate row
+    with the year range.
+    """
+    orders = table(spark, sf_dir, "orders")
+    lo, hi = orders.agg(F.min(F.year("o_orderdate")), F.max(F.year("o_orderdate"))).first()
     return (orders.withColumn("_month", month_label("o_orderdate"))
                   .groupBy(F.col("o_custkey").cast("double").alias("DOCUMENTO"))
                   .pivot("_month", month_labels(lo, hi))
@@ -318,8 +319,7 @@ select cast(o_custkey as varchar) as DOCUMENTO,
        cast(date_trunc('month', o_orderdate) as date) as FECHA,
        min(o_orderpriority) as DIAGNOSTICO
 from orders
-where o_orderdate >= timestamp '{PIVOT_YEARS[0]}-01-01'
-  and o_orderdate < timestamp '{PIVOT_YEARS[1] + 1}-01-01'
+where o_orderdate is not null
 group by 1, 2
 """
 
