@@ -115,13 +115,22 @@ def _absorb(dim: Dim) -> DataFrame:
 
 
 def star_join(fact: DataFrame, dims: Sequence[Dim], select: Sequence[Column | str] | None = None,
-              fact_alias: str = "f") -> DataFrame:
+              fact_alias: str = "f", validate: bool = False) -> DataFrame:
     """Join ``fact`` to ``dims`` and project ``select`` (default: all columns).
 
     Inner joins drop fact rows whose key is null or unmatched, as a SQL star
     join does; use ``how="left"`` on a dimension to keep them and
     :func:`clinilake.operators.quality.orphans` to count what is lost.
+
+    A dimension with a repeated key multiplies fact rows.  ``validate=True``
+    checks every dimension key first (one aggregation per dimension, stopping
+    at the first repeat) and raises ``ValueError`` naming the dimension.
     """
+    if validate:
+        from clinilake.operators.quality import duplicate_keys
+        for d in dims:
+            if not duplicate_keys(d.df, [dc for _, dc in d.on]).isEmpty():
+                raise ValueError(f"dimension {d.alias} repeats its key {[dc for _, dc in d.on]}")
     aliases = {fact_alias} | {d.alias for d in dims}
     if len(aliases) != len(dims) + 1:
         raise ValueError("every dimension needs its own alias, distinct from the fact's")

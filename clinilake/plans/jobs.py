@@ -4,7 +4,8 @@ documented bronze->silver normalisation, gold indicators and checks).
 Each job reads one zone and writes another, never the same path it reads.
 Run one from the command line::
 
-    spark-submit -m clinilake.plans.jobs build_detail --root s3a://lake --mode sql
+    spark-submit --py-files clinilake.zip clinilake/plans/jobs.py build_detail \\
+        --root s3a://lake --mode sql
 """
 
 from __future__ import annotations

@@ -95,3 +95,16 @@ def test_detail_broadcasts_every_catalogue(spark):
     silver = synth.silver(spark, 50, 300, 10, seed=3)
     plan = jobs.detail_df(silver)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("BroadcastHashJoin") >= 4
+
+
+def test_validate_rejects_repeated_dimension_keys(spark):
+    fact, da, db, dg = _tables(spark)
+    with pytest.raises(ValueError, match="dimension a"):
+        star_join(fact, [Dim(da, "a", [("a", "a")])], validate=True)
+    assert star_join(fact, [Dim(db, "b", [("b", "b")])], ["f.id"], validate=True).count() == 5
+
+
+def test_jobs_cli_runs_a_job(spark, scratch):
+    jobs.main(["build_silver", "--root", scratch, "--patients", "5", "--attentions", "9"])
+    jobs.main(["build_detail", "--root", scratch, "--mode", "df"])
+    assert spark.read.parquet(f"{scratch}/dev/gold/atencion_detalle").count() == 9
