@@ -95,6 +95,10 @@ def row_index(df: DataFrame, order: Sequence[str], id_col: str = "id",
     index in the high bits, position in the low 33) and materialised, so the
     tag is fixed.  A row's number is its position plus the row counts of the
     partitions before it: a prefix sum over one row per partition.
+
+    Rows equal on the whole ``order`` cannot be cut apart by a range
+    partitioner; give ``order`` enough columns to make such ties rare
+    (:func:`dense_index` numbers distinct values, so it has none).
     """
     from clinilake.session import checkpointed
     order = list(order)
