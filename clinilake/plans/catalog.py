@@ -264,7 +264,10 @@ def synthetic_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = synth.silver(spark, n_pat, n_att, n_dia, seed=7)
     pat, att, dia = s["dim_patient"], s["fact_attention"], s["fact_patient_diagnosis"]
     detail = detail_df(s)
-    year_ago = synth.DEFAULT_AS_OF - dt.timedelta(days=366)
+    # Generated timestamps are absolute instants; compare with aware bounds
+    # so the check does not depend on the driver's local time zone.
+    as_of = synth.DEFAULT_AS_OF.replace(tzinfo=dt.timezone.utc)
+    year_ago = as_of - dt.timedelta(days=366)
 
     def one(df: DataFrame, name: str, value) -> DataFrame:
         return df.agg(F.lit(name).alias("check_name"), value.cast("bigint").alias("value"))
@@ -277,7 +280,7 @@ def synthetic_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
         one(att, "n_attentions", rows),
         one(att, "attention_out_of_range",
             F.count_if((F.col("ATTFIN01") < F.lit(year_ago)) |
-                       (F.col("ATTFIN01") > F.lit(synth.DEFAULT_AS_OF)))),
+                       (F.col("ATTFIN01") > F.lit(as_of)))),
         one(quality.orphans(att, pat, "PACID"), "orphan_attentions", rows),
         one(detail, "detail_rows", rows),
         one(dia, "n_diagnoses", rows),

@@ -16,8 +16,9 @@ def test_generated_tables_are_consistent(spark):
     assert quality.orphans(att, pat, "PACID").count() == 0
     assert quality.orphans(dia, pat, "PACID").count() == 0
     assert quality.orphans(att, s["dim_speciality"], "SPEID").count() == 0
-    lo = synth.DEFAULT_AS_OF - dt.timedelta(days=366)
-    assert att.where((F.col("ATTFIN01") < lo) | (F.col("ATTFIN01") > synth.DEFAULT_AS_OF)).count() == 0
+    hi = synth.DEFAULT_AS_OF.replace(tzinfo=dt.timezone.utc)
+    lo = hi - dt.timedelta(days=366)
+    assert att.where((F.col("ATTFIN01") < lo) | (F.col("ATTFIN01") > hi)).count() == 0
     for name, table in s.items():
         assert table.schema == synth.schemas.ALL[name] or [f.name for f in table.schema] == \
             [f.name for f in synth.schemas.ALL[name]], name
