@@ -22,10 +22,12 @@ from pyspark.sql import functions as F
 PID = "_pid"
 
 
-def _partitions(df: DataFrame, partitions: int | None) -> int:
+def _by_range(df: DataFrame, order: Sequence[str], partitions: int | None) -> DataFrame:
+    """Range repartition.  Without an explicit count AQE sizes the partitions
+    from the data (it only merges neighbouring ranges, so order is kept)."""
     if partitions:
-        return partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        return df.repartitionByRange(partitions, *order)
+    return df.repartitionByRange(*order)
 
 
 def range_partitioned(df: DataFrame, order: Sequence[str], partitions: int | None = None) -> DataFrame:
@@ -41,8 +43,7 @@ def range_partitioned(df: DataFrame, order: Sequence[str], partitions: int | Non
     makes both branches read one partitioning, also after executor loss.
     """
     from clinilake.session import checkpointed
-    return checkpointed(df.repartitionByRange(_partitions(df, partitions), *order)
-                          .withColumn(PID, F.spark_partition_id()))
+    return checkpointed(_by_range(df, order, partitions).withColumn(PID, F.spark_partition_id()))
 
 
 def lag_within(df: DataFrame, key: str, order: Sequence[str], values: Sequence[str],
@@ -102,7 +103,7 @@ def row_index(df: DataFrame, order: Sequence[str], id_col: str = "id",
     """
     from clinilake.session import checkpointed
     order = list(order)
-    tagged = checkpointed(df.repartitionByRange(_partitions(df, partitions), *order)
+    tagged = checkpointed(_by_range(df, order, partitions)
                             .sortWithinPartitions(*order)
                             .withColumn(PID, F.spark_partition_id())
                             .withColumn("_pos", F.monotonically_increasing_id()))
