@@ -74,13 +74,24 @@ def _month_map() -> Column:
                           for x in (F.lit(name), F.lit(f"{i:02d}"))])
 
 
-def month_text_to_date(col: Column | str) -> Column:
+def clean_header(col: Column | str) -> Column:
+    """Header text made comparable: every Unicode space (NBSP included) becomes
+    a plain space, edges are stripped, letters upper-cased."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.upper(F.regexp_replace(F.regexp_replace(c, r"(?U)\s", " "), r"^ +| +$", ""))
+
+
+def month_text_to_date(col: Column | str, clean: bool = False) -> Column:
     """``"ENERO 2023"`` -> ``date 2023-01-01``; anything unparseable -> null.
 
     The text is split on whitespace runs; the first token must be an upper-case
-    Spanish month name and the second a four-digit year.
+    Spanish month name and the second a four-digit year.  With ``clean=True``
+    the text goes through :func:`clean_header` first, so ``" enero\u00a02023"``
+    parses too.
     """
     c = F.col(col) if isinstance(col, str) else col
+    if clean:
+        c = clean_header(c)
     parts = F.split(c, r"\s+")
     month = F.try_element_at(_month_map(), F.try_element_at(parts, F.lit(1)))
     year = F.try_element_at(parts, F.lit(2))

@@ -27,6 +27,7 @@ its inputs, so a pre-joined dimension is rarely broadcast even when tiny.
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -45,6 +46,10 @@ class Dim:
 
     ``on`` pairs ``(parent_column, dim_column)``; the parent is the fact unless
     ``parent`` names another dimension's alias (a snowflake hop).
+    ``complete=True`` asserts that every parent row finds exactly one row
+    here (keys unique, none missing, none null); such a dimension is left out
+    of the join when nothing selected comes from it, since joining it could
+    neither drop nor repeat rows.
     """
 
     df: DataFrame
@@ -56,6 +61,7 @@ class Dim:
     max_rows: int = DEFAULT_MAX_ROWS
     max_bytes: int = DEFAULT_MAX_BYTES
     prejoin: bool = False
+    complete: bool = False
     children: list[Dim] = field(default_factory=list, repr=False)
 
 
@@ -114,6 +120,18 @@ def _absorb(dim: Dim) -> DataFrame:
     return out
 
 
+_QUALIFIED = re.compile(r"(?<![\w.`])`?([A-Za-z_]\w*)`?\.")
+
+
+def _referenced_aliases(select: Sequence[Column | str]) -> set[str]:
+    """Aliases named as ``alias.column`` in the select list (strings, or the
+    SQL text of Column expressions)."""
+    out = set()
+    for item in select:
+        out.update(_QUALIFIED.findall(item if isinstance(item, str) else str(item)))
+    return out
+
+
 def star_join(fact: DataFrame, dims: Sequence[Dim], select: Sequence[Column | str] | None = None,
               fact_alias: str = "f", validate: bool = False) -> DataFrame:
     """Join ``fact`` to ``dims`` and project ``select`` (default: all columns).
@@ -134,6 +152,18 @@ def star_join(fact: DataFrame, dims: Sequence[Dim], select: Sequence[Column | st
     aliases = {fact_alias} | {d.alias for d in dims}
     if len(aliases) != len(dims) + 1:
         raise ValueError("every dimension needs its own alias, distinct from the fact's")
+    if select is not None:
+        needed = _referenced_aliases(select) | {d.alias for d in dims if not d.complete}
+        # A dimension is needed if selected from, not known complete, or if a
+        # needed one hangs off it.
+        changed = True
+        while changed:
+            changed = False
+            for d in dims:
+                if d.alias in needed and d.parent and d.parent not in needed:
+                    needed.add(d.parent)
+                    changed = True
+        dims = [d for d in dims if not (d.complete and d.alias not in needed)]
     by_alias = {d.alias: d for d in dims}
     for d in dims:
         d.children = []

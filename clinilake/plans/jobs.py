@@ -98,7 +98,8 @@ def check_key(spark: SparkSession, lake: Lake, mode: str = "sql") -> tuple[bool,
 
 
 def transform_diagnoses(spark: SparkSession, lake: Lake, workbooks: str,
-                        data_address: str = "'sheet1'!A1", literal: bool = False) -> DataFrame:
+                        data_address: str = "'sheet1'!A1", literal: bool = False,
+                        clean_headers: bool = False) -> DataFrame:
     """Point 6: diagnosis workbooks -> gold ``diagnosticos_transformados``.
 
     ``literal=True`` keeps the melt's intermediate ``MES_ANO`` step as
@@ -106,7 +107,8 @@ def transform_diagnoses(spark: SparkSession, lake: Lake, workbooks: str,
     narrow ``Expand`` plan.
     """
     wide = sources.read_workbooks(spark, workbooks, data_address).drop("_source_file")
-    long = diagnoses_long(wide) if literal else unpivot_to_dates(wide)
+    long = (diagnoses_long(wide, clean_headers=clean_headers) if literal
+            else unpivot_to_dates(wide, clean_headers=clean_headers))
     sinks.write_table(long, lake.path("gold", "diagnosticos_transformados"))
     return long
 

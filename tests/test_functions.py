@@ -60,3 +60,12 @@ def test_month_parse_of_literal_is_folded(spark):
     df = spark.range(1).select(month_text_to_date(F.lit("MARZO 2024")).alias("d"))
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "Project [2024-03-01 AS d" in plan and "split(" not in plan.lower()
+
+
+def test_clean_headers_option(spark):
+    texts = [" enero 2023", "ENERO 2023", "Febrero  2024 ", "enero 23", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    strict = [r[0] for r in df.select(month_text_to_date("t")).collect()]
+    clean = [r[0] for r in df.select(month_text_to_date("t", clean=True)).collect()]
+    assert strict == [None, None, None, None, None]
+    assert clean == [dt.date(2023, 1, 1), dt.date(2023, 1, 1), dt.date(2024, 2, 1), None, None]

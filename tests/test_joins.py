@@ -108,3 +108,29 @@ def test_jobs_cli_runs_a_job(spark, scratch):
     jobs.main(["build_silver", "--root", scratch, "--patients", "5", "--attentions", "9"])
     jobs.main(["build_detail", "--root", scratch, "--mode", "df"])
     assert spark.read.parquet(f"{scratch}/dev/gold/atencion_detalle").count() == 9
+
+
+def test_complete_unselected_dimension_is_skipped(spark):
+    fact = spark.createDataFrame([(1, 10, 100), (2, 20, 100)], "id int, a int, b int")
+    da = spark.createDataFrame([(10, "x"), (20, "y")], "a int, an string")
+    db = spark.createDataFrame([(100, 1)], "b int, g int")
+    dg = spark.createDataFrame([(1, "g1")], "g int, gn string")
+    dims = [Dim(da, "a", [("a", "a")], complete=True), Dim(db, "b", [("b", "b")], complete=True),
+            Dim(dg, "g", [("g", "g")], parent="b", complete=True)]
+    only_fact = star_join(fact, dims, ["f.id"])
+    assert "Join" not in only_fact._jdf.queryExecution().optimizedPlan().toString()
+    with_group = star_join(fact, dims, ["f.id", F.col("g.gn").alias("group")])
+    plan = with_group._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 2  # b is kept because g hangs off it; a is skipped
+    assert rows(with_group) == [(1, "g1"), (2, "g1")]
+    # Without the assertion every dimension is joined.
+    plain = [Dim(da, "a", [("a", "a")]), Dim(db, "b", [("b", "b")])]
+    assert star_join(fact, plain, ["f.id"])._jdf.queryExecution().optimizedPlan().toString().count("Join") == 2
+
+
+def test_incomplete_child_keeps_its_complete_parent(spark):
+    fact = spark.createDataFrame([(1, 100)], "id int, b int")
+    db = spark.createDataFrame([(100, 1)], "b int, g int")
+    dg = spark.createDataFrame([(2, "g2")], "g int, gn string")  # no group 1: inner join drops the row
+    dims = [Dim(db, "b", [("b", "b")], complete=True), Dim(dg, "g", [("g", "g")], parent="b")]
+    assert star_join(fact, dims, ["f.id"]).count() == 0

@@ -60,3 +60,13 @@ def test_drop_blank(spark):
 def test_unpivot_is_narrow(spark):
     plan = unpivot_to_dates(_sheet(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_unpivot_clean_headers(spark):
+    df = spark.createDataFrame([("d1", "A00", "J45")], "DOCUMENTO string, ` enero 2023` string, `FEBRERO 2023` string")
+    strict = rows(unpivot_to_dates(df, id_expr=F.col("DOCUMENTO")))
+    clean = rows(unpivot_to_dates(df, id_expr=F.col("DOCUMENTO"), clean_headers=True))
+    assert strict == [("d1", None, "A00"), ("d1", None, "J45")]
+    assert clean == [("d1", dt.date(2023, 1, 1), "A00"), ("d1", dt.date(2023, 2, 1), "J45")]
+    assert rows(diagnoses_long(df.withColumnRenamed("DOCUMENTO", "DOCUMENTO"), clean_headers=True), "FECHA") == \
+        [(dt.date(2023, 1, 1),), (dt.date(2023, 2, 1),)]
