@@ -34,7 +34,7 @@ def key_verdict(df: DataFrame, keys: Sequence[str], table: str) -> DataFrame:
     """One row: duplicate groups, surplus rows and the verdict (A3).
 
     ``dup_rows`` counts rows beyond the first of each duplicated group; the
-    reference's message reports groups, so both are given.
+    original check's message reports groups, so both are given.
     """
     dups = duplicate_keys(df, keys)
     return dups.agg(
@@ -119,3 +119,22 @@ def count_summary(df: DataFrame, check: str, table: str, column: str) -> DataFra
     return df.agg(F.lit(check).alias("check_name"), F.lit(table).alias("table_name"),
                   F.lit(column).alias("column_name"),
                   F.count(F.lit(1)).cast("bigint").alias("violations"))
+
+
+class QualityError(ValueError):
+    """Raised by :func:`assert_clean` with the failing rules."""
+
+
+def assert_clean(report_df: DataFrame, tolerated: Iterable[tuple[str, str, str]] = ()) -> None:
+    """Gate for promotion (Q6): raise if any rule of a report has violations.
+
+    Only the failing rule rows (at most one per rule) reach the driver.
+    ``tolerated`` lists ``(check_name, table_name, column_name)`` to ignore.
+    """
+    skip = set(tolerated)
+    failing = [r for r in report_df.where(F.col("violations") > 0).collect()
+               if (r["check_name"], r["table_name"], r["column_name"]) not in skip]
+    if failing:
+        lines = [f"{r['check_name']} {r['table_name']}.{r['column_name']}: {r['violations']}"
+                 for r in failing]
+        raise QualityError("quality checks failed: " + "; ".join(sorted(lines)))

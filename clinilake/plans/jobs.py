@@ -205,6 +205,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--patients", type=int, default=20)
     parser.add_argument("--attentions", type=int, default=40)
     parser.add_argument("--diagnoses", type=int, default=30)
+    parser.add_argument("--gate", action="store_true",
+                        help="quality_report: fail when any check has violations")
     args = parser.parse_args(argv)
     spark = session.get(f"clinilake-{args.job}")
     lake = Lake(args.root, args.env)
@@ -225,6 +227,8 @@ def main(argv: list[str] | None = None) -> None:
         build_gold(spark, lake)
     else:
         sinks.write_table(quality_report(spark, lake), lake.path("gold", "quality_report"))
+        if args.gate:
+            quality.assert_clean(sources.read_table(spark, lake.path("gold", "quality_report")))
 
 
 if __name__ == "__main__":

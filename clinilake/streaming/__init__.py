@@ -1,6 +1,6 @@
 """Incremental bronze landing with Structured Streaming.
 
-The reference's processing is all batch; its documented bronze zone is a
+The health lake's processing is all batch; its documented bronze zone is a
 faithful copy of each source with at most a format change.  When source
 files keep arriving, the same copy is a file-source stream: every new file
 is landed once, exactly-once by the checkpoint, with the lineage columns of

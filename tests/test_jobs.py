@@ -81,3 +81,16 @@ def test_normalize_erp_job(spark, scratch):
     assert (pat["FIRST_NAME"], pat["SECOND_NAME"], pat["LAST_NAME"]) == ("ANA", "MARIA", "GOMEZ")
     view = jobs.build_detail(spark, lake, "df").first()
     assert (view["SPENAME"], view["SPEGRP_NAME"], view["ASISTENCIA"]) == ("PEDIATRIA", "CLINICA", "SI")
+
+
+def test_quality_gate_cli(spark, scratch):
+    import pytest
+    from clinilake.operators.quality import QualityError
+    jobs.main(["build_silver", "--root", scratch, "--patients", "5", "--attentions", "9"])
+    jobs.main(["quality_report", "--root", scratch, "--gate"])
+    bad = spark.read.parquet(f"{scratch}/dev/silver/dim_patient").limit(0)
+    bad.write.mode("overwrite").parquet(f"{scratch}/dev/silver/dim_patient_empty")
+    spark.read.parquet(f"{scratch}/dev/silver/dim_patient_empty").write.mode("overwrite") \
+        .parquet(f"{scratch}/dev/silver/dim_patient")
+    with pytest.raises(QualityError, match="foreign_key"):
+        jobs.main(["quality_report", "--root", scratch, "--gate"])

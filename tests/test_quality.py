@@ -51,3 +51,12 @@ def test_summary_and_report(spark):
                        ("not_null", "t", "a", 1), ("not_null", "t", "k", 1)]
     dups = quality.count_summary(quality.duplicate_keys(df, ["k"]), "primary_key", "t", "k")
     assert quality.report([s, dups]).count() == 5
+
+
+def test_assert_clean_gate(spark):
+    import pytest
+    df = spark.createDataFrame([(1, "SI"), (None, "XX")], "k int, a string")
+    s = quality.summary(df, "t", not_null=["k"], domains={"a": ["SI", "NO"]})
+    with pytest.raises(quality.QualityError, match="not_null t.k: 1"):
+        quality.assert_clean(s)
+    quality.assert_clean(s, tolerated=[("not_null", "t", "k"), ("domain", "t", "a")])
