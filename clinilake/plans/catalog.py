@@ -239,16 +239,11 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  "l_linestatus": [c for c, _ in LINE_STATUS]}),
         quality.count_summary(quality.duplicate_keys(t["orders"], ["o_orderkey"]),
                               "primary_key", "orders", "o_orderkey"),
-        quality.count_summary(quality.orphans(li, t["orders"], "l_orderkey", "o_orderkey"),
-                              "foreign_key", "lineitem", "l_orderkey"),
-        quality.count_summary(quality.orphans(li, t["part"], "l_partkey", "p_partkey"),
-                              "foreign_key", "lineitem", "l_partkey"),
-        quality.count_summary(quality.orphans(li, t["supplier"], "l_suppkey", "s_suppkey"),
-                              "foreign_key", "lineitem", "l_suppkey"),
-        quality.count_summary(quality.orphans(t["orders"], t["customer"], "o_custkey", "c_custkey"),
-                              "foreign_key", "orders", "o_custkey"),
-        quality.count_summary(quality.orphans(t["documents"], t["labels"], "doc_id"),
-                              "foreign_key", "documents", "doc_id"),
+        quality.foreign_key_summary(li, t["orders"], "l_orderkey", "o_orderkey", "lineitem", "l_orderkey"),
+        quality.foreign_key_summary(li, t["part"], "l_partkey", "p_partkey", "lineitem", "l_partkey"),
+        quality.foreign_key_summary(li, t["supplier"], "l_suppkey", "s_suppkey", "lineitem", "l_suppkey"),
+        quality.foreign_key_summary(t["orders"], t["customer"], "o_custkey", "c_custkey", "orders", "o_custkey"),
+        quality.foreign_key_summary(t["documents"], t["labels"], "doc_id", None, "documents", "doc_id"),
     ])
 
 
@@ -281,10 +276,10 @@ def synthetic_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
         one(att, "attention_out_of_range",
             F.count_if((F.col("ATTFIN01") < F.lit(year_ago)) |
                        (F.col("ATTFIN01") > F.lit(as_of)))),
-        one(quality.orphans(att, pat, "PACID"), "orphan_attentions", rows),
+        one(quality.orphan_keys(att, pat, "PACID"), "orphan_attentions", F.coalesce(F.sum("references"), F.lit(0))),
         one(detail, "detail_rows", rows),
         one(dia, "n_diagnoses", rows),
-        one(quality.orphans(dia, pat, "PACID"), "orphan_diagnoses", rows),
+        one(quality.orphan_keys(dia, pat, "PACID"), "orphan_diagnoses", F.coalesce(F.sum("references"), F.lit(0))),
     ])
 
 

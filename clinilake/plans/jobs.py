@@ -185,8 +185,7 @@ def quality_report(spark: SparkSession, lake: Lake) -> DataFrame:
             quality.duplicate_keys(df, schemas.PRIMARY_KEYS[name]), "primary_key", name,
             ",".join(schemas.PRIMARY_KEYS[name])))
     for fact, fk, dim, pk in schemas.FOREIGN_KEYS:
-        parts.append(quality.count_summary(
-            quality.orphans(silver[fact], silver[dim], fk, pk), "foreign_key", fact, fk))
+        parts.append(quality.foreign_key_summary(silver[fact], silver[dim], fk, pk, fact, fk))
     return quality.report(parts)
 
 

@@ -60,3 +60,16 @@ def test_assert_clean_gate(spark):
     with pytest.raises(quality.QualityError, match="not_null t.k: 1"):
         quality.assert_clean(s)
     quality.assert_clean(s, tolerated=[("not_null", "t", "k"), ("domain", "t", "a")])
+
+
+def test_orphan_keys_aggregates_before_the_join(spark):
+    from pyspark.sql import functions as F
+    fact = spark.createDataFrame([(1, 10), (2, 11), (3, 11), (4, None), (5, 10)], "id int, fk int")
+    dim = spark.createDataFrame([(10,)], "pk int")
+    assert rows(quality.orphan_keys(fact, dim, "fk", "pk")) == [(11, 2), (None, 1)]
+    s = quality.foreign_key_summary(fact, dim, "fk", "pk", "t", "fk").first()
+    assert s["violations"] == quality.orphans(fact, dim, "fk", "pk").count() == 3
+    plan = quality.orphan_keys(fact, dim, "fk", "pk")._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan
+    clean = quality.foreign_key_summary(fact.where(F.col("fk") == 10), dim, "fk", "pk", "t", "fk")
+    assert clean.first()["violations"] == 0
