@@ -90,3 +90,14 @@ def test_workbooks_wide_and_cells(spark, scratch):
                                   schema=wide.drop("_source_file").schema)
     # b.xlsx starts at B2, so from A1 it has no matching header row.
     assert both.count() == 2
+
+
+def test_workbook_booleans_sheet_choice_and_missing_sheet(spark, scratch):
+    d = os.path.join(scratch, "books2")
+    os.makedirs(d)
+    xlsx.write(os.path.join(d, "c.xlsx"), [["DOCUMENTO", "FLAG"], [7, True], [8, False]], sheet="Hoja 1")
+    cells = read_workbook_cells(spark, d, "'Hoja 1'!A1")
+    assert rows(cells, "row", "header", "text") == [
+        (2, "DOCUMENTO", "7"), (2, "FLAG", "TRUE"), (3, "DOCUMENTO", "8"), (3, "FLAG", "FALSE")]
+    with pytest.raises(Exception, match="not found"):
+        read_workbook_cells(spark, d, "'otra'!A1").collect()

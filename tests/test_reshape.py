@@ -70,3 +70,11 @@ def test_unpivot_clean_headers(spark):
     assert clean == [("d1", dt.date(2023, 1, 1), "A00"), ("d1", dt.date(2023, 2, 1), "J45")]
     assert rows(diagnoses_long(df.withColumnRenamed("DOCUMENTO", "DOCUMENTO"), clean_headers=True), "FECHA") == \
         [(dt.date(2023, 1, 1),), (dt.date(2023, 2, 1),)]
+
+
+def test_unpivot_equals_stack_generator(spark):
+    sheet = _sheet(spark).drop("FOO'S 2023")
+    cols = [c for c in sheet.columns if c != "DOCUMENTO"]
+    stack = f"stack({len(cols)}, " + ", ".join(f"'{c}', `{c}`" for c in cols) + ") as (MES_ANO, DIAGNOSTICO)"
+    via_stack = sheet.selectExpr("DOCUMENTO", stack)
+    assert rows(unpivot_months(sheet, "DOCUMENTO")) == rows(via_stack)
