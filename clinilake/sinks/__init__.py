@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import logging
+import posixpath
+from urllib.parse import urlparse
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -28,10 +30,32 @@ def _layout(df: DataFrame, files: int | None, partition_by: Sequence[str] | None
     return df
 
 
+def _location(uri: str) -> str:
+    u = urlparse(uri)
+    path = posixpath.normpath(u.path or "/")
+    return path if u.scheme in ("", "file") else f"{u.scheme}://{u.netloc}{path}"
+
+
+def _same_location(a: str, b: str) -> bool:
+    """``a`` is ``b`` or lies under it (local paths and ``file:`` URIs alike)."""
+    a, b = _location(a), _location(b)
+    return a == b or a.startswith(b.rstrip("/") + "/")
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", *,
                 files: int | None = None, partition_by: Sequence[str] | None = None,
-                sort_by: Sequence[str] | None = None) -> None:
-    """Parquet sink.  Never write to a path the same plan is reading."""
+                sort_by: Sequence[str] | None = None, check_inputs: bool = True) -> None:
+    """Parquet sink.
+
+    Overwriting a path that the same plan reads would delete its input
+    mid-job, so that is refused up front.  The check lists the plan's input
+    files on the driver (the list Spark built when the sources were read);
+    for inputs of very many files whose zone is known to differ, pass
+    ``check_inputs=False``.
+    """
+    if (mode == "overwrite" and check_inputs
+            and any(_same_location(f, path) for f in df.inputFiles())):
+        raise ValueError(f"refusing to overwrite {path}: the DataFrame reads from it")
     log.info("writing parquet %s (mode=%s)", path, mode)
     writer = _layout(df, files, partition_by, sort_by).write.mode(mode)
     if partition_by:

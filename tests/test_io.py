@@ -101,3 +101,14 @@ def test_workbook_booleans_sheet_choice_and_missing_sheet(spark, scratch):
         (2, "DOCUMENTO", "7"), (2, "FLAG", "TRUE"), (3, "DOCUMENTO", "8"), (3, "FLAG", "FALSE")]
     with pytest.raises(Exception, match="not found"):
         read_workbook_cells(spark, d, "'otra'!A1").collect()
+
+
+def test_write_table_refuses_to_overwrite_its_input(spark, scratch):
+    path = os.path.join(scratch, "t")
+    sinks.write_table(spark.range(5), path)
+    df = spark.read.parquet(path)
+    with pytest.raises(ValueError, match="refusing"):
+        sinks.write_table(df.where("id > 1"), path)
+    sinks.write_table(df.where("id > 1"), os.path.join(scratch, "t2"))
+    sinks.write_table(df.where("id > 1"), path, mode="append")
+    assert spark.read.parquet(path).count() == 8
