@@ -77,6 +77,16 @@ def star_detail_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- A1-A3: natural key ----------------------------------------------------
 
+def detail_natural_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 on the star-join view, as the design runs it on its gold view."""
+    return quality.duplicate_keys(star_detail(spark, sf_dir), ["p_partkey", "ship_date"])
+
+
+def detail_attention_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4 on the star-join view: lines per supplier ("speciality") and part."""
+    return gold.attention_counts(star_detail(spark, sf_dir), ["s_name", "p_partkey"])
+
+
 def natural_key_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.duplicate_keys(table(spark, sf_dir, "lineitem"), ["l_partkey", "l_shipdate"])
 
@@ -288,6 +298,8 @@ QUERIES: dict[str, Query] = {
     "star_detail_sql": star_detail_sql,
     "natural_key_dups": natural_key_dups,
     "natural_key_dups_sql": natural_key_dups_sql,
+    "detail_natural_key": detail_natural_key,
+    "detail_attention_counts": detail_attention_counts,
     "key_verdict": key_verdict,
     "months_wide_to_long": months_wide_to_long,
     "months_unpivot_literal": months_unpivot_literal,
@@ -321,7 +333,15 @@ where o_orderdate is not null
 group by 1, 2
 """
 
-_CATALOGUE_VALUES = ", ".join(f"({i}, '{c}', '{d}')" for i, c, d in PRIORITY_CATALOGUE)
+def _over_detail(outer: str) -> str:
+    """The star-join statement as a ``detail`` CTE, then ``outer`` over it."""
+    head, sep, body = sqlfiles.bundled("star_detail").partition("\nselect f.l_orderkey")
+    if not sep:
+        raise RuntimeError("star_detail.sql no longer has the expected shape")
+    return f"{head}, detail as ({sep}{body}\n){outer}"
+
+
+_CATALOGUE_VALUES =", ".join(f"({i}, '{c}', '{d}')" for i, c, d in PRIORITY_CATALOGUE)
 
 _DIAGNOSIS_MATCHED = f"""
 with long as ({_MONTHS_LONG}),
@@ -368,6 +388,11 @@ ORACLE: dict[str, str] = {
     "star_detail_sql": sqlfiles.bundled("star_detail"),
     "natural_key_dups": sqlfiles.bundled("natural_key_dups"),
     "natural_key_dups_sql": sqlfiles.bundled("natural_key_dups"),
+    "detail_natural_key": _over_detail("""
+        select p_partkey, ship_date, count(*) as conteo from detail
+        group by p_partkey, ship_date having count(*) > 1"""),
+    "detail_attention_counts": _over_detail("""
+        select s_name, p_partkey, count(*) as attentions from detail group by s_name, p_partkey"""),
     "key_verdict": """
         select 'orders' as table_name, 'o_orderkey' as key_columns,
                count(*) as dup_groups, cast(coalesce(sum(c - 1), 0) as bigint) as dup_rows,
