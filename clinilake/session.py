@@ -22,6 +22,9 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Checkpoint files of the ordered operators are removed once their
+    # DataFrame is garbage collected, instead of piling up in the shared folder.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
