@@ -31,6 +31,21 @@ DETAIL_TABLES = ["dim_patient", "dim_speciality", "dim_speciality_group",
 NATURAL_KEY = ["PACDOC", "FECHA_ATENCION"]
 
 
+def land_bronze(spark: SparkSession, lake: Lake, fmt: str, path: str, name: str,
+                data_address: str = "A1", **options: str) -> DataFrame:
+    """Bronze landing (S11): a faithful copy of a source as parquet, plus the
+    source file of every row.  ``fmt="xlsx"`` lands workbooks cell by cell
+    (:func:`clinilake.sources.workbooks.read_workbook_cells`)."""
+    if fmt == "xlsx":
+        from clinilake.sources.workbooks import read_workbook_cells
+        raw = read_workbook_cells(spark, path, data_address).withColumn(
+            "_ingested_at", F.current_timestamp())
+    else:
+        raw = sources.land_raw(spark, fmt, path, **options)
+    sinks.write_table(raw, lake.path("bronze", name))
+    return raw
+
+
 def build_silver(spark: SparkSession, lake: Lake, n_patients: int = 20, n_attentions: int = 40,
                  n_diagnoses: int = 30, seed: int = 0, as_of: dt.datetime = synth.DEFAULT_AS_OF
                  ) -> dict[str, DataFrame]:
@@ -189,7 +204,7 @@ def quality_report(spark: SparkSession, lake: Lake) -> DataFrame:
     return quality.report(parts)
 
 
-JOBS = ("build_silver", "build_detail", "check_key", "transform_diagnoses", "normalize_erp",
+JOBS = ("land_bronze", "build_silver", "build_detail", "check_key", "transform_diagnoses", "normalize_erp",
         "link_diagnoses", "build_gold", "quality_report")
 
 
@@ -204,12 +219,21 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--patients", type=int, default=20)
     parser.add_argument("--attentions", type=int, default=40)
     parser.add_argument("--diagnoses", type=int, default=30)
+    parser.add_argument("--source-format", help="land_bronze: csv, json, parquet, xlsx, ...")
+    parser.add_argument("--source-path", help="land_bronze: files to land")
+    parser.add_argument("--name", help="land_bronze: bronze table name")
+    parser.add_argument("--option", action="append", default=[],
+                        help="land_bronze: reader option key=value (repeatable)")
     parser.add_argument("--gate", action="store_true",
                         help="quality_report: fail when any check has violations")
     args = parser.parse_args(argv)
     spark = session.get(f"clinilake-{args.job}")
     lake = Lake(args.root, args.env)
-    if args.job == "build_silver":
+    if args.job == "land_bronze":
+        options = dict(o.split("=", 1) for o in args.option)
+        land_bronze(spark, lake, args.source_format, args.source_path, args.name,
+                    args.data_address, **options)
+    elif args.job == "build_silver":
         build_silver(spark, lake, args.patients, args.attentions, args.diagnoses)
     elif args.job == "build_detail":
         build_detail(spark, lake, args.mode)

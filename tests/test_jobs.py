@@ -94,3 +94,19 @@ def test_quality_gate_cli(spark, scratch):
         .parquet(f"{scratch}/dev/silver/dim_patient")
     with pytest.raises(QualityError, match="foreign_key"):
         jobs.main(["quality_report", "--root", scratch, "--gate"])
+
+
+def test_land_bronze_job(spark, scratch):
+    src = os.path.join(scratch, "src")
+    spark.createDataFrame([(1, "ana maria gomez")], "PACID int, PACNAME string").write.json(src)
+    jobs.main(["land_bronze", "--root", scratch, "--source-format", "json", "--source-path", src,
+               "--name", "patient_raw"])
+    landed = spark.read.parquet(f"{scratch}/dev/bronze/patient_raw")
+    assert landed.count() == 1 and {"_source_file", "_ingested_at", "PACNAME"} <= set(landed.columns)
+    books = os.path.join(scratch, "books")
+    os.makedirs(books)
+    xlsx.write(os.path.join(books, "d.xlsx"), [["DOCUMENTO", "ENERO 2023"], [5, "A00"]])
+    jobs.main(["land_bronze", "--root", scratch, "--source-format", "xlsx", "--source-path", books,
+               "--name", "diagnosticos"])
+    cells = spark.read.parquet(f"{scratch}/dev/bronze/diagnosticos")
+    assert rows(cells, "header", "text") == [("DOCUMENTO", "5"), ("ENERO 2023", "A00")]
