@@ -2,9 +2,11 @@
 
 Files are listed and read by Spark's ``binaryFile`` source; each workbook is
 one row, parsed inside a ``mapInPandas`` task with the standard library
-(``zipfile`` + XML).  An xlsx is a zip archive and cannot be split, so one
-workbook is one unit of work; Excel caps a sheet at 1,048,576 rows x 16,384
-columns, which bounds a task.  Many workbooks spread over many tasks.
+(``zipfile`` + streaming XML).  An xlsx is a zip archive and cannot be split,
+so one workbook is one unit of work; Excel caps a sheet at 1,048,576 rows x
+16,384 columns, and the parser hands rows back in chunks of
+:data:`CHUNK_ROWS`, so a task never holds a whole sheet in Python objects.
+Many workbooks spread over many tasks.
 
 Two shapes are offered:
 
@@ -101,7 +103,11 @@ def iter_cells(content: bytes, sheet: str | None = None
         with zf.open(member) as fh:
             c_tag, v_tag, is_tag = (f"{{{_NS['m']}}}c", f"{{{_NS['m']}}}v",
                                     f"{{{_NS['m']}}}is")
+            row_tag = f"{{{_NS['m']}}}row"
             for _, el in ET.iterparse(fh, events=("end",)):
+                if el.tag == row_tag:
+                    el.clear()
+                    continue
                 if el.tag != c_tag:
                     continue
                 ref = _CELL_REF.match(el.get("r", ""))
@@ -134,13 +140,34 @@ def iter_cells(content: bytes, sheet: str | None = None
                 yield row, col, text, number
 
 
-def _cells_of(path: str, content: bytes, sheet: str | None, start_row: int,
-              start_col: int) -> pd.DataFrame:
-    cells = [c for c in iter_cells(content, sheet) if c[0] >= start_row and c[1] >= start_col]
-    headers = {c: (t if t is not None else (repr(n) if n is not None else None))
-               for r, c, t, n in cells if r == start_row}
-    rows = [(path, r, c, headers.get(c), t, n) for r, c, t, n in cells if r > start_row]
-    return pd.DataFrame(rows, columns=[f.name for f in CELL_SCHEMA])
+CHUNK_ROWS = 20_000  # sheet rows per batch handed back to Spark
+
+
+def _cell_chunks(path: str, content: bytes, sheet: str | None, start_row: int,
+                 start_col: int, chunk_rows: int = CHUNK_ROWS) -> Iterator[pd.DataFrame]:
+    """Data cells of one sheet, ``chunk_rows`` sheet rows at a time.
+
+    Sheet XML lists rows in order, so the header row comes first and a chunk
+    boundary never splits a row; a task holds one chunk, not the sheet.
+    """
+    columns = [f.name for f in CELL_SCHEMA]
+    headers: dict[int, str | None] = {}
+    buf: list[tuple] = []
+    rows_in_buf, last_row = 0, None
+    for r, c, t, n in iter_cells(content, sheet):
+        if r < start_row or c < start_col:
+            continue
+        if r == start_row:
+            headers[c] = t if t is not None else (repr(n) if n is not None else None)
+            continue
+        if r != last_row:
+            if rows_in_buf >= chunk_rows:
+                yield pd.DataFrame(buf, columns=columns)
+                buf, rows_in_buf = [], 0
+            rows_in_buf, last_row = rows_in_buf + 1, r
+        buf.append((path, r, c, headers.get(c), t, n))
+    if buf:
+        yield pd.DataFrame(buf, columns=columns)
 
 
 def read_workbook_cells(spark: SparkSession, path: str, data_address: str = "A1",
@@ -154,9 +181,7 @@ def read_workbook_cells(spark: SparkSession, path: str, data_address: str = "A1"
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for p, content in zip(batch["path"], batch["content"]):
-                cells = _cells_of(p, bytes(content), sheet, start_row, start_col)
-                if not cells.empty:
-                    yield cells
+                yield from _cell_chunks(p, bytes(content), sheet, start_row, start_col)
 
     return files.mapInPandas(parse, CELL_SCHEMA)
 
@@ -197,22 +222,23 @@ def read_workbooks(spark: SparkSession, path: str, data_address: str = "A1",
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for p, content in zip(batch["path"], batch["content"]):
-                cells = _cells_of(p, bytes(content), sheet, start_row, start_col)
-                if cells.empty:
-                    continue
-                cells = cells[cells["header"].isin(names)]
-                if cells.empty:
-                    continue
-                value = cells["number"].where(cells["header"].isin(numeric), None)
-                text = cells["text"].where(~cells["header"].isin(numeric), None)
-                cells = cells.assign(value=value.astype(object).where(value.notna(), text))
-                wide = cells.pivot_table(index="row", columns="header", values="value",
-                                         aggfunc="first")
-                wide = wide.reindex(columns=names)
-                for name in numeric:
-                    wide[name] = pd.to_numeric(wide[name], errors="coerce")
-                wide["_source_file"] = p
-                yield wide.reset_index(drop=True)
+                for cells in _cell_chunks(p, bytes(content), sheet, start_row, start_col):
+                    yield from _wide(cells, p)
+
+    def _wide(cells: pd.DataFrame, p: str) -> Iterator[pd.DataFrame]:
+        """One chunk of cells as wide rows (whole sheet rows only)."""
+        cells = cells[cells["header"].isin(names)]
+        if cells.empty:
+            return
+        value = cells["number"].where(cells["header"].isin(numeric), None)
+        text = cells["text"].where(~cells["header"].isin(numeric), None)
+        cells = cells.assign(value=value.astype(object).where(value.notna(), text))
+        wide = cells.pivot_table(index="row", columns="header", values="value", aggfunc="first")
+        wide = wide.reindex(columns=names)
+        for name in numeric:
+            wide[name] = pd.to_numeric(wide[name], errors="coerce")
+        wide["_source_file"] = p
+        yield wide.reset_index(drop=True)
 
     df = files.mapInPandas(parse, out_schema)
     return df.select([F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema]

@@ -111,3 +111,20 @@ def test_write_table_refuses_to_overwrite_its_input(spark, scratch):
     sinks.write_table(df.where("id > 1"), os.path.join(scratch, "t2"))
     sinks.write_table(df.where("id > 1"), path, mode="append")
     assert spark.read.parquet(path).count() == 8
+
+
+def test_workbook_chunks_keep_rows_whole(spark, scratch):
+    from clinilake.sources import workbooks
+    path = os.path.join(scratch, "big.xlsx")
+    data = [["DOCUMENTO", "ENERO 2023", "FEBRERO 2023"]] + [[i, f"A{i % 7}", None if i % 3 else "J45"]
+                                                           for i in range(1, 1001)]
+    xlsx.write(path, data)
+    with open(path, "rb") as fh:
+        content = fh.read()
+    chunks = list(workbooks._cell_chunks(path, content, None, 1, 1, chunk_rows=64))
+    assert len(chunks) == 16 and all(c["row"].nunique() <= 64 for c in chunks)
+    seen = [set(c["row"]) for c in chunks]
+    assert all(not (a & b) for a, b in zip(seen, seen[1:]))
+    wide = sources.read_workbooks(spark, path, "A1")
+    assert wide.count() == 1000
+    assert wide.where(F.col("FEBRERO 2023") == "J45").count() == 333
