@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 log = logging.getLogger(__name__)
 
-DEFAULT_MAX_ROWS = 1_000_000
+DEFAULT_MAX_ROWS = 200_000  # rows the probe may bring to the driver (one long each)
 DEFAULT_MAX_BYTES = 64 * 1024 * 1024
 
 
