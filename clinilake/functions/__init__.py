@@ -10,6 +10,7 @@ instead of failing the job.
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -69,8 +70,10 @@ def document_text(col: Column | str) -> Column:
     return c.try_cast("decimal(20,0)").try_cast("string")
 
 
-def _month_map() -> Column:
-    return F.create_map(*[x for i, name in enumerate(SPANISH_MONTHS, start=1)
+def _month_map(months: Sequence[str]) -> Column:
+    if len(months) != 12:
+        raise ValueError("months must name the twelve months in calendar order")
+    return F.create_map(*[x for i, name in enumerate(months, start=1)
                           for x in (F.lit(name), F.lit(f"{i:02d}"))])
 
 
@@ -81,31 +84,33 @@ def clean_header(col: Column | str) -> Column:
     return F.upper(F.regexp_replace(F.regexp_replace(c, r"(?U)\s", " "), r"^ +| +$", ""))
 
 
-def month_text_to_date(col: Column | str, clean: bool = False) -> Column:
+def month_text_to_date(col: Column | str, clean: bool = False,
+                       months: Sequence[str] = SPANISH_MONTHS) -> Column:
     """``"ENERO 2023"`` -> ``date 2023-01-01``; anything unparseable -> null.
 
     The text is split on whitespace runs; the first token must be an upper-case
     Spanish month name and the second a four-digit year.  With ``clean=True``
     the text goes through :func:`clean_header` first, so ``" enero\u00a02023"``
-    parses too.
+    parses too.  ``months`` replaces the Spanish names (twelve names in
+    calendar order, as written in the headers).
     """
     c = F.col(col) if isinstance(col, str) else col
     if clean:
         c = clean_header(c)
     parts = F.split(c, r"\s+")
-    month = F.try_element_at(_month_map(), F.try_element_at(parts, F.lit(1)))
+    month = F.try_element_at(_month_map(months), F.try_element_at(parts, F.lit(1)))
     year = F.try_element_at(parts, F.lit(2))
     return F.try_to_date(F.concat(F.lit("01/"), month, F.lit("/"), year), "dd/MM/yyyy")
 
 
-def month_label(col: Column | str) -> Column:
+def month_label(col: Column | str, months: Sequence[str] = SPANISH_MONTHS) -> Column:
     """Inverse of :func:`month_text_to_date`: a date or timestamp to
-    ``"<SPANISH MONTH> <yyyy>"``."""
+    ``"<MONTH NAME> <yyyy>"``."""
     c = F.col(col) if isinstance(col, str) else col
-    names = F.array(*[F.lit(m) for m in SPANISH_MONTHS])
+    names = F.array(*[F.lit(m) for m in months])
     return F.concat(F.element_at(names, F.month(c)), F.lit(" "), F.date_format(c, "yyyy"))
 
 
-def month_labels(year_from: int, year_to: int) -> list[str]:
+def month_labels(year_from: int, year_to: int, months: Sequence[str] = SPANISH_MONTHS) -> list[str]:
     """Header texts for every month of the inclusive year range."""
-    return [f"{m} {y}" for y in range(year_from, year_to + 1) for m in SPANISH_MONTHS]
+    return [f"{m} {y}" for y in range(year_from, year_to + 1) for m in months]

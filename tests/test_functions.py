@@ -69,3 +69,15 @@ def test_clean_headers_option(spark):
     clean = [r[0] for r in df.select(month_text_to_date("t", clean=True)).collect()]
     assert strict == [None, None, None, None, None]
     assert clean == [dt.date(2023, 1, 1), dt.date(2023, 1, 1), dt.date(2024, 2, 1), None, None]
+
+
+def test_other_month_names(spark):
+    english = ["JANUARY", "FEBRUARY", "MARCH", "APRIL", "MAY", "JUNE", "JULY", "AUGUST",
+               "SEPTEMBER", "OCTOBER", "NOVEMBER", "DECEMBER"]
+    df = spark.createDataFrame([("MARCH 2024",), ("MARZO 2024",)], "t string")
+    out = [r[0] for r in df.select(month_text_to_date("t", months=english)).collect()]
+    assert out == [dt.date(2024, 3, 1), None]
+    assert df.select(month_label(F.lit(dt.date(2024, 3, 9)), english)).first()[0] == "MARCH 2024"
+    import pytest
+    with pytest.raises(ValueError):
+        month_text_to_date("t", months=english[:11])
