@@ -43,15 +43,19 @@ def get(app_name: str = "clinilake", conf: dict[str, str] | None = None,
 
 
 @contextlib.contextmanager
-def reused(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK
-           ) -> Iterator[DataFrame]:
+def reused(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK,
+           fill: bool = False) -> Iterator[DataFrame]:
     """Persist ``df`` for the duration of a block, then always unpersist.
 
-    Cached blocks are recomputed from lineage if an executor is lost, so this
-    is safe but not a lineage cut; use :func:`checkpointed` for that.
+    ``fill=True`` runs one count first, so the cache is complete before the
+    block's first real use (otherwise the first action fills it).  Cached
+    blocks are recomputed from lineage if an executor is lost, so this is safe
+    but not a lineage cut; use :func:`checkpointed` for that.
     """
     df.persist(level)
     try:
+        if fill:
+            df.count()
         yield df
     finally:
         df.unpersist()

@@ -30,3 +30,10 @@ def test_empty_and_conform(spark):
     bad = spark.createDataFrame([("x1",)], "DIAG_ID string")
     assert schemas.conform(bad.withColumn("CIE10_CODE", F.lit("A")).withColumn("DESCRIPTION", F.lit(None).cast("string")),
                            schemas.DIM_DIAGNOSIS).first()["DIAG_ID"] is None
+
+
+def test_reused_fill_materialises(spark):
+    df = spark.range(50).withColumn("x", F.col("id") + 1)
+    with session.reused(df, fill=True) as d:
+        assert d.storageLevel.useDisk and d.count() == 50
+    assert not df.is_cached
