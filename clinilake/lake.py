@@ -13,8 +13,11 @@ class Lake:
     """Resolve ``(zone, table)`` to a storage path or a catalog identifier.
 
     ``root`` is a shared filesystem URI (``s3a://…``, ``abfss://…``, ``hdfs://…``
-    or a local folder in tests).  With ``catalog`` set, :meth:`table` returns
-    ``<catalog>.<zone>.<table>`` names for ``saveAsTable``/``spark.table``.
+    or a local folder in tests).  With ``catalog`` set (a catalog configured
+    in the session, one per environment), :meth:`table` returns
+    ``<catalog>.<zone>.<table>``; without one it returns ``<env>_<zone>.<table>``
+    in the session catalog, whose database :meth:`database` names and
+    :meth:`ensure_database` creates under ``root``.
     """
 
     root: str
@@ -30,8 +33,17 @@ class Lake:
             raise ValueError(f"zone must be one of {ZONES}, got {zone!r}")
         return f"{self.root.rstrip('/')}/{self.env}/{zone}/{name}"
 
-    def table(self, zone: str, name: str) -> str:
+    def database(self, zone: str) -> str:
         if zone not in ZONES:
             raise ValueError(f"zone must be one of {ZONES}, got {zone!r}")
-        catalog = self.catalog or self.env
-        return f"{catalog}.{zone}.{name}"
+        return f"{self.catalog}.{zone}" if self.catalog else f"{self.env}_{zone}"
+
+    def table(self, zone: str, name: str) -> str:
+        return f"{self.database(zone)}.{name}"
+
+    def ensure_database(self, spark, zone: str) -> str:
+        """Create the zone's database (stored under ``root``) if missing."""
+        db = self.database(zone)
+        location = f"{self.root.rstrip('/')}/{self.env}/{zone}_tables"
+        spark.sql(f"create database if not exists {db} location '{location}'")
+        return db

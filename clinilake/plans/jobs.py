@@ -56,6 +56,38 @@ def build_silver(spark: SparkSession, lake: Lake, n_patients: int = 20, n_attent
     return tables
 
 
+PATIENT_KEYED = ["dim_patient", "fact_attention", "fact_patient_diagnosis"]
+
+
+def bucket_silver(spark: SparkSession, lake: Lake, buckets: int) -> list[str]:
+    """Save the patient-keyed silver tables as catalog tables bucketed and
+    sorted by ``PACID`` into ``buckets`` buckets.
+
+    Joins between tables bucketed alike on the join key need no shuffle on
+    either side: the large fact-to-patient join of ``atencion_detalle``
+    becomes a sort-merge join of matching buckets.  Pick ``buckets`` so a
+    bucket of the fact fits a task (for example fact size / 256 MB).
+    """
+    lake.ensure_database(spark, "silver")
+    names = []
+    for name in PATIENT_KEYED:
+        df = sources.read_table(spark, lake.path("silver", name))
+        sinks.save_table(df, lake.table("silver", name), bucket_by=(buckets, ["PACID"]))
+        names.append(lake.table("silver", name))
+    return names
+
+
+def read_silver(spark: SparkSession, lake: Lake, names: list[str],
+                bucketed: bool = False) -> dict[str, DataFrame]:
+    """Silver tables from files, or the bucketed catalog copies where present."""
+    out = sources.read_tables(spark, lake, names, zone="silver")
+    if bucketed:
+        for name in names:
+            if name in PATIENT_KEYED:
+                out[name] = spark.table(lake.table("silver", name))
+    return out
+
+
 def detail_df(silver: dict[str, DataFrame]) -> DataFrame:
     """``atencion_detalle`` in DataFrame form."""
     dims = [
@@ -84,9 +116,11 @@ def detail(spark: SparkSession, silver: dict[str, DataFrame], mode: str = "sql")
     return detail_sql(spark, silver) if mode == "sql" else detail_df(silver)
 
 
-def build_detail(spark: SparkSession, lake: Lake, mode: str = "sql") -> DataFrame:
-    """Point 4: silver -> gold ``atencion_detalle``."""
-    silver = sources.read_tables(spark, lake, DETAIL_TABLES, zone="silver")
+def build_detail(spark: SparkSession, lake: Lake, mode: str = "sql",
+                 bucketed: bool = False) -> DataFrame:
+    """Point 4: silver -> gold ``atencion_detalle`` (``bucketed=True`` reads the
+    tables saved by :func:`bucket_silver`)."""
+    silver = read_silver(spark, lake, DETAIL_TABLES, bucketed)
     view = detail(spark, silver, mode)
     sinks.write_table(view, lake.path("gold", "atencion_detalle"))
     return view
@@ -204,7 +238,7 @@ def quality_report(spark: SparkSession, lake: Lake) -> DataFrame:
     return quality.report(parts)
 
 
-JOBS = ("land_bronze", "build_silver", "build_detail", "check_key", "transform_diagnoses", "normalize_erp",
+JOBS = ("land_bronze", "build_silver", "bucket_silver", "build_detail", "check_key", "transform_diagnoses", "normalize_erp",
         "link_diagnoses", "build_gold", "quality_report")
 
 
@@ -224,6 +258,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--name", help="land_bronze: bronze table name")
     parser.add_argument("--option", action="append", default=[],
                         help="land_bronze: reader option key=value (repeatable)")
+    parser.add_argument("--buckets", type=int, default=0,
+                        help="bucket_silver: bucket count; build_detail: read bucketed tables")
     parser.add_argument("--gate", action="store_true",
                         help="quality_report: fail when any check has violations")
     args = parser.parse_args(argv)
@@ -235,8 +271,10 @@ def main(argv: list[str] | None = None) -> None:
                     args.data_address, **options)
     elif args.job == "build_silver":
         build_silver(spark, lake, args.patients, args.attentions, args.diagnoses)
+    elif args.job == "bucket_silver":
+        bucket_silver(spark, lake, args.buckets)
     elif args.job == "build_detail":
-        build_detail(spark, lake, args.mode)
+        build_detail(spark, lake, args.mode, bucketed=args.buckets > 0)
     elif args.job == "check_key":
         unique, dups = check_key(spark, lake, args.mode)
         dups.show(truncate=False)

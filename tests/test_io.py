@@ -14,7 +14,8 @@ from conftest import rows
 def test_lake_paths():
     lake = Lake("s3a://bucket/lake", "prod")
     assert lake.path("silver", "dim_patient") == "s3a://bucket/lake/prod/silver/dim_patient"
-    assert lake.table("gold", "x") == "prod.gold.x"
+    assert lake.table("gold", "x") == "prod_gold.x"
+    assert Lake("/x", "test", catalog="lake_test").table("silver", "y") == "lake_test.silver.y"
     with pytest.raises(ValueError):
         lake.path("platinum", "x")
     with pytest.raises(ValueError):

@@ -110,3 +110,21 @@ def test_land_bronze_job(spark, scratch):
                "--name", "diagnosticos"])
     cells = spark.read.parquet(f"{scratch}/dev/bronze/diagnosticos")
     assert rows(cells, "header", "text") == [("DOCUMENTO", "5"), ("ENERO 2023", "A00")]
+
+
+def test_bucketed_silver_joins_without_shuffle(spark, scratch):
+    lake = Lake(scratch, "test")
+    jobs.build_silver(spark, lake, n_patients=300, n_attentions=3000, n_diagnoses=10, seed=9)
+    jobs.bucket_silver(spark, lake, buckets=4)
+    plain = jobs.detail(spark, jobs.read_silver(spark, lake, jobs.DETAIL_TABLES), "df")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        silver = jobs.read_silver(spark, lake, jobs.DETAIL_TABLES, bucketed=True)
+        fact_patient = silver["fact_attention"].alias("f").join(
+            silver["dim_patient"].alias("p"), F.col("f.PACID") == F.col("p.PACID"))
+        plan = fact_patient._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        bucketed = jobs.detail(spark, silver, "df")
+        assert rows(bucketed) == rows(plain)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
