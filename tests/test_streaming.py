@@ -16,3 +16,14 @@ def test_land_stream_copies_each_file_once(spark, scratch):
     q.awaitTermination()
     landed = spark.read.parquet(out)
     assert landed.count() == 3 and "_source_file" in landed.columns
+
+
+def test_land_stream_checkpoint_defaults_to_shared_folder(spark, scratch):
+    src, out = os.path.join(scratch, "src"), os.path.join(scratch, "out")
+    spark.createDataFrame([(1, "a")], "id int, v string").write.json(os.path.join(src, "p1"))
+    schema = spark.createDataFrame([], "id int, v string").schema
+    q = land_stream(spark, "json", os.path.join(src, "*"), schema, out, "landing_default")
+    q.awaitTermination()
+    base = spark.conf.get("spark.checkpoint.dir")
+    assert os.path.isdir(os.path.join(base.removeprefix("file:"), "landing", "landing_default"))
+    assert spark.read.parquet(out).count() == 1
