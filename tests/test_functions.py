@@ -81,3 +81,8 @@ def test_other_month_names(spark):
     import pytest
     with pytest.raises(ValueError):
         month_text_to_date("t", months=english[:11])
+
+
+def test_normalize_strips_tab_and_nbsp(spark):
+    df = spark.createDataFrame([("\tSí ",), ("  Cólera\t",)], "t string")
+    assert [r[0] for r in df.select(normalize_text("t")).collect()] == ["SI", "COLERA"]
