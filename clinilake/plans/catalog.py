@@ -134,6 +134,14 @@ def month_text_to_date_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select("event_id", "MES_ANO", month_text_to_date("MES_ANO").alias("FECHA"))
 
 
+def month_text_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 with ``clean=True``: headers typed in lower case with a
+    non-breaking space between month and year."""
+    label = F.lower(F.regexp_replace(month_label("ts"), " ", "\u00a0"))
+    events = table(spark, sf_dir, "events").select("event_id", label.alias("MES_ANO"))
+    return events.select("event_id", "MES_ANO", month_text_to_date("MES_ANO", clean=True).alias("FECHA"))
+
+
 def normalize_text_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation").select(
         F.lit("nation").alias("source"), F.col("n_nationkey").cast("bigint").alias("key"),
@@ -156,6 +164,16 @@ def orphans_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.orphans(docs, table(spark, sf_dir, "labels"), "doc_id")
 
 
+def orphan_doc_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing foreign keys with their use count (aggregated before the join)."""
+    return quality.orphan_keys(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id")
+
+
+def long_part_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q4 row by row: part names longer than ten characters."""
+    return quality.too_long(table(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_name", 10)
+
+
 def domain_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
     return quality.outside_domain(orders, "o_orderstatus", ORDER_STATUS_DOMAIN)
@@ -304,9 +322,12 @@ QUERIES: dict[str, Query] = {
     "months_wide_to_long": months_wide_to_long,
     "months_unpivot_literal": months_unpivot_literal,
     "month_text_to_date": month_text_to_date_q,
+    "month_text_clean": month_text_clean,
     "normalize_text": normalize_text_q,
     "document_text": document_text_q,
     "orphans": orphans_q,
+    "orphan_doc_keys": orphan_doc_keys,
+    "long_part_names": long_part_names,
     "domain_violations": domain_violations,
     "null_and_length": null_and_length,
     "attention_counts": attention_counts,
@@ -409,6 +430,16 @@ ORACLE: dict[str, str] = {
         select event_id, {_MONTH_LIST}[month(ts)] || ' ' || cast(year(ts) as varchar) as MES_ANO,
                cast(date_trunc('month', ts) as date) as FECHA
         from events""",
+    "month_text_clean": f"""
+        select event_id,
+               lower({_MONTH_LIST}[month(ts)] || chr(160) || cast(year(ts) as varchar)) as MES_ANO,
+               cast(date_trunc('month', ts) as date) as FECHA
+        from events""",
+    "orphan_doc_keys": """
+        select doc_id, count(*) as "references" from documents d
+        where not exists (select 1 from labels l where l.doc_id = d.doc_id)
+        group by doc_id""",
+    "long_part_names": "select p_partkey, p_name from part where length(p_name) > 10",
     "normalize_text": """
         select 'nation' as source, cast(n_nationkey as bigint) as key, n_name as raw,
                upper(strip_accents(trim(n_name))) as normalized from nation
