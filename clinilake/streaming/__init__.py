@@ -31,6 +31,9 @@ def land_stream(spark: SparkSession, fmt: str, source: str, schema: StructType,
     """Start a stream that copies new ``fmt`` files under ``source`` to parquet.
 
     A file stream needs its ``schema`` up front (no inference on a stream).
+    Without ``checkpoint`` the progress lives in
+    ``<spark.checkpoint.dir>/landing/<name>``: the same name resumes where
+    the last run stopped, a new name starts over.
     Returns the started query; call ``awaitTermination()`` to wait for it.
     """
     reader = spark.readStream.format(fmt).schema(schema)

@@ -1,4 +1,5 @@
 import os
+import uuid
 
 from clinilake.streaming import land_stream
 
@@ -22,8 +23,11 @@ def test_land_stream_checkpoint_defaults_to_shared_folder(spark, scratch):
     src, out = os.path.join(scratch, "src"), os.path.join(scratch, "out")
     spark.createDataFrame([(1, "a")], "id int, v string").write.json(os.path.join(src, "p1"))
     schema = spark.createDataFrame([], "id int, v string").schema
-    q = land_stream(spark, "json", os.path.join(src, "*"), schema, out, "landing_default")
+    # The shared checkpoint folder outlives the test run, and a stream name
+    # resumes its own progress there, so each run takes a new name.
+    name = f"landing_default_{uuid.uuid4().hex[:12]}"
+    q = land_stream(spark, "json", os.path.join(src, "*"), schema, out, name)
     q.awaitTermination()
     base = spark.conf.get("spark.checkpoint.dir")
-    assert os.path.isdir(os.path.join(base.removeprefix("file:"), "landing", "landing_default"))
+    assert os.path.isdir(os.path.join(base.removeprefix("file:"), "landing", name))
     assert spark.read.parquet(out).count() == 1
