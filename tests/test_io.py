@@ -129,3 +129,13 @@ def test_workbook_chunks_keep_rows_whole(spark, scratch):
     wide = sources.read_workbooks(spark, path, "A1")
     assert wide.count() == 1000
     assert wide.where(F.col("FEBRERO 2023") == "J45").count() == 333
+
+
+def test_jdbc_paths_reach_the_jdbc_source(spark):
+    # No database is started: a URL that no driver accepts shows that the
+    # options reach Spark's JDBC source, which then refuses to connect.
+    with pytest.raises(Exception, match="(?i)suitable driver"):
+        sources.read_jdbc(spark, "jdbc:clinilake-none:x", "t", partition_column="id",
+                          lower_bound=0, upper_bound=10, num_partitions=2)
+    with pytest.raises(Exception, match="(?i)suitable driver"):
+        sinks.write_jdbc(spark.range(3), "jdbc:clinilake-none:x", "t", num_partitions=1)
