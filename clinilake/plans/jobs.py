@@ -242,6 +242,22 @@ JOBS = ("land_bronze", "build_silver", "bucket_silver", "build_detail", "check_k
         "link_diagnoses", "build_gold", "quality_report")
 
 
+def explain(spark: SparkSession, lake: Lake, args: argparse.Namespace) -> None:
+    """Print the plan of a job's main output without executing it."""
+    plans = {
+        "build_detail": lambda: detail(
+            spark, read_silver(spark, lake, DETAIL_TABLES, args.buckets > 0), args.mode),
+        "check_key": lambda: natural_key(
+            spark, sources.read_table(spark, lake.path("gold", "atencion_detalle")), args.mode),
+        "quality_report": lambda: quality_report(spark, lake),
+        "build_gold": lambda: gold.appointment_gaps(
+            sources.read_table(spark, lake.path("gold", "atencion_detalle"))),
+    }
+    if args.job not in plans:
+        raise SystemExit(f"--explain supports {sorted(plans)}")
+    plans[args.job]().explain("formatted")
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Health-lake jobs")
     parser.add_argument("job", choices=JOBS)
@@ -260,11 +276,16 @@ def main(argv: list[str] | None = None) -> None:
                         help="land_bronze: reader option key=value (repeatable)")
     parser.add_argument("--buckets", type=int, default=0,
                         help="bucket_silver: bucket count; build_detail: read bucketed tables")
+    parser.add_argument("--explain", action="store_true",
+                        help="print the formatted physical plan of the job's output, do not run it")
     parser.add_argument("--gate", action="store_true",
                         help="quality_report: fail when any check has violations")
     args = parser.parse_args(argv)
     spark = session.get(f"clinilake-{args.job}")
     lake = Lake(args.root, args.env)
+    if args.explain:
+        explain(spark, lake, args)
+        return
     if args.job == "land_bronze":
         options = dict(o.split("=", 1) for o in args.option)
         land_bronze(spark, lake, args.source_format, args.source_path, args.name,

@@ -128,3 +128,9 @@ def test_bucketed_silver_joins_without_shuffle(spark, scratch):
         assert rows(bucketed) == rows(plain)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_explain_prints_plan_without_writing(spark, scratch, capsys):
+    jobs.main(["build_silver", "--root", scratch, "--patients", "5", "--attentions", "9"])
+    jobs.main(["build_detail", "--root", scratch, "--mode", "sql", "--explain"])
+    assert not os.path.exists(f"{scratch}/dev/gold/atencion_detalle")
