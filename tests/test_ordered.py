@@ -67,3 +67,11 @@ def test_lag_within_on_shuffled_input(spark):
     expect = shuffled.select("k", "ts", "tb", "extra", F.lag("tb").over(w).alias("prev_tb"))
     got = lag_within(shuffled, "k", ["ts", "tb"], ["tb"], partitions=6)
     assert rows(got) == rows(expect)
+
+
+def test_ordered_operators_on_empty_input(spark):
+    from clinilake.operators.ordered import row_index
+    empty = spark.createDataFrame([], "k int, ts int, tb int")
+    assert lag_within(empty, "k", ["ts", "tb"], ["tb"]).count() == 0
+    assert row_index(empty, ["k"], "rid").count() == 0
+    assert dense_index(empty, ["k"], "id").count() == 0
