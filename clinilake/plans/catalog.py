@@ -23,7 +23,7 @@ from clinilake.operators import gold, quality, synth
 from clinilake.operators.joins import Dim, star_join
 from clinilake.operators.normalize import diagnosis_fact, extract_dimension, split_person_name
 from clinilake.operators.reshape import diagnoses_long, unpivot_to_dates
-from clinilake.plans.jobs import detail_df
+from clinilake.plans.jobs import detail_df, detail_sql
 from clinilake.sources import literal_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -280,7 +280,8 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def synthetic_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Generate the eight silver tables with as many patients as customers,
     appointments as orders and diagnoses as lineitems, then check them: key
-    uniqueness, document format, foreign keys, and the health star join."""
+    uniqueness, document format, foreign keys, and the health star join in
+    both forms (DataFrame and the bundled ``atencion_detalle.sql``)."""
     n_pat = table(spark, sf_dir, "customer").count()
     n_att = table(spark, sf_dir, "orders").count()
     n_dia = table(spark, sf_dir, "lineitem").count()
@@ -306,6 +307,7 @@ def synthetic_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (F.col("ATTFIN01") > F.lit(as_of)))),
         one(quality.orphan_keys(att, pat, "PACID"), "orphan_attentions", F.coalesce(F.sum("references"), F.lit(0))),
         one(detail, "detail_rows", rows),
+        one(detail_sql(spark, s), "detail_rows_sql", rows),
         one(dia, "n_diagnoses", rows),
         one(quality.orphan_keys(dia, pat, "PACID"), "orphan_diagnoses", F.coalesce(F.sum("references"), F.lit(0))),
     ])
@@ -531,6 +533,7 @@ ORACLE: dict[str, str] = {
         union all select 'attention_out_of_range', 0
         union all select 'orphan_attentions', 0
         union all select 'detail_rows', count(*) from orders
+        union all select 'detail_rows_sql', count(*) from orders
         union all select 'n_diagnoses', count(*) from lineitem
         union all select 'orphan_diagnoses', 0""",
 }
