@@ -115,6 +115,8 @@ def _wide_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     orders = table(spark, sf_dir, "orders")
     lo, hi = orders.agg(F.min(F.year("o_orderdate")), F.max(F.year("o_orderdate"))).first()
+    if lo is None:  # no dated order: one empty month column, so no rows come out
+        lo = hi = 1970
     return (orders.withColumn("_month", month_label("o_orderdate"))
                   .groupBy(F.col("o_custkey").cast("double").alias("DOCUMENTO"))
                   .pivot("_month", month_labels(lo, hi))
