@@ -66,12 +66,16 @@ class Dim:
 
 
 def _row_bytes(df: DataFrame) -> Column:
-    """Bytes of one row: 8 per fixed-width field, plus UTF-8 length of text."""
+    """Bytes of one row: 8 per fixed-width field, the UTF-8 length of text and
+    binary values, and the JSON text length of nested values."""
     parts = []
     for f in df.schema:
-        name = f"`{f.name}`"
-        if f.dataType.typeName() in ("string", "binary"):
-            parts.append(F.coalesce(F.octet_length(F.col(name)), F.lit(0)) + F.lit(8))
+        c = F.col(f"`{f.name}`")
+        kind = f.dataType.typeName()
+        if kind in ("string", "binary"):
+            parts.append(F.coalesce(F.octet_length(c), F.lit(0)) + F.lit(8))
+        elif kind in ("array", "map", "struct"):
+            parts.append(F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)) + F.lit(8))
         else:
             parts.append(F.lit(8))
     return sum(parts[1:], parts[0]) if parts else F.lit(0)

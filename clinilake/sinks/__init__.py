@@ -19,10 +19,14 @@ def _layout(df: DataFrame, files: int | None, partition_by: Sequence[str] | None
     ``files=None`` leaves partitioning to the plan (AQE already coalesces small
     shuffle partitions); a fixed ``files`` count is a round-robin shuffle, so it
     is opt-in.  With ``partition_by`` the rows are clustered by the directory
-    columns first, so each task writes few directories.
+    columns so each task writes few directories, through a ``rebalance`` hint:
+    AQE splits a directory value holding a large share of the rows over
+    several tasks (several files) and merges small ones, instead of one task
+    writing a whole hot directory.  An explicit ``files`` count fixes the
+    number of partitions instead.
     """
     if partition_by:
-        df = df.repartition(files, *partition_by) if files else df.repartition(*partition_by)
+        df = df.repartition(files, *partition_by) if files else df.hint("rebalance", *partition_by)
     elif files:
         df = df.repartition(files)
     if sort_by:

@@ -139,3 +139,21 @@ def test_jdbc_paths_reach_the_jdbc_source(spark):
                           lower_bound=0, upper_bound=10, num_partitions=2)
     with pytest.raises(Exception, match="(?i)suitable driver"):
         sinks.write_jdbc(spark.range(3), "jdbc:clinilake-none:x", "t", num_partitions=1)
+
+
+def test_partitioned_write_splits_a_hot_directory(spark, scratch):
+    # 90% of rows share one directory value; with the rebalance hint AQE
+    # spreads it over several tasks, so it lands in several files.
+    hot = spark.range(200000).select(F.col("id"), F.when(F.col("id") % 10 == 0, F.col("id") % 3)
+                                     .otherwise(F.lit(99)).alias("g"))
+    path = os.path.join(scratch, "hot")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
+    try:
+        plan_df = sinks._layout(hot, None, ["g"], None)
+        assert "RebalancePartitions" in plan_df._jdf.queryExecution().analyzed().toString()
+        sinks.write_table(hot, path, partition_by=["g"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = [f for f in os.listdir(os.path.join(path, "g=99")) if f.endswith(".parquet")]
+    assert len(files) > 1
+    assert spark.read.parquet(path).count() == 200000

@@ -134,3 +134,9 @@ def test_incomplete_child_keeps_its_complete_parent(spark):
     dg = spark.createDataFrame([(2, "g2")], "g int, gn string")  # no group 1: inner join drops the row
     dims = [Dim(db, "b", [("b", "b")], complete=True), Dim(dg, "g", [("g", "g")], parent="b")]
     assert star_join(fact, dims, ["f.id"]).count() == 0
+
+
+def test_fits_broadcast_counts_nested_values(spark):
+    wide = spark.range(10).select(F.col("id"), F.array_repeat(F.lit("abcdefghij"), 100).alias("tags"))
+    assert not fits_broadcast(wide, max_rows=100, max_bytes=5000)
+    assert fits_broadcast(wide, max_rows=100, max_bytes=50000)
