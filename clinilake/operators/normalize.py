@@ -100,17 +100,12 @@ def erp_speciality(bronze: DataFrame, partitions: int | None = None
     return spec.select("SPEID", "SPENAME", "SPEGRP_ID"), group
 
 
-def diagnosis_fact(long: DataFrame, patients: DataFrame, catalogue: DataFrame
-                   ) -> tuple[DataFrame, DataFrame]:
-    """Long diagnoses -> ``(fact_patient_diagnosis, rejects)``.
+def diagnosis_matches(long: DataFrame, patients: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """Long diagnoses with ``PACID``, ``DIAG_ID`` and a ``reason`` (null when
+    the row is good): step one of :func:`diagnosis_fact`.
 
     ``DOCUMENTO`` is matched to ``dim_patient.PACDOC``; ``DIAGNOSTICO`` to an
-    ICD-10 code, else to the normalised description.  Rows matching no
-    patient or no diagnosis go to ``rejects`` with a reason.  ``PATDIAG_ID``
-    numbers the facts 1..n in ``(DOCUMENTO, FECHA, DIAGNOSTICO)`` order.
-    Every input row lands in exactly one of the two outputs.  Keys keep the
-    input types (``PATDIAG_ID`` is a long); catalogue codes and descriptions
-    are expected to be unique.
+    ICD-10 code, else to the normalised description.
     """
     diag = F.upper(F.trim(F.col("DIAGNOSTICO")))
     keyed = long.select("DOCUMENTO", "FECHA", "DIAGNOSTICO", diag.alias("_code"),
@@ -125,10 +120,29 @@ def diagnosis_fact(long: DataFrame, patients: DataFrame, catalogue: DataFrame
     reason = (F.when(F.col("PACID").isNull(), F.lit("unknown patient"))
                 .when(F.col("DIAG_ID").isNull(), F.lit("unknown diagnosis"))
                 .when(F.col("FECHA").isNull(), F.lit("unparsed month")))
-    tagged = matched.withColumn("reason", reason)
-    good = tagged.where(F.col("reason").isNull()).select(
+    return matched.select("DOCUMENTO", "FECHA", "DIAGNOSTICO", "PACID", "DIAG_ID", reason.alias("reason"))
+
+
+def split_diagnoses(matches: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Step two of :func:`diagnosis_fact`: ``(fact, rejects)`` from the matches."""
+    good = matches.where(F.col("reason").isNull()).select(
         "DOCUMENTO", "FECHA", "DIAGNOSTICO", "PACID", "DIAG_ID")
     fact = (row_index(good, ["DOCUMENTO", "FECHA", "DIAGNOSTICO", "DIAG_ID"], "PATDIAG_ID")
             .select("PATDIAG_ID", "PACID", "DIAG_ID", F.col("FECHA").alias("DATE")))
-    rejects = tagged.where(F.col("reason").isNotNull()).select("DOCUMENTO", "FECHA", "DIAGNOSTICO", "reason")
+    rejects = matches.where(F.col("reason").isNotNull()).select("DOCUMENTO", "FECHA", "DIAGNOSTICO", "reason")
     return fact, rejects
+
+
+def diagnosis_fact(long: DataFrame, patients: DataFrame, catalogue: DataFrame
+                   ) -> tuple[DataFrame, DataFrame]:
+    """Long diagnoses -> ``(fact_patient_diagnosis, rejects)``.
+
+    ``DOCUMENTO`` is matched to ``dim_patient.PACDOC``; ``DIAGNOSTICO`` to an
+    ICD-10 code, else to the normalised description.  Rows matching no
+    patient or no diagnosis go to ``rejects`` with a reason.  ``PATDIAG_ID``
+    numbers the facts 1..n in ``(DOCUMENTO, FECHA, DIAGNOSTICO)`` order.
+    Every input row lands in exactly one of the two outputs.  Keys keep the
+    input types (``PATDIAG_ID`` is a long); catalogue codes and descriptions
+    are expected to be unique.
+    """
+    return split_diagnoses(diagnosis_matches(long, patients, catalogue))

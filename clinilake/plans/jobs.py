@@ -200,11 +200,16 @@ def link_diagnoses(spark: SparkSession, lake: Lake) -> tuple[DataFrame, DataFram
     """Gold long diagnoses -> silver ``fact_patient_diagnosis`` + rejects."""
     long = sources.read_table(spark, lake.path("gold", "diagnosticos_transformados"))
     silver = sources.read_tables(spark, lake, ["dim_patient", "dim_diagnosis"], zone="silver")
-    fact, rejects = normalize.diagnosis_fact(long, silver["dim_patient"], silver["dim_diagnosis"])
-    fact = schemas.conform(fact, schemas.FACT_PATIENT_DIAGNOSIS)
-    sinks.write_table(fact, lake.path("silver", "fact_patient_diagnosis"))
-    sinks.write_table(rejects, lake.path("bronze", "diagnosis_rejects"))
-    return fact, rejects
+    matches = normalize.diagnosis_matches(long, silver["dim_patient"], silver["dim_diagnosis"])
+    # Both outputs come from the same joined rows: keep them for the two
+    # writes instead of joining twice.
+    with session.reused(matches):
+        fact, rejects = normalize.split_diagnoses(matches)
+        fact = schemas.conform(fact, schemas.FACT_PATIENT_DIAGNOSIS)
+        sinks.write_table(fact, lake.path("silver", "fact_patient_diagnosis"))
+        sinks.write_table(rejects, lake.path("bronze", "diagnosis_rejects"))
+    written = sources.read_tables(spark, lake, ["fact_patient_diagnosis"], zone="silver")
+    return written["fact_patient_diagnosis"], sources.read_table(spark, lake.path("bronze", "diagnosis_rejects"))
 
 
 def build_gold(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
