@@ -134,3 +134,44 @@ def test_explain_prints_plan_without_writing(spark, scratch, capsys):
     jobs.main(["build_silver", "--root", scratch, "--patients", "5", "--attentions", "9"])
     jobs.main(["build_detail", "--root", scratch, "--mode", "sql", "--explain"])
     assert not os.path.exists(f"{scratch}/dev/gold/atencion_detalle")
+
+
+def test_lake_flow_through_the_cli(spark, scratch):
+    raw = os.path.join(scratch, "raw")
+    spark.createDataFrame([(1, "10", "ana maria gomez", "Bogotá", dt.datetime(2024, 1, 1)),
+                           (2, "20", "luis perez", "Cali", dt.datetime(2024, 2, 1))],
+                          schemas.BRONZE_PATIENT).write.json(os.path.join(raw, "patient"))
+    spark.createDataFrame([(1, dt.datetime(2024, 3, 1, 8), "Asignado", "Sí", 1, 1),
+                           (2, dt.datetime(2024, 3, 9, 8), "Asignado", "No", 1, 2),
+                           (3, dt.datetime(2024, 4, 1, 9), "Cancelado", "No", 2, 1)],
+                          schemas.BRONZE_ATTENTION).write.json(os.path.join(raw, "attention"))
+    spark.createDataFrame([(1, "Pediatría", "Clínica"), (2, "Cirugía General", "Quirúrgica")],
+                          schemas.BRONZE_SPECIALITY).write.json(os.path.join(raw, "speciality"))
+    books = os.path.join(raw, "books")
+    os.makedirs(books)
+    xlsx.write(os.path.join(books, "fichas.xlsx"), [["DOCUMENTO", "ENERO 2024", "FEBRERO 2024"],
+                                                    [10.0, "J45", "Asma"], [30.0, "I10", None]])
+    base = ["--root", scratch]
+    ddl = {"patient": schemas.BRONZE_PATIENT, "attention": schemas.BRONZE_ATTENTION,
+           "speciality": schemas.BRONZE_SPECIALITY}
+    for name in ddl:
+        jobs.main(["land_bronze", *base, "--source-format", "json", "--name", name,
+                   "--source-path", os.path.join(raw, name)])
+    # Landed JSON keeps text types; the normalisation casts them.
+    jobs.main(["normalize_erp", *base])
+    from clinilake.operators import synth
+    synth.diagnoses(spark).write.mode("overwrite").parquet(f"{scratch}/dev/silver/dim_diagnosis")
+    jobs.main(["build_detail", *base, "--mode", "sql"])
+    jobs.main(["check_key", *base])
+    jobs.main(["transform_diagnoses", *base, "--workbooks", books])
+    jobs.main(["link_diagnoses", *base])
+    jobs.main(["build_gold", *base])
+    detail = spark.read.parquet(f"{scratch}/dev/gold/atencion_detalle")
+    assert detail.count() == 3
+    assert rows(detail, "ATTID", "SPEGRP_NAME", "ASISTENCIA") == [
+        (1, "CLINICA", "SI"), (2, "QUIRURGICA", "NO"), (3, "CLINICA", "NO")]
+    gaps = spark.read.parquet(f"{scratch}/dev/gold/brechas_atencion")
+    assert rows(gaps, "PACDOC", "gap_days") == [("10", 8)]
+    facts = spark.read.parquet(f"{scratch}/dev/silver/fact_patient_diagnosis")
+    assert rows(facts, "PACID", "DIAG_ID", "DATE") == [(1, 8, dt.date(2024, 1, 1)), (1, 8, dt.date(2024, 2, 1))]
+    assert spark.read.parquet(f"{scratch}/dev/bronze/diagnosis_rejects").count() == 1
