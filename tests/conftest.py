@@ -37,3 +37,17 @@ def rows(df, *cols):
     """Sorted tuples of the given columns (all if none)."""
     cols = cols or tuple(df.columns)
     return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)
+
+
+def plan_text(df, section="physical"):
+    """One section of ``df.explain("extended")``: parsed, analyzed,
+    optimized or physical (the public way to read a plan)."""
+    import contextlib
+    import io
+    import re
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("extended")
+    parts = re.split(r"^== (.+?) ==$", buf.getvalue(), flags=re.M)
+    sections = {parts[i].split()[0].lower(): parts[i + 1] for i in range(1, len(parts) - 1, 2)}
+    return sections[section]

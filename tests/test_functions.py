@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from clinilake.functions import (SPANISH_MONTHS, document_text, month_label, month_labels,
                                  month_text_to_date, normalize_text)
+from conftest import plan_text
 
 
 def test_normalize_text_edges(spark):
@@ -58,7 +59,7 @@ def test_all_twelve_months_round_trip(spark):
 
 def test_month_parse_of_literal_is_folded(spark):
     df = spark.range(1).select(month_text_to_date(F.lit("MARZO 2024")).alias("d"))
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    plan = plan_text(df, "optimized")
     assert "Project [2024-03-01 AS d" in plan and "split(" not in plan.lower()
 
 

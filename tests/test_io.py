@@ -8,7 +8,7 @@ from clinilake.lake import Lake
 from clinilake.sources.workbooks import parse_address, read_workbook_cells
 
 import xlsx
-from conftest import rows
+from conftest import plan_text, rows
 
 
 def test_lake_paths():
@@ -150,7 +150,7 @@ def test_partitioned_write_splits_a_hot_directory(spark, scratch):
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
     try:
         plan_df = sinks._layout(hot, None, ["g"], None)
-        assert "RebalancePartitions" in plan_df._jdf.queryExecution().analyzed().toString()
+        assert "RebalancePartitions" in plan_text(plan_df, "analyzed")
         sinks.write_table(hot, path, partition_by=["g"])
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")

@@ -8,7 +8,7 @@ from clinilake.lake import Lake
 from clinilake.plans import jobs
 
 import xlsx
-from conftest import rows
+from conftest import plan_text, rows
 
 
 def test_health_lake_end_to_end(spark, scratch):
@@ -122,7 +122,7 @@ def test_bucketed_silver_joins_without_shuffle(spark, scratch):
         silver = jobs.read_silver(spark, lake, jobs.DETAIL_TABLES, bucketed=True)
         fact_patient = silver["fact_attention"].alias("f").join(
             silver["dim_patient"].alias("p"), F.col("f.PACID") == F.col("p.PACID"))
-        plan = fact_patient._jdf.queryExecution().executedPlan().toString()
+        plan = plan_text(fact_patient)
         assert "SortMergeJoin" in plan and "Exchange" not in plan
         bucketed = jobs.detail(spark, silver, "df")
         assert rows(bucketed) == rows(plain)

@@ -6,7 +6,7 @@ from clinilake.operators.joins import Dim, fits_broadcast, star_join
 from clinilake.plans import jobs
 from clinilake.sources import literal_table
 
-from conftest import rows
+from conftest import plan_text, rows
 
 
 def _tables(spark):
@@ -71,7 +71,7 @@ def test_checked_broadcast_plan(spark):
     fact = spark.range(1000).select(F.col("id"), (F.col("id") % 3).cast("int").alias("k"))
     dim = literal_table(spark, [(0, "a"), (1, "b"), (2, "c")], "k int, v string")
     out = star_join(fact, [Dim(dim, "d", [("k", "k")], broadcast=True)], ["f.id", "d.v"])
-    assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan_text(out)
     assert out.count() == 1000
 
 
@@ -93,7 +93,7 @@ def test_health_detail_sql_and_df_agree(spark):
 
 def test_detail_broadcasts_every_catalogue(spark):
     silver = synth.silver(spark, 50, 300, 10, seed=3)
-    plan = jobs.detail_df(silver)._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(jobs.detail_df(silver))
     assert plan.count("BroadcastHashJoin") >= 4
 
 
@@ -118,14 +118,14 @@ def test_complete_unselected_dimension_is_skipped(spark):
     dims = [Dim(da, "a", [("a", "a")], complete=True), Dim(db, "b", [("b", "b")], complete=True),
             Dim(dg, "g", [("g", "g")], parent="b", complete=True)]
     only_fact = star_join(fact, dims, ["f.id"])
-    assert "Join" not in only_fact._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan_text(only_fact, "optimized")
     with_group = star_join(fact, dims, ["f.id", F.col("g.gn").alias("group")])
-    plan = with_group._jdf.queryExecution().optimizedPlan().toString()
+    plan = plan_text(with_group, "optimized")
     assert plan.count("Join") == 2  # b is kept because g hangs off it; a is skipped
     assert rows(with_group) == [(1, "g1"), (2, "g1")]
     # Without the assertion every dimension is joined.
     plain = [Dim(da, "a", [("a", "a")]), Dim(db, "b", [("b", "b")])]
-    assert star_join(fact, plain, ["f.id"])._jdf.queryExecution().optimizedPlan().toString().count("Join") == 2
+    assert plan_text(star_join(fact, plain, ["f.id"]), "optimized").count("Join") == 2
 
 
 def test_incomplete_child_keeps_its_complete_parent(spark):

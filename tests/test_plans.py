@@ -3,12 +3,12 @@
 import re
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from conftest import SF_SMALL, plan_text
 
 
 def _plan(spark, name):
     df = entry.queries()[name](spark, SF_SMALL)
-    return df._jdf.queryExecution().executedPlan().toString()
+    return plan_text(df)
 
 
 def test_star_detail_broadcasts_every_dimension_and_prunes_the_fact(spark):

@@ -2,7 +2,7 @@ import datetime as dt
 
 from clinilake.operators import quality
 
-from conftest import rows
+from conftest import plan_text, rows
 
 T1, T2 = dt.datetime(2024, 1, 1, 8), dt.datetime(2024, 1, 1, 9)
 
@@ -69,7 +69,7 @@ def test_orphan_keys_aggregates_before_the_join(spark):
     assert rows(quality.orphan_keys(fact, dim, "fk", "pk")) == [(11, 2), (None, 1)]
     s = quality.foreign_key_summary(fact, dim, "fk", "pk", "t", "fk").first()
     assert s["violations"] == quality.orphans(fact, dim, "fk", "pk").count() == 3
-    plan = quality.orphan_keys(fact, dim, "fk", "pk")._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(quality.orphan_keys(fact, dim, "fk", "pk"))
     assert "partial_count" in plan
     clean = quality.foreign_key_summary(fact.where(F.col("fk") == 10), dim, "fk", "pk", "t", "fk")
     assert clean.first()["violations"] == 0

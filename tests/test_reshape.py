@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from clinilake.operators.reshape import (diagnoses_long, drop_blank, unpivot_months,
                                          unpivot_to_dates)
 
-from conftest import rows
+from conftest import plan_text, rows
 
 
 def _sheet(spark):
@@ -58,7 +58,7 @@ def test_drop_blank(spark):
 
 
 def test_unpivot_is_narrow(spark):
-    plan = unpivot_to_dates(_sheet(spark))._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(unpivot_to_dates(_sheet(spark)))
     assert "Exchange" not in plan
 
 

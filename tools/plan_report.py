@@ -10,6 +10,8 @@ Usage: python tools/plan_report.py [sf_dir] [out.md]
 
 from __future__ import annotations
 
+import contextlib
+import io
 import os
 import re
 import sys
@@ -43,6 +45,14 @@ def summarise(plan: str) -> tuple[Counter, list[str]]:
     return counts, scans
 
 
+def physical_plan(df) -> str:
+    """The physical section of ``df.explain("extended")``."""
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("extended")
+    return buf.getvalue().split("== Physical Plan ==", 1)[1]
+
+
 def main() -> None:
     from pyspark.sql import SparkSession
 
@@ -62,7 +72,7 @@ def main() -> None:
              "AQE can still coalesce partitions or turn a sort-merge join into a broadcast at run "
              "time. Queries built on range partitions read a checkpoint (`Scan ExistingRDD`).", ""]
     for name, fn in entry.queries().items():
-        plan = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        plan = physical_plan(fn(spark, sf_dir))
         counts, scans = summarise(plan)
         shape = ", ".join(f"{k} x{v}" for k, v in sorted(counts.items())) or "narrow"
         lines += [f"## {name}", "", f"- operators: {shape}"]
