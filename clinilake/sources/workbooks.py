@@ -95,7 +95,9 @@ def iter_cells(content: bytes, sheet: str | None = None
     """Yield ``(row, col, text, number)`` for each non-empty cell of a sheet.
 
     Numbers keep both forms: ``number`` as parsed and ``text`` as written.
-    Booleans become ``TRUE``/``FALSE``; errors keep their ``#`` text.
+    Booleans become ``TRUE``/``FALSE``; errors keep their ``#`` text.  Row
+    and cell references are optional in the format: a row without ``r``
+    follows the previous row, a cell without ``r`` the previous cell.
     """
     with zipfile.ZipFile(io.BytesIO(content)) as zf:
         strings = _shared_strings(zf)
@@ -104,17 +106,23 @@ def iter_cells(content: bytes, sheet: str | None = None
             c_tag, v_tag, is_tag = (f"{{{_NS['m']}}}c", f"{{{_NS['m']}}}v",
                                     f"{{{_NS['m']}}}is")
             row_tag = f"{{{_NS['m']}}}row"
-            for _, el in ET.iterparse(fh, events=("end",)):
+            row, col = 0, 0
+            for event, el in ET.iterparse(fh, events=("start", "end")):
+                if event == "start":
+                    if el.tag == row_tag:
+                        row = int(el.get("r")) if el.get("r") else row + 1
+                        col = 0
+                    continue
                 if el.tag == row_tag:
                     el.clear()
                     continue
                 if el.tag != c_tag:
                     continue
                 ref = _CELL_REF.match(el.get("r", ""))
-                if ref is None:
-                    el.clear()
-                    continue
-                row, col = int(ref.group(2)), column_number(ref.group(1))
+                if ref is not None:
+                    row, col = int(ref.group(2)), column_number(ref.group(1))
+                else:
+                    col += 1
                 kind = el.get("t", "n")
                 v = el.find(v_tag)
                 raw = v.text if v is not None else None

@@ -157,3 +157,27 @@ def test_partitioned_write_splits_a_hot_directory(spark, scratch):
     files = [f for f in os.listdir(os.path.join(path, "g=99")) if f.endswith(".parquet")]
     assert len(files) > 1
     assert spark.read.parquet(path).count() == 200000
+
+
+def test_workbook_without_cell_references(spark, scratch):
+    import zipfile
+    from clinilake.sources.workbooks import iter_cells
+    path = os.path.join(scratch, "noref.xlsx")
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    rns = 'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
+    sheet = (f'<worksheet {ns}><sheetData>'
+             '<row><c t="inlineStr"><is><t>DOCUMENTO</t></is></c><c t="inlineStr"><is><t>ENERO 2023</t></is></c></row>'
+             '<row><c><v>7</v></c><c t="inlineStr"><is><t>A00</t></is></c></row>'
+             '<row r="5"><c r="B5" t="inlineStr"><is><t>J45</t></is></c></row>'
+             '</sheetData></worksheet>')
+    with zipfile.ZipFile(path, "w") as z:
+        z.writestr("xl/workbook.xml", f'<workbook {ns} {rns}><sheets><sheet name="s" sheetId="1" r:id="rId1"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+                   '<Relationship Id="rId1" Target="worksheets/sheet1.xml"/></Relationships>')
+        z.writestr("xl/worksheets/sheet1.xml", sheet)
+    with open(path, "rb") as fh:
+        cells = list(iter_cells(fh.read()))
+    assert cells == [(1, 1, "DOCUMENTO", None), (1, 2, "ENERO 2023", None), (2, 1, "7", 7.0),
+                     (2, 2, "A00", None), (5, 2, "J45", None)]
+    wide = sources.read_workbooks(spark, path)
+    assert rows(wide.drop("_source_file")) == [(7.0, "A00"), (None, "J45")]
