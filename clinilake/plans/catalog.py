@@ -11,6 +11,7 @@ foreign-key pair, ``events`` = timestamps to turn into month text.
 from __future__ import annotations
 
 import datetime as dt
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,8 +41,23 @@ PRIORITY_CATALOGUE = [(1, "1-URGENT", "URGENTE"), (2, "P2", "2-high"), (3, "3-ME
                       (4, "4-NOT SPECIFIED", "SIN ESPECIFICAR")]
 
 
+_SCHEMAS: dict[tuple, object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One provided table.  The footer schema of a local file is inferred once
+    per process and reused while the file's size and modification time stay
+    the same (inference is most of the cost of building a read)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if "://" in path or not os.path.exists(path):
+        return spark.read.parquet(path)
+    st = os.stat(path)
+    key = (os.path.abspath(path), st.st_mtime_ns, st.st_size)
+    if key not in _SCHEMAS:
+        df = spark.read.parquet(path)
+        _SCHEMAS[key] = df.schema
+        return df
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
 
 
 def _status(spark: SparkSession, rows: list[tuple[str, str]], code: str, desc: str) -> DataFrame:
