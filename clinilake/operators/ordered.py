@@ -65,7 +65,11 @@ def lag_within(df: DataFrame, key: str, order: Sequence[str], values: Sequence[s
     order, values = list(order), list(values)
     ranged = range_partitioned(df, [key, *order], partitions)
     w = Window.partitionBy(PID).orderBy(key, *order)
-    local = ranged.select("*", F.row_number().over(w).alias("_seq"),
+    # Ranges go to tasks by a range split of the tag itself: neighbouring
+    # ranges share a task evenly, where hashing the few tags would pile two
+    # or three ranges onto some tasks.  It also meets the window's clustering,
+    # so no further exchange is planned.
+    local = ranged.repartitionByRange(PID).select("*", F.row_number().over(w).alias("_seq"),
                           F.lag(key).over(w).alias("_lag_key"),
                           *[F.lag(v).over(w).alias(f"_lag{i}") for i, v in enumerate(values)])
 
