@@ -45,5 +45,6 @@ class Lake:
         """Create the zone's database (stored under ``root``) if missing."""
         db = self.database(zone)
         location = f"{self.root.rstrip('/')}/{self.env}/{zone}_tables"
-        spark.sql(f"create database if not exists {db} location '{location}'")
+        quoted = location.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"create database if not exists {db} location '{quoted}'")
         return db

@@ -181,3 +181,11 @@ def test_workbook_without_cell_references(spark, scratch):
                      (2, 2, "A00", None), (5, 2, "J45", None)]
     wide = sources.read_workbooks(spark, path)
     assert rows(wide.drop("_source_file")) == [(7.0, "A00"), (None, "J45")]
+
+
+def test_ensure_database_with_awkward_root(spark, scratch):
+    root = os.path.join(scratch, "it's lake")
+    lake = Lake(root, "test")
+    db = lake.ensure_database(spark, "gold")
+    assert db == "test_gold"
+    assert any(r.namespace == "test_gold" for r in spark.sql("show databases").collect())
