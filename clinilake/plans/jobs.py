@@ -286,6 +286,11 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--gate", action="store_true",
                         help="quality_report: fail when any check has violations")
     args = parser.parse_args(argv)
+    required = {"transform_diagnoses": ["workbooks"], "bucket_silver": ["buckets"],
+                "land_bronze": ["source_format", "source_path", "name"]}
+    missing = [f"--{a.replace('_', '-')}" for a in required.get(args.job, []) if not getattr(args, a)]
+    if missing:
+        parser.error(f"{args.job} needs {', '.join(missing)}")
     spark = session.get(f"clinilake-{args.job}")
     lake = Lake(args.root, args.env)
     if args.explain:

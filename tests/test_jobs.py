@@ -175,3 +175,13 @@ def test_lake_flow_through_the_cli(spark, scratch):
     facts = spark.read.parquet(f"{scratch}/dev/silver/fact_patient_diagnosis")
     assert rows(facts, "PACID", "DIAG_ID", "DATE") == [(1, 8, dt.date(2024, 1, 1)), (1, 8, dt.date(2024, 2, 1))]
     assert spark.read.parquet(f"{scratch}/dev/bronze/diagnosis_rejects").count() == 1
+
+
+def test_cli_reports_missing_arguments(scratch, capsys):
+    import pytest
+    with pytest.raises(SystemExit):
+        jobs.main(["transform_diagnoses", "--root", scratch])
+    assert "--workbooks" in capsys.readouterr().err
+    with pytest.raises(SystemExit):
+        jobs.main(["land_bronze", "--root", scratch, "--name", "x"])
+    assert "--source-format, --source-path" in capsys.readouterr().err
