@@ -14,10 +14,15 @@ from clinilake.sources.workbooks import read_workbooks  # noqa: F401
 log = logging.getLogger(__name__)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Lazy parquet scan of one table directory or file."""
+def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """Lazy parquet scan of one table directory or file.
+
+    With ``schema`` (a ``StructType`` or DDL string) the footer is not read to
+    infer one; columns missing from the files read as null.
+    """
     log.info("reading parquet %s", path)
-    return spark.read.parquet(path)
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(path)
 
 
 def read_tables(spark: SparkSession, root: str | Lake, names: Iterable[str],

@@ -189,3 +189,10 @@ def test_ensure_database_with_awkward_root(spark, scratch):
     db = lake.ensure_database(spark, "gold")
     assert db == "test_gold"
     assert any(r.namespace == "test_gold" for r in spark.sql("show databases").collect())
+
+
+def test_read_table_with_declared_schema(spark, scratch):
+    path = os.path.join(scratch, "declared")
+    spark.range(3).withColumnRenamed("id", "k").write.parquet(path)
+    df = sources.read_table(spark, path, "k long, extra string")
+    assert rows(df) == [(0, None), (1, None), (2, None)]
