@@ -98,6 +98,11 @@ def detail_natural_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.duplicate_keys(star_detail(spark, sf_dir), ["p_partkey", "ship_date"])
 
 
+def detail_mean_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5 on the star-join view: mean days between shipments of each part."""
+    return gold.mean_gap(star_detail(spark, sf_dir), "p_partkey", "ship_date")
+
+
 def detail_attention_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A4 on the star-join view: lines per supplier ("speciality") and part."""
     return gold.attention_counts(star_detail(spark, sf_dir), ["s_name", "p_partkey"])
@@ -338,6 +343,7 @@ QUERIES: dict[str, Query] = {
     "natural_key_dups_sql": natural_key_dups_sql,
     "detail_natural_key": detail_natural_key,
     "detail_attention_counts": detail_attention_counts,
+    "detail_mean_gap": detail_mean_gap,
     "key_verdict": key_verdict,
     "months_wide_to_long": months_wide_to_long,
     "months_unpivot_literal": months_unpivot_literal,
@@ -432,6 +438,15 @@ ORACLE: dict[str, str] = {
     "detail_natural_key": _over_detail("""
         select p_partkey, ship_date, count(*) as conteo from detail
         group by p_partkey, ship_date having count(*) > 1"""),
+    "detail_mean_gap": _over_detail("""
+        select p_partkey, count(*) as appointments, min(ship_date) as first_at,
+               max(ship_date) as last_at,
+               case when count(*) > 1 then
+                 datediff('day', min(ship_date), max(ship_date)) / (count(*) - 1) end as mean_gap_days,
+               case when count(*) > 1 then
+                 (epoch(max(ship_date)) - epoch(min(ship_date))) / ((count(*) - 1) * 3600) end
+                 as mean_gap_hours
+        from detail group by p_partkey"""),
     "detail_attention_counts": _over_detail("""
         select s_name, p_partkey, count(*) as attentions from detail group by s_name, p_partkey"""),
     "key_verdict": """
