@@ -140,3 +140,41 @@ def test_fits_broadcast_counts_nested_values(spark):
     wide = spark.range(10).select(F.col("id"), F.array_repeat(F.lit("abcdefghij"), 100).alias("tags"))
     assert not fits_broadcast(wide, max_rows=100, max_bytes=5000)
     assert fits_broadcast(wide, max_rows=100, max_bytes=50000)
+
+
+def test_star_join_matches_a_pandas_model(spark):
+    import random
+
+    import pandas as pd
+
+    def model(fact, a, b, g, how_a, how_g):
+        out = fact.merge(a, on="a", how=how_a)
+        out = out.merge(b, on="b", how="inner")
+        out = out.merge(g, on="g", how=how_g)
+        return sorted(((int(r.id), None if pd.isna(r.an) else r.an, None if pd.isna(r.gn) else r.gn)
+                       for r in out.itertuples()), key=repr)
+
+    for seed in range(4):
+        rnd = random.Random(seed)
+        fact = pd.DataFrame({"id": range(60),
+                             "a": [rnd.choice([1, 2, 3, 4, None]) for _ in range(60)],
+                             "b": [rnd.choice([10, 20, 30]) for _ in range(60)]})
+        a = pd.DataFrame({"a": [1, 2, 2, 5], "an": ["x", "y", "y2", "z"]})    # 2 repeats, 3/4 missing
+        b = pd.DataFrame({"b": [10, 20, 30], "g": [100, 200, 300]})
+        g = pd.DataFrame({"g": [100, 300], "gn": ["g1", "g3"]})                # 200 missing
+        def plain(v):
+            if pd.isna(v):
+                return None
+            return int(v) if isinstance(v, float) else v
+
+        def sdf(p, ddl):
+            return spark.createDataFrame([tuple(plain(v) for v in r) for r in p.itertuples(index=False)], ddl)
+        for how_a in ("inner", "left"):
+            for how_g in ("inner", "left"):
+                out = star_join(sdf(fact, "id int, a int, b int"),
+                                [Dim(sdf(a, "a int, an string"), "da", [("a", "a")], how=how_a),
+                                 Dim(sdf(b, "b int, g int"), "db", [("b", "b")]),
+                                 Dim(sdf(g, "g int, gn string"), "dg", [("g", "g")], parent="db", how=how_g)],
+                                ["f.id", "da.an", "dg.gn"])
+                expect = model(fact.astype({"a": "Int64"}), a, b, g, how_a, how_g)
+                assert rows(out) == expect, (seed, how_a, how_g)
