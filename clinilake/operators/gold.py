@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clinilake.operators.joins import Dim, star_join
 from clinilake.operators.ordered import lag_within
 
 
@@ -20,6 +21,24 @@ def attention_counts(detail: DataFrame, by: Sequence[str] = ("SPENAME", "PACDOC"
     return detail.groupBy(*by).agg(F.count(F.lit(1)).alias(count_col))
 
 
+def count_by(fact: DataFrame, dims: Sequence[Dim], by: Sequence[str],
+             count_col: str = "attentions", fact_alias: str = "f") -> DataFrame:
+    """Fact rows per dimension attributes, aggregated before the joins.
+
+    Same counts as grouping ``star_join(fact, dims)`` by ``by`` (qualified
+    ``alias.column`` names), but the fact is first counted per combination
+    of its foreign keys (map-side partial aggregation), so the joins see one
+    row per combination instead of one per fact row.  Exact for inner and
+    left joins and repeated dimension keys: fact rows with the same keys
+    join the same way.
+    """
+    fks = list(dict.fromkeys(lc for d in dims if not d.parent for lc, _ in d.on))
+    counted = fact.groupBy(*fks).agg(F.count(F.lit(1)).alias("_n"))
+    joined = star_join(counted, dims, [*by, f"{fact_alias}._n"], fact_alias=fact_alias)
+    return joined.groupBy(*[F.col(b.split(".")[-1]) for b in by]).agg(
+        F.sum("_n").alias(count_col))
+
+
 def mean_gap(df: DataFrame, entity: str = "PACDOC", ts: str = "FECHA_ATENCION") -> DataFrame:
     """Mean days between consecutive appointments of each entity (A5).
 

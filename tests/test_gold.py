@@ -45,3 +45,15 @@ def test_counts_and_months(spark):
     diag = spark.createDataFrame([(1, dt.date(2024, 1, 5)), (1, dt.date(2024, 1, 30)),
                                   (2, dt.date(2024, 2, 1))], "DIAG_ID int, DATE date")
     assert rows(gold.diagnosis_by_month(diag)) == [(1, dt.date(2024, 1, 1), 2), (2, dt.date(2024, 2, 1), 1)]
+
+
+def test_count_by_equals_counting_the_joined_view(spark):
+    from clinilake.operators.joins import Dim, star_join
+    fact = spark.createDataFrame([(1, 10, "A"), (2, 10, "A"), (3, 20, "B"), (4, 30, "A"), (5, None, "A")],
+                                 "id int, pk int, flag string")
+    dim = spark.createDataFrame([(10, "x"), (20, "y"), (20, "y"), (30, "x")], "pk int, name string")
+    flags = spark.createDataFrame([("A", "ACC"), ("B", "BAD")], "code string, descr string")
+    dims = [Dim(dim, "d", [("pk", "pk")]), Dim(flags, "g", [("flag", "code")])]
+    view = star_join(fact, dims, ["d.name", "g.descr"]).groupBy("name", "descr").count()
+    pre = gold.count_by(fact, dims, ["d.name", "g.descr"], "count")
+    assert rows(pre) == rows(view) == [("x", "ACC", 3), ("y", "BAD", 2)]
