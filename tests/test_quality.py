@@ -73,3 +73,12 @@ def test_orphan_keys_aggregates_before_the_join(spark):
     assert "partial_count" in plan
     clean = quality.foreign_key_summary(fact.where(F.col("fk") == 10), dim, "fk", "pk", "t", "fk")
     assert clean.first()["violations"] == 0
+
+
+def test_null_violations_follow_the_declared_schema(spark):
+    from clinilake import schemas
+    df = spark.createDataFrame([(1, "10", None), (None, None, "x")],
+                               "SPEID int, SPENAME string, SPEGRP_ID string")
+    out = quality.null_violations(df, schemas.DIM_SPECIALITY, "dim_speciality")
+    # SPEID, SPENAME and SPEGRP_ID are declared non-null.
+    assert rows(out, "column_name", "violations") == [("SPEGRP_ID", 1), ("SPEID", 1), ("SPENAME", 1)]
