@@ -107,10 +107,22 @@ def row_index(df: DataFrame, order: Sequence[str], id_col: str = "id",
     """
     from clinilake.session import checkpointed
     order = list(order)
-    tagged = checkpointed(_by_range(df, order, partitions)
-                            .sortWithinPartitions(*order)
-                            .withColumn(PID, F.spark_partition_id())
-                            .withColumn("_pos", F.monotonically_increasing_id()))
+    # Spark samples range bounds with a job over the input and then shuffles
+    # it in a second one; the callers' inputs are aggregates and joins, so the
+    # input is cached (spilling to disk if large) for the duration of the
+    # eager checkpoint rather than computed twice.  Lost cache blocks are
+    # recomputed from lineage.
+    cached_here = not df.is_cached  # leave a caller's own cache alone
+    if cached_here:
+        df.persist()
+    try:
+        tagged = checkpointed(_by_range(df, order, partitions)
+                                .sortWithinPartitions(*order)
+                                .withColumn(PID, F.spark_partition_id())
+                                .withColumn("_pos", F.monotonically_increasing_id()))
+    finally:
+        if cached_here:
+            df.unpersist()
     sizes = tagged.groupBy(PID).agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select(PID, F.coalesce(F.sum("_n").over(
         Window.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))

@@ -75,3 +75,15 @@ def test_ordered_operators_on_empty_input(spark):
     assert lag_within(empty, "k", ["ts", "tb"], ["tb"]).count() == 0
     assert row_index(empty, ["k"], "rid").count() == 0
     assert dense_index(empty, ["k"], "id").count() == 0
+
+
+def test_row_index_keeps_a_callers_cache(spark):
+    from clinilake.operators.ordered import row_index
+    df = spark.range(100).withColumn("k", F.col("id") % 7).cache()
+    df.count()
+    assert row_index(df, ["k", "id"], "rid").count() == 100
+    assert df.is_cached
+    df.unpersist()
+    fresh = spark.range(50)
+    row_index(fresh, ["id"], "rid").count()
+    assert not fresh.is_cached
