@@ -243,8 +243,8 @@ def quality_report(spark: SparkSession, lake: Lake) -> DataFrame:
     return quality.report(parts)
 
 
-JOBS = ("land_bronze", "build_silver", "bucket_silver", "build_detail", "check_key", "transform_diagnoses", "normalize_erp",
-        "link_diagnoses", "build_gold", "quality_report")
+JOBS = ("land_bronze", "build_silver", "bucket_silver", "build_detail", "check_key",
+        "transform_diagnoses", "normalize_erp", "link_diagnoses", "build_gold", "quality_report")
 
 
 def explain(spark: SparkSession, lake: Lake, args: argparse.Namespace) -> None:
