@@ -23,6 +23,7 @@ class Lake:
     root: str
     env: str = "dev"
     catalog: str | None = None
+    tables: bool = False  # jobs read and write catalog tables instead of zone paths
 
     def __post_init__(self) -> None:
         if self.env not in ENVIRONMENTS:

@@ -42,7 +42,7 @@ def land_bronze(spark: SparkSession, lake: Lake, fmt: str, path: str, name: str,
             "_ingested_at", F.current_timestamp())
     else:
         raw = sources.land_raw(spark, fmt, path, **options)
-    sinks.write_table(raw, lake.path("bronze", name))
+    sinks.write_zone(raw, lake, "bronze", name)
     return raw
 
 
@@ -52,7 +52,7 @@ def build_silver(spark: SparkSession, lake: Lake, n_patients: int = 20, n_attent
     """Generate and write the eight silver tables once each."""
     tables = synth.silver(spark, n_patients, n_attentions, n_diagnoses, seed, as_of)
     for name, df in tables.items():
-        sinks.write_table(df, lake.path("silver", name))
+        sinks.write_zone(df, lake, "silver", name)
     return tables
 
 
@@ -71,7 +71,7 @@ def bucket_silver(spark: SparkSession, lake: Lake, buckets: int) -> list[str]:
     lake.ensure_database(spark, "silver")
     names = []
     for name in PATIENT_KEYED:
-        df = sources.read_table(spark, lake.path("silver", name))
+        df = sources.read_table(spark, lake.path("silver", name))  # the zone files
         sinks.save_table(df, lake.table("silver", name), bucket_by=(buckets, ["PACID"]))
         names.append(lake.table("silver", name))
     return names
@@ -122,7 +122,7 @@ def build_detail(spark: SparkSession, lake: Lake, mode: str = "sql",
     tables saved by :func:`bucket_silver`)."""
     silver = read_silver(spark, lake, DETAIL_TABLES, bucketed)
     view = detail(spark, silver, mode)
-    sinks.write_table(view, lake.path("gold", "atencion_detalle"))
+    sinks.write_zone(view, lake, "gold", "atencion_detalle")
     return view
 
 
@@ -136,7 +136,7 @@ def natural_key(spark: SparkSession, view: DataFrame, mode: str = "sql") -> Data
 
 def check_key(spark: SparkSession, lake: Lake, mode: str = "sql") -> tuple[bool, DataFrame]:
     """Point 5 on the written gold view: (is the pair a key?, duplicate groups)."""
-    view = sources.read_table(spark, lake.path("gold", "atencion_detalle"))
+    view = sources.read_zone(spark, lake, "gold", "atencion_detalle")
     dups = natural_key(spark, view, mode)
     unique = dups.isEmpty()
     if unique:
@@ -158,7 +158,7 @@ def transform_diagnoses(spark: SparkSession, lake: Lake, workbooks: str,
     wide = sources.read_workbooks(spark, workbooks, data_address).drop("_source_file")
     long = (diagnoses_long(wide, clean_headers=clean_headers) if literal
             else unpivot_to_dates(wide, clean_headers=clean_headers))
-    sinks.write_table(long, lake.path("gold", "diagnosticos_transformados"))
+    sinks.write_zone(long, lake, "gold", "diagnosticos_transformados")
     return long
 
 
@@ -172,8 +172,8 @@ def normalize_erp(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     bronze = sources.read_tables(spark, lake, ["patient", "attention", "speciality"], zone="bronze")
 
     def written(name: str, df: DataFrame) -> DataFrame:
-        sinks.write_table(schemas.conform(df, schemas.ALL[name]), lake.path("silver", name))
-        return sources.read_table(spark, lake.path("silver", name))
+        sinks.write_zone(schemas.conform(df, schemas.ALL[name]), lake, "silver", name)
+        return sources.read_zone(spark, lake, "silver", name)
 
     out = {"dim_patient": written("dim_patient", normalize.erp_patient(bronze["patient"]))}
     spec = bronze["speciality"].select(
@@ -198,7 +198,7 @@ def normalize_erp(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
 
 def link_diagnoses(spark: SparkSession, lake: Lake) -> tuple[DataFrame, DataFrame]:
     """Gold long diagnoses -> silver ``fact_patient_diagnosis`` + rejects."""
-    long = sources.read_table(spark, lake.path("gold", "diagnosticos_transformados"))
+    long = sources.read_zone(spark, lake, "gold", "diagnosticos_transformados")
     silver = sources.read_tables(spark, lake, ["dim_patient", "dim_diagnosis"], zone="silver")
     matches = normalize.diagnosis_matches(long, silver["dim_patient"], silver["dim_diagnosis"])
     # Both outputs come from the same joined rows: keep them for the two
@@ -206,16 +206,16 @@ def link_diagnoses(spark: SparkSession, lake: Lake) -> tuple[DataFrame, DataFram
     with session.reused(matches):
         fact, rejects = normalize.split_diagnoses(matches)
         fact = schemas.conform(fact, schemas.FACT_PATIENT_DIAGNOSIS)
-        sinks.write_table(fact, lake.path("silver", "fact_patient_diagnosis"))
-        sinks.write_table(rejects, lake.path("bronze", "diagnosis_rejects"))
+        sinks.write_zone(fact, lake, "silver", "fact_patient_diagnosis")
+        sinks.write_zone(rejects, lake, "bronze", "diagnosis_rejects")
     written = sources.read_tables(spark, lake, ["fact_patient_diagnosis"], zone="silver")
-    return written["fact_patient_diagnosis"], sources.read_table(spark, lake.path("bronze", "diagnosis_rejects"))
+    return written["fact_patient_diagnosis"], sources.read_zone(spark, lake, "bronze", "diagnosis_rejects")
 
 
 def build_gold(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     """The three documented gold indicators plus the gap rows."""
-    view = sources.read_table(spark, lake.path("gold", "atencion_detalle"))
-    diag = sources.read_table(spark, lake.path("silver", "fact_patient_diagnosis"))
+    view = sources.read_zone(spark, lake, "gold", "atencion_detalle")
+    diag = sources.read_zone(spark, lake, "silver", "fact_patient_diagnosis")
     out = {
         "indicadores_atenciones": gold.attention_counts(view),
         "tiempo_promedio_atencion": gold.mean_gap(view),
@@ -223,7 +223,7 @@ def build_gold(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
         "evolucion_diagnosticos": gold.diagnosis_by_month(diag),
     }
     for name, df in out.items():
-        sinks.write_table(df, lake.path("gold", name))
+        sinks.write_zone(df, lake, "gold", name)
     return out
 
 
@@ -253,10 +253,10 @@ def explain(spark: SparkSession, lake: Lake, args: argparse.Namespace) -> None:
         "build_detail": lambda: detail(
             spark, read_silver(spark, lake, DETAIL_TABLES, args.buckets > 0), args.mode),
         "check_key": lambda: natural_key(
-            spark, sources.read_table(spark, lake.path("gold", "atencion_detalle")), args.mode),
+            spark, sources.read_zone(spark, lake, "gold", "atencion_detalle"), args.mode),
         "quality_report": lambda: quality_report(spark, lake),
         "build_gold": lambda: gold.appointment_gaps(
-            sources.read_table(spark, lake.path("gold", "atencion_detalle"))),
+            sources.read_zone(spark, lake, "gold", "atencion_detalle")),
     }
     if args.job not in plans:
         raise SystemExit(f"--explain supports {sorted(plans)}")
@@ -281,6 +281,8 @@ def main(argv: list[str] | None = None) -> None:
                         help="land_bronze: reader option key=value (repeatable)")
     parser.add_argument("--buckets", type=int, default=0,
                         help="bucket_silver: bucket count; build_detail: read bucketed tables")
+    parser.add_argument("--tables", action="store_true",
+                        help="read and write catalog tables <env>_<zone>.<name> instead of zone paths")
     parser.add_argument("--explain", action="store_true",
                         help="print the formatted physical plan of the job's output, do not run it")
     parser.add_argument("--gate", action="store_true",
@@ -292,7 +294,7 @@ def main(argv: list[str] | None = None) -> None:
     if missing:
         parser.error(f"{args.job} needs {', '.join(missing)}")
     spark = session.get(f"clinilake-{args.job}")
-    lake = Lake(args.root, args.env)
+    lake = Lake(args.root, args.env, tables=args.tables)
     if args.explain:
         explain(spark, lake, args)
         return
@@ -318,9 +320,9 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "build_gold":
         build_gold(spark, lake)
     else:
-        sinks.write_table(quality_report(spark, lake), lake.path("gold", "quality_report"))
+        sinks.write_zone(quality_report(spark, lake), lake, "gold", "quality_report")
         if args.gate:
-            quality.assert_clean(sources.read_table(spark, lake.path("gold", "quality_report")))
+            quality.assert_clean(sources.read_zone(spark, lake, "gold", "quality_report"))
 
 
 if __name__ == "__main__":

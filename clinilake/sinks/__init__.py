@@ -96,3 +96,15 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "overwrite", *,
     for key, value in options.items():
         writer = writer.option(key, value)
     writer.save()
+
+
+def write_zone(df: DataFrame, lake, zone: str, name: str, mode: str = "overwrite", *,
+               files: int | None = None, partition_by: Sequence[str] | None = None) -> None:
+    """Write a lake table: a catalog table in the zone's database when the lake
+    uses tables (Spark itself refuses to overwrite a table the plan reads),
+    else parquet files at the zone path."""
+    if lake.tables:
+        lake.ensure_database(df.sparkSession, zone)
+        save_table(df, lake.table(zone, name), mode, partition_by=partition_by, files=files)
+    else:
+        write_table(df, lake.path(zone, name), mode, files=files, partition_by=partition_by)

@@ -34,11 +34,21 @@ def read_tables(spark: SparkSession, root: str | Lake, names: Iterable[str],
     """
     out = {}
     for name in names:
-        path = root.path(zone, name) if isinstance(root, Lake) else f"{root.rstrip('/')}/{name}{suffix}"
-        out[name] = read_table(spark, path)
+        if isinstance(root, Lake):
+            out[name] = read_zone(spark, root, zone, name)
+        else:
+            out[name] = read_table(spark, f"{root.rstrip('/')}/{name}{suffix}")
     return out
 
 
+def read_zone(spark: SparkSession, lake: Lake, zone: str, name: str) -> DataFrame:
+    """A lake table: the catalog table ``lake.table(zone, name)`` when the lake
+    uses tables, else the parquet files at ``lake.path(zone, name)``."""
+    if lake.tables:
+        return spark.table(lake.table(zone, name))
+    return read_table(spark, lake.path(zone, name))
+
+
 def read_jdbc(spark: SparkSession, url: str, table: str, *,
               partition_column: str | None = None, lower_bound: int | None = None,
               upper_bound: int | None = None, num_partitions: int | None = None,

@@ -1,6 +1,8 @@
 import datetime as dt
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from clinilake import schemas
@@ -185,3 +187,18 @@ def test_cli_reports_missing_arguments(scratch, capsys):
     with pytest.raises(SystemExit):
         jobs.main(["land_bronze", "--root", scratch, "--name", "x"])
     assert "--source-format, --source-path" in capsys.readouterr().err
+
+
+def test_lake_jobs_on_catalog_tables(spark, scratch):
+    lake = Lake(scratch, "test", tables=True)
+    jobs.build_silver(spark, lake, n_patients=30, n_attentions=120, n_diagnoses=20, seed=2)
+    jobs.build_detail(spark, lake, "sql")
+    unique, _ = jobs.check_key(spark, lake, "df")
+    report = jobs.quality_report(spark, lake)
+    assert spark.table("test_gold.atencion_detalle").count() == 120
+    assert unique in (True, False)
+    assert report.where("violations > 0").count() == 0
+    assert not os.path.exists(f"{scratch}/test/gold/atencion_detalle")  # tables, not zone paths
+    with pytest.raises(Exception):  # Spark refuses to overwrite a table the plan reads
+        from clinilake import sinks
+        sinks.write_zone(spark.table("test_gold.atencion_detalle").limit(5), lake, "gold", "atencion_detalle")
