@@ -286,7 +286,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--explain", action="store_true",
                         help="print the formatted physical plan of the job's output, do not run it")
     parser.add_argument("--gate", action="store_true",
-                        help="quality_report: fail when any check has violations")
+                        help="quality_report / check_key: fail when a check finds violations")
     args = parser.parse_args(argv)
     required = {"transform_diagnoses": ["workbooks"], "bucket_silver": ["buckets"],
                 "land_bronze": ["source_format", "source_path", "name"]}
@@ -311,6 +311,8 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "check_key":
         unique, dups = check_key(spark, lake, args.mode)
         dups.show(truncate=False)
+        if args.gate and not unique:
+            raise SystemExit("(PACDOC, FECHA_ATENCION) is not a natural key of atencion_detalle")
     elif args.job == "transform_diagnoses":
         transform_diagnoses(spark, lake, args.workbooks, args.data_address)
     elif args.job == "normalize_erp":

@@ -202,3 +202,17 @@ def test_lake_jobs_on_catalog_tables(spark, scratch):
     with pytest.raises(Exception):  # Spark refuses to overwrite a table the plan reads
         from clinilake import sinks
         sinks.write_zone(spark.table("test_gold.atencion_detalle").limit(5), lake, "gold", "atencion_detalle")
+
+
+def test_check_key_gate(spark, scratch):
+    lake = Lake(scratch)
+    jobs.build_silver(spark, lake, n_patients=5, n_attentions=20)
+    jobs.build_detail(spark, lake, "df")
+    jobs.main(["check_key", "--root", scratch, "--gate"])  # generated times do not repeat
+    view = spark.read.parquet(f"{scratch}/dev/gold/atencion_detalle")
+    doubled = view.unionByName(view.limit(1))
+    doubled.write.mode("overwrite").parquet(f"{scratch}/dev/gold/atencion_detalle_tmp")
+    spark.read.parquet(f"{scratch}/dev/gold/atencion_detalle_tmp").write.mode("overwrite") \
+        .parquet(f"{scratch}/dev/gold/atencion_detalle")
+    with pytest.raises(SystemExit, match="not a natural key"):
+        jobs.main(["check_key", "--root", scratch, "--gate"])
