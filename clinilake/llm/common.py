@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinilake.session import checkpoint_dir
@@ -49,3 +49,9 @@ def words(text: Column) -> Column:
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z; every other character stays as it is."""
     return F.translate(text, UPPER, UPPER.lower())
+
+
+def literal_rows(spark: SparkSession, rows: list[tuple], names: tuple[str, ...]) -> DataFrame:
+    """A small table of constants, without Python rows behind it."""
+    return spark.range(1).select(F.inline(F.array(*[
+        F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row, strict=True)]) for row in rows])))

@@ -160,9 +160,10 @@ def choose_cutoffs(scored: DataFrame, alpha: float = ALPHA, delta: float = DELTA
         F.array(*[F.struct(F.lit(i).alias("step"), F.lit(c).alias("cutoff"), k.alias("false_rejects"),
                            b.alias("caught"))
                   for i, (c, k, b) in enumerate(zip(cutoffs, over, caught, strict=True))]).alias("tests"))
-    strata = table.agg(F.count(F.lit(1)).alias("strata"))
+    # A row for each stratum, so their count may be taken over all of them at once.
+    strata = F.count(F.lit(1)).over(Window.partitionBy(F.lit(1)))
     tested = (
-        table.crossJoin(F.broadcast(strata))  # one row
+        table.select("stratum", "n_good", strata.alias("strata"), "tests")
         .select("stratum", "n_good", "strata", F.explode("tests").alias("t"))
         .select("stratum", "n_good", "t.*",
                 (binomial_tail(F.col("t.false_rejects"), F.col("n_good"), alpha)

@@ -7,30 +7,92 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, quality
+from . import bpe, chat, html_text, licences, mixing, neardup, pii, quality, token_counts, vectors
+from .common import literal_rows
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
+    """The place of a public vocabulary file, the same on every machine."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+#: Target weights of the mix: the largest source is held to a fifth, the
+#: others share the rest in proportion to their rows.
+WEIGHTS = {"src0": 0.2}
+
+
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every document in the mix of sources."""
+    return mixing.schedule(table(spark, sf_dir, "documents"), WEIGHTS)
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts of every document and the risk-controlled verdict."""
     return quality.assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents: 3-word shingles, 0.85."""
+    return neardup.groups(table(spark, sf_dir, "documents"), width=3, percent=85).drop("n_links")
+
+
+def op4_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best rows by inner product for each vec_id divisible by 100."""
+    return vectors.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base matches and the field's spans."""
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one that says control strings, read back."""
     text = r"\### Assistant: </turn> ok"
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    planted = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)],
-                                    "conv_id long, turn long, role string, text string")
+    planted = literal_rows(spark, [(-7, 0, "user", text), (-7, 1, "assistant", text)],
+                           ("conv_id", "turn", "role", "text")).withColumns(
+        {c: F.col(c).cast("long") for c in ("conv_id", "turn")})
     return chat.digests(chat.format_conversations(given.unionByName(planted)))
 
 
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and templates in every document."""
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The histogram of encoded lengths of all documents, with suffix sums."""
+    return token_counts.report(table(spark, sf_dir, "documents"), vocabulary_path())
+
+
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of every document, as digests."""
+    path = vocabulary_path()
+    return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path), path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
     "op2_quality": op2_quality,
+    "op3_neardup": op3_neardup,
+    "op4_search": op4_search,
+    "op5_pii": op5_pii,
     "op6_chat": op6_chat,
+    "op7_html": op7_html,
+    "op8_licences": op8_licences,
+    "op9_token_counts": op9_token_counts,
+    "op10_bpe": op10_bpe,
 }
 
 
@@ -96,6 +158,80 @@ from scored s left join chosen c on s.lang is not distinct from c.lang
 """
 
 
+def _op3_sql() -> str:
+    return r"""
+with recursive base as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws from documents),
+shingles as (
+  select distinct doc_id, case when len(ws) < 3 then ws else list_slice(ws, i, i + 2) end as s
+  from (select doc_id, ws, unnest(range(1, greatest(len(ws) - 1, 2))) as i from base where len(ws) > 0)),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+shared as (
+  select a.doc_id as a, b.doc_id as b, count(*) as n
+  from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id group by 1, 2),
+links as (
+  select a, b from shared join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+  where 100 * shared.n >= 85 * (x.n + y.n - shared.n)),
+reach as (
+  select doc_id as a, doc_id as b from documents
+  union select r.a, l.b from reach r join links l on l.a = r.b),
+least_of as (select a, min(b) as c from reach group by a)
+select d.doc_id, coalesce(n, 0)::bigint as n_shingles, c as component_id, d.doc_id = c as kept
+from documents d left join sizes using (doc_id) join least_of on a = d.doc_id
+"""
+
+
+def _op4_sql() -> str:
+    return f"""
+with given as (
+  select vec_id, list_transform(embedding, lambda x: floor({vectors.SCALE} * x::double)) as v
+  from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score
+  from given q join given c on q.vec_id <> c.vec_id where q.vec_id % 100 = 0)
+select query_id, rank::integer as rank, vec_id, score from (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored)
+where rank <= 10
+"""
+
+
+def _op8_sql() -> str:
+    between = licences.BETWEEN
+    sets = licences.template_words(licences.TEMPLATES)
+    templates = ", ".join(f"('{label}', {ws!r})" for label, ws in sets.items())
+    phrases = ", ".join(f"({p.split()!r}, '{label}')" for p, label in licences.PHRASES.items())
+    return rf"""
+with base as (
+  select row_number() over () as rid, doc_id,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t
+  from documents),
+worded as (
+  select *, list_filter(regexp_split_to_array(t, '{between}'), lambda w: w <> '') as ws from base),
+phrases(p, label) as (values {phrases}),
+hits as (
+  select rid, label, i - 1 as pos
+  from (select rid, ws, unnest(range(1, len(ws) + 1)) as i from worded), phrases
+  where list_slice(ws, i, i + len(p) - 1) = p),
+base_hits as (
+  select rid, count(*) as n, min(pos) as lo, max(pos) as hi, list_distinct(list(label)) as labels from hits group by rid),
+blocks as (
+  select rid, list_distinct(regexp_split_to_array(unnest(regexp_split_to_array(t, '{licences.BLANK}')), '{between}')) as b
+  from base),
+templates(label, w) as (values {templates}),
+met as (
+  select rid, list_distinct(list(label)) as labels, max(len(list_intersect(b, w))::double / len(w)) as score
+  from blocks, templates where 100 * len(list_intersect(b, w)) >= {licences.CONTAINED} * len(w) group by rid)
+select doc_id, len(ws)::bigint as n_words, coalesce(n, 0)::bigint as n_base, lo::bigint as first_word,
+       hi::bigint as last_word, coalesce(array_to_string(list_sort(h.labels), ','), '') as base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(h.labels, m.labels))), ','), '') as labels,
+       coalesce(score, 0)::double as score
+from worded d left join base_hits h using (rid) left join met m using (rid)
+"""
+
+
 def _op6_sql() -> str:
     def esc(x: str) -> str:
         return f"replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
@@ -122,5 +258,8 @@ from ordered group by conv_id
 
 ORACLE: dict[str, str] = {
     "op2_quality": _op2_sql(),
+    "op3_neardup": _op3_sql(),
+    "op4_search": _op4_sql(),
     "op6_chat": _op6_sql(),
+    "op8_licences": _op8_sql(),
 }
