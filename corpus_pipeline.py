@@ -11,8 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clinilake.llm import quality
+from clinilake.llm import bpe, mixing, neardup, pii, quality
 from clinilake.llm.common import stored
+from clinilake.llm.queries import WEIGHTS, vocabulary_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -22,11 +23,36 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group stays: the smallest doc_id."""
+    return neardup.drop_copies(docs)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in the texts is replaced by marks; n_chars follows."""
+    return pii.redact(docs)
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents in the order of the mix: the rows' order, so the files'."""
+    return mixing.mix(docs, WEIGHTS)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of each text: doc_id, n_tokens, ids, and the text they decode to."""
+    path = vocabulary_path()
+    return bpe.decode(bpe.encode(docs, path), path)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("personal_data", personal_data),
+    ("mixed_sources", mixed_sources),
+    ("encoded", encoded),
 ]
 
-#: Some stages (components, a trained model, tokenizers) have no SQL form.
+#: Components, a trained field and a tokenizer have no SQL form.
 ORACLE_SQL: str | None = None
 
 
