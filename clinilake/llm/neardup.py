@@ -9,13 +9,13 @@
    its members are compared to one *pivot*, a pair for each member.
 3. The XOR of two odd sketches is the sketch of the samples in which they
    differ; its population count bounds the similarity from above.  Pairs over
-   ``MOST_BITS`` go (a pair at the threshold exceeds that once in 10**8), the
-   rest is confirmed on the full sets.
-4. Buckets whose members still lie in several components compare them again,
-   with another pivot each round, and at last every member to the members of
-   the *other* components, under the sketch and size bounds inside the join.
-   So each linked pair of one bucket ends in one component; a pair at the
-   threshold shares no bucket once in 10**7.
+   :func:`most_bits` go (a pair at the threshold exceeds that once in 10**8),
+   the rest is confirmed on the full sets.
+4. Buckets whose members still lie in several components compare them to a few
+   other pivots, and at last every member to the members of the *other*
+   components, under the sketch and size bounds inside the join and only in the
+   first bucket that a pair shares.  So each linked pair of one bucket ends in
+   one component; a pair at the threshold shares no bucket once in 10**7.
 5. Components of the confirmed links by alternating stars.
 
 Defined results: null or empty texts and texts without words have an empty set
@@ -28,7 +28,7 @@ gives no rows; extra columns are ignored by :func:`groups` and kept by
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,17 +40,19 @@ from . import shingles
 from .common import stored
 
 BANDS, ROWS = 22, 4
-SAMPLES = 128
-SKETCH_BITS = 256
-PIVOT_ROUNDS = 2
+SAMPLES = 512
+SKETCH_BITS = 1024
+#: Rounds with other pivots, and pivots of a bucket in each.
+PIVOT_ROUNDS, PIVOTS = 2, 4
 
-_SEEDS = np.random.default_rng(7).integers(1, 1 << 63, (2, SAMPLES), dtype=np.uint64)
-_TIMES, _PLUS = _SEEDS[0] * np.uint64(2) + np.uint64(1), _SEEDS[1]
+_SEEDS = np.random.default_rng(7).integers(1, 1 << 32, (2, SAMPLES), dtype=np.uint32)
+_TIMES, _PLUS = _SEEDS[0] | np.uint32(1), _SEEDS[1]
 _SLOT = np.random.default_rng(8).integers(1, 1 << 63, SAMPLES, dtype=np.uint64)
 
 SIGNATURE = ("doc_id long, n_shingles long, fp_a long, fp_b long, bands array<long>, sketch array<long>")
 
 
+@lru_cache(maxsize=8)
 def most_bits(percent: int, miss: float = 1e-8) -> int:
     """The population count that two sketches of that similarity exceed with
     probability ``miss`` at most: samples differ binomially, and each
@@ -82,11 +84,12 @@ def _sketches(samples: np.ndarray) -> np.ndarray:
 
 
 def _samples(hashes: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """MinHash samples of each row (none of them empty): rows x SAMPLES."""
-    out = np.empty((len(rows) - 1, SAMPLES), np.uint64)
+    """MinHash samples of each row (none of them empty): rows x SAMPLES, of 32 bits each."""
+    out = np.empty((SAMPLES, len(rows) - 1), np.uint32)
+    high = (hashes >> np.uint64(32)).astype(np.uint32)
     for k in range(SAMPLES):
-        out[:, k] = np.minimum.reduceat(hashes * _TIMES[k] + _PLUS[k], rows[:-1])
-    return out
+        np.minimum.reduceat(high * _TIMES[k] + _PLUS[k], rows[:-1], out=out[k])
+    return out.T.astype(np.uint64)
 
 
 def _sets(batch: pa.RecordBatch, width: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -153,6 +156,27 @@ def _may_link(a: str, b: str, percent: int) -> Column:
         _bits_apart(F.col(f"{a}.sketch"), F.col(f"{b}.sketch")) <= most_bits(percent))
 
 
+def _across(open_rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of one bucket and two components that may link.
+
+    Bounds are checked where the pair is made, in the first bucket that it
+    shares, so what comes out is about as many rows as pairs near the threshold.
+    """
+    marks = classes.select("doc_id", F.struct("n", "sketch", "bands").alias("s"))
+
+    def side(x: str) -> DataFrame:
+        return (open_rows.select("key", F.col("doc_id").alias(x), F.col("component").alias(f"c{x}"))
+                .join(marks.select(F.col("doc_id").alias(x), F.col("s").alias(f"s{x}")), x))
+
+    def earlier(x: str) -> Column:
+        """The band keys before this bucket's."""
+        return F.slice(F.col(f"s{x}.bands"), F.lit(1), F.array_position(F.col(f"s{x}.bands"), F.col("key")).cast("int") - 1)
+
+    return (side("a").join(side("b"), "key")
+            .where((F.col("ca") < F.col("cb")) & _may_link("sa", "sb", percent)
+                   & ~F.arrays_overlap(earlier("a"), earlier("b"))).select("a", "b"))
+
+
 def _confirmed(pairs: DataFrame, documents: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the similarity.
 
@@ -228,35 +252,36 @@ def groups(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
         F.min("rep").alias("b"), F.max("rep").alias("high")).where("b <> high").select("doc_id", "b")
     ties = placed.join(same_id, "doc_id").where("rep <> b").select(F.col("rep").alias("a"), "b")
 
-    def tested(pairs: DataFrame, name: str) -> DataFrame:
-        """Confirmed pairs among (a, b) rows: by sketch and size, then on full sets."""
+    def near(pairs: DataFrame) -> DataFrame:
+        """The (a, b) rows within the size and sketch bounds."""
         a = marks.select(F.col("doc_id").alias("a"), F.col("s").alias("sa"))
         b = marks.select(F.col("doc_id").alias("b"), F.col("s").alias("sb"))
-        near = pairs.join(a, "a").join(b, "b").where(_may_link("sa", "sb", percent)).select("a", "b").distinct()
-        return stored(_confirmed(stored(near, f"{name}_near"), docs, width, percent), name)
+        return pairs.join(a, "a").join(b, "b").where(_may_link("sa", "sb", percent)).select("a", "b")
+
+    def confirmed(pairs: DataFrame, name: str) -> DataFrame:
+        found = stored(pairs.distinct(), f"{name}_near")
+        return stored(_confirmed(found, docs, width, percent), name)
 
-    links = tested(members.where("doc_id <> pivot").select(F.col("doc_id").alias("a"), F.col("pivot").alias("b"))
-                   .distinct(), "links")
+    links = confirmed(near(members.where("doc_id <> pivot").select(
+        F.col("doc_id").alias("a"), F.col("pivot").alias("b")).distinct()), "links")
     found = components(links.unionByName(ties))
-    for turn in range(1, PIVOT_ROUNDS + 1):
-        own = F.coalesce("component", "doc_id")
+    for turn in range(1, PIVOT_ROUNDS + 2):
         located = members.select("key", "doc_id").join(found, F.col("doc_id") == F.col("node"), "left").select(
-            "key", "doc_id", own.alias("component"))
-        mixed = located.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"),
-                                          F.min(F.struct(F.xxhash64("doc_id", F.lit(turn)), "doc_id", "component"))
-                                          .alias("p")).where("low <> high")
-        open_rows = stored(located.join(stored(mixed.select("key", "p"), "mixed"), "key"), "open")
-        last = turn == PIVOT_ROUNDS
-        if last:
-            left = open_rows.select("key", F.col("doc_id").alias("a"), F.col("component").alias("ca"))
-            right = open_rows.select("key", F.col("doc_id").alias("b"), F.col("component").alias("cb"))
-            sized = [side.join(marks.select(F.col("doc_id").alias(x), F.col("s").alias(f"s{x}")), x)
-                     for side, x in ((left, "a"), (right, "b"))]
-            pairs = sized[0].join(sized[1], "key").where((F.col("ca") < F.col("cb")) & _may_link("sa", "sb", percent))
+            "key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+        pivots = [F.min(F.struct(F.xxhash64("doc_id", F.lit(turn * PIVOTS + k)), "doc_id", "component")).alias(f"p{k}")
+                  for k in range(PIVOTS)]
+        mixed = located.groupBy("key").agg(
+            F.min("component").alias("low"), F.max("component").alias("high"), *pivots).where("low <> high")
+        open_rows = stored(located.join(stored(mixed.select("key", F.array(
+            *[F.struct(f"p{k}.doc_id", f"p{k}.component") for k in range(PIVOTS)]).alias("pivots")), "mixed"), "key"),
+            "open")
+        if turn <= PIVOT_ROUNDS:
+            pairs = near(open_rows.select("doc_id", "component", F.explode(F.array_distinct("pivots")).alias("p"))
+                         .where("component <> p.component")
+                         .select(F.col("doc_id").alias("a"), F.col("p.doc_id").alias("b")).distinct())
         else:
-            pairs = open_rows.where("component <> p.component").select(
-                F.col("doc_id").alias("a"), F.col("p.doc_id").alias("b"))
-        more = tested(pairs.select("a", "b").distinct(), f"links_{turn}")
+            pairs = _across(open_rows, classes, percent)
+        more = confirmed(pairs, f"links_{turn}")
         links = links.unionByName(more)
         found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
 
