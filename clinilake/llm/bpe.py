@@ -25,15 +25,13 @@ stands for fixed bytes, and decoding joins those bytes.
 Defined results: a null or empty text has no ids and decodes to an empty text;
 rows that repeat each get a row; a null doc_id is kept; extra columns are
 ignored; an empty table gives no rows.  Special tokens' strings inside a text
-become their ids, as in the library.  A text of any length is encoded in
-stretches of ``STRETCH`` characters between sure breaks.
+become their ids, as in the library.  A long text is encoded in stretches
+between sure breaks.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,84 +42,14 @@ from pyspark.sql import functions as F
 
 from . import shingles
 from .common import stored
-from .token_counts import tokenizer
+from .vocabulary import BREAK, Vocabulary, vocabulary
 
 #: Bytes that the rolling hash sees, and the mean, least and greatest length of chunks.
 WINDOW, MEAN, LEAST, MOST = 32, 1024, 256, 8192
 #: Bits of the bitmap of shared chunks: 8 MB.
 BITMAP_BITS = 1 << 26
-#: Characters that are encoded in one call.
-STRETCH = 1 << 18
-
-_BREAK = re.compile(rb"[A-Za-z](?= )")
-_TEXT_BREAK = re.compile(r"[A-Za-z](?= )")
-
-
-class Vocabulary:
-    """A tokenizer with the bytes of each of its ids."""
-
-    def __init__(self, path: str) -> None:
-        self.path = path
-        self.tokenizer = tokenizer(path)
-        letters = _byte_letters()
-        back = {c: b for b, c in enumerate(letters)}
-        special = {i: t.content for i, t in self.tokenizer.get_added_tokens_decoder().items()}
-        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        table = [b""] * (1 + max([size - 1, *special]))
-        for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
-            table[i] = (token.encode() if i in special or any(c not in back for c in token)
-                        else bytes(back[c] for c in token))
-        self.table = table
-        self.lengths = np.array([len(b) for b in table], np.int64)
-        self.dtype = np.dtype("<u2") if len(table) <= 1 << 16 else np.dtype("<u4")
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of whole texts; long ones go in stretches between sure breaks."""
-        parts, owner = [], []
-        for k, text in enumerate(texts):
-            for part in _stretches(text):
-                parts.append(part)
-                owner.append(k)
-        out: list[list[np.ndarray]] = [[] for _ in texts]
-        start = 0
-        while start < len(parts):
-            end, size = start, 0
-            while end < len(parts) and (end == start or size + len(parts[end]) <= STRETCH):
-                size += len(parts[end])
-                end += 1
-            for k, e in zip(owner[start:end],
-                            self.tokenizer.encode_batch_fast(parts[start:end], add_special_tokens=False), strict=True):
-                out[k].append(np.array(e.ids, self.dtype))
-            start = end
-        return [x[0] if len(x) == 1 else np.concatenate([np.zeros(0, self.dtype), *x]) for x in out]
-
-    def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.table.__getitem__, ids.tolist()))
-
-
-@lru_cache(maxsize=2)
-def vocabulary(path: str) -> Vocabulary:
-    return Vocabulary(path)
-
-
-def _byte_letters() -> list[str]:
-    """The letter that stands for each byte in byte-level vocabularies:
-    printable Latin-1 bytes stand for themselves, the others for U+0100 on."""
-    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    others = iter(range(0x100, 0x200))
-    return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
-
-
-def _stretches(text: str) -> list[str]:
-    out, start = [], 0
-    while len(text) - start > STRETCH:
-        found = _TEXT_BREAK.search(text, start + STRETCH)
-        if not found:
-            break
-        out.append(text[start:found.end()])
-        start = found.end()
-    out.append(text[start:])
-    return out
+#: Rows of a batch that are taken at a time.
+ROWS = 256
 
 
 def _cuts(data: np.ndarray, rows: np.ndarray) -> list[list[int]]:
@@ -158,6 +86,13 @@ def _cuts(data: np.ndarray, rows: np.ndarray) -> list[list[int]]:
     return out
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of a few rows, which bounds what a worker holds."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, ROWS):
+            yield batch.slice(first, ROWS)
+
+
 def _chunked(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes]]]:
     """(row, its chunks) of a batch."""
     for first, data, rows in shingles.text_blocks(batch.column("text")):
@@ -176,7 +111,7 @@ def _bit(h: int) -> int:
 
 
 def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _parts(batches):
         found = [_print(c) for _, chunks in _chunked(batch) for c in chunks]
         a, b = zip(*found, strict=True) if found else ((), ())
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["h", "g"])
@@ -193,8 +128,8 @@ class _Reuse:
         return bool(self.bits.value[bit >> 3] >> (bit & 7) & 1)
 
     def chunk_texts(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Chunks whose bit is set, once for each batch: h, g, text."""
-        for batch in batches:
+        """Chunks whose bit is set, once for each part: h, g, text."""
+        for batch in _parts(batches):
             found = {}
             for _, chunks in _chunked(batch):
                 for c in chunks:
@@ -206,7 +141,7 @@ class _Reuse:
 
     def chunk_ids(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(self.path)
-        for batch in batches:
+        for batch in _parts(batches):
             ids = vocab.encode(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("h"), batch.column("g"), pa.array([x.tobytes() for x in ids], pa.binary())],
@@ -215,56 +150,41 @@ class _Reuse:
     def alone(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Documents without a chunk whose bit is set: doc_id, ids."""
         vocab = vocabulary(self.path)
-        for batch in batches:
-            rows = [k for k, chunks in _chunked(batch) if not any(self._hit(_print(c)[0]) for c in chunks)]
-            own = batch.take(pa.array(rows, pa.int64()))
-            for first in range(0, len(rows), 256):
-                part = own.slice(first, 256)
-                ids = vocab.encode([t or "" for t in part.column("text").to_pylist()])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([x.tobytes() for x in ids], pa.binary())],
-                    names=["doc_id", "ids"])
+        for part in _parts(batches):
+            own = [(part.column("doc_id")[k].as_py(), vocab.encode_one(b"".join(chunks).decode()).tobytes())
+                   for k, chunks in _chunked(part) if not any(self._hit(_print(c)[0]) for c in chunks)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([d for d, _ in own], pa.int64()), pa.array([x for _, x in own], pa.binary())],
+                names=["doc_id", "ids"])
 
     def pieces(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The other documents' pieces: doc_id, text's print, place, h, g, ids (null: a chunk's)."""
         vocab = vocabulary(self.path)
-        for batch in batches:
-            ids_of = batch.column("doc_id")
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+        for part in _parts(batches):
             rows: list[tuple] = []
-            for k, chunks in _chunked(batch):
+            for k, chunks in _chunked(part):
                 hits = [(p, self._hit(p[0])) for p in map(_print, chunks)]
-                if any(hit for _, hit in hits):
-                    own = _print(b"".join(chunks))
-                    run: list[bytes] = []
-                    for at, (c, (p, hit)) in enumerate(zip(chunks, hits, strict=True)):
-                        if hit:
-                            rows.append((ids_of[k], *own, at, *p, None))
-                        else:
-                            run.append(c)
-                            if at + 1 == len(chunks) or hits[at + 1][1]:
-                                rows.append((ids_of[k], *own, at, *p, b"".join(run)))
-                                run = []
-                if len(rows) >= 512:
-                    yield self._rows(rows, vocab)
-                    rows = []
-            if rows:
-                yield self._rows(rows, vocab)
-
-    @staticmethod
-    def _rows(rows: list[tuple], vocab: Vocabulary) -> pa.RecordBatch:
-        ids = iter(vocab.encode([r[6].decode() for r in rows if r[6] is not None]))
-        columns = list(zip(*rows, strict=True))
-        return pa.RecordBatch.from_arrays(
-            [pa.array([x.as_py() for x in columns[0]], pa.int64()),
-             *[pa.array(columns[i], pa.int64()) for i in (1, 2)], pa.array(columns[3], pa.int32()),
-             *[pa.array(columns[i], pa.int64()) for i in (4, 5)],
-             pa.array([None if t is None else next(ids).tobytes() for t in columns[6]], pa.binary())],
-            names=["doc_id", "t", "u", "at", "h", "g", "run_ids"])
+                if not any(hit for _, hit in hits):
+                    continue
+                whole = (part.column("doc_id")[k].as_py(), *_print(b"".join(chunks)))
+                run: list[bytes] = []
+                for at, (c, (p, hit)) in enumerate(zip(chunks, hits, strict=True)):
+                    if hit:
+                        rows.append((*whole, at, *p, None))
+                    else:
+                        run.append(c)
+                        if at + 1 == len(chunks) or hits[at + 1][1]:
+                            rows.append((*whole, at, *p, vocab.encode_one(b"".join(run).decode()).tobytes()))
+                            run = []
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)],
+                names=["doc_id", "t", "u", "at", "h", "g", "run_ids"])
 
     def joined(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pieces of a document, in order, made one: doc_id, ids; a row for each copy."""
         vocab = vocabulary(self.path)
-        for batch in batches:
+        for batch in _parts(batches):
             docs, out = [], []
             for doc_id, copies, pieces in zip(batch.column("doc_id").to_pylist(), batch.column("copies").to_pylist(),
                                               batch.column("pieces"), strict=True):
@@ -298,7 +218,7 @@ def repaired(pieces: list[np.ndarray], vocab: Vocabulary) -> np.ndarray:
         if not len(piece):
             continue
         data = vocab.decode(piece)
-        first = _BREAK.search(data)
+        first = BREAK.search(data)
         if not first:
             # No sure break in this piece: it joins what is open.
             open_ids = _again([open_ids, piece], vocab)
@@ -359,14 +279,12 @@ def encode(documents: DataFrame, path: str) -> DataFrame:
 def _decoded(path: str):
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
-        for batch in batches:
-            for first in range(0, batch.num_rows, 256):
-                part = batch.slice(first, 256)
-                ids = [np.frombuffer(x.as_buffer(), vocab.dtype) for x in part.column("ids")]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()), part.column("ids"),
-                     pa.array([vocab.decode(x).decode("utf-8", "replace") for x in ids], pa.string())],
-                    names=["doc_id", "n_tokens", "ids", "decoded"])
+        for part in _parts(batches):
+            ids = [np.frombuffer(x.as_buffer(), vocab.dtype) for x in part.column("ids")]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()), part.column("ids"),
+                 pa.array([vocab.decode(x).decode("utf-8", "replace") for x in ids], pa.string())],
+                names=["doc_id", "n_tokens", "ids", "decoded"])
     return decode
 
 
@@ -380,7 +298,7 @@ def _digests(path: str):
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dtype = vocabulary(path).dtype
-        for batch in batches:
+        for batch in _parts(batches):
             ids = [hashlib.sha256(np.frombuffer(x.as_buffer(), dtype).astype("<u4").tobytes()).hexdigest()
                    for x in batch.column("ids")]
             texts = [hashlib.sha256(x.as_py().encode()).hexdigest() for x in batch.column("decoded")]

@@ -17,47 +17,31 @@ has an empty histogram, totals of 0 and null quantiles.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored
+from .vocabulary import vocabulary
 
 #: Lengths of a range, for the two levels of sums.
 RANGE = 1024
-#: Characters that one call of the tokenizer gets, about.
-CALL_CHARS = 1 << 20
+#: Rows of a batch that are taken at a time.
+ROWS = 256
 LIMITS = (128, 256, 512, 1024, 2048, 4096, 8192, 16384, 32768)
 QUANTILES = (0.01, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99, 1.0)
 
 
-@lru_cache(maxsize=4)
-def tokenizer(path: str):
-    """The tokenizer of a file, once for each Python worker."""
-    from tokenizers import Tokenizer
-    found = Tokenizer.from_file(path)
-    found.no_truncation()
-    found.no_padding()
-    return found
-
-
 def _lengths(path: str):
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokenizer(path).encode_batch_fast
+        encode = vocabulary(path).encode_one
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            lengths, start = [], 0
-            while start < len(texts):
-                end, size = start, 0
-                while end < len(texts) and (end == start or size + len(texts[end]) <= CALL_CHARS):
-                    size += len(texts[end])
-                    end += 1
-                lengths += [len(e) for e in encode(texts[start:end], add_special_tokens=False)]
-                start = end
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(lengths, pa.int64())],
-                                             names=["doc_id", "n_tokens"])
+            for first in range(0, batch.num_rows, ROWS):
+                part = batch.slice(first, ROWS)
+                sizes = [len(encode(t.as_py() or "")) for t in part.column("text")]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sizes, pa.int64())],
+                                                 names=["doc_id", "n_tokens"])
     return measure
 
 
