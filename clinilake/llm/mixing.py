@@ -22,9 +22,9 @@ with a third of all rows is numbered by many tasks.
 
 Without given weights a source of n rows weighs n ** ``TEMPER``.
 
-Defined results: a null source is a source of its own (``UNKNOWN``); a source
-that the given weights leave out keeps its share of the rows; given weights
-need not add up to one; rows that repeat a doc_id each have a place, next to
+Defined results: a null source is a source of its own (``UNKNOWN``); given
+weights need not add up to one nor name every source (see :func:`targets`);
+weights must be positive; rows that repeat a doc_id each have a place, next to
 each other in any order; a null doc_id is a key like any other; an empty table
 gives no rows; more than ``CYCLE`` sources need a longer cycle.
 """
@@ -62,6 +62,20 @@ def rounded(weights: Mapping[str, float], cycle: int = CYCLE) -> dict[str, int]:
     return shares
 
 
+def targets(counts: Mapping[str, int], weights: Mapping[str, float]) -> dict[str, float]:
+    """Each source's share of the mix, adding up to one.
+
+    Given weights are shares as they stand while they leave some for the other
+    sources, which divide that by their rows; else the others keep their share
+    of the rows, and the given ones divide what is left.
+    """
+    given = {s: w for s, w in weights.items() if s in counts}
+    others = {s: n for s, n in counts.items() if s not in given}
+    total, rows = sum(given.values()), sum(counts.values())
+    rest = 0.0 if not others else 1 - total if total < 1 else sum(others.values()) / rows
+    return {s: given[s] / total * (1 - rest) if s in given else others[s] / sum(others.values()) * rest for s in counts}
+
+
 def one_cycle(shares: Mapping[str, int]) -> list[str]:
     """The source that runs in each slot of a cycle of ``sum(shares)`` slots."""
     cycle = sum(shares.values())
@@ -133,10 +147,7 @@ def _scheduled(rows: DataFrame, source: Column, key: Column, weights: Mapping[st
                block_rows: int, cycle: int) -> DataFrame:
     numbered, counts = _numbered(rows, source, key)
     spark = rows.sparkSession
-    total = sum(counts.values())
-    given = {s: w for s, w in (weights or {s: n ** TEMPER for s, n in counts.items()}).items() if s in counts}
-    rest = sum(n for s, n in counts.items() if s not in given) / max(total, 1)
-    want = {s: given[s] / sum(given.values()) * (1 - rest) if s in given else n / total for s, n in counts.items()}
+    want = targets(counts, weights or {s: n ** TEMPER for s, n in counts.items()})
     plan = phases({s: -(-n // block_rows) for s, n in counts.items()}, want, cycle)
     # Both tables have at most (sources x phases) and (CYCLE x phases) rows.
     spans = spark.createDataFrame(

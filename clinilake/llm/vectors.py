@@ -91,6 +91,8 @@ class Tree:
                         heapq.heappush(heap, (-bounds[child], child))
                 continue
             scores = self.points[first:end] @ query
+            if scores.dtype == object:
+                scores = np.clip(scores, -_LIMIT - 1, _LIMIT)
             near = np.arange(end - first) if kth is None else np.flatnonzero(scores >= kth)
             for r in near:
                 vec = int(ids[self.order[first + r]])
@@ -129,8 +131,7 @@ def _searching(k: int):
                 part = queries.slice(first, 256)
                 for q, b, own, kth in zip(asks[first:first + 256], bounds, part.column("query_id").to_pylist(),
                                           part.column("kth").to_pylist(), strict=True):
-                    out += [(own, -v, max(-_LIMIT - 1, min(_LIMIT, s)))
-                            for s, v in tree.search(q, b, ids, own, k, kth)]
+                    out += [(own, -v, s) for s, v in tree.search(q, b, ids, own, k, kth)]
         columns = list(zip(*out, strict=True)) or [(), (), ()]
         return pa.table([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])
     return run

@@ -1,0 +1,114 @@
+import hashlib
+import re
+
+import numpy as np
+
+from clinilake.llm import pii
+from llm_data import docs
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def _brute(text):
+    out = [(m.start(), 0, m.end()) for m in EMAIL.finditer(text)]
+    out += [(m.start(), 1, m.end()) for m in IP.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
+    for m in CARD.finditer(text):
+        d = pii.digits_of(m[0])
+        if 12 <= len(d) <= 19 and pii.luhn(d):
+            out.append((m.start(), 2, m.end()))
+    out += [(m.start(), 3, m.end()) for m in PHONE.finditer(text) if 9 <= len(pii.digits_of(m[0])) <= 15]
+    return sorted(out)
+
+
+def test_base_spans_match_the_plain_patterns():
+    rng = np.random.default_rng(2)
+    letters = list("aZ09.@_%+- ()4\né-51")
+    texts = ["".join(rng.choice(letters, rng.integers(0, 90))) for _ in range(4000)]
+    texts += ["a@b.co_x@y.com", "1.2.3.4.5.6.7.8", "300.1.1.1 1.2.3.255", "4111 1111 1111 1111", "4111-1111-1111-1111 7",
+              "+1 (784) 555-9263", "+1 (784) 555-9263. 12", "x@y@z.org", "@a.b", "a@b", "00001.2.3.0004", "1" * 400,
+              "+" * 50 + "1 2", "a" * 3000 + "@", "4" * 16 + "@x.y"]
+    for t in texts:
+        assert pii.base_spans(t) == _brute(t), t
+
+
+def test_luhn():
+    assert pii.luhn("4111111111111111") and not pii.luhn("4111111111111112")
+
+
+def test_held_out_accuracy():
+    """Sentences filled with another seed, apart from those of training."""
+    field, rng, right, total = pii.default_field(), np.random.default_rng(77), 0, 0
+    for sentence in pii.SENTENCES * 6:
+        text, spans = pii._example(pii._filled(rng, sentence))
+        words = pii.active_words(text)
+        if words:
+            rows, edges = pii.features(text, words)
+            best = field.marginals(field.scores(rows), np.array(edges, int).reshape(-1, 3)).argmax(axis=1)
+            right += int((best == pii.labels_of(words, spans)).sum())
+            total += len(words)
+    assert right / total > 0.97
+
+
+def test_skip_edges_carry_a_label():
+    """A bare number alone is unsure; after its full form it is a phone."""
+    field = pii.default_field()
+    text = "+1 (784) 555-9263 was there. Much later we saw 784-555-9263 again"
+    words = pii.active_words(text)
+    rows, edges = pii.features(text, words)
+    assert any(t == 1 for _, _, t in edges)
+    joined = field.marginals(field.scores(rows), np.array(edges, int))
+    alone = field.marginals(field.scores(rows), np.array([e for e in edges if e[2] == 0], int))
+    assert joined[-1, 4] > alone[-1, 4]
+    base, added = pii.found_spans([text], field)[0]
+    assert [text[a:b] for a, _, b in added] == ["784-555-9263"]
+
+
+def test_exact_marginals_on_a_tree():
+    """Message passing is exact where the graph has no loop."""
+    import itertools
+    rng = np.random.default_rng(4)
+    pairs = rng.normal(size=(2, 3, 3))
+    pairs = (pairs + pairs.transpose(0, 2, 1)) / 2
+    field = pii.Field({}, np.zeros((0, 3)), pairs)
+    scores, edges = rng.normal(size=(4, 3)), np.array([[0, 1, 0], [1, 2, 1], [1, 3, 0]])
+    weight = np.zeros((4, 3))
+    for y in itertools.product(range(3), repeat=4):
+        w = np.exp(sum(scores[i, y[i]] for i in range(4)) + sum(pairs[t, y[i], y[j]] for i, j, t in edges))
+        for i in range(4):
+            weight[i, y[i]] += w
+    assert np.allclose(field.marginals(scores, edges), weight / weight.sum(axis=1, keepdims=True), atol=1e-3)
+
+
+def test_clean_text_gets_no_span():
+    field = pii.default_field()
+    for text in ["", "no data at all", "License, Version 2.0 of 2024, page 12.", "CC BY-NC 4.0.", "12 of 99 items, 3.5%",
+                 'token = "0641917ea4e9feb9cda83477b57ac2654884f485"', "1 2 3 4 5 6 7 8 9 " * 50]:
+        base, added = pii.found_spans([text], field)[0]
+        assert not base and not added, text
+
+
+def test_find_rows_and_digests(spark):
+    rows = [(1, "mail a@b.co and 4111 1111 1111 1111"), (2, None), (None, ""), (3, "é +44 20 7946 0958 call 10.0.0.1"),
+            (3, "é +44 20 7946 0958 call 10.0.0.1"), (4, "x " * 50000 + "a@b.co")]
+    got = pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len(rows)
+    for r, (_, text) in zip(sorted(got, key=lambda r: r.doc_id or -1), sorted(rows, key=lambda r: r[0] or -1)):
+        base = _brute(text or "")
+        joined = ",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in base)
+        assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(s[1] == k for s in base) for k in range(4)]
+        assert set(filter(None, joined.split(","))) <= set(r.spans.split(","))
+
+
+def test_redact_keeps_columns(spark):
+    table = docs(spark)
+    out = pii.redact(table)
+    assert out.schema == table.schema
+    assert sorted(map(repr, out.collect())) == sorted(map(repr, table.collect()))
+    one = spark.createDataFrame([(1, "to a@b.co or +1 (784) 555-9263!", 99)], "doc_id long, text string, n_chars long")
+    assert tuple(pii.redact(one).first()) == (1, "to [email] or [phone]!", 22)
+    assert pii.redacted("4111111111111111 x", [(0, 2, 16), (3, 3, 18)]) == "[card]"
+    assert pii.find(table.limit(0)).count() == 0

@@ -1,0 +1,78 @@
+import numpy as np
+import pyarrow.parquet as pq
+import pytest
+
+import corpus_pipeline
+from clinilake.llm import pii, quality, queries
+from conftest import SF_SMALL
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_stages_are_the_five_dealt():
+    assert [n for n, _ in corpus_pipeline.STAGES] == [
+        "quality_rules", "near_duplicates", "personal_data", "mixed_sources", "encoded"]
+
+
+@pytest.fixture(scope="module")
+def staged(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("stages")
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    out = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        path = str(folder / name)
+        stage(spark, out[-1], SF_SMALL).write.parquet(path)
+        out.append(spark.read.parquet(path))
+    return [{r["doc_id"]: r.asDict() for r in df.collect()} for df in out]
+
+
+def test_each_stage_does_its_part(spark, staged):
+    docs, good, single, clean, mixed, encoded = staged
+    kept = {r.doc_id for r in quality.assess(spark.read.parquet(f"{SF_SMALL}/documents.parquet"),
+                                             spark.read.parquet(f"{SF_SMALL}/labels.parquet")).where("kept").collect()}
+    assert set(good) == kept and all(good[i] == docs[i] for i in good)
+    from test_llm_neardup import _brute
+    groups = _brute([(i, r["text"]) for i, r in good.items()], 5, 80)
+    assert set(single) == set(groups.values()) and all(single[i] == good[i] for i in single)
+    field = pii.default_field()
+    for i, r in single.items():
+        base, added = pii.found_spans([r["text"]], field)[0]
+        assert clean[i]["text"] == pii.redacted(r["text"], base + added)
+        assert clean[i]["n_chars"] == len(clean[i]["text"])
+    assert mixed == clean and list(next(iter(mixed.values()))) == COLUMNS
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(queries.vocabulary_path())
+    assert set(encoded) == set(mixed)
+    for i, r in encoded.items():
+        assert np.frombuffer(r["ids"], "<u2").tolist() == tok.encode(mixed[i]["text"], add_special_tokens=False).ids
+        assert r["decoded"] == mixed[i]["text"]
+
+
+def test_mix_takes_effect_in_the_row_order(spark, tmp_path):
+    """Written by one task, rows follow the schedule."""
+    from clinilake.llm import mixing
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    path = str(tmp_path / "mixed")
+    mixing.mix(docs, queries.WEIGHTS).coalesce(1).write.parquet(path)
+    got = pq.read_table(path).column("doc_id").to_pylist()
+    plan = {r.doc_id: r.position for r in mixing.schedule(docs, queries.WEIGHTS).collect()}
+    assert [plan[i] for i in got] == sorted(plan.values())
+
+
+def test_run_equals_the_stages(spark, staged):
+    got = {r["doc_id"]: r.asDict() for r in corpus_pipeline.run(spark, SF_SMALL).collect()}
+    assert got == staged[-1]
+    assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_empty_documents_and_extra_columns(spark, tmp_path):
+    from pyspark.sql import functions as F
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    for frame in (docs.limit(0), docs.where("doc_id < 40").withColumn("row", F.lit(1)).withColumn("kept", F.lit(None).cast("int"))):
+        for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+            path = str(tmp_path / f"{name}{len(frame.columns)}")
+            out = stage(spark, frame, SF_SMALL)
+            if k < 4:
+                assert out.columns == frame.columns
+            out.write.parquet(path)
+            frame = spark.read.parquet(path)
