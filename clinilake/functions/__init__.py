@@ -20,24 +20,27 @@ from pyspark.sql import functions as F
 SPANISH_MONTHS = ["ENERO", "FEBRERO", "MARZO", "ABRIL", "MAYO", "JUNIO", "JULIO",
                   "AGOSTO", "SEPTIEMBRE", "OCTUBRE", "NOVIEMBRE", "DICIEMBRE"]
 
-# Latin letters that do not decompose into a base letter plus
-# accents, with their plain transliteration.
+# Letters that do not decompose into a base letter plus accents,
+# with their plain transliteration.
 _LIGATURES = {"Æ": "AE", "Œ": "OE", "Ø": "O", "Đ": "D", "Ð": "D", "Ł": "L",
-              "Þ": "TH", "ß": "SS", "Ħ": "H", "Ŧ": "T", "Ŋ": "N", "Ĳ": "IJ"}
+              "Þ": "TH", "ß": "SS", "ẞ": "SS", "Ħ": "H", "Ŧ": "T", "Ŋ": "N", "Ĳ": "IJ",
+              "º": "o", "ª": "a"}
+
+# Latin-1, Latin Extended-A and -B, and Latin Extended Additional.
+_LATIN = (range(0x00C0, 0x0250), range(0x1E00, 0x1F00))
 
 
 def _accent_table() -> tuple[str, str]:
-    """Upper-case Latin-1 and Latin Extended-A letters whose canonical
+    """Latin letters that have no other upper-case form and whose canonical
     decomposition starts with an ASCII letter, mapped to that letter."""
     src, dst = [], []
-    for code in range(0x00C0, 0x0180):
+    for code in (c for block in _LATIN for c in block):
         ch = chr(code)
-        if ch != ch.upper():  # lower-case forms are upper-cased before lookup
-            continue
         base = unicodedata.normalize("NFD", ch)[0]
-        if base != ch and "A" <= base <= "Z":
-            src.append(ch)
-            dst.append(base)
+        if base != ch and base.isascii() and base.isalpha():
+            if ch == ch.upper() or len(ch.upper()) > 1:  # lower case is upper-cased before lookup
+                src.append(ch)
+                dst.append(base.upper())
     return "".join(src), "".join(dst)
 
 
@@ -46,17 +49,20 @@ _ACCENTED, _PLAIN = _accent_table()
 # Java regex: (?U) makes \s match every Unicode space, NBSP included, as
 # Python's str.strip does.
 _EDGE_SPACE = r"(?U)^\s+|\s+$"
+# Combining marks: what is left of letters written in decomposed form.
+_MARKS = "[\\u0300-\\u036F]"
 
 
 def normalize_text(col: Column | str) -> Column:
     """Strip, upper-case and remove accents (null stays null).
 
-    ``" Pediatría "`` -> ``"PEDIATRIA"``; ``"Ñandú"`` -> ``"NANDU"``.
+    ``" Pediatría "`` -> ``"PEDIATRIA"``; ``"Ñandú"`` -> ``"NANDU"``, composed
+    or decomposed; the ordinal signs become ``o`` and ``a``.
     """
     c = F.upper(F.regexp_replace(F.col(col) if isinstance(col, str) else col, _EDGE_SPACE, ""))
     for ligature, plain in _LIGATURES.items():
         c = F.replace(c, F.lit(ligature), F.lit(plain))
-    return F.translate(c, _ACCENTED, _PLAIN)
+    return F.regexp_replace(F.translate(c, _ACCENTED, _PLAIN), _MARKS, "")
 
 
 def document_text(col: Column | str) -> Column:

@@ -29,14 +29,16 @@ from __future__ import annotations
 import logging
 import re
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clinilake.names import col, quoted
+
 log = logging.getLogger(__name__)
 
-DEFAULT_MAX_ROWS = 200_000  # rows the probe may bring to the driver (one long each)
+DEFAULT_MAX_ROWS = 200_000
 DEFAULT_MAX_BYTES = 64 * 1024 * 1024
 
 
@@ -62,7 +64,6 @@ class Dim:
     max_bytes: int = DEFAULT_MAX_BYTES
     prejoin: bool = False
     complete: bool = False
-    children: list[Dim] = field(default_factory=list, repr=False)
 
 
 def _row_bytes(df: DataFrame) -> Column:
@@ -70,7 +71,7 @@ def _row_bytes(df: DataFrame) -> Column:
     binary values, and the JSON text length of nested values."""
     parts = []
     for f in df.schema:
-        c = F.col(f"`{f.name}`")
+        c = col(f.name)
         kind = f.dataType.typeName()
         if kind in ("string", "binary"):
             parts.append(F.coalesce(F.octet_length(c), F.lit(0)) + F.lit(8))
@@ -85,14 +86,12 @@ def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
                    max_bytes: int = DEFAULT_MAX_BYTES) -> bool:
     """Prove ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes.
 
-    ``take`` scans partitions incrementally and stops after ``max_rows + 1``
-    rows, so the probe of a huge table reads about one split; only one long
-    per row comes back to the driver.
+    At most ``max_rows + 1`` rows of a few bytes meet in one task, which counts
+    them and sums their sizes; one row comes to the driver.
     """
-    sizes = df.select(_row_bytes(df).alias("b")).take(max_rows + 1)
-    if len(sizes) > max_rows:
-        return False
-    return sum(r["b"] for r in sizes) <= max_bytes
+    found = df.select(_row_bytes(df).alias("b")).limit(max_rows + 1).agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("size")).first()
+    return found["n"] <= max_rows and found["size"] <= max_bytes
 
 
 def _hinted(dim: Dim, df: DataFrame) -> DataFrame:
@@ -108,22 +107,27 @@ def _hinted(dim: Dim, df: DataFrame) -> DataFrame:
 
 
 def _condition(left_alias: str, right_alias: str, on: Sequence[tuple[str, str]]) -> Column:
-    conds = [F.col(f"{left_alias}.{lc}") == F.col(f"{right_alias}.{rc}") for lc, rc in on]
+    conds = [F.col(f"{left_alias}.{quoted(lc)}") == F.col(f"{right_alias}.{quoted(rc)}") for lc, rc in on]
     out = conds[0]
     for c in conds[1:]:
         out = out & c
     return out
 
 
-def _absorb(dim: Dim) -> DataFrame:
+def _absorb(dim: Dim, children: dict[str, list[Dim]]) -> DataFrame:
     """The dimension with its snowflake children joined in (aliases kept)."""
     out = dim.df.alias(dim.alias)
-    for child in dim.children:
-        out = out.join(_hinted(child, _absorb(child)),
+    for child in children[dim.alias]:
+        out = out.join(_hinted(child, _absorb(child, children)),
                        _condition(dim.alias, child.alias, child.on), child.how)
     return out
 
 
+def _family(dim: Dim, children: dict[str, list[Dim]]) -> set[str]:
+    """The aliases of a dimension and of all that are joined into it."""
+    return {dim.alias}.union(*(_family(c, children) for c in children[dim.alias]))
+
+
 _QUALIFIED = re.compile(r"(?<![\w.`])`?([A-Za-z_]\w*)`?\.")
 
 
@@ -169,8 +173,7 @@ def star_join(fact: DataFrame, dims: Sequence[Dim], select: Sequence[Column | st
                     changed = True
         dims = [d for d in dims if not (d.complete and d.alias not in needed)]
     by_alias = {d.alias: d for d in dims}
-    for d in dims:
-        d.children = []
+    children: dict[str, list[Dim]] = {d.alias: [] for d in dims}
     top: list[Dim] = []
     for d in dims:
         parent = by_alias.get(d.parent) if d.parent else None
@@ -179,7 +182,7 @@ def star_join(fact: DataFrame, dims: Sequence[Dim], select: Sequence[Column | st
         # Pre-joining a child into its parent is the same as joining it after
         # the parent unless the parent is outer and the child inner.
         if parent is not None and d.prejoin and not (parent.how != "inner" and d.how == "inner"):
-            parent.children.append(d)
+            children[parent.alias].append(d)
         else:
             top.append(d)
     out = fact.alias(fact_alias)
@@ -188,8 +191,8 @@ def star_join(fact: DataFrame, dims: Sequence[Dim], select: Sequence[Column | st
         left = d.parent or fact_alias
         if left not in joined:
             raise ValueError(f"dimension {d.alias} must come after its parent {left}")
-        joined |= {d.alias} | {c.alias for c in d.children}
-        out = out.join(_hinted(d, _absorb(d)), _condition(left, d.alias, d.on), d.how)
+        joined |= _family(d, children)
+        out = out.join(_hinted(d, _absorb(d, children)), _condition(left, d.alias, d.on), d.how)
     if select is None:
         return out
     return out.select(*[F.col(c) if isinstance(c, str) else c for c in select])

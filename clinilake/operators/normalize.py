@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinilake.functions import normalize_text
+from clinilake.names import col as column, fresh
 from clinilake.operators.ordered import dense_index, row_index
 
 
@@ -37,14 +38,14 @@ def extract_dimension(df: DataFrame, col: str, key: str, value: str | None = Non
     """Turn a coded column into a dimension and a foreign key.
 
     Returns ``(dim, fact)``: ``dim(key, value)`` numbers the distinct non-null
-    codes 1..n in sorted order (so keys are stable across runs); ``fact`` is
+    codes 1..n in sorted order (long keys, stable across runs); ``fact`` is
     ``df`` with ``col`` replaced by ``key`` (null stays null).  The join back
     broadcasts the dimension when Spark finds it small and otherwise
     sort-merges; it is never forced.
     """
     value = value or col
-    dim = (dense_index(df.where(F.col(col).isNotNull()), [col], key, partitions)
-           .select(F.col(key).cast("int").alias(key), F.col(col).alias(value)))
+    dim = (dense_index(df.where(column(col).isNotNull()), [col], key, partitions)
+           .select(column(key), column(col).alias(value)))
     return dim, attach_dimension(df, col, dim, key, value)
 
 
@@ -56,19 +57,61 @@ def attach_dimension(df: DataFrame, col: str, dim: DataFrame, key: str,
     reads it instead of recomputing the distinct codes.
     """
     value = value or col
-    codes = dim.select(F.col(key).alias("_key"), F.col(value).alias("_code"))
-    return (df.join(codes, F.col(col) == F.col("_code"), "left")
-              .select(*[F.col("_key").alias(key) if c == col else F.col(f"`{c}`") for c in df.columns]))
+    k, code = fresh(["key", "code"], df.columns)
+    codes = dim.select(column(key).alias(k), column(value).alias(code))
+    return (df.join(codes, column(col) == F.col(code), "left")
+              .select(*[F.col(k).alias(key) if c == col else column(c) for c in df.columns]))
+
+
+# Typed columns of the bronze tables and the types they get; a value that does
+# not convert makes its row a reject.  Key columns must also be present.
+_ERP_TYPES = {
+    "patient": {"PACID": "long", "PACINGDAT": "timestamp"},
+    "attention": {"ATTID": "long", "ATTFIN04": "long", "ATTFIN05": "long", "ATTFIN01": "timestamp"},
+    "speciality": {"SPEID": "long"},
+}
+_ERP_KEYS = {"patient": ["PACID", "PACDOC"], "attention": ["ATTID", "ATTFIN04", "ATTFIN05", "ATTFIN01"],
+             "speciality": ["SPEID"]}
+
+
+def _reason(table: str) -> Column:
+    """Why a bronze row cannot become a silver one, or null."""
+    out = F.lit(None).cast("string")
+    for name, kind in reversed(_ERP_TYPES[table].items()):
+        bad = F.col(name).isNotNull() & F.col(name).cast("string").try_cast(kind).isNull()
+        out = F.when(bad, F.lit(f"{name} is not a {kind}")).otherwise(out)
+    for name in reversed(_ERP_KEYS[table]):
+        out = F.when(F.col(name).isNull(), F.lit(f"{name} is missing")).otherwise(out)
+    return out
+
+
+def _typed(bronze: DataFrame, table: str) -> DataFrame:
+    """The rows without a reason, typed columns converted."""
+    types = _ERP_TYPES[table]
+    return bronze.where(_reason(table).isNull()).select(
+        *[column(c).try_cast(types[c]).alias(c) if c in types else column(c) for c in bronze.columns])
+
+
+def erp_rejects(bronze: DataFrame, table: str) -> DataFrame:
+    """Rows of a bronze table (``patient``, ``attention``, ``speciality``) that
+    do not convert, as ``(table_name, key, reason, row)``; the row is JSON text.
+
+    With the silver rows of the table they make up all of its rows.
+    """
+    (reason,) = fresh(["reason"], bronze.columns)
+    return (bronze.withColumn(reason, _reason(table)).where(F.col(reason).isNotNull())
+            .select(F.lit(table).alias("table_name"), F.col(_ERP_KEYS[table][0]).cast("string").alias("key"),
+                    F.col(reason).alias("reason"),
+                    F.to_json(F.struct(*[column(c) for c in bronze.columns])).alias("row")))
 
 
 def erp_patient(bronze: DataFrame) -> DataFrame:
     """Bronze ``Patient`` -> ``dim_patient`` (N1 + text normalisation)."""
     name = split_person_name(normalize_text("PACNAME"))
-    return bronze.select(
-        F.col("PACID").cast("int"), F.col("PACDOC").cast("string"),
+    return _typed(bronze, "patient").select(
+        "PACID", F.col("PACDOC").cast("string").alias("PACDOC"),
         name["FIRST_NAME"].alias("FIRST_NAME"), name["SECOND_NAME"].alias("SECOND_NAME"),
-        name["LAST_NAME"].alias("LAST_NAME"), normalize_text("PACCITY").alias("PACCITY"),
-        F.col("PACINGDAT").cast("timestamp"))
+        name["LAST_NAME"].alias("LAST_NAME"), normalize_text("PACCITY").alias("PACCITY"), "PACINGDAT")
 
 
 def erp_attention(bronze: DataFrame, partitions: int | None = None
@@ -85,18 +128,21 @@ def erp_attention(bronze: DataFrame, partitions: int | None = None
 
 def erp_attention_coded(bronze: DataFrame) -> DataFrame:
     """Bronze ``Attention`` with silver names and normalised status texts."""
-    return bronze.select(
-        F.col("ATTID").cast("int"), F.col("ATTFIN04").cast("int").alias("PACID"),
-        F.col("ATTFIN05").cast("int").alias("SPEID"), F.col("ATTFIN01").cast("timestamp"),
+    return _typed(bronze, "attention").select(
+        "ATTID", F.col("ATTFIN04").alias("PACID"), F.col("ATTFIN05").alias("SPEID"), "ATTFIN01",
         normalize_text("ATTFIN02").alias("ATTFIN02"), normalize_text("ATTFIN03").alias("ATTFIN03"))
 
 
+def erp_speciality_coded(bronze: DataFrame) -> DataFrame:
+    """Bronze ``Speciality`` with normalised texts."""
+    return _typed(bronze, "speciality").select(
+        "SPEID", normalize_text("SPENAME").alias("SPENAME"), normalize_text("SPEGRP").alias("SPEGRP"))
+
+
 def erp_speciality(bronze: DataFrame, partitions: int | None = None
                    ) -> tuple[DataFrame, DataFrame]:
     """Bronze ``Speciality`` -> ``(dim_speciality, dim_speciality_group)``."""
-    coded = bronze.select(F.col("SPEID").cast("int"), normalize_text("SPENAME").alias("SPENAME"),
-                          normalize_text("SPEGRP").alias("SPEGRP"))
-    group, spec = extract_dimension(coded, "SPEGRP", "SPEGRP_ID", "SPEGRP_NAME", partitions)
+    group, spec = extract_dimension(erp_speciality_coded(bronze), "SPEGRP", "SPEGRP_ID", "SPEGRP_NAME", partitions)
     return spec.select("SPEID", "SPENAME", "SPEGRP_ID"), group
 
 
@@ -105,14 +151,15 @@ def diagnosis_matches(long: DataFrame, patients: DataFrame, catalogue: DataFrame
     the row is good): step one of :func:`diagnosis_fact`.
 
     ``DOCUMENTO`` is matched to ``dim_patient.PACDOC``; ``DIAGNOSTICO`` to an
-    ICD-10 code, else to the normalised description.
+    ICD-10 code, else to the normalised description.  A document, code or
+    description that repeats stands for its lowest id, so no row multiplies.
     """
     diag = F.upper(F.trim(F.col("DIAGNOSTICO")))
     keyed = long.select("DOCUMENTO", "FECHA", "DIAGNOSTICO", diag.alias("_code"),
                         normalize_text("DIAGNOSTICO").alias("_desc"))
-    pats = patients.select(F.col("PACDOC").alias("_doc"), "PACID")
-    by_code = catalogue.select(F.upper(F.trim("CIE10_CODE")).alias("_c"), F.col("DIAG_ID").alias("_id_code"))
-    by_desc = catalogue.select(normalize_text("DESCRIPTION").alias("_d"), F.col("DIAG_ID").alias("_id_desc"))
+    pats = patients.groupBy(F.col("PACDOC").alias("_doc")).agg(F.min("PACID").alias("PACID"))
+    by_code = catalogue.groupBy(F.upper(F.trim("CIE10_CODE")).alias("_c")).agg(F.min("DIAG_ID").alias("_id_code"))
+    by_desc = catalogue.groupBy(normalize_text("DESCRIPTION").alias("_d")).agg(F.min("DIAG_ID").alias("_id_desc"))
     matched = (keyed.join(pats, keyed["DOCUMENTO"] == pats["_doc"], "left")
                     .join(by_code, F.col("_code") == F.col("_c"), "left")
                     .join(by_desc, F.col("_desc") == F.col("_d"), "left")
@@ -123,14 +170,22 @@ def diagnosis_matches(long: DataFrame, patients: DataFrame, catalogue: DataFrame
     return matched.select("DOCUMENTO", "FECHA", "DIAGNOSTICO", "PACID", "DIAG_ID", reason.alias("reason"))
 
 
-def split_diagnoses(matches: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Step two of :func:`diagnosis_fact`: ``(fact, rejects)`` from the matches."""
+def diagnosis_rejects(matches: DataFrame) -> DataFrame:
+    """The matches that have a reason not to become facts."""
+    return matches.where(F.col("reason").isNotNull()).select("DOCUMENTO", "FECHA", "DIAGNOSTICO", "reason")
+
+
+def numbered_diagnoses(matches: DataFrame) -> DataFrame:
+    """The good matches as facts, numbered in ``(DOCUMENTO, FECHA, DIAGNOSTICO)`` order."""
     good = matches.where(F.col("reason").isNull()).select(
         "DOCUMENTO", "FECHA", "DIAGNOSTICO", "PACID", "DIAG_ID")
-    fact = (row_index(good, ["DOCUMENTO", "FECHA", "DIAGNOSTICO", "DIAG_ID"], "PATDIAG_ID")
+    return (row_index(good, ["DOCUMENTO", "FECHA", "DIAGNOSTICO", "DIAG_ID"], "PATDIAG_ID")
             .select("PATDIAG_ID", "PACID", "DIAG_ID", F.col("FECHA").alias("DATE")))
-    rejects = matches.where(F.col("reason").isNotNull()).select("DOCUMENTO", "FECHA", "DIAGNOSTICO", "reason")
-    return fact, rejects
+
+
+def split_diagnoses(matches: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Step two of :func:`diagnosis_fact`: ``(fact, rejects)`` from the matches."""
+    return numbered_diagnoses(matches), diagnosis_rejects(matches)
 
 
 def diagnosis_fact(long: DataFrame, patients: DataFrame, catalogue: DataFrame
@@ -141,8 +196,7 @@ def diagnosis_fact(long: DataFrame, patients: DataFrame, catalogue: DataFrame
     ICD-10 code, else to the normalised description.  Rows matching no
     patient or no diagnosis go to ``rejects`` with a reason.  ``PATDIAG_ID``
     numbers the facts 1..n in ``(DOCUMENTO, FECHA, DIAGNOSTICO)`` order.
-    Every input row lands in exactly one of the two outputs.  Keys keep the
-    input types (``PATDIAG_ID`` is a long); catalogue codes and descriptions
-    are expected to be unique.
+    Every input row lands in exactly one of the two outputs, also where
+    documents, codes or descriptions repeat (see :func:`diagnosis_matches`).
     """
     return split_diagnoses(diagnosis_matches(long, patients, catalogue))

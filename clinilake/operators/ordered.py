@@ -1,53 +1,55 @@
 """Order-dependent operators that stay balanced when one key is huge.
 
 ``Window.partitionBy(key)`` sends every row of a key to one task, so a key
-holding a third of the data makes one task do a third of the work.  The
-helpers here range-partition on the *whole* sort key instead: Spark samples
-``(key, order...)``, so a hot key is cut across many ordered partitions.
-Work inside a partition is a window over the partition, bounded by its size;
-what crosses a partition boundary is carried by a summary of one row per
-partition, so it is bounded by the partition count.
-
-Results do not depend on where the range bounds fall (they are sampled);
-the tagged rows are checkpointed once so every branch sees the same bounds.
+holding a third of the data makes one task do a third of the work.  Here rows
+go to *buckets* that are pure functions of the row and follow the sort order
+(a month of the timestamp, the beginning of a text), and what crosses a bucket
+boundary is one summary row per bucket.  Summary rows join the data as extra
+rows that sort before their bucket, so the data is shuffled once, by bucket.
+
+All operators are lazy: nothing runs, is cached or is written before the
+caller's own action, and a lost executor only repeats its own tasks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PID = "_pid"
+from clinilake.names import col, fresh, quoted
 
+#: Rows of one key that one task sorts without trouble.  Keys with more are
+#: cut into buckets; there are at most (rows / HOT_ROWS) such keys.
+HOT_ROWS = 1_000_000
+#: Leading characters of a text that make its bucket, and its group of buckets.
+PREFIX, COARSE_PREFIX = 8, 3
 
-def _by_range(df: DataFrame, order: Sequence[str], partitions: int | None) -> DataFrame:
-    """Range repartition.  Without an explicit count AQE sizes the partitions
-    from the data (it only merges neighbouring ranges, so order is kept)."""
-    if partitions:
-        return df.repartitionByRange(partitions, *order)
-    return df.repartitionByRange(*order)
 
+def _time_bucket(df: DataFrame, name: str) -> Column:
+    """A function of the column that follows its order and cuts it coarsely."""
+    kind = dict(df.dtypes)[name]
+    if kind in ("date", "timestamp", "timestamp_ntz"):
+        return F.date_trunc("month", col(name))
+    if kind == "string":
+        return F.substring(col(name), 1, PREFIX)
+    return F.floor(col(name) / 1024)
 
-def range_partitioned(df: DataFrame, order: Sequence[str], partitions: int | None = None) -> DataFrame:
-    """Range-partition on ``order``, tag each row with its partition index,
-    and materialise the result once (reliable checkpoint).
 
-    Partition indexes follow the sort order (AQE may merge neighbouring
-    partitions, which keeps them ordered).  The helpers below read these rows
-    in two branches (per-row work and a per-partition summary).  Spark samples
-    range bounds separately for every exchange it plans, from the input in
-    whatever order it arrives; after a shuffle that order varies, so two
-    exchanges could cut the data differently.  Materialising the tagged rows
-    makes both branches read one partitioning, also after executor loss.
-    """
-    from clinilake.session import checkpointed
-    return checkpointed(_by_range(df, order, partitions).withColumn(PID, F.spark_partition_id()))
+def _coarse(df: DataFrame, name: str) -> Column:
+    """A coarser such function, for the groups of buckets."""
+    kind = dict(df.dtypes)[name]
+    if kind in ("date", "timestamp", "timestamp_ntz"):
+        return F.date_trunc("year", col(name))
+    if kind == "string":
+        return F.substring(col(name), 1, COARSE_PREFIX)
+    return F.floor(col(name) / (1 << 20))
 
 
 def lag_within(df: DataFrame, key: str, order: Sequence[str], values: Sequence[str],
-               prefix: str = "prev_", partitions: int | None = None) -> DataFrame:
+               prefix: str = "prev_", partitions: int | None = None, hot_rows: int = HOT_ROWS,
+               bucket: Column | None = None) -> DataFrame:
     """Add ``prefix + v`` = value of ``v`` on the previous row of the same
     ``key`` in ``order`` (null on a key's first row).
 
@@ -56,81 +58,77 @@ def lag_within(df: DataFrame, key: str, order: Sequence[str], values: Sequence[s
     (add a tie-breaker), otherwise the predecessor among ties is arbitrary, as
     with the window.
 
-    Partitions are ordered ranges of ``(key, order)``, so within partition
-    ``p`` only its first key can have rows in earlier partitions, and that
-    row's predecessor is the last row of the nearest non-empty earlier
-    partition.  The carried rows are therefore one per partition: a table
-    bounded by the partition count, safe to broadcast.
+    Keys with more than ``hot_rows`` rows are found by one aggregation and
+    broadcast (at most rows / ``hot_rows`` of them); their rows go to tasks by
+    ``(key, bucket)``.  ``bucket`` must be a function of the first order column
+    that follows its order; by default it is the month of a date or timestamp,
+    the beginning of a text, or a range of 1,024 of a number.
     """
     order, values = list(order), list(values)
-    ranged = range_partitioned(df, [key, *order], partitions)
-    w = Window.partitionBy(PID).orderBy(key, *order)
-    # Ranges go to tasks by a range split of the tag itself: neighbouring
-    # ranges share a task evenly, where hashing the few tags would pile two
-    # or three ranges onto some tasks.  It also meets the window's clustering,
-    # so no further exchange is planned.
-    local = ranged.repartitionByRange(PID).select("*", F.row_number().over(w).alias("_seq"),
-                          F.lag(key).over(w).alias("_lag_key"),
-                          *[F.lag(v).over(w).alias(f"_lag{i}") for i, v in enumerate(values)])
-
-    # One row per non-empty partition: its last row, and the previous
-    # partition's last row as the carry.
-    last = ranged.groupBy(PID).agg(F.max(F.struct(
-        F.col(key).alias("_k"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
-        *[F.col(v).alias(f"_v{i}") for i, v in enumerate(values)])).alias("_last"))
-    carry = last.select(PID, F.lag("_last").over(Window.orderBy(PID)).alias("_carry"))
-
-    same_as_carry = F.col("_carry._k").eqNullSafe(F.col(key))
-    same_as_lag = F.col("_lag_key").eqNullSafe(F.col(key))
-    prev = [F.when(F.col("_seq") == 1, F.when(same_as_carry, F.col(f"_carry._v{i}")))
-             .otherwise(F.when(same_as_lag, F.col(f"_lag{i}"))).alias(prefix + v)
-            for i, v in enumerate(values)]
-    return (local.join(F.broadcast(carry), PID, "left")
-                 .select(*[F.col(f"`{c}`") for c in df.columns], *prev))
-
-
-def row_index(df: DataFrame, order: Sequence[str], id_col: str = "id",
-              partitions: int | None = None) -> DataFrame:
+    hot_key, hot, at, carried, last, row = fresh(
+        ["hot_key", "hot", "bucket", "carried", "last", "row"], df.columns)
+    counted = df.groupBy(col(key)).agg(F.count(F.lit(1)).alias(row)).where(F.col(row) > hot_rows).select(
+        col(key).alias(hot_key), F.lit(True).alias(hot))
+    bucket = _time_bucket(df, order[0]) if bucket is None else bucket
+    placed = df.join(F.broadcast(counted), col(key).eqNullSafe(F.col(hot_key)), "left").select(
+        *[col(c) for c in df.columns], F.when(F.col(hot), bucket).alias(at), F.col(hot),
+        F.lit(False).alias(carried))
+    # Each hot bucket's last row, handed on to the key's next bucket.
+    carry = list(dict.fromkeys([*order, *values]))
+    ends = placed.where(F.col(hot)).groupBy(col(key), F.col(at)).agg(
+        F.max_by(F.struct(*[col(c) for c in carry]), F.struct(*[col(c) for c in order])).alias(last))
+    handed = ends.select(col(key), F.col(at), F.lag(last).over(Window.partitionBy(col(key)).orderBy(at)).alias(last)
+                         ).where(F.col(last).isNotNull())
+    extra = handed.select(
+        *[col(key) if c == key else F.col(f"{last}.{quoted(c)}").alias(c) if c in carry
+          else F.lit(None).cast(df.schema[c].dataType).alias(c) for c in df.columns],
+        F.col(at), F.lit(True).alias(hot), F.lit(True).alias(carried))
+    rows = placed.unionByName(extra)
+    if partitions:
+        rows = rows.repartition(partitions, col(key), F.col(at))
+    w = Window.partitionBy(col(key), F.col(at)).orderBy(*[col(c) for c in order])
+    return (rows.select("*", *[F.lag(col(v)).over(w).alias(prefix + v) for v in values])
+            .where(~F.col(carried)).drop(at, hot, carried))
+
+
+def row_index(df: DataFrame, order: Sequence[str], id_col: str = "id", partitions: int | None = None) -> DataFrame:
     """Every row of ``df`` numbered 1..n in ``order``.
 
     Equal to ``row_number() over (order by order)`` (rows tied on ``order``
-    are numbered in an arbitrary order among themselves), computed without a
-    single-task sort.  Rows are range-partitioned and sorted within each
-    partition, then tagged with ``monotonically_increasing_id`` (partition
-    index in the high bits, position in the low 33) and materialised, so the
-    tag is fixed.  A row's number is its position plus the row counts of the
-    partitions before it: a prefix sum over one row per partition.
-
-    Rows equal on the whole ``order`` cannot be cut apart by a range
-    partitioner; give ``order`` enough columns to make such ties rare
-    (:func:`dense_index` numbers distinct values, so it has none).
+    are numbered in an arbitrary order among themselves), without a sort in a
+    single task.  Rows go to buckets: by the first two order columns, or by the
+    beginning of a single one.  A row's number is its place in the bucket after
+    the rows of all earlier buckets: sums of bucket counts, first within groups
+    of buckets (the beginning of the first column), then over the groups.
+
+    A bucket is sorted in one task, so give ``order`` enough columns that rows
+    equal on its first two are few.
     """
-    from clinilake.session import checkpointed
     order = list(order)
-    # Spark samples range bounds with a job over the input and then shuffles
-    # it in a second one; the callers' inputs are aggregates and joins, so the
-    # input is cached (spilling to disk if large) for the duration of the
-    # eager checkpoint rather than computed twice.  Lost cache blocks are
-    # recomputed from lineage.
-    cached_here = not df.is_cached  # leave a caller's own cache alone
-    if cached_here:
-        df.persist()
-    try:
-        tagged = checkpointed(_by_range(df, order, partitions)
-                                .sortWithinPartitions(*order)
-                                .withColumn(PID, F.spark_partition_id())
-                                .withColumn("_pos", F.monotonically_increasing_id()))
-    finally:
-        if cached_here:
-            df.unpersist()
-    sizes = tagged.groupBy(PID).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.select(PID, F.coalesce(F.sum("_n").over(
-        Window.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))
-    position = F.col("_pos").bitwiseAND(F.lit((1 << 33) - 1))
-    # One row per partition: the broadcast is bounded by the partition count.
-    return (tagged.join(F.broadcast(offsets), PID)
-                  .select(*[F.col(f"`{c}`") for c in df.columns],
-                          (F.col("_offset") + position + 1).alias(id_col)))
+    coarse, b0, b1, n, before, start, place = fresh(
+        ["coarse", "b0", "b1", "n", "before", "start", "place"], [*df.columns, id_col])
+    buckets = {b0: _time_bucket(df, order[0])} if len(order) == 1 else {b0: col(order[0]), b1: col(order[1])}
+    placed = df.select("*", *[c.alias(name) for name, c in buckets.items()])
+    sizes = (placed.select(_coarse(df, order[0]).alias(coarse), *buckets)
+             .groupBy(coarse, *buckets).agg(F.count(F.lit(1)).alias(n)))
+    earlier = Window.orderBy(*buckets).partitionBy(coarse).rowsBetween(Window.unboundedPreceding, -1)
+    inner = sizes.select("*", F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(before))
+    # One row for each beginning: few enough for one task, and to broadcast.
+    groups = sizes.groupBy(coarse).agg(F.sum(n).alias(n))
+    above = Window.orderBy(coarse).rowsBetween(Window.unboundedPreceding, -1)
+    own = f"_{coarse}"
+    offsets = groups.select(F.col(coarse).alias(own), F.coalesce(F.sum(n).over(above), F.lit(0)).alias(start))
+    starts = inner.join(F.broadcast(offsets), F.col(coarse).eqNullSafe(F.col(own))).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema], *buckets,
+        (F.col(before) + F.col(start)).alias(start))
+    rows = placed.withColumn(start, F.lit(None).cast("long")).unionByName(starts)
+    if partitions:
+        rows = rows.repartition(partitions, *buckets)
+    # The bucket's start row comes first; the rows after it count on from there.
+    w = Window.partitionBy(*buckets).orderBy(F.col(start).isNull(), *[col(c) for c in order])
+    number = F.first(start).over(w) + F.row_number().over(w) - 1
+    return (rows.select("*", number.cast("long").alias(place)).where(F.col(start).isNull())
+            .select(*[col(c) for c in df.columns], F.col(place).alias(id_col)))
 
 
 def dense_index(df: DataFrame, cols: Sequence[str], id_col: str = "id",
@@ -141,4 +139,4 @@ def dense_index(df: DataFrame, cols: Sequence[str], id_col: str = "id",
     computed without moving all values into one task (see :func:`row_index`).
     """
     cols = list(cols)
-    return row_index(df.select(*cols).distinct(), cols, id_col, partitions)
+    return row_index(df.select(*[col(c) for c in cols]).distinct(), cols, id_col, partitions)

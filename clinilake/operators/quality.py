@@ -13,6 +13,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clinilake.names import col as column, fresh
+
 COUNT_COL = "conteo"
 
 
@@ -21,7 +23,7 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], count_col: str = COUNT_CO
 
     Null keys group together, as in SQL ``GROUP BY``.
     """
-    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col))
+    return (df.groupBy(*[column(k) for k in keys]).agg(F.count(F.lit(1)).alias(count_col))
               .where(F.col(count_col) > 1))
 
 
@@ -55,10 +57,11 @@ def orphans(fact: DataFrame, dim: DataFrame, fk: str | Sequence[str],
     """
     fks = [fk] if isinstance(fk, str) else list(fk)
     pks = fks if pk is None else ([pk] if isinstance(pk, str) else list(pk))
-    keys = dim.select(*[F.col(p).alias(f"_pk{i}") for i, p in enumerate(pks)])
+    names = fresh([f"pk{i}" for i in range(len(pks))], fact.columns)
+    keys = dim.select(*[column(p).alias(n) for p, n in zip(pks, names, strict=True)])
     cond = None
-    for i, f in enumerate(fks):
-        c = fact[f] == keys[f"_pk{i}"]
+    for f, n in zip(fks, names, strict=True):
+        c = column(f) == F.col(n)
         cond = c if cond is None else cond & c
     return fact.join(keys, cond, "left_anti")
 
@@ -73,7 +76,7 @@ def orphan_keys(fact: DataFrame, dim: DataFrame, fk: str | Sequence[str],
     null key is reported as missing.
     """
     fks = [fk] if isinstance(fk, str) else list(fk)
-    counted = fact.groupBy(*fks).agg(F.count(F.lit(1)).alias(count_col))
+    counted = fact.groupBy(*[column(f) for f in fks]).agg(F.count(F.lit(1)).alias(count_col))
     return orphans(counted, dim, fks, pk)
 
 
@@ -88,38 +91,52 @@ def foreign_key_summary(fact: DataFrame, dim: DataFrame, fk: str | Sequence[str]
 
 def outside_domain(df: DataFrame, col: str, domain: Iterable[str]) -> DataFrame:
     """Rows whose non-null ``col`` is not one of ``domain`` (Q3)."""
-    return df.where(F.col(col).isNotNull() & ~F.col(col).isin(list(domain)))
+    return df.where(column(col).isNotNull() & ~column(col).isin(list(domain)))
 
 
 def too_long(df: DataFrame, col: str, max_length: int) -> DataFrame:
     """Rows whose ``col`` has more than ``max_length`` characters (Q4)."""
-    return df.where(F.length(F.col(col)) > max_length)
+    return df.where(F.length(column(col)) > max_length)
 
 
 def _rules(df: DataFrame, not_null: Sequence[str] = (), max_length: dict[str, int] | None = None,
            domains: dict[str, Sequence[str]] | None = None) -> list[tuple[str, str, Column]]:
-    rules = [("not_null", c, F.col(f"`{c}`").isNull()) for c in not_null]
-    rules += [("max_length", c, F.length(F.col(f"`{c}`")) > n) for c, n in (max_length or {}).items()]
-    rules += [("domain", c, F.col(f"`{c}`").isNotNull() & ~F.col(f"`{c}`").isin(list(v)))
+    rules = [("not_null", c, column(c).isNull()) for c in not_null]
+    rules += [("max_length", c, F.length(column(c)) > n) for c, n in (max_length or {}).items()]
+    rules += [("domain", c, column(c).isNotNull() & ~column(c).isin(list(v)))
               for c, v in (domains or {}).items()]
     return rules
 
 
+Reference = tuple[str, DataFrame, str]
+
+
 def summary(df: DataFrame, table: str, not_null: Sequence[str] = (),
             max_length: dict[str, int] | None = None,
-            domains: dict[str, Sequence[str]] | None = None) -> DataFrame:
-    """Violations per rule of one table in one scan (Q3, Q4, Q5).
+            domains: dict[str, Sequence[str]] | None = None,
+            references: Sequence[Reference] = ()) -> DataFrame:
+    """Violations per rule of one table in one scan (Q2-Q5).
 
     Columns: ``check_name, table_name, column_name, violations``.
+    ``references`` are foreign keys ``(column, dimension, its key)`` counted in
+    the same scan: the table is left-joined to each dimension's distinct keys.
+    Meant for dimensions small enough that Spark broadcasts their keys; for a
+    large one :func:`foreign_key_summary` aggregates the table first.
     """
     rules = _rules(df, not_null, max_length, domains)
+    joined = df
+    for (fk, dim, pk), name in zip(references, fresh([f"ref{i}" for i in range(len(references))], df.columns),
+                                   strict=True):
+        keys = dim.where(column(pk).isNotNull()).select(column(pk).alias(name)).distinct()
+        joined = joined.join(keys, column(fk) == F.col(name), "left")
+        rules.append(("foreign_key", fk, F.col(name).isNull()))
     if not rules:
         raise ValueError("no rule to check")
-    counts = df.agg(*[F.count_if(cond).alias(f"_r{i}") for i, (_, _, cond) in enumerate(rules)])
+    counts = joined.agg(*[F.count_if(cond).alias(f"_r{i}") for i, (_, _, cond) in enumerate(rules)])
     cells = F.array(*[F.struct(F.lit(kind).alias("check_name"), F.lit(table).alias("table_name"),
-                               F.lit(col).alias("column_name"),
+                               F.lit(name).alias("column_name"),
                                F.col(f"_r{i}").cast("bigint").alias("violations"))
-                      for i, (kind, col, _) in enumerate(rules)])
+                      for i, (kind, name, _) in enumerate(rules)])
     return counts.select(F.inline(cells))
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinilake.functions import document_text, month_text_to_date
+from clinilake.names import col, fresh
 
 
 def _value_columns(df: DataFrame, ids: Sequence[str], values: Sequence[str] | None) -> list[str]:
@@ -25,12 +26,12 @@ def _value_columns(df: DataFrame, ids: Sequence[str], values: Sequence[str] | No
     return cols
 
 
-def drop_blank(df: DataFrame, col: str, trim: bool = False) -> DataFrame:
-    """Keep rows whose ``col`` is not null and not empty.
+def drop_blank(df: DataFrame, name: str, trim: bool = False) -> DataFrame:
+    """Keep rows whose column ``name`` is not null and not empty.
 
     With ``trim=True`` a value of only spaces counts as empty too.
     """
-    c = F.col(col)
+    c = col(name)
     return df.where(c.isNotNull() & ((F.trim(c) if trim else c) != ""))
 
 
@@ -39,20 +40,21 @@ def unpivot_months(df: DataFrame, id_col: str = "DOCUMENTO", var: str = "MES_ANO
     """Melt: every value column becomes one ``(id, var, val)`` row.
 
     Values are cast to string first, since an unpivot needs one value type;
-    header names are passed as data, so quotes or backticks in them are safe.
+    header names are passed as quoted columns, so dots, quotes or backticks in
+    them are safe.
     """
     cols = _value_columns(df, [id_col], values)
-    cast = df.select(F.col(f"`{id_col}`"), *[F.col(f"`{c}`").cast("string").alias(c) for c in cols])
-    return cast.unpivot([id_col], cols, var, val)
+    cast = df.select(col(id_col), *[col(c).cast("string").alias(c) for c in cols])
+    return cast.unpivot([col(id_col)], [col(c) for c in cols], var, val)
 
 
 def diagnoses_long(df: DataFrame, id_col: str = "DOCUMENTO", clean_headers: bool = False) -> DataFrame:
     """The literal chain U1 -> D1 -> P7 -> P3 on a wide diagnosis sheet:
     document to text, melt to ``(MES_ANO, DIAGNOSTICO)``, parse the month
     text of every row, drop blank diagnoses."""
-    long = unpivot_months(df.withColumn(id_col, document_text(id_col)), id_col)
+    long = unpivot_months(df.withColumn(id_col, document_text(col(id_col))), id_col)
     out = long.withColumn("FECHA", month_text_to_date("MES_ANO", clean_headers))
-    return drop_blank(out, "DIAGNOSTICO").select(id_col, "FECHA", "DIAGNOSTICO")
+    return drop_blank(out, "DIAGNOSTICO").select(col(id_col), "FECHA", "DIAGNOSTICO")
 
 
 def unpivot_to_dates(df: DataFrame, id_col: str = "DOCUMENTO", date_col: str = "FECHA",
@@ -71,7 +73,8 @@ def unpivot_to_dates(df: DataFrame, id_col: str = "DOCUMENTO", date_col: str = "
     evaluated without code generation.
     """
     cols = _value_columns(df, [id_col], values)
-    ident = id_expr if id_expr is not None else document_text(F.col(f"`{id_col}`"))
-    keyed = df.select(ident.alias(id_col), *[F.col(f"`{c}`") for c in cols])
-    long = drop_blank(unpivot_months(keyed, id_col, "_header", val, cols), val)
-    return long.select(id_col, month_text_to_date("_header", clean_headers).alias(date_col), val)
+    ident = id_expr if id_expr is not None else document_text(col(id_col))
+    keyed = df.select(ident.alias(id_col), *[col(c) for c in cols])
+    (header,) = fresh(["header"], [id_col, date_col, val])
+    long = drop_blank(unpivot_months(keyed, id_col, header, val, cols), val)
+    return long.select(col(id_col), month_text_to_date(header, clean_headers).alias(date_col), col(val))

@@ -10,8 +10,6 @@ foreign-key pair, ``events`` = timestamps to turn into month text.
 
 from __future__ import annotations
 
-import datetime as dt
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,12 +18,15 @@ from pyspark.sql import functions as F
 from clinilake import sql as sqlfiles
 from clinilake.functions import (SPANISH_MONTHS, document_text, month_label, month_labels,
                                  month_text_to_date, normalize_text)
-from clinilake.operators import gold, quality, synth
+from clinilake.names import col
+from clinilake.operators import gold, normalize, quality
 from clinilake.operators.joins import Dim, star_join
-from clinilake.operators.normalize import diagnosis_fact, extract_dimension, split_person_name
-from clinilake.operators.reshape import diagnoses_long, unpivot_to_dates
+from clinilake.operators.normalize import (diagnosis_matches, extract_dimension,
+                                           numbered_diagnoses, split_person_name)
+from clinilake.operators.normalize import diagnosis_rejects as rejected_diagnoses
+from clinilake.operators.reshape import diagnoses_long, unpivot_months, unpivot_to_dates
 from clinilake.plans.jobs import detail_df, detail_sql
-from clinilake.sources import literal_table
+from clinilake.sources import literal_table, read_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +35,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 RETURN_STATUS = [("A", "ACCEPTED"), ("N", "NONE"), ("R", "RETURNED")]
 LINE_STATUS = [("F", "FULFILLED"), ("O", "OPEN")]
 ORDER_STATUS_DOMAIN = ["F", "O"]
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 MARKET_SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 # A diagnosis-like catalogue over order priorities.  "2-HIGH"
 # is found through its description, "5-LOW" is missing on purpose.
@@ -41,23 +43,9 @@ PRIORITY_CATALOGUE = [(1, "1-URGENT", "URGENTE"), (2, "P2", "2-high"), (3, "3-ME
                       (4, "4-NOT SPECIFIED", "SIN ESPECIFICAR")]
 
 
-_SCHEMAS: dict[tuple, object] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One provided table.  The footer schema of a local file is inferred once
-    per process and reused while the file's size and modification time stay
-    the same (inference is most of the cost of building a read)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    if "://" in path or not os.path.exists(path):
-        return spark.read.parquet(path)
-    st = os.stat(path)
-    key = (os.path.abspath(path), st.st_mtime_ns, st.st_size)
-    if key not in _SCHEMAS:
-        df = spark.read.parquet(path)
-        _SCHEMAS[key] = df.schema
-        return df
-    return spark.read.schema(_SCHEMAS[key]).parquet(path)
+    """One provided table, as any other parquet table of the library is read."""
+    return read_tables(spark, sf_dir, [name], suffix=".parquet")[name]
 
 
 def _status(spark: SparkSession, rows: list[tuple[str, str]], code: str, desc: str) -> DataFrame:
@@ -126,22 +114,31 @@ def key_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- U1, D1, F6, F7: reshape and text functions -----------------------------
 
-def _wide_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _wide_orders(spark: SparkSession, sf_dir: str, header: Callable[[str], str] = str) -> DataFrame:
     """All orders as a spreadsheet-like sheet: one row per customer (document
     read as a double), one column per Spanish month header from the first to
     the last order year, value = the lowest priority text ordered that month.
 
+    Each month is one ``min`` over a small number (the place of the priority in
+    its sorted list, decoded after), which a hash aggregate holds; one shuffle.
     The header list is the only thing taken to the driver: one aggregate row
-    with the year range.
+    with the year range.  ``header`` rewrites the month headers.
     """
     orders = table(spark, sf_dir, "orders")
     lo, hi = orders.agg(F.min(F.year("o_orderdate")), F.max(F.year("o_orderdate"))).first()
     if lo is None:  # no dated order: one empty month column, so no rows come out
         lo = hi = 1970
-    return (orders.withColumn("_month", month_label("o_orderdate"))
-                  .groupBy(F.col("o_custkey").cast("double").alias("DOCUMENTO"))
-                  .pivot("_month", month_labels(lo, hi))
-                  .agg(F.min("o_orderpriority")))
+    month = (F.year("o_orderdate") * 12 + F.month("o_orderdate")).alias("_month")
+    codes = F.array(*[F.lit(p) for p in PRIORITIES])
+    names = month_labels(lo, hi)
+    numbers = [y * 12 + m for y in range(lo, hi + 1) for m in range(1, 13)]
+    coded = orders.select(F.col("o_custkey").cast("double").alias("DOCUMENTO"), month,
+                          F.array_position(codes, F.col("o_orderpriority")).cast("int").alias("_code"))
+    wide = coded.groupBy("DOCUMENTO").agg(*[
+        F.min(F.when(F.col("_month") == n, F.col("_code"))).alias(str(n)) for n in numbers])
+    return wide.select("DOCUMENTO", *[
+        F.when(col(str(n)) > 0, F.get(codes, col(str(n)) - 1)).alias(header(name))
+        for n, name in zip(numbers, names, strict=True)])
 
 
 def months_wide_to_long(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,6 +149,13 @@ def months_unpivot_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return diagnoses_long(_wide_orders(spark, sf_dir), "DOCUMENTO")
 
 
+def months_odd_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U1 on headers with a dot, a backtick and quotes (each month has all of them)."""
+    wide = _wide_orders(spark, sf_dir, lambda name: name.replace(" ", ".") + "`'\"")
+    return unpivot_months(wide.withColumn("DOCUMENTO", document_text("DOCUMENTO")), "DOCUMENTO").where(
+        "DIAGNOSTICO is not null")
+
+
 def month_text_to_date_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", month_label("ts").alias("MES_ANO"))
     return events.select("event_id", "MES_ANO", month_text_to_date("MES_ANO").alias("FECHA"))
@@ -175,6 +179,13 @@ def normalize_text_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.withColumn("normalized", normalize_text("raw"))
 
 
+def normalize_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F7 over the whole texts of all documents, with spaces added at the ends
+    and a decomposed accent appended."""
+    raw = F.concat(F.lit(" \t"), F.col("text"), F.lit("e\u0301\u00a0 "))
+    return table(spark, sf_dir, "documents").select("doc_id", normalize_text(raw).alias("normalized"))
+
+
 def document_text_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     return customer.select("c_custkey", document_text(F.col("c_custkey").cast("double")).alias("DOCUMENTO"))
@@ -260,81 +271,191 @@ def split_name(spark: SparkSession, sf_dir: str) -> DataFrame:
                            name["LAST_NAME"].alias("LAST_NAME"))
 
 
-def _diagnosis_fact(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    long = months_wide_to_long(spark, sf_dir)
+def _priority_catalogue(spark: SparkSession) -> DataFrame:
+    return literal_table(spark, PRIORITY_CATALOGUE, "DIAG_ID long, CIE10_CODE string, DESCRIPTION string")
+
+
+def _diagnosis_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     patients = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").cast("string").alias("PACDOC"), F.col("c_custkey").alias("PACID"))
-    catalogue = literal_table(spark, PRIORITY_CATALOGUE,
-                              "DIAG_ID int, CIE10_CODE string, DESCRIPTION string")
-    return diagnosis_fact(long, patients, catalogue)
+    return diagnosis_matches(months_wide_to_long(spark, sf_dir), patients, _priority_catalogue(spark))
 
 
 def diagnosis_fact_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _diagnosis_fact(spark, sf_dir)[0]
+    return numbered_diagnoses(_diagnosis_matches(spark, sf_dir))
 
 
 def diagnosis_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _diagnosis_fact(spark, sf_dir)[1]
+    return rejected_diagnoses(_diagnosis_matches(spark, sf_dir))
+
+
+def _repeated_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matches on a patient list where ten customers share each document, some
+    documents are missing, and dates and diagnoses are null or unknown here
+    and there (all derived from whole tables)."""
+    customer = table(spark, sf_dir, "customer")
+    document = F.floor(F.col("c_custkey") / 10).cast("string")
+    patients = customer.where("c_custkey % 70 <> 0").select(document.alias("PACDOC"), F.col("c_custkey").alias("PACID"))
+    orders = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    long = orders.select(
+        F.when(key % 11 != 0, F.floor(F.col("o_custkey") / 10).cast("string")).alias("DOCUMENTO"),
+        F.when(key % 13 != 0, F.trunc(F.col("o_orderdate").cast("date"), "month")).alias("FECHA"),
+        F.when(key % 17 != 0, F.col("o_orderpriority")).alias("DIAGNOSTICO"))
+    twice = _priority_catalogue(spark)
+    return diagnosis_matches(long, patients, twice.unionByName(twice.withColumn("DIAG_ID", F.col("DIAG_ID") + 100)))
+
+
+def diagnosis_fact_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N4 with repeated documents, codes and descriptions: no row multiplies."""
+    return numbered_diagnoses(_repeated_matches(spark, sf_dir))
+
+
+def diagnosis_rejects_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rejected_diagnoses(_repeated_matches(spark, sf_dir))
+
+
+# --- N1, N3, N6: bronze to silver ---------------------------------------------
+
+def _bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Bronze tables as texts, with bad values derived from the keys: customers
+    as patients, orders as appointments, parts as specialities."""
+    customer, orders, part = (table(spark, sf_dir, n) for n in ("customer", "orders", "part"))
+    c, o = F.col("c_custkey"), F.col("o_orderkey")
+    patient = customer.select(
+        F.when(c % 19 == 0, F.concat(F.lit("x"), c.cast("string"))).otherwise(c.cast("string")).alias("PACID"),
+        F.when(c % 23 != 0, c.cast("string")).alias("PACDOC"),
+        F.concat(F.lit(" "), F.lower("c_name"), F.lit("  García "), F.col("c_mktsegment")).alias("PACNAME"),
+        F.col("c_mktsegment").alias("PACCITY"),
+        F.when(c % 29 == 0, F.lit("not a day")).otherwise(F.lit("2024-01-31 10:00:00")).alias("PACINGDAT"))
+    attention = orders.select(
+        o.cast("string").alias("ATTID"),
+        F.when(o % 31 != 0, F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")).alias("ATTFIN01"),
+        F.lower("o_orderpriority").alias("ATTFIN02"), F.lower("o_orderstatus").alias("ATTFIN03"),
+        F.when(o % 37 == 0, F.lit("3e")).otherwise(F.col("o_custkey").cast("string")).alias("ATTFIN04"),
+        (o % 100).cast("string").alias("ATTFIN05"))
+    speciality = part.select(F.col("p_partkey").cast("string").alias("SPEID"), F.col("p_name").alias("SPENAME"),
+                             F.concat(F.col("p_brand"), F.lit(" Á")).alias("SPEGRP"))
+    return {"patient": patient, "attention": attention, "speciality": speciality}
+
+
+def erp_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return normalize.erp_patient(_bronze(spark, sf_dir)["patient"])
+
+
+def erp_attentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Appointments with both statuses keyed."""
+    return normalize.erp_attention(_bronze(spark, sf_dir)["attention"])[0]
+
+
+def erp_specialities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Specialities with their group keyed."""
+    return normalize.erp_speciality(_bronze(spark, sf_dir)["speciality"])[0]
+
+
+def erp_rejects_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What cannot become silver rows, counted by table and reason."""
+    parts = [normalize.erp_rejects(df, name) for name, df in _bronze(spark, sf_dir).items()]
+    return quality.report(parts).groupBy("table_name", "reason").agg(F.count(F.lit(1)).alias("rows"))
 
 
 # --- Q6: one report of every check -------------------------------------------
 
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lineitem`` is scanned twice: for all rules and the keys of small
+    dimensions, and aggregated by its key to the large one."""
     t = {n: table(spark, sf_dir, n) for n in
          ("lineitem", "orders", "part", "supplier", "customer", "documents", "labels")}
     li = t["lineitem"]
     return quality.report([
         quality.summary(li, "lineitem", not_null=["l_orderkey", "l_partkey", "l_suppkey", "l_shipdate"],
                         domains={"l_returnflag": [c for c, _ in RETURN_STATUS],
-                                 "l_linestatus": [c for c, _ in LINE_STATUS]}),
+                                 "l_linestatus": [c for c, _ in LINE_STATUS]},
+                        references=[("l_partkey", t["part"], "p_partkey"),
+                                    ("l_suppkey", t["supplier"], "s_suppkey")]),
         quality.count_summary(quality.duplicate_keys(t["orders"], ["o_orderkey"]),
                               "primary_key", "orders", "o_orderkey"),
         quality.foreign_key_summary(li, t["orders"], "l_orderkey", "o_orderkey", "lineitem", "l_orderkey"),
-        quality.foreign_key_summary(li, t["part"], "l_partkey", "p_partkey", "lineitem", "l_partkey"),
-        quality.foreign_key_summary(li, t["supplier"], "l_suppkey", "s_suppkey", "lineitem", "l_suppkey"),
-        quality.foreign_key_summary(t["orders"], t["customer"], "o_custkey", "c_custkey", "orders", "o_custkey"),
+        quality.summary(t["orders"], "orders", references=[("o_custkey", t["customer"], "c_custkey")]),
         quality.foreign_key_summary(t["documents"], t["labels"], "doc_id", None, "documents", "doc_id"),
     ])
 
 
-# --- G1-G8 + J1 on the health model, sized by the provided tables -------------
-
-def synthetic_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Generate the eight silver tables with as many patients as customers,
-    appointments as orders and diagnoses as lineitems, then check them: key
-    uniqueness, document format, foreign keys, and the health star join in
-    both forms (DataFrame and the bundled ``atencion_detalle.sql``)."""
-    n_pat = table(spark, sf_dir, "customer").count()
-    n_att = table(spark, sf_dir, "orders").count()
-    n_dia = table(spark, sf_dir, "lineitem").count()
-    s = synth.silver(spark, n_pat, n_att, n_dia, seed=7)
-    pat, att, dia = s["dim_patient"], s["fact_attention"], s["fact_patient_diagnosis"]
-    detail = detail_df(s)
-    # Generated timestamps are absolute instants; compare with aware bounds
-    # so the check does not depend on the driver's local time zone.
-    as_of = synth.DEFAULT_AS_OF.replace(tzinfo=dt.timezone.utc)
-    year_ago = as_of - dt.timedelta(days=366)
-
-    def one(df: DataFrame, name: str, value) -> DataFrame:
-        return df.agg(F.lit(name).alias("check_name"), value.cast("bigint").alias("value"))
-
-    rows = F.count(F.lit(1))
+def faulty_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every kind of rule on a table where each one fails for some rows."""
+    bad = _faulty_orders(spark, sf_dir)
     return quality.report([
-        one(pat, "n_patients", rows),
-        one(pat, "distinct_pacdoc", F.count_distinct("PACDOC")),
-        one(pat, "bad_pacdoc", F.count_if(~F.col("PACDOC").rlike("^[1-9][0-9]{9}$"))),
-        one(att, "n_attentions", rows),
-        one(att, "attention_out_of_range",
-            F.count_if((F.col("ATTFIN01") < F.lit(year_ago)) |
-                       (F.col("ATTFIN01") > F.lit(as_of)))),
-        one(quality.orphan_keys(att, pat, "PACID"), "orphan_attentions", F.coalesce(F.sum("references"), F.lit(0))),
-        one(detail, "detail_rows", rows),
-        one(detail_sql(spark, s), "detail_rows_sql", rows),
-        one(dia, "n_diagnoses", rows),
-        one(quality.orphan_keys(dia, pat, "PACID"), "orphan_diagnoses", F.coalesce(F.sum("references"), F.lit(0))),
+        quality.summary(bad, "orders", not_null=["key", "customer", "day"], max_length={"priority": 8},
+                        domains={"status": ORDER_STATUS_DOMAIN},
+                        references=[("customer", table(spark, sf_dir, "customer"), "c_custkey")]),
+        quality.count_summary(quality.duplicate_keys(bad, ["key"]), "primary_key", "orders", "key"),
+        quality.foreign_key_summary(bad, table(spark, sf_dir, "labels"), "key", "doc_id", "orders", "key"),
     ])
 
 
+def _faulty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with null keys and days, unknown customers and repeated keys."""
+    o = F.col("o_orderkey")
+    return table(spark, sf_dir, "orders").select(
+        F.when(o % 7 == 0, o - 7).when(o % 41 != 0, o).alias("key"),
+        F.when(o % 9 == 0, -F.col("o_custkey")).when(o % 43 != 0, F.col("o_custkey")).alias("customer"),
+        F.when(o % 5 != 0, F.col("o_orderdate")).alias("day"),
+        F.col("o_orderpriority").alias("priority"), F.col("o_orderstatus").alias("status"))
+
+
+def faulty_mean_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5 where every fifth day is null."""
+    return gold.mean_gap(_faulty_orders(spark, sf_dir), "customer", "day")
+
+
+def faulty_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 with null customers, days and tie-breakers, and few rows to a hot key."""
+    bad = _faulty_orders(spark, sf_dir).where("key is not null or customer % 3 = 0")
+    return gold.appointment_gaps(bad, "customer", "day", "key", hot_rows=4).groupBy("customer").agg(
+        F.count(F.lit(1)).alias("gaps"), F.sum("gap_days").cast("bigint").alias("days"),
+        F.count("prev_key").alias("known_before"))
+
+
+def broadcast_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dimension broadcast after a check of its size."""
+    dims = [Dim(table(spark, sf_dir, "nation"), "n", [("c_nationkey", "n_nationkey")], broadcast=True)]
+    return star_join(table(spark, sf_dir, "customer"), dims, ["f.c_custkey", "n.n_name"])
+
+
+# --- C7, J1: the health model from the provided tables ----------------------------
+
+def _health_silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The silver tables of the health model: customers as patients, orders as
+    appointments, parts as specialities grouped by brand, order priority and
+    status as the two statuses."""
+    customer, orders, part = (table(spark, sf_dir, n) for n in ("customer", "orders", "part"))
+    name = split_person_name(F.concat_ws(" ", "c_mktsegment", "c_name"))
+    patient = customer.select(
+        F.col("c_custkey").alias("PACID"), F.col("c_custkey").cast("string").alias("PACDOC"),
+        name["FIRST_NAME"].alias("FIRST_NAME"), name["SECOND_NAME"].alias("SECOND_NAME"),
+        name["LAST_NAME"].alias("LAST_NAME"), F.col("c_mktsegment").alias("PACCITY"),
+        F.lit(None).cast("timestamp").alias("PACINGDAT"))
+    group, speciality = extract_dimension(
+        part.select(F.col("p_partkey").alias("SPEID"), F.col("p_name").alias("SPENAME"), "p_brand"),
+        "p_brand", "SPEGRP_ID", "SPEGRP_NAME")
+    coded = orders.select(
+        F.col("o_orderkey").alias("ATTID"), F.col("o_custkey").alias("PACID"),
+        (F.col("o_orderkey") % 300).alias("SPEID"), F.col("o_orderdate").cast("timestamp").alias("ATTFIN01"),
+        "o_orderpriority", "o_orderstatus")
+    assign, fact = extract_dimension(coded, "o_orderpriority", "ASSIGNMENT_STATUS_ID", "STATUS_DESC")
+    assist, fact = extract_dimension(fact, "o_orderstatus", "ASSISTANCE_STATUS_ID", "ASSISTED")
+    return {"dim_patient": patient, "dim_speciality": speciality, "dim_speciality_group": group,
+            "dim_assignment_status": assign, "dim_assistance_status": assist, "fact_attention": fact}
+
+
+def health_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return detail_df(_health_silver(spark, sf_dir))
+
+
+def health_detail_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return detail_sql(spark, _health_silver(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "star_detail": star_detail,
     "star_detail_sql": star_detail_sql,
@@ -362,7 +483,20 @@ QUERIES: dict[str, Query] = {
     "extract_dimension": extract_dimension_fact,
     "extract_dimension_dim": extract_dimension_dim,
     "split_name": split_name,
-    "synthetic_checks": synthetic_checks,
+    "health_detail": health_detail,
+    "health_detail_sql": health_detail_sql,
+    "months_odd_headers": months_odd_headers,
+    "normalize_documents": normalize_documents,
+    "diagnosis_fact_repeated": diagnosis_fact_repeated,
+    "diagnosis_rejects_repeated": diagnosis_rejects_repeated,
+    "erp_patients": erp_patients,
+    "erp_attentions": erp_attentions,
+    "erp_specialities": erp_specialities,
+    "erp_rejects": erp_rejects_q,
+    "faulty_quality": faulty_quality,
+    "faulty_mean_gap": faulty_mean_gap,
+    "faulty_gaps": faulty_gaps,
+    "broadcast_nation": broadcast_nation,
     "diagnosis_fact": diagnosis_fact_q,
     "diagnosis_rejects": diagnosis_rejects,
     "quality_report": quality_report,
@@ -379,12 +513,37 @@ where o_orderdate is not null
 group by 1, 2
 """
 
-def _over_detail(outer: str) -> str:
-    """The star-join statement as a ``detail`` CTE, then ``outer`` over it."""
-    head, sep, body = sqlfiles.bundled("star_detail").partition("\nselect f.l_orderkey")
-    if not sep:
-        raise RuntimeError("star_detail.sql no longer has the expected shape")
-    return f"{head}, detail as ({sep}{body}\n){outer}"
+# The star join written by hand, with implicit joins and CASE instead of the
+# catalogues, so that it shares nothing with the statements under test.
+_STAR = """
+select l_orderkey, l_linenumber, l_shipdate as ship_date, p_partkey, p_name, p_brand, p_type,
+       s_suppkey, s_name, n_name as supplier_nation,
+       case l_returnflag when 'A' then 'ACCEPTED' when 'N' then 'NONE' when 'R' then 'RETURNED' end as return_status,
+       case l_linestatus when 'F' then 'FULFILLED' when 'O' then 'OPEN' end as line_status, l_quantity
+from lineitem, part, supplier, nation
+where l_partkey = p_partkey and l_suppkey = s_suppkey and s_nationkey = n_nationkey
+  and l_returnflag in ('A', 'N', 'R') and l_linestatus in ('F', 'O')
+"""
+_NATURAL_KEY = """
+select distinct l_partkey, l_shipdate, n as conteo
+from (select l_partkey, l_shipdate, count(*) over (partition by l_partkey, l_shipdate) as n from lineitem)
+where n > 1"""
+
+
+def _mean_gap_sql(source: str, entity: str, ts: str) -> str:
+    """Means of the gaps that ``lag`` finds, row by row."""
+    return f"""
+        with gaps as (
+          select {entity}, {ts},
+                 datediff('day', lag({ts}) over w, {ts}) as d, epoch({ts}) - epoch(lag({ts}) over w) as s
+          from ({source}) where {ts} is not null
+          window w as (partition by {entity} order by {ts})),
+        means as (
+          select {entity}, min({ts}) as first_at, max({ts}) as last_at, sum(d) / count(d) as mean_gap_days,
+                 sum(s) / (count(s) * 3600) as mean_gap_hours from gaps group by {entity}),
+        sizes as (select {entity}, count(*) as appointments from ({source}) group by {entity})
+        select sizes.{entity}, appointments, first_at, last_at, mean_gap_days, mean_gap_hours
+        from sizes left join means on sizes.{entity} is not distinct from means.{entity}"""
 
 
 _CATALOGUE_VALUES =", ".join(f"({i}, '{c}', '{d}')" for i, c, d in PRIORITY_CATALOGUE)
@@ -394,13 +553,53 @@ with long as ({_MONTHS_LONG}),
 cat (DIAG_ID, CIE10_CODE, DESCRIPTION) as (values {_CATALOGUE_VALUES}),
 m as (
   select l.DOCUMENTO, l.FECHA, l.DIAGNOSTICO, c.c_custkey as PACID,
-         coalesce(bc.DIAG_ID, bd.DIAG_ID) as DIAG_ID
+         cast(coalesce(bc.DIAG_ID, bd.DIAG_ID) as bigint) as DIAG_ID
   from long l
   left join customer c on cast(c.c_custkey as varchar) = l.DOCUMENTO
   left join cat bc on upper(trim(bc.CIE10_CODE)) = upper(trim(l.DIAGNOSTICO))
   left join cat bd on upper(strip_accents(trim(bd.DESCRIPTION))) = upper(strip_accents(trim(l.DIAGNOSTICO)))
 )"""
 
+_REPEATED_MATCHED = f"""
+with long as (
+  select case when o_orderkey % 11 <> 0 then cast(o_custkey // 10 as varchar) end as DOCUMENTO,
+         case when o_orderkey % 13 <> 0 then cast(date_trunc('month', o_orderdate) as date) end as FECHA,
+         case when o_orderkey % 17 <> 0 then o_orderpriority end as DIAGNOSTICO from orders),
+cat (DIAG_ID, CIE10_CODE, DESCRIPTION) as (values {_CATALOGUE_VALUES}),
+m as (
+  select l.*, (select min(c_custkey) from customer where c_custkey % 70 <> 0
+               and cast(c_custkey // 10 as varchar) = l.DOCUMENTO) as PACID,
+         cast(coalesce((select min(DIAG_ID) from cat where upper(trim(CIE10_CODE)) = upper(trim(l.DIAGNOSTICO))),
+                       (select min(DIAG_ID) from cat
+                        where upper(trim(DESCRIPTION)) = upper(trim(l.DIAGNOSTICO)))) as bigint) as DIAG_ID
+  from long l)"""
+
+_FACTS = """
+        select row_number() over (order by DOCUMENTO, FECHA, DIAGNOSTICO, DIAG_ID) as PATDIAG_ID,
+               PACID, DIAG_ID, FECHA as DATE
+        from m where PACID is not null and DIAG_ID is not null and FECHA is not null"""
+_REJECTS = """
+        select DOCUMENTO, FECHA, DIAGNOSTICO,
+               case when PACID is null then 'unknown patient'
+                    when DIAG_ID is null then 'unknown diagnosis'
+                    else 'unparsed month' end as reason
+        from m where PACID is null or DIAG_ID is null or FECHA is null"""
+
+_FAULTY = """
+select case when o_orderkey % 7 = 0 then o_orderkey - 7 when o_orderkey % 41 <> 0 then o_orderkey end as key,
+       case when o_orderkey % 9 = 0 then -o_custkey when o_orderkey % 43 <> 0 then o_custkey end as customer,
+       case when o_orderkey % 5 <> 0 then o_orderdate end as day,
+       o_orderpriority as priority, o_orderstatus as status from orders"""
+
+_HEALTH = """
+        select o_orderkey as ATTID, cast(o_orderdate as timestamp) as FECHA_ATENCION, c_custkey as PACID,
+               cast(c_custkey as varchar) as PACDOC, c_mktsegment as FIRST_NAME,
+               cast(null as varchar) as SECOND_NAME, c_name as LAST_NAME, c_mktsegment as PACCITY,
+               cast(null as timestamp) as PACINGDAT, p_name as SPENAME, p_brand as SPEGRP_NAME,
+               o_orderpriority as ESTADO_ASIGNACION, o_orderstatus as ASISTENCIA
+        from orders join customer on c_custkey = o_custkey join part on p_partkey = o_orderkey % 300
+        where o_orderpriority is not null and o_orderstatus is not null and p_brand is not null"""
+
 _SPLIT_NAME = r"""
 with v as (
   select p_partkey, 1 as variant, p_type as full_name from part
@@ -430,24 +629,82 @@ _NULL_AND_LENGTH = " union all ".join(
        "and c_mktsegment not in (" + ", ".join(f"'{s}'" for s in MARKET_SEGMENTS) + ")) from customer"])
 
 ORACLE: dict[str, str] = {
-    "star_detail": sqlfiles.bundled("star_detail"),
-    "star_detail_sql": sqlfiles.bundled("star_detail"),
-    "natural_key_dups": sqlfiles.bundled("natural_key_dups"),
-    "natural_key_dups_sql": sqlfiles.bundled("natural_key_dups"),
-    "detail_natural_key": _over_detail("""
-        select p_partkey, ship_date, count(*) as conteo from detail
-        group by p_partkey, ship_date having count(*) > 1"""),
-    "detail_mean_gap": _over_detail("""
-        select p_partkey, count(*) as appointments, min(ship_date) as first_at,
-               max(ship_date) as last_at,
-               case when count(*) > 1 then
-                 datediff('day', min(ship_date), max(ship_date)) / (count(*) - 1) end as mean_gap_days,
-               case when count(*) > 1 then
-                 (epoch(max(ship_date)) - epoch(min(ship_date))) / ((count(*) - 1) * 3600) end
-                 as mean_gap_hours
-        from detail group by p_partkey"""),
-    "detail_attention_counts": _over_detail("""
-        select s_name, p_partkey, count(*) as attentions from detail group by s_name, p_partkey"""),
+    "star_detail": _STAR,
+    "star_detail_sql": _STAR,
+    "natural_key_dups": _NATURAL_KEY,
+    "natural_key_dups_sql": _NATURAL_KEY,
+    "detail_natural_key": f"""
+        select distinct p_partkey, ship_date, n as conteo from (
+          select p_partkey, ship_date, count(*) over (partition by p_partkey, ship_date) as n from ({_STAR}))
+        where n > 1""",
+    "detail_mean_gap": _mean_gap_sql(_STAR, "p_partkey", "ship_date"),
+    "detail_attention_counts": """
+        select s_name, l_partkey as p_partkey, count(*) as attentions
+        from lineitem l join supplier s on l.l_suppkey = s.s_suppkey
+        where exists (select 1 from part where p_partkey = l_partkey)
+          and exists (select 1 from nation where n_nationkey = s_nationkey)
+          and l_returnflag in ('A', 'N', 'R') and l_linestatus in ('F', 'O')
+        group by s_name, l_partkey""",
+    "faulty_mean_gap": _mean_gap_sql(_FAULTY, "customer", "day"),
+    "faulty_gaps": f"""
+        select customer, count(*) as gaps, cast(sum(datediff('day', before, day)) as bigint) as days,
+               count(prev) as known_before
+        from (select customer, day, lag(key) over w as prev, lag(day) over w as before, row_number() over w as n
+              from ({_FAULTY}) where key is not null or customer % 3 = 0
+              window w as (partition by customer order by day nulls first, key nulls first))
+        where n > 1 group by customer""",
+    "faulty_quality": f"""
+        with bad as ({_FAULTY})
+        select 'not_null' as check_name, 'orders' as table_name, 'key' as column_name,
+               count(*) filter (where key is null) as violations from bad
+        union all select 'not_null', 'orders', 'customer', count(*) filter (where customer is null) from bad
+        union all select 'not_null', 'orders', 'day', count(*) filter (where day is null) from bad
+        union all select 'max_length', 'orders', 'priority', count(*) filter (where length(priority) > 8) from bad
+        union all select 'domain', 'orders', 'status', count(*) filter (where status not in ('F', 'O')) from bad
+        union all select 'foreign_key', 'orders', 'customer', count(*) from bad
+               where not exists (select 1 from customer c where c.c_custkey = bad.customer)
+        union all select 'primary_key', 'orders', 'key', count(*)
+               from (select key from bad group by key having count(*) > 1)
+        union all select 'foreign_key', 'orders', 'key', count(*) from bad
+               where not exists (select 1 from labels l where l.doc_id = bad.key)""",
+    "health_detail": _HEALTH,
+    "health_detail_sql": _HEALTH,
+    "months_odd_headers": f"""
+        select cast(o_custkey as varchar) as DOCUMENTO,
+               {_MONTH_LIST}[month(o_orderdate)] || '.' || cast(year(o_orderdate) as varchar) || chr(96) || chr(39)
+               || chr(34) as MES_ANO, min(o_orderpriority) as DIAGNOSTICO
+        from orders where o_orderdate is not null group by 1, 2""",
+    "normalize_documents": r"""
+        select doc_id, upper(strip_accents(replace(regexp_replace(text, '^\s+', ''), 'ß', 'ss'))) || 'E' as normalized
+        from documents""",
+    "diagnosis_fact_repeated": _REPEATED_MATCHED + _FACTS,
+    "diagnosis_rejects_repeated": _REPEATED_MATCHED + _REJECTS,
+    "erp_patients": """
+        select c_custkey as PACID, cast(c_custkey as varchar) as PACDOC, upper(c_name) as FIRST_NAME,
+               'GARCIA' as SECOND_NAME, c_mktsegment as LAST_NAME, c_mktsegment as PACCITY,
+               timestamp '2024-01-31 10:00:00' as PACINGDAT
+        from customer where c_custkey % 19 <> 0 and c_custkey % 23 <> 0 and c_custkey % 29 <> 0""",
+    "erp_attentions": """
+        select o_orderkey as ATTID, o_custkey as PACID, o_orderkey % 100 as SPEID,
+               cast(date_trunc('second', cast(o_orderdate as timestamp)) as timestamp) as ATTFIN01,
+               dense_rank() over (order by upper(o_orderpriority)) as ASSIGNMENT_STATUS_ID,
+               dense_rank() over (order by upper(o_orderstatus)) as ASSISTANCE_STATUS_ID
+        from orders where o_orderkey % 31 <> 0 and o_orderkey % 37 <> 0 and o_orderdate is not null""",
+    "erp_specialities": """
+        select p_partkey as SPEID, upper(p_name) as SPENAME, dense_rank() over (order by upper(p_brand)) as SPEGRP_ID
+        from part""",
+    "erp_rejects": """
+        with found as (
+          select 'patient' as table_name,
+                 case when c_custkey % 23 = 0 then 'PACDOC is missing'
+                      when c_custkey % 19 = 0 then 'PACID is not a long'
+                      when c_custkey % 29 = 0 then 'PACINGDAT is not a timestamp' end as reason from customer
+          union all
+          select 'attention', case when o_orderkey % 31 = 0 then 'ATTFIN01 is missing'
+                                   when o_orderkey % 37 = 0 then 'ATTFIN04 is not a long' end from orders)
+        select table_name, reason, count(*) as rows from found where reason is not null group by 1, 2""",
+    "broadcast_nation": """
+        select c_custkey, n_name from customer, nation where c_nationkey = n_nationkey""",
     "key_verdict": """
         select 'orders' as table_name, 'o_orderkey' as key_columns,
                count(*) as dup_groups, cast(coalesce(sum(c - 1), 0) as bigint) as dup_rows,
@@ -492,16 +749,7 @@ ORACLE: dict[str, str] = {
         from orders o join customer c on c.c_custkey = o.o_custkey
         join nation n on n.n_nationkey = c.c_nationkey
         group by 1, 2, 3""",
-    "mean_gap": """
-        select o_custkey, count(*) as appointments, min(o_orderdate) as first_at,
-               max(o_orderdate) as last_at,
-               case when count(*) > 1 then
-                 datediff('day', min(o_orderdate), max(o_orderdate)) / (count(*) - 1) end
-                 as mean_gap_days,
-               case when count(*) > 1 then
-                 (epoch(max(o_orderdate)) - epoch(min(o_orderdate))) / ((count(*) - 1) * 3600) end
-                 as mean_gap_hours
-        from orders group by o_custkey""",
+    "mean_gap": _mean_gap_sql("select * from orders", "o_custkey", "o_orderdate"),
     "appointment_gaps": """
         select * from (
           select o_custkey, o_orderkey, o_orderdate,
@@ -518,23 +766,15 @@ ORACLE: dict[str, str] = {
     "extract_dimension": """
         select o_orderkey,
                case when o_orderpriority is not null then
-                 cast(dense_rank() over (order by o_orderpriority) as integer) end as PRIORITY_ID
+                 dense_rank() over (order by o_orderpriority) end as PRIORITY_ID
         from orders""",
     "extract_dimension_dim": """
-        select cast(row_number() over (order by o_orderpriority) as integer) as PRIORITY_ID,
+        select row_number() over (order by o_orderpriority) as PRIORITY_ID,
                o_orderpriority
         from (select distinct o_orderpriority from orders where o_orderpriority is not null)""",
     "split_name": _SPLIT_NAME,
-    "diagnosis_fact": _DIAGNOSIS_MATCHED + """
-        select row_number() over (order by DOCUMENTO, FECHA, DIAGNOSTICO, DIAG_ID) as PATDIAG_ID,
-               PACID, DIAG_ID, FECHA as DATE
-        from m where PACID is not null and DIAG_ID is not null and FECHA is not null""",
-    "diagnosis_rejects": _DIAGNOSIS_MATCHED + """
-        select DOCUMENTO, FECHA, DIAGNOSTICO,
-               case when PACID is null then 'unknown patient'
-                    when DIAG_ID is null then 'unknown diagnosis'
-                    else 'unparsed month' end as reason
-        from m where PACID is null or DIAG_ID is null or FECHA is null""",
+    "diagnosis_fact": _DIAGNOSIS_MATCHED + _FACTS,
+    "diagnosis_rejects": _DIAGNOSIS_MATCHED + _REJECTS,
     "quality_report": """
         select 'not_null' as check_name, 'lineitem' as table_name, 'l_orderkey' as column_name,
                count(*) filter (where l_orderkey is null) as violations from lineitem
@@ -557,15 +797,4 @@ ORACLE: dict[str, str] = {
                where not exists (select 1 from customer c where c.c_custkey = o.o_custkey)
         union all select 'foreign_key', 'documents', 'doc_id', count(*) from documents d
                where not exists (select 1 from labels l where l.doc_id = d.doc_id)""",
-    "synthetic_checks": """
-        select 'n_patients' as check_name, count(*) as value from customer
-        union all select 'distinct_pacdoc', count(*) from customer
-        union all select 'bad_pacdoc', 0
-        union all select 'n_attentions', count(*) from orders
-        union all select 'attention_out_of_range', 0
-        union all select 'orphan_attentions', 0
-        union all select 'detail_rows', count(*) from orders
-        union all select 'detail_rows_sql', count(*) from orders
-        union all select 'n_diagnoses', count(*) from lineitem
-        union all select 'orphan_diagnoses', 0""",
 }

@@ -22,6 +22,7 @@ from clinilake import sql as sqlfiles
 from clinilake.lake import Lake
 from clinilake.operators import gold, normalize, quality, synth
 from clinilake.operators.joins import Dim, star_join
+from clinilake.operators.ordered import row_index
 from clinilake.operators.reshape import diagnoses_long, unpivot_to_dates
 
 log = logging.getLogger(__name__)
@@ -88,26 +89,42 @@ def read_silver(spark: SparkSession, lake: Lake, names: list[str],
     return out
 
 
+# The dimensions of the view (table, alias, key, parent alias) and
+# its output columns (qualified name, name in the view).  Both forms come from
+# these two lists.
+DETAIL_DIMS = [
+    ("dim_patient", "p", "PACID", None),
+    ("dim_speciality", "s", "SPEID", None),
+    ("dim_speciality_group", "g", "SPEGRP_ID", "s"),
+    ("dim_assignment_status", "a", "ASSIGNMENT_STATUS_ID", None),
+    ("dim_assistance_status", "b", "ASSISTANCE_STATUS_ID", None),
+]
+DETAIL_COLUMNS = [
+    ("f.ATTID", "ATTID"), ("f.ATTFIN01", "FECHA_ATENCION"), ("p.PACID", "PACID"), ("p.PACDOC", "PACDOC"),
+    ("p.FIRST_NAME", "FIRST_NAME"), ("p.SECOND_NAME", "SECOND_NAME"), ("p.LAST_NAME", "LAST_NAME"),
+    ("p.PACCITY", "PACCITY"), ("p.PACINGDAT", "PACINGDAT"), ("s.SPENAME", "SPENAME"),
+    ("g.SPEGRP_NAME", "SPEGRP_NAME"), ("a.STATUS_DESC", "ESTADO_ASIGNACION"), ("b.ASSISTED", "ASISTENCIA"),
+]
+
+
 def detail_df(silver: dict[str, DataFrame]) -> DataFrame:
     """``atencion_detalle`` in DataFrame form."""
-    dims = [
-        Dim(silver["dim_patient"], "p", [("PACID", "PACID")]),
-        Dim(silver["dim_speciality"], "s", [("SPEID", "SPEID")]),
-        Dim(silver["dim_speciality_group"], "g", [("SPEGRP_ID", "SPEGRP_ID")], parent="s"),
-        Dim(silver["dim_assignment_status"], "a", [("ASSIGNMENT_STATUS_ID", "ASSIGNMENT_STATUS_ID")]),
-        Dim(silver["dim_assistance_status"], "ass", [("ASSISTANCE_STATUS_ID", "ASSISTANCE_STATUS_ID")]),
-    ]
-    return star_join(silver["fact_attention"], dims, [
-        "f.ATTID", F.col("f.ATTFIN01").alias("FECHA_ATENCION"), "p.PACID", "p.PACDOC",
-        "p.FIRST_NAME", "p.SECOND_NAME", "p.LAST_NAME", "p.PACCITY", "p.PACINGDAT", "s.SPENAME",
-        "g.SPEGRP_NAME", F.col("a.STATUS_DESC").alias("ESTADO_ASIGNACION"),
-        F.col("ass.ASSISTED").alias("ASISTENCIA")])
+    dims = [Dim(silver[table], alias, [(key, key)], parent=parent) for table, alias, key, parent in DETAIL_DIMS]
+    return star_join(silver["fact_attention"], dims, [F.col(c).alias(name) for c, name in DETAIL_COLUMNS])
+
+
+def detail_statement() -> str:
+    """``atencion_detalle`` as one SQL statement over the silver views."""
+    columns = ", ".join(f"{c} as {name}" for c, name in DETAIL_COLUMNS)
+    joins = "".join(f"\njoin {table} {alias} on {parent or 'f'}.{key} = {alias}.{key}"
+                    for table, alias, key, parent in DETAIL_DIMS)
+    return f"select {columns}\nfrom fact_attention f{joins}"
 
 
 def detail_sql(spark: SparkSession, silver: dict[str, DataFrame]) -> DataFrame:
-    """``atencion_detalle`` in SQL form: temp views + the bundled statement."""
+    """``atencion_detalle`` in SQL form: temp views + the statement."""
     sqlfiles.register({n: silver[n] for n in DETAIL_TABLES})
-    return sqlfiles.run_bundled(spark, "atencion_detalle")
+    return spark.sql(detail_statement())
 
 
 def detail(spark: SparkSession, silver: dict[str, DataFrame], mode: str = "sql") -> DataFrame:
@@ -167,7 +184,8 @@ def normalize_erp(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
 
     Dimensions are written first and the facts are keyed against the written
     tables, so writing a fact never recomputes the distinct codes and a lost
-    executor only repeats the fact's own stages.
+    executor only repeats the fact's own stages.  Rows that do not convert go
+    to bronze ``erp_rejects`` with a reason instead of stopping the job.
     """
     bronze = sources.read_tables(spark, lake, ["patient", "attention", "speciality"], zone="bronze")
 
@@ -175,10 +193,11 @@ def normalize_erp(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
         sinks.write_zone(schemas.conform(df, schemas.ALL[name]), lake, "silver", name)
         return sources.read_zone(spark, lake, "silver", name)
 
-    out = {"dim_patient": written("dim_patient", normalize.erp_patient(bronze["patient"]))}
-    spec = bronze["speciality"].select(
-        F.col("SPEID").cast("int"), normalize.normalize_text("SPENAME").alias("SPENAME"),
-        normalize.normalize_text("SPEGRP").alias("SPEGRP"))
+    rejects = quality.report([normalize.erp_rejects(df, name) for name, df in bronze.items()])
+    sinks.write_zone(rejects, lake, "bronze", "erp_rejects")
+    out = {"erp_rejects": sources.read_zone(spark, lake, "bronze", "erp_rejects"),
+           "dim_patient": written("dim_patient", normalize.erp_patient(bronze["patient"]))}
+    spec = normalize.erp_speciality_coded(bronze["speciality"])
     group, _ = normalize.extract_dimension(spec, "SPEGRP", "SPEGRP_ID", "SPEGRP_NAME")
     out["dim_speciality_group"] = written("dim_speciality_group", group)
     out["dim_speciality"] = written("dim_speciality", normalize.attach_dimension(
@@ -196,6 +215,20 @@ def normalize_erp(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     return out
 
 
+def load_diagnoses(spark: SparkSession, lake: Lake, name: str = "diagnosis_catalogue") -> DataFrame:
+    """A bronze catalogue (``CIE10_CODE``, ``DESCRIPTION``) -> silver ``dim_diagnosis``.
+
+    Codes are trimmed and upper-cased; of a repeated code the smallest
+    description stays; ``DIAG_ID`` numbers the codes in order.
+    """
+    raw = sources.read_zone(spark, lake, "bronze", name)
+    codes = raw.select(F.upper(F.trim("CIE10_CODE")).alias("CIE10_CODE"), F.trim("DESCRIPTION").alias("DESCRIPTION"))
+    known = codes.where("CIE10_CODE <> ''").groupBy("CIE10_CODE").agg(F.min("DESCRIPTION").alias("DESCRIPTION"))
+    dim = row_index(known, ["CIE10_CODE"], "DIAG_ID")
+    sinks.write_zone(schemas.conform(dim, schemas.DIM_DIAGNOSIS), lake, "silver", "dim_diagnosis")
+    return sources.read_zone(spark, lake, "silver", "dim_diagnosis")
+
+
 def link_diagnoses(spark: SparkSession, lake: Lake) -> tuple[DataFrame, DataFrame]:
     """Gold long diagnoses -> silver ``fact_patient_diagnosis`` + rejects."""
     long = sources.read_zone(spark, lake, "gold", "diagnosticos_transformados")
@@ -244,11 +277,15 @@ def quality_report(spark: SparkSession, lake: Lake) -> DataFrame:
 
 
 JOBS = ("land_bronze", "build_silver", "bucket_silver", "build_detail", "check_key",
-        "transform_diagnoses", "normalize_erp", "link_diagnoses", "build_gold", "quality_report")
+        "transform_diagnoses", "normalize_erp", "load_diagnoses", "link_diagnoses", "build_gold", "quality_report")
 
 
 def explain(spark: SparkSession, lake: Lake, args: argparse.Namespace) -> None:
-    """Print the plan of a job's main output without executing it."""
+    """Print the plan of a job's main output without executing it.
+
+    Building these plans starts no job but for the footers that Spark reads to
+    learn a table's schema.
+    """
     plans = {
         "build_detail": lambda: detail(
             spark, read_silver(spark, lake, DETAIL_TABLES, args.buckets > 0), args.mode),
@@ -276,11 +313,16 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--diagnoses", type=int, default=30)
     parser.add_argument("--source-format", help="land_bronze: csv, json, parquet, xlsx, ...")
     parser.add_argument("--source-path", help="land_bronze: files to land")
-    parser.add_argument("--name", help="land_bronze: bronze table name")
+    parser.add_argument("--name", help="land_bronze, load_diagnoses: bronze table name")
     parser.add_argument("--option", action="append", default=[],
                         help="land_bronze: reader option key=value (repeatable)")
     parser.add_argument("--buckets", type=int, default=0,
                         help="bucket_silver: bucket count; build_detail: read bucketed tables")
+    parser.add_argument("--literal", action="store_true",
+                        help="transform_diagnoses: the melt in its literal steps")
+    parser.add_argument("--clean-headers", action="store_true",
+                        help="transform_diagnoses: accept month headers in any case and spacing")
+    parser.add_argument("--catalog", help="catalog that holds the zones (with --tables)")
     parser.add_argument("--tables", action="store_true",
                         help="read and write catalog tables <env>_<zone>.<name> instead of zone paths")
     parser.add_argument("--explain", action="store_true",
@@ -294,7 +336,7 @@ def main(argv: list[str] | None = None) -> None:
     if missing:
         parser.error(f"{args.job} needs {', '.join(missing)}")
     spark = session.get(f"clinilake-{args.job}")
-    lake = Lake(args.root, args.env, tables=args.tables)
+    lake = Lake(args.root, args.env, catalog=args.catalog, tables=args.tables)
     if args.explain:
         explain(spark, lake, args)
         return
@@ -314,9 +356,11 @@ def main(argv: list[str] | None = None) -> None:
         if args.gate and not unique:
             raise SystemExit("(PACDOC, FECHA_ATENCION) is not a natural key of atencion_detalle")
     elif args.job == "transform_diagnoses":
-        transform_diagnoses(spark, lake, args.workbooks, args.data_address)
+        transform_diagnoses(spark, lake, args.workbooks, args.data_address, args.literal, args.clean_headers)
     elif args.job == "normalize_erp":
         normalize_erp(spark, lake)
+    elif args.job == "load_diagnoses":
+        load_diagnoses(spark, lake, args.name or "diagnosis_catalogue")
     elif args.job == "link_diagnoses":
         link_diagnoses(spark, lake)
     elif args.job == "build_gold":

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import (DateType, IntegerType, StringType, StructField,
+from pyspark.sql.types import (DateType, LongType, StringType, StructField,
                                StructType, TimestampType)
 
 
@@ -11,31 +11,34 @@ def _fields(*spec: tuple[str, object, bool]) -> StructType:
     return StructType([StructField(n, t, nullable) for n, t, nullable in spec])
 
 
-INT, STR, TS, DATE = IntegerType(), StringType(), TimestampType(), DateType()
+# All ids are long: fact ids pass 2**31 at the scale this is for.
+ID, STR, TS, DATE = LongType(), StringType(), TimestampType(), DateType()
+
+# Table and field names of the documented model.
 
 DIM_PATIENT = _fields(
-    ("PACID", INT, False), ("PACDOC", STR, False), ("FIRST_NAME", STR, True),
+    ("PACID", ID, False), ("PACDOC", STR, False), ("FIRST_NAME", STR, True),
     ("SECOND_NAME", STR, True), ("LAST_NAME", STR, True), ("PACCITY", STR, True),
     ("PACINGDAT", TS, True))
-DIM_SPECIALITY = _fields(("SPEID", INT, False), ("SPENAME", STR, False),
-                         ("SPEGRP_ID", INT, False))
-DIM_SPECIALITY_GROUP = _fields(("SPEGRP_ID", INT, False), ("SPEGRP_NAME", STR, False))
-DIM_DIAGNOSIS = _fields(("DIAG_ID", INT, False), ("CIE10_CODE", STR, False),
+DIM_SPECIALITY = _fields(("SPEID", ID, False), ("SPENAME", STR, False),
+                         ("SPEGRP_ID", ID, False))
+DIM_SPECIALITY_GROUP = _fields(("SPEGRP_ID", ID, False), ("SPEGRP_NAME", STR, False))
+DIM_DIAGNOSIS = _fields(("DIAG_ID", ID, False), ("CIE10_CODE", STR, False),
                         ("DESCRIPTION", STR, True))
-DIM_ASSIGNMENT_STATUS = _fields(("ASSIGNMENT_STATUS_ID", INT, False),
+DIM_ASSIGNMENT_STATUS = _fields(("ASSIGNMENT_STATUS_ID", ID, False),
                                 ("STATUS_DESC", STR, False))
-DIM_ASSISTANCE_STATUS = _fields(("ASSISTANCE_STATUS_ID", INT, False),
+DIM_ASSISTANCE_STATUS = _fields(("ASSISTANCE_STATUS_ID", ID, False),
                                 ("ASSISTED", STR, False))
 FACT_ATTENTION = _fields(
-    ("ATTID", INT, False), ("PACID", INT, False), ("SPEID", INT, False),
-    ("ATTFIN01", TS, False), ("ASSIGNMENT_STATUS_ID", INT, False),
-    ("ASSISTANCE_STATUS_ID", INT, False))
-FACT_PATIENT_DIAGNOSIS = _fields(("PATDIAG_ID", INT, False), ("PACID", INT, False),
-                                 ("DIAG_ID", INT, False), ("DATE", DATE, False))
+    ("ATTID", ID, False), ("PACID", ID, False), ("SPEID", ID, False),
+    ("ATTFIN01", TS, False), ("ASSIGNMENT_STATUS_ID", ID, False),
+    ("ASSISTANCE_STATUS_ID", ID, False))
+FACT_PATIENT_DIAGNOSIS = _fields(("PATDIAG_ID", ID, False), ("PACID", ID, False),
+                                 ("DIAG_ID", ID, False), ("DATE", DATE, False))
 
 # Gold outputs.
 ATENCION_DETALLE = _fields(
-    ("ATTID", INT, True), ("FECHA_ATENCION", TS, True), ("PACID", INT, True),
+    ("ATTID", ID, True), ("FECHA_ATENCION", TS, True), ("PACID", ID, True),
     ("PACDOC", STR, True), ("FIRST_NAME", STR, True), ("SECOND_NAME", STR, True),
     ("LAST_NAME", STR, True), ("PACCITY", STR, True), ("PACINGDAT", TS, True),
     ("SPENAME", STR, True), ("SPEGRP_NAME", STR, True),
@@ -44,13 +47,13 @@ DIAGNOSTICOS_TRANSFORMADOS = _fields(("DOCUMENTO", STR, True), ("FECHA", DATE, T
                                      ("DIAGNOSTICO", STR, True))
 
 # Bronze ERP tables as documented (types are ours).
-BRONZE_PATIENT = _fields(("PACID", INT, True), ("PACDOC", STR, True),
+BRONZE_PATIENT = _fields(("PACID", ID, True), ("PACDOC", STR, True),
                          ("PACNAME", STR, True), ("PACCITY", STR, True),
                          ("PACINGDAT", TS, True))
-BRONZE_ATTENTION = _fields(("ATTID", INT, True), ("ATTFIN01", TS, True),
+BRONZE_ATTENTION = _fields(("ATTID", ID, True), ("ATTFIN01", TS, True),
                            ("ATTFIN02", STR, True), ("ATTFIN03", STR, True),
-                           ("ATTFIN04", INT, True), ("ATTFIN05", INT, True))
-BRONZE_SPECIALITY = _fields(("SPEID", INT, True), ("SPENAME", STR, True),
+                           ("ATTFIN04", ID, True), ("ATTFIN05", ID, True))
+BRONZE_SPECIALITY = _fields(("SPEID", ID, True), ("SPENAME", STR, True),
                             ("SPEGRP", STR, True))
 
 ALL: dict[str, StructType] = {
@@ -106,9 +109,22 @@ def empty(spark: SparkSession, name: str) -> DataFrame:
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Select and cast ``df`` to ``schema`` by column name.
 
-    Parquet written by other tools may carry TIMESTAMP_NTZ or wider integers;
-    casting once here keeps downstream types stable.  Uses ``try_cast`` so a
-    bad value becomes null (and is then counted by the not-null check).
+    Parquet written by other tools may carry TIMESTAMP_NTZ or narrower
+    integers; casting once here keeps downstream types stable.  In a nullable
+    column a value that does not convert becomes null.  In a column declared
+    not null it fails the job: a key must never be lost silently.
     """
     from pyspark.sql import functions as F
-    return df.select([F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
+
+    from clinilake.names import col
+
+    def one(f: StructField):
+        cast = col(f.name).try_cast(f.dataType)
+        if not f.nullable:
+            bad = col(f.name).isNotNull() & cast.isNull()
+            cast = F.when(bad, F.raise_error(F.concat(
+                F.lit(f"{f.name} does not fit {f.dataType.simpleString()}: "), col(f.name).cast("string")))
+                .cast(f.dataType)).otherwise(cast)
+        return cast.alias(f.name)
+
+    return df.select([one(f) for f in schema])

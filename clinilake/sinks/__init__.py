@@ -89,8 +89,9 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "overwrite", *,
                num_partitions: int | None = None, batchsize: int = 10_000,
                **options: str) -> None:
     """JDBC sink.  Each partition opens one connection and writes in batches;
-    ``num_partitions`` caps concurrent connections with a narrow coalesce."""
-    out = df.coalesce(num_partitions) if num_partitions else df
+    ``num_partitions`` caps concurrent connections with a shuffle, so that the
+    stage before it keeps its own number of tasks."""
+    out = df.repartition(num_partitions) if num_partitions else df
     writer = (out.write.format("jdbc").option("url", url).option("dbtable", table)
               .option("batchsize", str(batchsize)).mode(mode))
     for key, value in options.items():
@@ -99,12 +100,18 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "overwrite", *,
 
 
 def write_zone(df: DataFrame, lake, zone: str, name: str, mode: str = "overwrite", *,
-               files: int | None = None, partition_by: Sequence[str] | None = None) -> None:
+               files: int | None = None, partition_by: Sequence[str] | None = None,
+               check_inputs: bool = False) -> None:
     """Write a lake table: a catalog table in the zone's database when the lake
     uses tables (Spark itself refuses to overwrite a table the plan reads),
-    else parquet files at the zone path."""
+    else parquet files at the zone path.
+
+    The library's jobs write one table and read others, so the list of input
+    files is not brought to the driver unless ``check_inputs`` asks for it.
+    """
     if lake.tables:
         lake.ensure_database(df.sparkSession, zone)
         save_table(df, lake.table(zone, name), mode, partition_by=partition_by, files=files)
     else:
-        write_table(df, lake.path(zone, name), mode, files=files, partition_by=partition_by)
+        write_table(df, lake.path(zone, name), mode, files=files, partition_by=partition_by,
+                    check_inputs=check_inputs)

@@ -3,10 +3,14 @@
 Files are listed and read by Spark's ``binaryFile`` source; each workbook is
 one row, parsed inside a ``mapInPandas`` task with the standard library
 (``zipfile`` + streaming XML).  An xlsx is a zip archive and cannot be split,
-so one workbook is one unit of work; Excel caps a sheet at 1,048,576 rows x
-16,384 columns, and the parser hands rows back in chunks of
-:data:`CHUNK_ROWS`, so a task never holds a whole sheet in Python objects.
-Many workbooks spread over many tasks.
+so one workbook is one unit of work.  A task holds the file's bytes and its shared
+strings; the sheet itself is read as a stream, handed back in chunks of
+:data:`CHUNK_ROWS` rows, and each row's elements are freed.  Excel caps a sheet
+at 1,048,576 rows x 16,384 columns.  Many workbooks spread over many tasks.
+
+Headers keep every column apart: the second column of one header is named
+``header_2`` (and so on), a column with data but no header ``_col<n>`` by its
+place from the start column.
 
 Two shapes are offered:
 
@@ -14,8 +18,8 @@ Two shapes are offered:
   ``(_source_file, row, col, header, text, number)``; no schema needed.
 * :func:`read_workbooks` - one row per sheet row with a column per header,
   like a spreadsheet data source with ``header=true``.  The schema is given,
-  or inferred by one aggregation over the cells (numeric-only columns become
-  double, the rest string).
+  or inferred by one aggregation over headers and cells (columns of numbers
+  only become double, the rest string, columns without data too).
 """
 
 from __future__ import annotations
@@ -32,6 +36,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (DoubleType, LongType, StringType, StructField,
                                StructType)
 
+from clinilake.names import col as column
+
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
        "r": "http://schemas.openxmlformats.org/officeDocument/2006/relationships",
        "rel": "http://schemas.openxmlformats.org/package/2006/relationships"}
@@ -107,14 +113,20 @@ def iter_cells(content: bytes, sheet: str | None = None
                                     f"{{{_NS['m']}}}is")
             row_tag = f"{{{_NS['m']}}}row"
             row, col = 0, 0
+            data_tag = f"{{{_NS['m']}}}sheetData"
+            parent = None
             for event, el in ET.iterparse(fh, events=("start", "end")):
                 if event == "start":
+                    if el.tag == data_tag:
+                        parent = el
                     if el.tag == row_tag:
                         row = int(el.get("r")) if el.get("r") else row + 1
                         col = 0
                     continue
                 if el.tag == row_tag:
                     el.clear()
+                    if parent is not None:
+                        parent.clear()  # else each emptied row stays under the sheet
                     continue
                 if el.tag != c_tag:
                     continue
@@ -151,62 +163,103 @@ def iter_cells(content: bytes, sheet: str | None = None
 CHUNK_ROWS = 20_000  # sheet rows per batch handed back to Spark
 
 
+def _header_names(cells: dict[int, str | None], start_col: int) -> dict[int, str]:
+    """A name for each header cell, repeated ones numbered from the second on."""
+    names: dict[int, str] = {}
+    used: set[str] = set()
+    for c in sorted(cells):
+        if not cells[c]:
+            continue
+        name, k = cells[c], 1
+        while name in used:
+            k += 1
+            name = f"{cells[c]}_{k}"
+        used.add(name)
+        names[c] = name
+    return names
+
+
 def _cell_chunks(path: str, content: bytes, sheet: str | None, start_row: int,
-                 start_col: int, chunk_rows: int = CHUNK_ROWS) -> Iterator[pd.DataFrame]:
+                 start_col: int, chunk_rows: int = CHUNK_ROWS, headers_too: bool = False
+                 ) -> Iterator[pd.DataFrame]:
     """Data cells of one sheet, ``chunk_rows`` sheet rows at a time.
 
     Sheet XML lists rows in order, so the header row comes first and a chunk
     boundary never splits a row; a task holds one chunk, not the sheet.
+    ``headers_too`` adds a row without a value for each named column.
     """
     columns = [f.name for f in CELL_SCHEMA]
-    headers: dict[int, str | None] = {}
+    found: dict[int, str | None] = {}
+    names: dict[int, str] | None = None
     buf: list[tuple] = []
     rows_in_buf, last_row = 0, None
+
+    def named() -> dict[int, str]:
+        out = _header_names(found, start_col)
+        if headers_too:
+            buf.extend((path, start_row, c, name, None, None) for c, name in out.items())
+        return out
+
     for r, c, t, n in iter_cells(content, sheet):
         if r < start_row or c < start_col:
             continue
         if r == start_row:
-            headers[c] = t if t is not None else (repr(n) if n is not None else None)
+            found[c] = t if t is not None else (repr(n) if n is not None else None)
             continue
+        if names is None:
+            names = named()
         if r != last_row:
             if rows_in_buf >= chunk_rows:
                 yield pd.DataFrame(buf, columns=columns)
                 buf, rows_in_buf = [], 0
             rows_in_buf, last_row = rows_in_buf + 1, r
-        buf.append((path, r, c, headers.get(c), t, n))
+        buf.append((path, r, c, names.get(c) or f"_col{c - start_col + 1}", t, n))
+    if names is None:
+        named()
     if buf:
         yield pd.DataFrame(buf, columns=columns)
 
 
-def read_workbook_cells(spark: SparkSession, path: str, data_address: str = "A1",
-                        recursive: bool = False) -> DataFrame:
-    """One row per non-empty data cell, header attached (see module doc)."""
+def _files(spark: SparkSession, path: str, recursive: bool) -> DataFrame:
+    """The workbooks under ``path``, whatever the case of their ending."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", "*.[xX][lL][sS][xX]")
+            .option("recursiveFileLookup", str(recursive).lower()).load(path)
+            .select("path", "content"))
+
+
+def _cells(spark: SparkSession, path: str, data_address: str, recursive: bool, headers_too: bool) -> DataFrame:
     sheet, start_row, start_col = parse_address(data_address)
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx")
-             .option("recursiveFileLookup", str(recursive).lower()).load(path)
-             .select("path", "content"))
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for p, content in zip(batch["path"], batch["content"]):
-                yield from _cell_chunks(p, bytes(content), sheet, start_row, start_col)
+                yield from _cell_chunks(p, bytes(content), sheet, start_row, start_col, headers_too=headers_too)
+
+    return _files(spark, path, recursive).mapInPandas(parse, CELL_SCHEMA)
 
-    return files.mapInPandas(parse, CELL_SCHEMA)
+
+def read_workbook_cells(spark: SparkSession, path: str, data_address: str = "A1",
+                        recursive: bool = False) -> DataFrame:
+    """One row per non-empty data cell, header attached (see module doc)."""
+    return _cells(spark, path, data_address, recursive, headers_too=False)
 
 
 def infer_schema(cells: DataFrame) -> StructType:
     """Header order and types from one aggregation over the cells.
 
-    The result is one row per header (bounded by the sheet's column count),
-    the only thing brought to the driver.
+    The result has one row for each distinct header of all the workbooks, the
+    only thing brought to the driver.  Rows without a value (the headers
+    themselves) make a column known without a say in its type.
     """
+    filled = F.col("text").isNotNull() | F.col("number").isNotNull()
     stats = (cells.where(F.col("header").isNotNull())
              .groupBy("header")
-             .agg(F.min("col").alias("pos"),
-                  F.count_if(F.col("number").isNull()).alias("non_numeric"))
-             .orderBy("pos").collect())
-    return StructType([StructField(r["header"], DoubleType() if r["non_numeric"] == 0 else StringType())
-                       for r in stats])
+             .agg(F.min("col").alias("pos"), F.count_if(F.col("number").isNotNull()).alias("numeric"),
+                  F.count_if(filled & F.col("number").isNull()).alias("non_numeric"))
+             .orderBy("pos", "header").collect())
+    return StructType([
+        StructField(r["header"], DoubleType() if r["numeric"] and not r["non_numeric"] else StringType())
+        for r in stats])
 
 
 def read_workbooks(spark: SparkSession, path: str, data_address: str = "A1",
@@ -218,14 +271,12 @@ def read_workbooks(spark: SparkSession, path: str, data_address: str = "A1",
     """
     sheet, start_row, start_col = parse_address(data_address)
     if schema is None:
-        schema = infer_schema(read_workbook_cells(spark, path, data_address, recursive))
+        schema = infer_schema(_cells(spark, path, data_address, recursive, headers_too=True))
     names = [f.name for f in schema]
     numeric = {f.name for f in schema if isinstance(f.dataType, (DoubleType, LongType))}
     out_schema = StructType([StructField(f.name, DoubleType() if f.name in numeric else StringType())
                              for f in schema] + [StructField("_source_file", StringType())])
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx")
-             .option("recursiveFileLookup", str(recursive).lower()).load(path)
-             .select("path", "content"))
+    files = _files(spark, path, recursive)
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -243,11 +294,15 @@ def read_workbooks(spark: SparkSession, path: str, data_address: str = "A1",
         cells = cells.assign(value=value.astype(object).where(value.notna(), text))
         wide = cells.pivot_table(index="row", columns="header", values="value", aggfunc="first")
         wide = wide.reindex(columns=names)
-        for name in numeric:
-            wide[name] = pd.to_numeric(wide[name], errors="coerce")
+        for name in names:
+            if name in numeric:
+                wide[name] = pd.to_numeric(wide[name], errors="coerce")
+            else:
+                wide[name] = pd.Series([None if pd.isna(v) else str(v) for v in wide[name]],
+                                       index=wide.index, dtype=object)
         wide["_source_file"] = p
         yield wide.reset_index(drop=True)
 
     df = files.mapInPandas(parse, out_schema)
-    return df.select([F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema]
+    return df.select([column(f.name).cast(f.dataType).alias(f.name) for f in schema]
                      + [F.col("_source_file")])

@@ -87,3 +87,8 @@ def test_other_month_names(spark):
 def test_normalize_strips_tab_and_nbsp(spark):
     df = spark.createDataFrame([("\tSí ",), ("  Cólera\t",)], "t string")
     assert [r[0] for r in df.select(normalize_text("t")).collect()] == ["SI", "COLERA"]
+
+
+def test_normalize_decomposed_extended_and_ordinals(spark):
+    df = spark.createDataFrame([("PEDIATRI\u0301A",), ("1\u00ba 2\u00aa",), ("\u1ea4\u01d7\u0219",), ("stra\u00dfe",)], "t string")
+    assert [r[0] for r in df.select(normalize_text("t")).collect()] == ["PEDIATRIA", "1o 2a", "AUS", "STRASSE"]

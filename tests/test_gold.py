@@ -57,3 +57,28 @@ def test_count_by_equals_counting_the_joined_view(spark):
     view = star_join(fact, dims, ["d.name", "g.descr"]).groupBy("name", "descr").count()
     pre = gold.count_by(fact, dims, ["d.name", "g.descr"], "count")
     assert rows(pre) == rows(view) == [("x", "ACC", 3), ("y", "BAD", 2)]
+
+
+def test_mean_gap_ignores_rows_without_a_timestamp(spark):
+    df = spark.createDataFrame([("A", D(2024, 1, 1)), ("A", D(2024, 1, 11)), ("A", None), ("B", None)],
+                               "PACDOC string, FECHA_ATENCION timestamp")
+    got = {r["PACDOC"]: r for r in gold.mean_gap(df).collect()}
+    assert got["A"]["mean_gap_days"] == 10.0 and got["A"]["appointments"] == 3
+    assert got["B"]["mean_gap_days"] is None and got["B"]["appointments"] == 1
+
+
+def test_gaps_after_a_null_tiebreak(spark):
+    df = spark.createDataFrame([(None, "A", D(2024, 1, 1)), (2, "A", D(2024, 1, 4))],
+                               "ATTID int, PACDOC string, FECHA_ATENCION timestamp")
+    assert rows(gold.appointment_gaps(df), "ATTID", "prev_ATTID", "gap_days") == [(2, None, 3)]
+
+
+def test_count_by_shared_names_and_fact_columns(spark):
+    from clinilake.operators.joins import Dim
+    fact = spark.createDataFrame([(1, 10, "A"), (2, 10, "B"), (3, 20, "A")], "id int, k int, flag string")
+    one = spark.createDataFrame([(10, "x"), (20, "y")], "k int, name string")
+    two = spark.createDataFrame([("A", "x"), ("B", "z")], "code string, name string")
+    dims = [Dim(one, "d", [("k", "k")]), Dim(two, "e", [("flag", "code")])]
+    out = gold.count_by(fact, dims, ["d.name", "e.name", "f.flag"])
+    assert out.columns == ["d.name", "e.name", "flag", "attentions"]
+    assert rows(out.toDF("a", "b", "c", "n")) == [("x", "x", "A", 1), ("x", "z", "B", 1), ("y", "x", "A", 1)]

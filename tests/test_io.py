@@ -196,3 +196,31 @@ def test_read_table_with_declared_schema(spark, scratch):
     spark.range(3).withColumnRenamed("id", "k").write.parquet(path)
     df = sources.read_table(spark, path, "k long, extra string")
     assert rows(df) == [(0, None), (1, None), (2, None)]
+
+
+def test_workbook_columns_are_never_lost(spark, scratch):
+    d = os.path.join(scratch, "books3")
+    os.makedirs(d)
+    xlsx.write(os.path.join(d, "a.XLSX"), [["DOCUMENTO", "ENERO 2023", "ENERO 2023", None, "VACIA"],
+                                           [1, "A00", "J45", "LOST", None]])
+    wide = sources.read_workbooks(spark, d)
+    assert wide.columns == ["DOCUMENTO", "ENERO 2023", "ENERO 2023_2", "_col4", "VACIA", "_source_file"]
+    assert rows(wide.drop("_source_file")) == [(1.0, "A00", "J45", "LOST", None)]
+    assert read_workbook_cells(spark, d).count() == 4
+
+
+def test_workbook_with_headers_only(spark, scratch):
+    path = os.path.join(scratch, "empty.xlsx")
+    xlsx.write(path, [["DOCUMENTO", "ENERO 2023"]])
+    wide = sources.read_workbooks(spark, path)
+    assert wide.columns == ["DOCUMENTO", "ENERO 2023", "_source_file"] and wide.count() == 0
+    assert read_workbook_cells(spark, path).count() == 0
+
+
+def test_a_rewritten_table_shows_its_new_columns(spark, scratch):
+    from clinilake.plans import catalog
+    path = f"{scratch}/t.parquet"
+    spark.range(3).select(F.col("id").alias("a")).write.parquet(path)
+    assert catalog.table(spark, scratch, "t").columns == ["a"]
+    spark.range(3).select(F.col("id").alias("a"), F.lit(1).alias("b")).write.mode("overwrite").parquet(path)
+    assert catalog.table(spark, scratch, "t").columns == ["a", "b"]

@@ -178,3 +178,14 @@ def test_star_join_matches_a_pandas_model(spark):
                                 ["f.id", "da.an", "dg.gn"])
                 expect = model(fact.astype({"a": "Int64"}), a, b, g, how_a, how_g)
                 assert rows(out) == expect, (seed, how_a, how_g)
+
+
+def test_dimension_below_a_prejoined_grandchild(spark):
+    fact = spark.createDataFrame([(1, 10)], "id int, a int")
+    a = spark.createDataFrame([(10, 20)], "a int, b int")
+    b = spark.createDataFrame([(20, 30)], "b int, c int")
+    c = spark.createDataFrame([(30, 40)], "c int, d int")
+    d = spark.createDataFrame([(40, "end")], "d int, v string")
+    dims = [Dim(a, "a", [("a", "a")]), Dim(b, "b", [("b", "b")], parent="a", prejoin=True),
+            Dim(c, "c", [("c", "c")], parent="b", prejoin=True), Dim(d, "d", [("d", "d")], parent="c")]
+    assert rows(star_join(fact, dims, ["f.id", "d.v"])) == [(1, "end")]

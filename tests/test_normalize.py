@@ -61,3 +61,35 @@ def test_diagnosis_fact_matches_code_or_description(spark):
     assert rows(fact) == [(1, 1, 1, dt.date(2023, 1, 1)), (2, 1, 8, dt.date(2023, 2, 1))]
     assert rows(rejects, "DOCUMENTO", "reason") == [
         ("100", "unknown diagnosis"), ("100", "unparsed month"), ("200", "unknown patient")]
+
+
+def test_diagnosis_fact_never_multiplies(spark):
+    long = spark.createDataFrame([("100", dt.date(2023, 1, 1), "A00"), ("100", dt.date(2023, 1, 1), "asma"),
+                                  ("200", dt.date(2023, 1, 1), "A00")],
+                                 "DOCUMENTO string, FECHA date, DIAGNOSTICO string")
+    patients = spark.createDataFrame([(7, "100"), (5, "100"), (9, None)], "PACID long, PACDOC string")
+    catalogue = spark.createDataFrame([(3, "A00", "ASMA"), (2, "a00 ", "Asma"), (4, "J45", " asma")],
+                                      "DIAG_ID long, CIE10_CODE string, DESCRIPTION string")
+    fact, rejects = normalize.diagnosis_fact(long, patients, catalogue)
+    assert rows(fact, "PACID", "DIAG_ID") == [(5, 2), (5, 2)]
+    assert rows(rejects, "DOCUMENTO", "reason") == [("200", "unknown patient")]
+
+
+def test_bad_values_become_rejects(spark):
+    bronze = spark.createDataFrame([("x1", "1", "ana", "cali", None), ("2", None, "eva", "cali", None),
+                                    ("3000000000", "3", "luz", "cali", "2024-01-01 00:00:00"),
+                                    ("4", "4", None, None, "soon")],
+                                   "PACID string, PACDOC string, PACNAME string, PACCITY string, PACINGDAT string")
+    assert rows(normalize.erp_patient(bronze), "PACID", "FIRST_NAME") == [(3000000000, "LUZ")]
+    assert rows(normalize.erp_rejects(bronze, "patient"), "key", "reason") == [
+        ("2", "PACDOC is missing"), ("4", "PACINGDAT is not a timestamp"), ("x1", "PACID is not a long")]
+
+
+def test_conform_keeps_large_ids_and_refuses_lost_keys(spark):
+    import pytest
+    big = spark.createDataFrame([(3_000_000_000, 1, 1, dt.date(2024, 1, 1))],
+                                "PATDIAG_ID long, PACID long, DIAG_ID int, DATE date")
+    assert schemas.conform(big, schemas.FACT_PATIENT_DIAGNOSIS).first()["PATDIAG_ID"] == 3_000_000_000
+    bad = spark.createDataFrame([("one", "x")], "SPEGRP_ID string, SPEGRP_NAME string")
+    with pytest.raises(Exception, match="SPEGRP_ID does not fit"):
+        schemas.conform(bad, schemas.DIM_SPECIALITY_GROUP).collect()

@@ -29,14 +29,46 @@ def test_lag_within_matches_window_on_skewed_keys(spark):
         assert rows(got) == rows(expect), parts
 
 
+def test_lag_within_cuts_hot_keys(spark):
+    df = _events(spark)
+    w = Window.partitionBy("k").orderBy("ts", "tb")
+    expect = df.select("k", "ts", "tb", F.lag("ts").over(w).alias("prev_ts"),
+                       F.lag("tb").over(w).alias("prev_tb"))
+    for hot, bucket in ((10, F.floor(F.col("ts") / 7)), (500, F.col("ts")), (0, F.floor(F.col("ts") / 50)), (50, None)):
+        got = lag_within(df, "k", ["ts", "tb"], ["ts", "tb"], hot_rows=hot, bucket=bucket)
+        assert rows(got) == rows(expect), hot
+
+
 def test_lag_within_hot_key_spans_partitions(spark):
-    df = spark.range(2000).select(F.lit(1).alias("k"), F.col("id").alias("ts"))
-    from clinilake.operators.ordered import PID, range_partitioned
-    spread = range_partitioned(df, ["k", "ts"], 8).select(PID).distinct().count()
-    assert spread > 1  # the single key is cut across several ordered partitions
-    got = lag_within(df, "k", ["ts"], ["ts"], partitions=8)
+    df = spark.range(20000).select(F.lit(1).alias("k"), F.col("id").alias("ts"))
+    got = lag_within(df, "k", ["ts"], ["ts"], hot_rows=100, partitions=8)
     bad = got.where(F.coalesce(F.col("ts") - F.col("prev_ts"), F.lit(1)) != 1).count()
     assert bad == 0 and got.where(F.col("prev_ts").isNull()).count() == 1
+    # The single key is cut across several tasks.
+    assert got.select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_lag_within_nulls_dates_texts_and_odd_names(spark):
+    rnd = random.Random(3)
+    data = [(rnd.choice(["a", None, "b"]), rnd.choice([None, *range(20)]), i, f"r{i}") for i in range(400)]
+    df = spark.createDataFrame(data, "`a.key` string, n int, bucket int, `_seq` string").withColumn(
+        "da`y", F.date_add(F.lit("2024-01-01").cast("date"), F.col("n") * 9))
+    w = Window.partitionBy(F.col("`a.key`")).orderBy(F.col("`da``y`"), "bucket")
+    expect = df.select("*", F.lag("_seq").over(w).alias("prev__seq"))
+    got = lag_within(df, "a.key", ["da`y", "bucket"], ["_seq"], hot_rows=5)
+    assert got.columns == expect.columns and rows(got) == rows(expect)
+
+
+def test_ordered_operators_start_no_job(spark):
+    from clinilake.operators.ordered import row_index
+    df = _events(spark)
+    sc = spark.sparkContext
+    sc.setJobGroup("lazy", "lazy")
+    lag_within(df, "k", ["ts", "tb"], ["ts"])
+    row_index(df, ["ts", "tb"], "id")
+    dense_index(df, ["k"], "id")
+    assert not sc.statusTracker().getJobIdsForGroup("lazy")
+    sc.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_dense_index_matches_row_number(spark):
@@ -77,13 +109,23 @@ def test_ordered_operators_on_empty_input(spark):
     assert dense_index(empty, ["k"], "id").count() == 0
 
 
+def test_row_index_on_texts_dates_and_nulls(spark):
+    from clinilake.operators.ordered import row_index
+    rnd = random.Random(8)
+    data = [(rnd.choice([None, "", *(str(rnd.randint(1, 10 ** 6)) for _ in range(9))]),
+             rnd.choice([None, *range(40)]), i) for i in range(3000)]
+    df = spark.createDataFrame(data, "doc string, n int, id int").withColumn(
+        "day", F.date_add(F.lit("2024-01-01").cast("date"), F.col("n")))
+    for order in (["doc", "day", "id"], ["day", "doc", "id"], ["n", "id"]):
+        expect = df.select("*", F.row_number().over(Window.orderBy(*order)).cast("long").alias("no"))
+        assert rows(row_index(df, order, "no")) == rows(expect), order
+
+
 def test_row_index_keeps_a_callers_cache(spark):
     from clinilake.operators.ordered import row_index
     df = spark.range(100).withColumn("k", F.col("id") % 7).cache()
     df.count()
-    assert row_index(df, ["k", "id"], "rid").count() == 100
-    assert df.is_cached
+    again = spark.range(100).withColumn("k", F.col("id") % 7)  # another frame, the same plan
+    assert row_index(again, ["k", "id"], "rid").count() == 100
+    assert df.is_cached and df.storageLevel.useMemory
     df.unpersist()
-    fresh = spark.range(50)
-    row_index(fresh, ["id"], "rid").count()
-    assert not fresh.is_cached

@@ -78,3 +78,13 @@ def test_unpivot_equals_stack_generator(spark):
     stack = f"stack({len(cols)}, " + ", ".join(f"'{c}', `{c}`" for c in cols) + ") as (MES_ANO, DIAGNOSTICO)"
     via_stack = sheet.selectExpr("DOCUMENTO", stack)
     assert rows(unpivot_months(sheet, "DOCUMENTO")) == rows(via_stack)
+
+
+def test_headers_with_dots_backticks_and_quotes(spark):
+    df = spark.createDataFrame([("1", "A00", "J45", "I10")], ["DOCUMENTO", "ENE. 2023", "EN`ERO 2023", "E'N\"E 2023"])
+    assert {tuple(r) for r in unpivot_months(df).collect()} == {
+        ("1", "E'N\"E 2023", "I10"), ("1", "EN`ERO 2023", "J45"), ("1", "ENE. 2023", "A00")}
+    assert rows(unpivot_to_dates(df), "DIAGNOSTICO") == [("A00",), ("I10",), ("J45",)]
+    dotted = spark.createDataFrame([("1", "A00")], ["DOC.UMENTO", "ENERO 2023"])
+    assert rows(unpivot_to_dates(dotted, "DOC.UMENTO")) == [("1", dt.date(2023, 1, 1), "A00")]
+    assert rows(diagnoses_long(dotted, "DOC.UMENTO")) == [("1", dt.date(2023, 1, 1), "A00")]

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from clinilake import schemas, session
@@ -27,9 +28,14 @@ def test_empty_and_conform(spark):
     raw = spark.createDataFrame([("1", "x", "5")], "DIAG_ID string, CIE10_CODE string, DESCRIPTION string")
     out = schemas.conform(raw, schemas.DIM_DIAGNOSIS).first()
     assert out["DIAG_ID"] == 1 and out["DESCRIPTION"] == "5"
-    bad = spark.createDataFrame([("x1",)], "DIAG_ID string")
-    assert schemas.conform(bad.withColumn("CIE10_CODE", F.lit("A")).withColumn("DESCRIPTION", F.lit(None).cast("string")),
-                           schemas.DIM_DIAGNOSIS).first()["DIAG_ID"] is None
+    # A nullable column loses what does not convert, a key fails the job.
+    late = spark.createDataFrame([("1", "10", "not a day")], "PACID string, PACDOC string, PACINGDAT string")
+    for name in ("FIRST_NAME", "SECOND_NAME", "LAST_NAME", "PACCITY"):
+        late = late.withColumn(name, F.lit("x"))
+    assert schemas.conform(late, schemas.DIM_PATIENT).first()["PACINGDAT"] is None
+    bad = spark.createDataFrame([("x1", "A", None)], "DIAG_ID string, CIE10_CODE string, DESCRIPTION string")
+    with pytest.raises(Exception, match="DIAG_ID does not fit"):
+        schemas.conform(bad, schemas.DIM_DIAGNOSIS).collect()
 
 
 def test_reused_fill_materialises(spark):
