@@ -31,7 +31,8 @@ between sure breaks.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -251,9 +252,16 @@ def _bitmap(shared: DataFrame) -> bytes:
     return out.tobytes()
 
 
-def encode(documents: DataFrame, path: str) -> DataFrame:
-    """(doc_id, ids) of every row: ids as a binary of little-endian integers,
-    two bytes each for vocabularies of up to 65,536 ids, else four."""
+Step = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def _then(first: Step, second: Step | None) -> Step:
+    """Both steps in one Python worker: a chain of them would hold one each."""
+    return first if second is None else lambda batches: second(first(batches))
+
+
+def _encoded(documents: DataFrame, path: str, schema: str, finish: Step | None = None) -> DataFrame:
+    """Rows of (doc_id, ids) after ``finish``, for every row of ``documents``."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     spark = docs.sparkSession
     counted = docs.mapInArrow(_prints, "h long, g long").groupBy("h", "g").agg(F.count(F.lit(1)).alias("n"))
@@ -266,14 +274,34 @@ def encode(documents: DataFrame, path: str) -> DataFrame:
         reuse.pieces, "doc_id long, t long, u long, at int, h long, g long, run_ids binary").join(
         chunks, ["h", "g"], "left")
     whole = pieces.groupBy("doc_id", "t", "u").agg(
-        F.count_if(F.col("at") == 0).alias("starts"),
         F.sort_array(F.collect_list(F.struct("at", F.coalesce("run_ids", "chunk_ids").alias("ids")))).alias("pieces"))
     # Rows that repeat id and text give each piece as often: keep one of each.
     copies = F.size(F.filter("pieces", lambda p: p["at"] == F.get(F.col("pieces"), F.lit(0))["at"]))
     once = F.filter("pieces", lambda p, k: (k == 0) | (p["at"] != F.get(F.col("pieces"), k - 1)["at"]))
     joined = whole.select("doc_id", copies.alias("copies"), once.alias("pieces")).mapInArrow(
-        reuse.joined, "doc_id long, ids binary")
-    return docs.mapInArrow(reuse.alone, "doc_id long, ids binary").unionByName(joined)
+        _then(reuse.joined, finish), schema)
+    return docs.mapInArrow(_then(reuse.alone, finish), schema).unionByName(joined)
+
+
+IDS = "doc_id long, ids binary"
+DECODED = "doc_id long, n_tokens long, ids binary, decoded string"
+DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+
+
+def encode(documents: DataFrame, path: str) -> DataFrame:
+    """(doc_id, ids) of every row: ids as a binary of little-endian integers,
+    two bytes each for vocabularies of up to 65,536 ids, else four."""
+    return _encoded(documents, path, IDS)
+
+
+def encode_decode(documents: DataFrame, path: str) -> DataFrame:
+    """(doc_id, n_tokens, ids, decoded) of every row: ids, and the text they stand for."""
+    return _encoded(documents, path, DECODED, _decoded(path))
+
+
+def encode_digests(documents: DataFrame, path: str) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row."""
+    return _encoded(documents, path, DIGESTS, _then(_decoded(path), _digests(path)))
 
 
 def _decoded(path: str):
@@ -290,12 +318,10 @@ def _decoded(path: str):
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded): the text that the ids stand for."""
-    return encoded.mapInArrow(_decoded(path), "doc_id long, n_tokens long, ids binary, decoded string")
+    return encoded.mapInArrow(_decoded(path), DECODED)
 
 
 def _digests(path: str):
-    import hashlib
-
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dtype = vocabulary(path).dtype
         for batch in _parts(batches):
@@ -306,8 +332,3 @@ def _digests(path: str):
                 [batch.column("doc_id"), batch.column("n_tokens"), pa.array(ids, pa.string()),
                  pa.array(texts, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
     return digest
-
-
-def digests(decoded: DataFrame, path: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of :func:`decode`'s rows."""
-    return decoded.mapInArrow(_digests(path), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -78,8 +78,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
-    path = vocabulary_path()
-    return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path), path)
+    return bpe.encode_digests(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

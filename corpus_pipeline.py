@@ -40,8 +40,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each text: doc_id, n_tokens, ids, and the text they decode to."""
-    path = vocabulary_path()
-    return bpe.decode(bpe.encode(docs, path), path)
+    return bpe.encode_decode(docs, vocabulary_path())
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -114,9 +114,10 @@ def test_encode_equals_the_library(spark, tok):
     table = spark.createDataFrame(rows, "doc_id long, text string").withColumn("ids", F.lit(1)).withColumn("h", F.lit(2))
     path = vocabulary_path()
     decoded = bpe.decode(bpe.encode(table, path), path)
+    assert sorted(map(repr, bpe.encode_decode(table, path).collect())) == sorted(map(repr, decoded.collect()))
     got = sorted(((r.doc_id, np.frombuffer(r.ids, "<u2").tolist(), r.decoded, r.n_tokens) for r in decoded.collect()), key=repr)
     assert got == sorted(((i, _ids(tok, t), t or "", len(_ids(tok, t))) for i, t in rows), key=repr)
-    for r in bpe.digests(decoded, path).where("doc_id >= 100").collect():
+    for r in bpe.encode_digests(table, path).where("doc_id >= 100").collect():
         ids = _ids(tok, dict(rows)[r.doc_id])
         assert r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(dict(rows)[r.doc_id].encode()).hexdigest()
@@ -132,4 +133,4 @@ def test_encode_with_every_bit_set(spark, tok, monkeypatch):
 
 def test_encode_empty_table(spark):
     path = vocabulary_path()
-    assert bpe.digests(bpe.decode(bpe.encode(docs(spark).limit(0), path), path), path).count() == 0
+    assert bpe.encode_digests(docs(spark).limit(0), path).count() == 0
