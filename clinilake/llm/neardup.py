@@ -12,10 +12,12 @@
    :func:`most_bits` go (a pair at the threshold exceeds that once in 10**8),
    the rest is confirmed on the full sets.
 4. Buckets whose members still lie in several components compare them to a few
-   other pivots, and at last every member to the members of the *other*
-   components, under the sketch and size bounds inside the join and only in the
-   first bucket that a pair shares.  So each linked pair of one bucket ends in
-   one component; a pair at the threshold shares no bucket once in 10**7.
+   other pivots.  At last every member meets the members of the *other*
+   components: rows without a partner within the bounds go (a semi join), and
+   the rest is joined with full sets, confirmed inside the join and only in the
+   first bucket that a pair shares, so that links alone come out.  So each
+   linked pair of one bucket ends in one component; a pair at the threshold
+   shares no bucket once in 10**7.
 5. Components of the confirmed links by alternating stars.
 
 Defined results: null or empty texts and texts without words have an empty set
@@ -43,7 +45,7 @@ BANDS, ROWS = 22, 4
 SAMPLES = 512
 SKETCH_BITS = 1024
 #: Rounds with other pivots, and pivots of a bucket in each.
-PIVOT_ROUNDS, PIVOTS = 2, 4
+PIVOT_ROUNDS, PIVOTS = 1, 4
 
 _SEEDS = np.random.default_rng(7).integers(1, 1 << 32, (2, SAMPLES), dtype=np.uint32)
 _TIMES, _PLUS = _SEEDS[0] | np.uint32(1), _SEEDS[1]
@@ -156,53 +158,73 @@ def _may_link(a: str, b: str, percent: int) -> Column:
         _bits_apart(F.col(f"{a}.sketch"), F.col(f"{b}.sketch")) <= most_bits(percent))
 
 
-def _across(open_rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of one bucket and two components that may link.
+def _sets_of(ids: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """(doc_id, shingles) of the given ids, made anew from their texts."""
+    return stored(texts.join(ids, "doc_id", "left_semi").mapInArrow(
+        _full_sets(width), "doc_id long, shingles array<long>"), "sets")
 
-    Bounds are checked where the pair is made, in the first bucket that it
-    shares, so what comes out is about as many rows as pairs near the threshold.
-    """
-    marks = classes.select("doc_id", F.struct("n", "sketch", "bands").alias("s"))
-
-    def side(x: str) -> DataFrame:
-        return (open_rows.select("key", F.col("doc_id").alias(x), F.col("component").alias(f"c{x}"))
-                .join(marks.select(F.col("doc_id").alias(x), F.col("s").alias(f"s{x}")), x))
-
-    def earlier(x: str) -> Column:
-        """The band keys before this bucket's."""
-        return F.slice(F.col(f"s{x}.bands"), F.lit(1), F.array_position(F.col(f"s{x}.bands"), F.col("key")).cast("int") - 1)
 
-    return (side("a").join(side("b"), "key")
-            .where((F.col("ca") < F.col("cb")) & _may_link("sa", "sb", percent)
-                   & ~F.arrays_overlap(earlier("a"), earlier("b"))).select("a", "b"))
+def _linked(a: str, b: str, percent: int) -> Column:
+    """Whether two full sets reach the similarity."""
+    both = F.size(F.array_intersect(a, b))
+    return 100 * both >= percent * (F.size(a) + F.size(b) - both)
 
 
-def _confirmed(pairs: DataFrame, documents: DataFrame, width: int, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the similarity.
 
     Only documents in some pair have their sets made again, once; pairs then
     meet both sets by shuffle joins, in which a pivot of many pairs can be split.
     """
-    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
-    texts = documents.select("doc_id", "text").join(ids, "doc_id", "left_semi")
-    sets = stored(texts.mapInArrow(_full_sets(width), "doc_id long, shingles array<long>"), "sets")
+    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    sets = _sets_of(stored(ids, "ids"), texts, width)
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    return (pairs.join(left, "a").join(right, "b")
-            .where(100 * both >= percent * (F.size("sa") + F.size("sb") - both)).select("a", "b").distinct())
+    return pairs.join(left, "a").join(right, "b").where(_linked("sa", "sb", percent)).select("a", "b").distinct()
+
+
+def _across(open_rows: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """All links (a, b) between members of one bucket and different components."""
+    marks = classes.select("doc_id", F.struct("n", "sketch", "bands").alias("s"))
+
+    def side(rows: DataFrame, x: str) -> DataFrame:
+        return rows.join(marks, "doc_id").select(
+            "key", F.col("doc_id").alias(x), F.col("component").alias(f"c{x}"), F.col("s").alias(f"s{x}"),
+            *[F.col(c).alias(f"{c}_{x}") for c in rows.columns if c == "shingles"])
+
+    def earlier(x: str) -> Column:
+        """The band keys before this bucket's."""
+        bands = F.col(f"s{x}.bands")
+        return F.slice(bands, F.lit(1), F.array_position(bands, F.col(f"{x}.key")).cast("int") - 1)
+
+    def meeting(rows: DataFrame, apart: Column) -> tuple[DataFrame, DataFrame, Column]:
+        a, b = side(rows, "a").alias("a"), side(rows, "b").alias("b")
+        return a, b, ((F.col("a.key") == F.col("b.key")) & apart & _may_link("sa", "sb", percent)
+                      & ~F.arrays_overlap(earlier("a"), earlier("b")))
+
+    a, b, near = meeting(open_rows, F.col("ca") != F.col("cb"))
+    some = stored(a.join(b, near, "left_semi").select("key", F.col("a").alias("doc_id"), F.col("ca").alias("component")),
+                  "partnered")
+    sets = _sets_of(stored(some.select("doc_id").distinct(), "ids"), texts, width)
+    a, b, near = meeting(some.join(sets, "doc_id"), F.col("ca") < F.col("cb"))
+    return (a.join(b, near & _linked("shingles_a", "shingles_b", percent))
+            .select(F.col("a.a").alias("a"), F.col("b.b").alias("b")).distinct())
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for each node that is not its component's smallest.
 
     Alternating stars: each node's larger neighbours move to the smallest of
-    its neighbourhood, then its smaller ones do, until nothing changes.  Each
-    round is a few shuffles of the edges; only a count and a checksum reach
-    the driver.
+    its neighbourhood, then its smaller ones do, until only stars are left.
+    Each round is a few shuffles of the edges; the driver learns only whether
+    it was the last.
     """
-    def mark(e: DataFrame) -> tuple:
-        return tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+    def is_done(e: DataFrame) -> bool:
+        """Whether each edge is a star's: one way out of a node, none into it."""
+        ways = e.select("u", F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(
+            e.select(F.col("v").alias("u"), F.lit(0).alias("out"), F.lit(1).alias("into")))
+        return ways.groupBy("u").agg(F.sum("out").alias("out"), F.max("into").alias("into")).where(
+            "out > 1 or out = 1 and into = 1").isEmpty()
 
     def with_least(e: DataFrame, name: str) -> DataFrame:
         least = stored(e.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), name)
@@ -210,17 +232,14 @@ def components(edges: DataFrame) -> DataFrame:
 
     now = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                  .where("u <> v").distinct(), "edges")
-    seen = mark(now)
-    while seen[0]:
+    while not is_done(now):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = stored(with_least(both, "large").where("v > u")
                        .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large_star")
         small = with_least(large, "small")
-        now = stored(small.select(F.explode(F.array(F.col("u"), F.col("v"))).alias("u"), F.col("m").alias("v"))
+        now = stored(small.select(F.col("u"), F.col("m").alias("v"))
+                     .unionByName(small.select(F.col("v").alias("u"), F.col("m").alias("v")))
                      .where("u <> v").distinct(), "small_star")
-        before, seen = seen, mark(now)
-        if before == seen:
-            break
     return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 
@@ -243,6 +262,8 @@ def groups(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     rows = classes.select(F.explode("bands").alias("key"), "doc_id")
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("pivot")).where("n > 1")
     members = stored(rows.join(stored(shared.select("key", "pivot"), "buckets"), "key"), "members")
+    # Later steps read the texts of bucket members only.
+    texts = stored(docs.join(stored(members.select("doc_id").distinct(), "member_ids"), "doc_id", "left_semi"), "texts")
     member_of = classes.select("fp_a", "fp_b", F.col("n").alias("n_shingles"), F.col("doc_id").alias("rep"))
     placed = stored(signed.select("doc_id", "n_shingles", "fp_a", "fp_b")
                     .join(member_of, ["fp_a", "fp_b", "n_shingles"], "left")
@@ -260,7 +281,7 @@ def groups(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
 
     def confirmed(pairs: DataFrame, name: str) -> DataFrame:
         found = stored(pairs.distinct(), f"{name}_near")
-        return stored(_confirmed(found, docs, width, percent), name)
+        return stored(_confirmed(found, texts, width, percent), name)
 
     links = confirmed(near(members.where("doc_id <> pivot").select(
         F.col("doc_id").alias("a"), F.col("pivot").alias("b")).distinct()), "links")
@@ -276,12 +297,12 @@ def groups(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
             *[F.struct(f"p{k}.doc_id", f"p{k}.component") for k in range(PIVOTS)]).alias("pivots")), "mixed"), "key"),
             "open")
         if turn <= PIVOT_ROUNDS:
-            pairs = near(open_rows.select("doc_id", "component", F.explode(F.array_distinct("pivots")).alias("p"))
-                         .where("component <> p.component")
-                         .select(F.col("doc_id").alias("a"), F.col("p.doc_id").alias("b")).distinct())
+            more = confirmed(near(
+                open_rows.select("doc_id", "component", F.explode(F.array_distinct("pivots")).alias("p"))
+                .where("component <> p.component")
+                .select(F.col("doc_id").alias("a"), F.col("p.doc_id").alias("b")).distinct()), f"links_{turn}")
         else:
-            pairs = _across(open_rows, classes, percent)
-        more = confirmed(pairs, f"links_{turn}")
+            more = stored(_across(open_rows, classes, texts, width, percent), "links_across")
         links = links.unionByName(more)
         found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
 
