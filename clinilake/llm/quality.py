@@ -12,8 +12,8 @@ cutoffs come from labelled documents:
 * within a stratum cutoffs are tested in a fixed order, from mild to strict,
   and testing stops at the first that is not safe, which needs no further
   correction;
-* of the safe cutoffs the one that catches most bad documents is taken, the
-  mildest of equals.  A stratum with no safe cutoff rejects nothing.
+* of the safe cutoffs the one with the most bad documents caught less good ones
+  lost is taken, the mildest of equals.  A stratum with no safe cutoff rejects nothing.
 
 Defined results: a null text has no words; a null language is a stratum of its
 own; labels with a null doc_id or quality, or of unknown documents, are
@@ -35,7 +35,7 @@ DELTA = 0.05
 #: The tested cutoffs, from mild to strict.
 CUTOFFS = (8.0, 6.0, 4.0, 3.0, 2.0, 1.5, 1.0, 0.8, 0.6)
 #: Each signal's usual limit: risk 1 is just there.
-LIMITS = {"symbols": 0.1, "dup_lines": 0.3, "repeat_words": 0.2, "upper": 0.3, "bangs": 0.1}
+LIMITS = {"symbols": 0.1, "dup_lines": 0.8, "repeat_words": 0.6, "upper": 0.3, "bangs": 0.1}
 
 
 def _count(text: Column, characters: str) -> Column:
@@ -172,9 +172,9 @@ def choose_cutoffs(scored: DataFrame, alpha: float = ALPHA, delta: float = DELTA
     return (
         tested.withColumn("safe", F.min("safe").over(so_far)).where("safe")
         .groupBy("stratum")
-        .agg(F.max(F.struct("caught", (-F.col("step")).alias("order"), "cutoff", "n_good",
-                            "false_rejects")).alias("best"))
-        .select("stratum", "best.cutoff", "best.n_good", "best.false_rejects", "best.caught"))
+        .agg(F.max_by(F.struct("cutoff", "n_good", "false_rejects", "caught"),
+                      F.struct(F.col("caught") - F.col("false_rejects"), -F.col("step"))).alias("best"))
+        .select("stratum", "best.*"))
 
 
 def _labelled(rows: DataFrame, doc_id: Column, stratum: Column, labels: DataFrame) -> DataFrame:

@@ -150,7 +150,7 @@ safe as (
   select *, bool_and(p <= {quality.DELTA} / strata) over (partition by lang order by step) as ok from tail),
 chosen as (
   select lang, cutoff from safe where ok
-  qualify row_number() over (partition by lang order by caught desc, step) = 1)
+  qualify row_number() over (partition by lang order by caught - k desc, step) = 1)
 select s.doc_id, s.lang, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, risk, cutoff,
        not base_failed and (cutoff is null or risk <= cutoff) as kept
 from scored s left join chosen c on s.lang is not distinct from c.lang
