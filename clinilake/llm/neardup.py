@@ -184,31 +184,36 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) ->
 
 
 def _across(open_rows: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """All links (a, b) between members of one bucket and different components."""
+    """All links (a, b) between members of one bucket and different components.
+
+    ``major`` is one component of the bucket, most likely its largest: only the
+    rows outside it look for partners, in it and among each other.
+    """
     marks = classes.select("doc_id", F.struct("n", "sketch", "bands").alias("s"))
 
     def side(rows: DataFrame, x: str) -> DataFrame:
+        more = [c for c in ("major", "shingles") if c in rows.columns]
         return rows.join(marks, "doc_id").select(
             "key", F.col("doc_id").alias(x), F.col("component").alias(f"c{x}"), F.col("s").alias(f"s{x}"),
-            *[F.col(c).alias(f"{c}_{x}") for c in rows.columns if c == "shingles"])
+            *[F.col(c).alias(f"{c}_{x}") for c in more]).alias(x)
 
     def earlier(x: str) -> Column:
         """The band keys before this bucket's."""
         bands = F.col(f"s{x}.bands")
         return F.slice(bands, F.lit(1), F.array_position(bands, F.col(f"{x}.key")).cast("int") - 1)
 
-    def meeting(rows: DataFrame, apart: Column) -> tuple[DataFrame, DataFrame, Column]:
-        a, b = side(rows, "a").alias("a"), side(rows, "b").alias("b")
-        return a, b, ((F.col("a.key") == F.col("b.key")) & apart & _may_link("sa", "sb", percent)
-                      & ~F.arrays_overlap(earlier("a"), earlier("b")))
-
-    a, b, near = meeting(open_rows, F.col("ca") != F.col("cb"))
-    some = stored(a.join(b, near, "left_semi").select("key", F.col("a").alias("doc_id"), F.col("ca").alias("component")),
-                  "partnered")
-    sets = _sets_of(stored(some.select("doc_id").distinct(), "ids"), texts, width)
-    a, b, near = meeting(some.join(sets, "doc_id"), F.col("ca") < F.col("cb"))
-    return (a.join(b, near & _linked("shingles_a", "shingles_b", percent))
-            .select(F.col("a.a").alias("a"), F.col("b.b").alias("b")).distinct())
+    near = ((F.col("a.key") == F.col("b.key")) & ((F.col("cb") == F.col("major_a")) | (F.col("ca") < F.col("cb")))
+            & _may_link("sa", "sb", percent) & ~F.arrays_overlap(earlier("a"), earlier("b")))
+    minor = open_rows.where("component <> major")
+    asking = stored(side(minor, "a").join(side(open_rows, "b"), near, "left_semi").select(
+        "key", F.col("a").alias("doc_id"), F.col("ca").alias("component"), F.col("major_a").alias("major")), "asking")
+    asked = stored(side(open_rows, "b").join(side(asking, "a"), near, "left_semi").select(
+        "key", F.col("b").alias("doc_id"), F.col("cb").alias("component")), "asked")
+    ids = asking.select("doc_id").unionByName(asked.select("doc_id")).distinct()
+    sets = _sets_of(stored(ids, "ids"), texts, width)
+    return (side(asking.join(sets, "doc_id"), "a").join(
+        side(asked.join(sets, "doc_id"), "b"), near & _linked("shingles_a", "shingles_b", percent))
+        .select(F.col("a.a").alias("a"), F.col("b.b").alias("b")).distinct())
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -302,7 +307,9 @@ def groups(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
                 .where("component <> p.component")
                 .select(F.col("doc_id").alias("a"), F.col("p.doc_id").alias("b")).distinct()), f"links_{turn}")
         else:
-            more = stored(_across(open_rows, classes, texts, width, percent), "links_across")
+            rows = open_rows.select("key", "doc_id", "component",
+                                    F.get("pivots", F.lit(0))["component"].alias("major"))
+            more = stored(_across(rows, classes, texts, width, percent), "links_across")
         links = links.unionByName(more)
         found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
 
