@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clinilake.names import col
 from clinilake.session import checkpoint_dir
 
 #: ASCII white space: tab to carriage return, and the space.
@@ -28,6 +29,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def whole_row(df: DataFrame) -> list[Column]:
+    """All columns, whatever signs their names hold."""
+    return [col(c) for c in df.columns]
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` with ``value`` bound once.
 

@@ -37,7 +37,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import stored, whole_row
 
 BLOCK_ROWS = 16
 #: Slots of a cycle.
@@ -199,7 +199,7 @@ def mix(documents: DataFrame, weights: Mapping[str, float] | None = None,
 
     The order is that of the rows, so of the files written from them.
     """
-    rows = documents.select(F.struct(*documents.columns).alias("row"))
+    rows = documents.select(F.struct(*whole_row(documents)).alias("row"))
     source = F.coalesce(F.col("row.source").cast("string"), F.lit(UNKNOWN))
     return (_scheduled(rows, source, F.xxhash64("row.doc_id"), weights, block_rows, cycle)
             .select("row", "_position").orderBy("_position").select("row.*"))

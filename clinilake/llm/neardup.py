@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import shingles
-from .common import stored
+from .common import stored, whole_row
 
 BANDS, ROWS = 22, 4
 SAMPLES = 512
@@ -331,10 +331,10 @@ def drop_copies(documents: DataFrame, width: int = 5, percent: int = 80) -> Data
     """
     found = groups(documents, width, percent)
     gone = stored(found.where("not kept").select("doc_id").distinct(), "gone")
-    left = documents.join(gone, "doc_id", "left_anti").select(*documents.columns)
+    left = documents.join(gone, "doc_id", "left_anti").select(*whole_row(documents))
     again = found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1")
     if again.isEmpty():
         return left
     one = left.where("doc_id is not null").groupBy("doc_id").agg(
-        F.min_by(F.struct(*documents.columns), F.coalesce("text", F.lit(""))).alias("row")).select("row.*")
+        F.min_by(F.struct(*whole_row(documents)), F.coalesce("text", F.lit(""))).alias("row")).select("row.*")
     return one.unionByName(left.where("doc_id is null"))

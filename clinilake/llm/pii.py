@@ -442,4 +442,6 @@ def redact(documents: DataFrame, field: Field | None = None) -> DataFrame:
     """``documents`` with its columns, spans in text replaced, n_chars (where there is one) counted anew."""
     names = documents.columns
     size_at = names.index("n_chars") if "n_chars" in names else None
-    return documents.mapInArrow(_redacting(field or default_field(), names.index("text"), size_at), documents.schema)
+    # Columns go by their places: mapInArrow cannot name a column with a backtick.
+    placed = documents.toDF(*[f"c{i}" for i in range(len(names))])
+    return placed.mapInArrow(_redacting(field or default_field(), names.index("text"), size_at), placed.schema).toDF(*names)

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import UPPER, let, stored, text_or_empty, words
+from .common import UPPER, let, stored, text_or_empty, whole_row, words
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -205,6 +205,6 @@ def assess(documents: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta:
 
 def keep_good(documents: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
     """The rows of ``documents`` that :func:`assess` keeps, with all their columns."""
-    rows = stored(measured(documents, [F.struct(*documents.columns).alias("row")]), "quality")
+    rows = stored(measured(documents, [F.struct(*whole_row(documents)).alias("row")]), "quality")
     cutoffs = choose_cutoffs(_labelled(rows, F.col("row.doc_id"), F.col("row.lang"), labels), alpha, delta)
     return _judged(rows, F.col("row.lang"), cutoffs).where("kept").select("row.*")

@@ -26,6 +26,6 @@ def docs(spark, extra=True):
          for k, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long")
     if extra:
         from pyspark.sql import functions as F
-        for name in ("row", "key", "n", "component", "risk", "kept", "ids", "h", "_source", "_n", "stratum"):
+        for name in ("row", "key", "n", "component", "risk", "kept", "ids", "h", "_source", "_n", "stratum", "a.b", "c`d"):
             table = table.withColumn(name, F.lit("clash"))
     return table
