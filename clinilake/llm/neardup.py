@@ -46,6 +46,8 @@ SAMPLES = 512
 SKETCH_BITS = 1024
 #: Rounds with other pivots, and pivots of a bucket in each.
 PIVOT_ROUNDS, PIVOTS = 1, 4
+#: Rows of a bucket that one task compares to the others.
+CHUNK_ROWS = 256
 
 _SEEDS = np.random.default_rng(7).integers(1, 1 << 32, (2, SAMPLES), dtype=np.uint32)
 _TIMES, _PLUS = _SEEDS[0] | np.uint32(1), _SEEDS[1]
@@ -211,9 +213,16 @@ def _across(open_rows: DataFrame, classes: DataFrame, texts: DataFrame, width: i
         "key", F.col("b").alias("doc_id"), F.col("cb").alias("component")), "asked")
     ids = asking.select("doc_id").unionByName(asked.select("doc_id")).distinct()
     sets = _sets_of(stored(ids, "ids"), texts, width)
-    return (side(asking.join(sets, "doc_id"), "a").join(
-        side(asked.join(sets, "doc_id"), "b"), near & _linked("shingles_a", "shingles_b", percent))
-        .select(F.col("a.a").alias("a"), F.col("b.b").alias("b")).distinct())
+    # A bucket's asking rows are dealt to chunks, each of which meets all that
+    # are asked: a task has one chunk of a bucket.
+    chunks = stored(asking.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / CHUNK_ROWS).alias("chunks")), "chunks")
+    a = side(asking.join(sets, "doc_id"), "a").join(chunks, "key").withColumn(
+        "chunk", F.pmod(F.xxhash64("a"), F.col("chunks"))).drop("chunks").repartition("key", "chunk").alias("a")
+    b = side(asked.join(sets, "doc_id"), "b").join(chunks, "key").withColumn(
+        "chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))).drop("chunks").repartition(
+        "key", "chunk").alias("b")
+    return (a.join(b, (F.col("a.chunk") == F.col("b.chunk")) & near & _linked("shingles_a", "shingles_b", percent))
+            .select(F.col("a.a").alias("a"), F.col("b.b").alias("b")).distinct())
 
 
 def components(edges: DataFrame) -> DataFrame:
