@@ -15,15 +15,19 @@ place from the start column.
 Two shapes are offered:
 
 * :func:`read_workbook_cells` - one row per non-empty data cell
-  ``(_source_file, row, col, header, text, number)``; no schema needed.
+  ``(_source_file, row, col, header, text, number, kind)``; no schema needed.
+  ``kind`` is n (number), d (a number whose style shows a date), b (boolean),
+  e (error) or s (text).
 * :func:`read_workbooks` - one row per sheet row with a column per header,
   like a spreadsheet data source with ``header=true``.  The schema is given,
-  or inferred by one aggregation over headers and cells (columns of numbers
-  only become double, the rest string, columns without data too).
+  or inferred by one aggregation over headers and cells: columns of numbers
+  only become double, of dates timestamp, of booleans boolean, the rest string,
+  columns without data too.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import io
 import re
 import zipfile
@@ -33,8 +37,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DoubleType, LongType, StringType, StructField,
-                               StructType)
+from pyspark.sql.types import (BooleanType, DoubleType, LongType, StringType, StructField,
+                               StructType, TimestampType)
 
 from clinilake.names import col as column
 
@@ -48,8 +52,13 @@ CELL_SCHEMA = StructType([
     StructField("_source_file", StringType()), StructField("row", LongType()),
     StructField("col", LongType()), StructField("header", StringType()),
     StructField("text", StringType()), StructField("number", DoubleType()),
+    StructField("kind", StringType()),
 ])
 
+# Numbers of the built-in date and time formats.
+_DATE_FORMATS = frozenset([*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)])
+_NOT_CODES = re.compile(r'"[^"]*"|\\.|\[[^\]]*\]|_.|\*.')
+
 
 def parse_address(address: str) -> tuple[str | None, int, int]:
     """``"'sheet1'!B3"`` -> ``("sheet1", 3, 2)`` (1-based row and column)."""
@@ -96,17 +105,63 @@ def _shared_strings(zf: zipfile.ZipFile) -> list[str]:
             for si in root.findall("m:si", _NS)]
 
 
+def _date_styles(zf: zipfile.ZipFile) -> frozenset[int]:
+    """The cell styles whose number format shows a date or time."""
+    try:
+        root = ET.fromstring(zf.read("xl/styles.xml"))
+    except KeyError:
+        return frozenset()
+    own = {int(f.get("numFmtId")): f.get("formatCode", "") for f in root.findall("m:numFmts/m:numFmt", _NS)}
+
+    def dated(number: int) -> bool:
+        if number not in own:
+            return number in _DATE_FORMATS
+        code = _NOT_CODES.sub("", own[number]).lower()
+        return code != "general" and any(c in code for c in "ymdhs")
+
+    return frozenset(i for i, xf in enumerate(root.findall("m:cellXfs/m:xf", _NS))
+                     if dated(int(xf.get("numFmtId", "0"))))
+
+
+def _from_1904(zf: zipfile.ZipFile) -> bool:
+    options = ET.fromstring(zf.read("xl/workbook.xml")).find("m:workbookPr", _NS)
+    return options is not None and options.get("date1904") in ("1", "true")
+
+
+def serial_text(serial: float, from_1904: bool = False) -> str | None:
+    """A date serial as ``yyyy-MM-dd HH:mm:ss``; null outside the years 1 to 9999.
+
+    Day 60 of the 1900 system is a 29 February that never was; days before it
+    are counted from one day later.
+    """
+    if from_1904:
+        base = dt.datetime(1904, 1, 1)
+    else:
+        base = dt.datetime(1899, 12, 30) if serial >= 60 else dt.datetime(1899, 12, 31)
+    try:
+        return (base + dt.timedelta(seconds=round(serial * 86400))).strftime("%Y-%m-%d %H:%M:%S")
+    except OverflowError:
+        return None
+
+
 def iter_cells(content: bytes, sheet: str | None = None
                ) -> Iterator[tuple[int, int, str | None, float | None]]:
-    """Yield ``(row, col, text, number)`` for each non-empty cell of a sheet.
+    """Yield ``(row, col, text, number)`` for each non-empty cell of a sheet."""
+    for row, col, text, number, _ in iter_typed_cells(content, sheet):
+        yield row, col, text, number
+
 
-    Numbers keep both forms: ``number`` as parsed and ``text`` as written.
-    Booleans become ``TRUE``/``FALSE``; errors keep their ``#`` text.  Row
+def iter_typed_cells(content: bytes, sheet: str | None = None
+                     ) -> Iterator[tuple[int, int, str | None, float | None, str]]:
+    """Yield ``(row, col, text, number, kind)`` for each non-empty cell of a sheet.
+
+    Numbers keep both forms: ``number`` as parsed and ``text`` as written, or
+    as a date where the cell's style shows one.  Booleans become ``TRUE``/``FALSE``; errors keep their ``#`` text.  Row
     and cell references are optional in the format: a row without ``r``
     follows the previous row, a cell without ``r`` the previous cell.
     """
     with zipfile.ZipFile(io.BytesIO(content)) as zf:
-        strings = _shared_strings(zf)
+        strings, dated, from_1904 = _shared_strings(zf), _date_styles(zf), _from_1904(zf)
         member = _sheet_member(zf, sheet)
         with zf.open(member) as fh:
             c_tag, v_tag, is_tag = (f"{{{_NS['m']}}}c", f"{{{_NS['m']}}}v",
@@ -135,7 +190,7 @@ def iter_cells(content: bytes, sheet: str | None = None
                     row, col = int(ref.group(2)), column_number(ref.group(1))
                 else:
                     col += 1
-                kind = el.get("t", "n")
+                kind, out = el.get("t", "n"), "s"
                 v = el.find(v_tag)
                 raw = v.text if v is not None else None
                 text, number = None, None
@@ -145,19 +200,23 @@ def iter_cells(content: bytes, sheet: str | None = None
                     box = el.find(is_tag)
                     text = "".join(t.text or "" for t in box.iter(f"{{{_NS['m']}}}t")) if box is not None else None
                 elif kind == "b" and raw is not None:
-                    text = "TRUE" if raw.strip() == "1" else "FALSE"
+                    text, out = ("TRUE" if raw.strip() == "1" else "FALSE"), "b"
                 elif kind in ("str", "e"):
-                    text = raw
+                    text, out = raw, "e" if kind == "e" else "s"
                 elif raw is not None:
                     text = raw
                     try:
-                        number = float(raw)
+                        number, out = float(raw), "n"
                     except ValueError:
                         number = None
+                    if number is not None and int(el.get("s", "0")) in dated:
+                        shown = serial_text(number, from_1904)
+                        if shown is not None:
+                            text, out = shown, "d"
                 el.clear()
                 if text is None and number is None:
                     continue
-                yield row, col, text, number
+                yield row, col, text, number, out
 
 
 CHUNK_ROWS = 20_000  # sheet rows per batch handed back to Spark
@@ -197,14 +256,14 @@ def _cell_chunks(path: str, content: bytes, sheet: str | None, start_row: int,
     def named() -> dict[int, str]:
         out = _header_names(found, start_col)
         if headers_too:
-            buf.extend((path, start_row, c, name, None, None) for c, name in out.items())
+            buf.extend((path, start_row, c, name, None, None, None) for c, name in out.items())
         return out
 
-    for r, c, t, n in iter_cells(content, sheet):
+    for r, c, t, n, kind in iter_typed_cells(content, sheet):
         if r < start_row or c < start_col:
             continue
         if r == start_row:
-            found[c] = t if t is not None else (repr(n) if n is not None else None)
+            found[c] = t
             continue
         if names is None:
             names = named()
@@ -213,7 +272,7 @@ def _cell_chunks(path: str, content: bytes, sheet: str | None, start_row: int,
                 yield pd.DataFrame(buf, columns=columns)
                 buf, rows_in_buf = [], 0
             rows_in_buf, last_row = rows_in_buf + 1, r
-        buf.append((path, r, c, names.get(c) or f"_col{c - start_col + 1}", t, n))
+        buf.append((path, r, c, names.get(c) or f"_col{c - start_col + 1}", t, n, kind))
     if names is None:
         named()
     if buf:
@@ -251,14 +310,14 @@ def infer_schema(cells: DataFrame) -> StructType:
     only thing brought to the driver.  Rows without a value (the headers
     themselves) make a column known without a say in its type.
     """
-    filled = F.col("text").isNotNull() | F.col("number").isNotNull()
+    kinds = {"n": DoubleType(), "d": TimestampType(), "b": BooleanType()}
     stats = (cells.where(F.col("header").isNotNull())
              .groupBy("header")
-             .agg(F.min("col").alias("pos"), F.count_if(F.col("number").isNotNull()).alias("numeric"),
-                  F.count_if(filled & F.col("number").isNull()).alias("non_numeric"))
+             .agg(F.min("col").alias("pos"), F.count("kind").alias("filled"),
+                  *[F.count_if(F.col("kind") == k).alias(k) for k in kinds])
              .orderBy("pos", "header").collect())
     return StructType([
-        StructField(r["header"], DoubleType() if r["numeric"] and not r["non_numeric"] else StringType())
+        StructField(r["header"], next((t for k, t in kinds.items() if r["filled"] and r[k] == r["filled"]), StringType()))
         for r in stats])
 
 

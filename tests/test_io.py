@@ -224,3 +224,18 @@ def test_a_rewritten_table_shows_its_new_columns(spark, scratch):
     assert catalog.table(spark, scratch, "t").columns == ["a"]
     spark.range(3).select(F.col("id").alias("a"), F.lit(1).alias("b")).write.mode("overwrite").parquet(path)
     assert catalog.table(spark, scratch, "t").columns == ["a", "b"]
+
+
+def test_workbook_dates_and_booleans(spark, scratch):
+    import datetime as dt
+    from clinilake.sources.workbooks import serial_text
+    path = os.path.join(scratch, "kinds.xlsx")
+    xlsx.write(path, [["N", "DAY", "FLAG", "MIXED"], [1, dt.datetime(2024, 2, 29, 13, 30), True, dt.datetime(2020, 1, 1)],
+                      [2.5, None, False, "text"], [3, dt.datetime(1999, 12, 31), None, 7]])
+    wide = sources.read_workbooks(spark, path).drop("_source_file")
+    assert [f.dataType.typeName() for f in wide.schema] == ["double", "timestamp", "boolean", "string"]
+    assert rows(wide) == [
+        (1.0, dt.datetime(2024, 2, 29, 13, 30), True, "2020-01-01 00:00:00"), (2.5, None, False, "text"),
+        (3.0, dt.datetime(1999, 12, 31), None, "7")]
+    assert serial_text(1) == "1900-01-01 00:00:00" and serial_text(61) == "1900-03-01 00:00:00"
+    assert serial_text(0, True) == "1904-01-01 00:00:00" and serial_text(1e12) is None

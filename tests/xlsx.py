@@ -1,5 +1,6 @@
 """Write minimal .xlsx workbooks for reader tests (standard library only)."""
 
+import datetime as dt
 import zipfile
 from xml.sax.saxutils import escape
 
@@ -25,6 +26,9 @@ def write(path, rows, sheet="sheet1", start_row=1, start_col=1, inline=False):
             ref = f"{col_letters(start_col + j)}{r}"
             if isinstance(v, bool):
                 cells.append(f'<c r="{ref}" t="b"><v>{int(v)}</v></c>')
+            elif isinstance(v, dt.datetime):  # style 1 shows a date
+                serial = (v - dt.datetime(1899, 12, 30)).total_seconds() / 86400
+                cells.append(f'<c r="{ref}" s="1"><v>{serial!r}</v></c>')
             elif isinstance(v, (int, float)):
                 cells.append(f'<c r="{ref}"><v>{v!r}</v></c>')
             elif inline:
@@ -48,5 +52,9 @@ def write(path, rows, sheet="sheet1", start_row=1, start_col=1, inline=False):
                    '<Relationship Id="rId1" Type="worksheet" Target="worksheets/sheet1.xml"/></Relationships>')
         z.writestr("xl/worksheets/sheet1.xml",
                    f'<?xml version="1.0"?><worksheet {ns}><sheetData>{"".join(xml_rows)}</sheetData></worksheet>')
+        z.writestr("xl/styles.xml",
+                   f'<?xml version="1.0"?><styleSheet {ns}><numFmts><numFmt numFmtId="164" '
+                   'formatCode="yyyy&quot; d &quot;mm"/></numFmts>'
+                   '<cellXfs><xf numFmtId="0"/><xf numFmtId="164"/></cellXfs></styleSheet>')
         sst = "".join(f"<si><t>{escape(s)}</t></si>" for s in strings)
         z.writestr("xl/sharedStrings.xml", f'<?xml version="1.0"?><sst {ns}>{sst}</sst>')
