@@ -56,7 +56,7 @@ def physical_plan(df) -> str:
 def main() -> None:
     from pyspark.sql import SparkSession
 
-    import __spark_entry__ as entry
+    from clinilake.plans import catalog
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     out = sys.argv[2] if len(sys.argv) > 2 else os.path.join(
@@ -70,8 +70,8 @@ def main() -> None:
              f"Generated by `tools/plan_report.py` on `{os.path.basename(sf_dir.rstrip('/'))}` "
              "with Spark defaults (10 MB broadcast threshold, AQE on). Initial adaptive plans: "
              "AQE can still coalesce partitions or turn a sort-merge join into a broadcast at run "
-             "time. Queries built on range partitions read a checkpoint (`Scan ExistingRDD`).", ""]
-    for name, fn in entry.queries().items():
+             "time.", ""]
+    for name, fn in catalog.QUERIES.items():
         plan = physical_plan(fn(spark, sf_dir))
         counts, scans = summarise(plan)
         shape = ", ".join(f"{k} x{v}" for k, v in sorted(counts.items())) or "narrow"

@@ -1,7 +1,7 @@
 """Hot-key experiment: one patient holds a third of all appointments.
 
 Compares ``lag`` over ``Window.partitionBy(patient)`` with
-:func:`clinilake.operators.gold.appointment_gaps` (range-partitioned lag) on
+:func:`clinilake.operators.gold.appointment_gaps` (lag by buckets) on
 the same generated rows: wall time, and the longest task against the median
 task of each job, read from Spark's event log in a scratch folder.
 
