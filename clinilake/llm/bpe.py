@@ -121,8 +121,8 @@ def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class _Reuse:
     """The two ways of a document, by the broadcast bitmap of shared chunks."""
 
-    def __init__(self, path: str, bits: Broadcast) -> None:
-        self.path, self.bits = path, bits
+    def __init__(self, path: str, bits: Broadcast, keys: tuple[str, ...]) -> None:
+        self.path, self.bits, self.keys = path, bits, keys
 
     def _hit(self, h: int) -> bool:
         bit = _bit(h)
@@ -149,26 +149,27 @@ class _Reuse:
                 names=["h", "g", "chunk_ids"])
 
     def alone(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Documents without a chunk whose bit is set: doc_id, ids."""
+        """Documents without a chunk whose bit is set: doc_id and what is carried, ids."""
         vocab = vocabulary(self.path)
         for part in _parts(batches):
-            own = [(part.column("doc_id")[k].as_py(), vocab.encode_one(b"".join(chunks).decode()).tobytes())
+            own = [(k, vocab.encode_one(b"".join(chunks).decode()).tobytes())
                    for k, chunks in _chunked(part) if not any(self._hit(_print(c)[0]) for c in chunks)]
+            at = pa.array([k for k, _ in own], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([d for d, _ in own], pa.int64()), pa.array([x for _, x in own], pa.binary())],
-                names=["doc_id", "ids"])
+                [*[part.column(c).take(at) for c in self.keys], pa.array([x for _, x in own], pa.binary())],
+                names=[*self.keys, "ids"])
 
     def pieces(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The other documents' pieces: doc_id, text's print, place, h, g, ids (null: a chunk's)."""
+        """The other documents' pieces: doc_id and what is carried, text's print, place, h, g, ids (null: a chunk's)."""
         vocab = vocabulary(self.path)
-        types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+        types = [*[pa.int64()] * len(self.keys), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
         for part in _parts(batches):
             rows: list[tuple] = []
             for k, chunks in _chunked(part):
                 hits = [(p, self._hit(p[0])) for p in map(_print, chunks)]
                 if not any(hit for _, hit in hits):
                     continue
-                whole = (part.column("doc_id")[k].as_py(), *_print(b"".join(chunks)))
+                whole = (*[part.column(c)[k].as_py() for c in self.keys], *_print(b"".join(chunks)))
                 run: list[bytes] = []
                 for at, (c, (p, hit)) in enumerate(zip(chunks, hits, strict=True)):
                     if hit:
@@ -180,20 +181,22 @@ class _Reuse:
                             run = []
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)],
-                names=["doc_id", "t", "u", "at", "h", "g", "run_ids"])
+                names=[*self.keys, "t", "u", "at", "h", "g", "run_ids"])
 
     def joined(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pieces of a document, in order, made one: doc_id, ids; a row for each copy."""
+        """Pieces of a document, in order, made one: doc_id and what is carried, ids; a row for each copy."""
         vocab = vocabulary(self.path)
         for batch in _parts(batches):
-            docs, out = [], []
-            for doc_id, copies, pieces in zip(batch.column("doc_id").to_pylist(), batch.column("copies").to_pylist(),
-                                              batch.column("pieces"), strict=True):
+            at, out = [], []
+            for k, (copies, pieces) in enumerate(zip(batch.column("copies").to_pylist(), batch.column("pieces"),
+                                                     strict=True)):
                 ids = repaired([np.frombuffer(p["ids"].as_buffer(), vocab.dtype) for p in pieces.values], vocab)
-                docs += [doc_id] * copies
+                at += [k] * copies
                 out += [ids.tobytes()] * copies
-            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(out, pa.binary())],
-                                             names=["doc_id", "ids"])
+            rows = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c).take(rows) for c in self.keys], pa.array(out, pa.binary())],
+                names=[*self.keys, "ids"])
 
 
 def _last_break(data: bytes) -> int:
@@ -260,25 +263,28 @@ def _then(first: Step, second: Step | None) -> Step:
     return first if second is None else lambda batches: second(first(batches))
 
 
-def _encoded(documents: DataFrame, path: str, schema: str, finish: Step | None = None) -> DataFrame:
-    """Rows of (doc_id, ids) after ``finish``, for every row of ``documents``."""
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def _encoded(documents: DataFrame, path: str, schema: str, finish: Step | None = None,
+             carried: tuple[str, ...] = ()) -> DataFrame:
+    """Rows of (doc_id, carried columns, ids) after ``finish``, for every row of ``documents``."""
+    keys = ("doc_id", *carried)
+    schema = schema.replace("doc_id long", ", ".join(f"{c} long" for c in keys))
+    docs = documents.select(*[F.col(c).cast("long").alias(c) for c in keys], F.col("text").cast("string").alias("text"))
     spark = docs.sparkSession
     counted = docs.mapInArrow(_prints, "h long, g long").groupBy("h", "g").agg(F.count(F.lit(1)).alias("n"))
-    reuse = _Reuse(path, spark.sparkContext.broadcast(_bitmap(counted.where("n > 1").select("h"))))
+    reuse = _Reuse(path, spark.sparkContext.broadcast(_bitmap(counted.where("n > 1").select("h"))), keys)
 
     texts = docs.mapInArrow(reuse.chunk_texts, "h long, g long, text string")
     chunks = stored(texts.groupBy("h", "g").agg(F.any_value("text").alias("text"))
                     .mapInArrow(reuse.chunk_ids, "h long, g long, chunk_ids binary"), "chunk_ids")
     pieces = docs.mapInArrow(
-        reuse.pieces, "doc_id long, t long, u long, at int, h long, g long, run_ids binary").join(
+        reuse.pieces, ", ".join(f"{c} long" for c in keys) + ", t long, u long, at int, h long, g long, run_ids binary").join(
         chunks, ["h", "g"], "left")
-    whole = pieces.groupBy("doc_id", "t", "u").agg(
+    whole = pieces.groupBy(*keys, "t", "u").agg(
         F.sort_array(F.collect_list(F.struct("at", F.coalesce("run_ids", "chunk_ids").alias("ids")))).alias("pieces"))
     # Rows that repeat id and text give each piece as often: keep one of each.
     copies = F.size(F.filter("pieces", lambda p: p["at"] == F.get(F.col("pieces"), F.lit(0))["at"]))
     once = F.filter("pieces", lambda p, k: (k == 0) | (p["at"] != F.get(F.col("pieces"), k - 1)["at"]))
-    joined = whole.select("doc_id", copies.alias("copies"), once.alias("pieces")).mapInArrow(
+    joined = whole.select(*keys, copies.alias("copies"), once.alias("pieces")).mapInArrow(
         _then(reuse.joined, finish), schema)
     return docs.mapInArrow(_then(reuse.alone, finish), schema).unionByName(joined)
 
@@ -294,9 +300,12 @@ def encode(documents: DataFrame, path: str) -> DataFrame:
     return _encoded(documents, path, IDS)
 
 
-def encode_decode(documents: DataFrame, path: str) -> DataFrame:
-    """(doc_id, n_tokens, ids, decoded) of every row: ids, and the text they stand for."""
-    return _encoded(documents, path, DECODED, _decoded(path))
+def encode_decode(documents: DataFrame, path: str, carried: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, n_tokens, ids, decoded) of every row: ids, and the text they stand for.
+
+    ``carried`` names columns of whole numbers that follow doc_id unchanged.
+    """
+    return _encoded(documents, path, DECODED, _decoded(path, ("doc_id", *carried)), carried)
 
 
 def encode_digests(documents: DataFrame, path: str) -> DataFrame:
@@ -304,15 +313,15 @@ def encode_digests(documents: DataFrame, path: str) -> DataFrame:
     return _encoded(documents, path, DIGESTS, _then(_decoded(path), _digests(path)))
 
 
-def _decoded(path: str):
+def _decoded(path: str, keys: tuple[str, ...] = ("doc_id",)):
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
         for part in _parts(batches):
             ids = [np.frombuffer(x.as_buffer(), vocab.dtype) for x in part.column("ids")]
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()), part.column("ids"),
+                [*map(part.column, keys), pa.array([len(x) for x in ids], pa.int64()), part.column("ids"),
                  pa.array([vocab.decode(x).decode("utf-8", "replace") for x in ids], pa.string())],
-                names=["doc_id", "n_tokens", "ids", "decoded"])
+                names=[*keys, "n_tokens", "ids", "decoded"])
     return decode
 
 

@@ -199,7 +199,18 @@ def mix(documents: DataFrame, weights: Mapping[str, float] | None = None,
 
     The order is that of the rows, so of the files written from them.
     """
+    return (_placed(documents, weights, block_rows, cycle)
+            .select("row", "_position").orderBy("_position").select("row.*"))
+
+
+def placed(documents: DataFrame, weights: Mapping[str, float] | None = None, columns: tuple[str, ...] = ("doc_id", "text"),
+           block_rows: int = BLOCK_ROWS, cycle: int = CYCLE) -> DataFrame:
+    """These columns of all rows of ``documents``, and position (the order of the mix)."""
+    return _placed(documents, weights, block_rows, cycle).select(
+        *[F.col("row")[c].alias(c) for c in columns], F.col("_position").alias("position"))
+
+
+def _placed(documents: DataFrame, weights: Mapping[str, float] | None, block_rows: int, cycle: int) -> DataFrame:
     rows = documents.select(F.struct(*whole_row(documents)).alias("row"))
     source = F.coalesce(F.col("row.source").cast("string"), F.lit(UNKNOWN))
-    return (_scheduled(rows, source, F.xxhash64("row.doc_id"), weights, block_rows, cycle)
-            .select("row", "_position").orderBy("_position").select("row.*"))
+    return _scheduled(rows, source, F.xxhash64("row.doc_id"), weights, block_rows, cycle)

@@ -2,7 +2,7 @@
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame.  All but the last
 return the columns of ``documents``; what a stage decides takes effect in its
-rows or texts.
+rows or texts, and the order of the mix in the last one's position column.
 """
 
 from __future__ import annotations
@@ -39,8 +39,14 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of each text: doc_id, n_tokens, ids, and the text they decode to."""
-    return bpe.encode_decode(docs, vocabulary_path())
+    """Ids of each text: doc_id, position (its place in the mix), n_tokens, ids,
+    and the text they decode to, sorted by position.
+
+    The mix keeps every row, so the schedule of its rows is that of the mix
+    itself.  It is stored: all scans of the encoding see the same places.
+    """
+    placed = stored(mixing.placed(docs, WEIGHTS), "placed")
+    return bpe.encode_decode(placed, vocabulary_path(), carried=("position",)).orderBy("position")
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -65,6 +65,25 @@ def test_run_equals_the_stages(spark, staged):
     assert corpus_pipeline.ORACLE_SQL is None
 
 
+def test_run_comes_in_the_order_of_the_mix(spark, staged):
+    """run()'s rows carry their places in the mix of the third stage's rows, and are sorted by them."""
+    from clinilake.llm import mixing
+    clean = spark.createDataFrame([(i, r["source"]) for i, r in staged[3].items()], "doc_id long, source string")
+    plan = {r.doc_id: r.position for r in mixing.schedule(clean, queries.WEIGHTS).collect()}
+    got = [(r.doc_id, r.position) for r in corpus_pipeline.run(spark, SF_SMALL).collect()]
+    assert got == sorted(plan.items(), key=lambda x: x[1])
+
+
+def test_rows_of_one_doc_id_each_have_a_place(spark):
+    shared = "stone river walk under light " * 200
+    rows = [(7, shared, "a"), (7, shared, "b"), (None, shared, "a"), (None, shared, "a"), (8, "one", None), (8, "two", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = corpus_pipeline.encoded(spark, docs, SF_SMALL).collect()
+    assert sorted((r.doc_id or 0, r.decoded) for r in got) == sorted((i or 0, t) for i, t, _ in rows)
+    assert len({r.position for r in got}) == len(rows)
+    assert [r.position for r in got] == sorted(r.position for r in got)
+
+
 def test_empty_documents_and_extra_columns(spark, tmp_path):
     from pyspark.sql import functions as F
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
