@@ -43,7 +43,9 @@ PHRASES = {
     "mit license": "mit",
 }
 
-# Notices as their publishers word them, by label.
+# Notices as their publishers word them, by label.  Wordings of
+# several paragraphs are templates as a whole, for texts that run them together,
+# and paragraph by paragraph, for texts with the publishers' empty lines.
 TEMPLATES = {
     "apache-2.0-notice": "Licensed under the Apache License, Version 2.0",
     "apache-2.0-header": (
@@ -53,6 +55,13 @@ TEMPLATES = {
         "software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR "
         "CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing "
         "permissions and limitations under the License."),
+    "apache-2.0-header-grant": (
+        "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in "
+        "compliance with the License. You may obtain a copy of the License at"),
+    "apache-2.0-header-disclaimer": (
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is "
+        "distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. "
+        "See the License for the specific language governing permissions and limitations under the License."),
     "gpl-3.0-notice": "licensed under the GNU General Public License, version 3",
     "gpl-3.0-header": (
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
@@ -60,6 +69,15 @@ TEMPLATES = {
         "(at your option) any later version. This program is distributed in the hope that it will be useful, but "
         "WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR "
         "PURPOSE. See the GNU General Public License for more details."),
+    # All versions of the GPL share these two but for the number, which does not decide at CONTAINED.
+    "gpl-header-grant": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
+        "(at your option) any later version."),
+    "gpl-header-warranty": (
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+        "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License "
+        "for more details."),
     "mit-notice": "Released under the MIT License",
     "mit-permission": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
@@ -68,12 +86,30 @@ TEMPLATES = {
         "copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
         "following conditions: The above copyright notice and this permission notice shall be included in all "
         "copies or substantial portions of the Software."),
+    "mit-permission-grant": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+        "associated documentation files (the Software), to deal in the Software without restriction, including "
+        "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
+        "copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
+        "following conditions:"),
+    "mit-permission-notice": (
+        "The above copyright notice and this permission notice shall be included in all copies or substantial "
+        "portions of the Software."),
     "bsd-conditions": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
         "that the following conditions are met: Redistributions of source code must retain the above copyright "
         "notice, this list of conditions and the following disclaimer. Redistributions in binary form must "
         "reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
         "documentation and/or other materials provided with the distribution."),
+    "bsd-conditions-use": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+        "that the following conditions are met:"),
+    "bsd-conditions-source": (
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+        "following disclaimer."),
+    "bsd-conditions-binary": (
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
+        "following disclaimer in the documentation and/or other materials provided with the distribution."),
     "isc-permission": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
         "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),

@@ -55,3 +55,66 @@ def test_own_templates_clashing_columns_and_empty(spark):
     got = sorted((tuple(r) for r in licences.scan(table, own, 60).collect()), key=repr)
     assert got == sorted(((r.doc_id, *_brute(r.text, own, 60)) for r in table.collect()), key=repr)
     assert licences.scan(table.limit(0)).count() == 0
+
+
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>.
+"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+
+
+def test_notices_with_their_published_line_breaks(spark):
+    """Plain and as comments, each paragraph is found, and nothing of another licence."""
+    wanted = {
+        APACHE: {"apache", "apache-2.0-notice", "apache-2.0-header-grant", "apache-2.0-header-disclaimer"},
+        GPL: {"gpl", "gpl-3.0-notice", "gpl-header-grant", "gpl-header-warranty"},
+        BSD: {"bsd-conditions-use", "bsd-conditions-source", "bsd-conditions-binary"},
+        MIT: {"mit-permission", "mit-permission-grant", "mit-permission-notice"},
+    }
+    texts = [(mark, t) for t in wanted for mark in ("", " * ", "// ")]
+    rows = [(i, "\n".join((mark + line).rstrip() for line in t.split("\n"))) for i, (mark, t) in enumerate(texts)]
+    got = {r.doc_id: r for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (_, t) in enumerate(texts):
+        assert set(got[i].labels.split(",")) == wanted[t]
+        assert got[i].score >= 0.8
