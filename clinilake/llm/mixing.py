@@ -8,12 +8,17 @@ left over and then to the source's name.  Weights add up to one, so every
 deadline is met, and after any number t of slots a source has run between
 t * w - 1 and t * w + 1 blocks.
 
-Weights are rounded to multiples of 1 / ``CYCLE`` (largest remainders, one
-multiple at least), so the windows repeat after ``CYCLE`` slots: only one cycle
-is laid out, a table of at most ``CYCLE`` rows whatever the data, and the slot
-of any block follows by division.  When a source runs out, a new phase begins:
-the rest go on with their weights scaled up.  There are at most as many phases
-as sources, found from the block counts alone.
+Weights are exact whole numbers, as the floats given stand, so these bounds hold
+against the targets themselves, however many sources and slots there are.  When
+a source runs out, a new phase begins: the rest go on with their weights scaled
+up, counted anew.  Slots are dealt in one pass over the blocks, by a task that
+holds a few numbers for each source and writes the slots as it goes; rows meet
+theirs in a join.
+
+With a ``cycle``, weights are rounded to multiples of 1 / ``cycle`` (largest
+remainders, one multiple at least) and the windows repeat after ``cycle``
+slots: one cycle is laid out for each phase, and the bounds hold against the
+rounded weights only.
 
 No row is dropped or repeated: the mix is an order of all rows.
 
@@ -26,22 +31,27 @@ Defined results: a null source is a source of its own (``UNKNOWN``); given
 weights need not add up to one nor name every source (see :func:`targets`);
 weights must be positive; rows that repeat a doc_id each have a place, next to
 each other in any order; a null doc_id is a key like any other; an empty table
-gives no rows; more than ``CYCLE`` sources need a longer cycle.
+gives no rows; more sources than the slots of a given cycle are an error.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
+from collections import defaultdict
+from collections.abc import Iterator, Mapping
+from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored, whole_row
 
 BLOCK_ROWS = 16
-#: Slots of a cycle.
+#: Slots of a cycle that is laid out alone.
 CYCLE = 1000
+#: Blocks of a source that share a row of the table of slots.
+PART_BLOCKS = 256
 #: Rows of a hash bucket of a source, about.
 BUCKET_ROWS = 4096
 TEMPER = 0.5
@@ -52,13 +62,15 @@ def rounded(weights: Mapping[str, float], cycle: int = CYCLE) -> dict[str, int]:
     """Shares of ``cycle`` that add up to it, one at least, by largest remainder."""
     if len(weights) > cycle:
         raise ValueError(f"more than {cycle} sources need a longer cycle")
-    total = sum(weights.values())
-    spare = cycle - len(weights)
-    exact = {s: w / total * spare for s, w in weights.items()}
-    shares = {s: 1 + int(x) for s, x in exact.items()}
+    total = sum(map(Fraction, weights.values()))
+    exact = {s: Fraction(w) / total * cycle for s, w in weights.items()}
+    shares = {s: int(x) for s, x in exact.items()}
     by_rest = sorted(exact, key=lambda s: (int(exact[s]) - exact[s], s))
     for s in by_rest[:cycle - sum(shares.values())]:
         shares[s] += 1
+    for s in sorted(s for s, a in shares.items() if not a):
+        shares[max(shares, key=lambda x: (shares[x], x))] -= 1
+        shares[s] = 1
     return shares
 
 
@@ -125,6 +137,62 @@ def phases(blocks: Mapping[str, int], weights: Mapping[str, float], cycle: int =
     return found
 
 
+def dealt(blocks: Mapping[str, int], weights: Mapping[str, float]) -> Iterator[tuple[int, str, int]]:
+    """(phase, source, its block) of each slot in turn, by exact weights."""
+    exact = {s: Fraction(weights[s]) for s, n in blocks.items() if n}
+    unit = max((x.denominator for x in exact.values()), default=1)  # floats: powers of two
+    whole = {s: int(x * unit) for s, x in exact.items()}
+    done = dict.fromkeys(whole, 0)
+    phase = 0
+    while whole:
+        total, t = sum(whole.values()), 0
+        # Each source's next block: released ones by deadline, the others by release.
+        ready = [(-(-total // a), a, s, 0) for s, a in whole.items()]
+        heapq.heapify(ready)
+        waiting: list = []
+        while True:
+            while waiting and waiting[0][0] <= t:
+                heapq.heappush(ready, heapq.heappop(waiting)[1])
+            last, a, s, j = heapq.heappop(ready)
+            if last <= t:
+                raise AssertionError("a deadline was missed")
+            yield phase, s, done[s]
+            done[s] += 1
+            t += 1
+            if done[s] == blocks[s]:
+                del whole[s]
+                break
+            heapq.heappush(waiting, ((j + 1) * total // a, (-(-(j + 2) * total // a), a, s, j + 1)))
+        phase += 1
+
+
+SLOTS = "_source string, _part long, _slots array<long>, _phases array<int>"
+
+
+def _slots(blocks: dict[str, int], weights: dict[str, float]):
+    """The table of slots: a row for each ``PART_BLOCKS`` blocks of a source."""
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        types = [pa.string(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32())]
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)],
+                                          names=["_source", "_part", "_slots", "_phases"])
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in batches:
+            pass
+        open_parts: dict[str, tuple[list, list]] = defaultdict(lambda: ([], []))
+        full: list[tuple] = []
+        for slot, (phase, s, block) in enumerate(dealt(blocks, weights)):
+            open_parts[s][0].append(slot)
+            open_parts[s][1].append(phase)
+            if block % PART_BLOCKS == PART_BLOCKS - 1 or block + 1 == blocks[s]:
+                full.append((s, block // PART_BLOCKS, *open_parts.pop(s)))
+                if len(full) == 256:
+                    yield batch(full)
+                    full = []
+        yield batch(full)
+    return deal
+
+
 def _numbered(rows: DataFrame, source: Column, key: Column) -> tuple[DataFrame, dict[str, int]]:
     """``rows`` with ``_source`` and ``_n``, their number within the source from 0."""
     keyed = rows.select("*", source.alias("_source"), key.alias("_key"))
@@ -144,12 +212,22 @@ def _numbered(rows: DataFrame, source: Column, key: Column) -> tuple[DataFrame,
 
 
 def _scheduled(rows: DataFrame, source: Column, key: Column, weights: Mapping[str, float] | None,
-               block_rows: int, cycle: int) -> DataFrame:
+               block_rows: int, cycle: int | None) -> DataFrame:
     numbered, counts = _numbered(rows, source, key)
     spark = rows.sparkSession
     want = targets(counts, weights or {s: n ** TEMPER for s, n in counts.items()})
-    plan = phases({s: -(-n // block_rows) for s, n in counts.items()}, want, cycle)
-    # Both tables have at most (sources x phases) and (CYCLE x phases) rows.
+    blocks = {s: -(-n // block_rows) for s, n in counts.items()}
+    if cycle is None:
+        slots = stored(spark.range(0, 1, 1, 1).mapInArrow(_slots(blocks, want), SLOTS), "slots")
+        at = (F.col("_block") % PART_BLOCKS).cast("int")
+        return (
+            numbered.withColumn("_block", F.floor(F.col("_n") / block_rows).cast("long"))
+            .withColumn("_part", F.floor(F.col("_block") / PART_BLOCKS).cast("long"))
+            .join(slots, ["_source", "_part"])
+            .withColumn("_slot", F.get("_slots", at)).withColumn("_phase", F.get("_phases", at))
+            .withColumn("_position", F.col("_slot") * block_rows + F.col("_n") % block_rows))
+    plan = phases(blocks, want, cycle)
+    # Both tables have at most (sources x phases) and (cycle x phases) rows.
     spans = spark.createDataFrame(
         [(i, p["start"], s, p["first"][s], p["first"][s] + p["ran"][s], p["shares"][s])
          for i, p in enumerate(plan) for s in p["shares"]],
@@ -183,7 +261,7 @@ def _source() -> Column:
 
 
 def schedule(documents: DataFrame, weights: Mapping[str, float] | None = None,
-             block_rows: int = BLOCK_ROWS, cycle: int = CYCLE) -> DataFrame:
+             block_rows: int = BLOCK_ROWS, cycle: int | None = None) -> DataFrame:
     """One row per row of ``documents``: doc_id, source, number (in the
     source), block, phase, slot and position (the order of the mix).
     """
@@ -194,7 +272,7 @@ def schedule(documents: DataFrame, weights: Mapping[str, float] | None = None,
 
 
 def mix(documents: DataFrame, weights: Mapping[str, float] | None = None,
-        block_rows: int = BLOCK_ROWS, cycle: int = CYCLE) -> DataFrame:
+        block_rows: int = BLOCK_ROWS, cycle: int | None = None) -> DataFrame:
     """All rows of ``documents``, with their columns, sorted by the mix's order.
 
     The order is that of the rows, so of the files written from them.
@@ -204,13 +282,13 @@ def mix(documents: DataFrame, weights: Mapping[str, float] | None = None,
 
 
 def placed(documents: DataFrame, weights: Mapping[str, float] | None = None, columns: tuple[str, ...] = ("doc_id", "text"),
-           block_rows: int = BLOCK_ROWS, cycle: int = CYCLE) -> DataFrame:
+           block_rows: int = BLOCK_ROWS, cycle: int | None = None) -> DataFrame:
     """These columns of all rows of ``documents``, and position (the order of the mix)."""
     return _placed(documents, weights, block_rows, cycle).select(
         *[F.col("row")[c].alias(c) for c in columns], F.col("_position").alias("position"))
 
 
-def _placed(documents: DataFrame, weights: Mapping[str, float] | None, block_rows: int, cycle: int) -> DataFrame:
+def _placed(documents: DataFrame, weights: Mapping[str, float] | None, block_rows: int, cycle: int | None) -> DataFrame:
     rows = documents.select(F.struct(*whole_row(documents)).alias("row"))
     source = F.coalesce(F.col("row.source").cast("string"), F.lit(UNKNOWN))
     return _scheduled(rows, source, F.xxhash64("row.doc_id"), weights, block_rows, cycle)

@@ -65,6 +65,45 @@ def test_rounding():
         mixing.rounded({str(i): 1 for i in range(11)}, 10)
 
 
+@pytest.mark.parametrize("sources", [20, 300, 1200])
+def test_dealt_stays_within_one_block_of_the_target_itself(sources):
+    """One source at a fifth, the rest uneven, until the first one ends."""
+    rng = random.Random(sources)
+    counts = {"big": 4000} | {f"s{i}": rng.randint(20, 400) for i in range(sources - 1)}
+    want = mixing.targets(counts, {"big": 0.2})
+    seen, slots, heaviest = Counter(), 0, sorted(want, key=want.get)[-20:]
+    for t, (phase, s, block) in enumerate(mixing.dealt(counts, want), 1):
+        if phase:
+            break
+        assert block == seen[s]
+        seen[s] += 1
+        slots = t
+        if t % 7 == 0:
+            assert all(abs(seen[x] - t * want[x]) < 1 + 1e-6 for x in (s, *heaviest))
+    assert all(abs(seen[x] - slots * want[x]) < 1 + 1e-6 for x in want)
+    assert sorted(s for _, s, _ in mixing.dealt(counts, want)) == sorted(s for s, n in counts.items() for _ in range(n))
+
+
+def test_rounding_by_plain_largest_remainders():
+    want = {"big": 0.2} | {f"s{i}": 0.8 / 299 for i in range(299)}
+    assert mixing.rounded(want, 1000)["big"] == 200
+
+
+def test_schedule_by_exact_weights_and_more_sources_than_a_cycle(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "PART_BLOCKS", 4)  # sources of several parts
+    rows = [(i, "hot" if i % 3 == 0 else f"s{i % 1501}") for i in range(6000)]
+    table = spark.createDataFrame(rows, "doc_id long, source string")
+    got = mixing.schedule(table, {"hot": 0.2}, block_rows=1).collect()
+    assert sorted(r.doc_id for r in got) == list(range(6000))
+    by_slot = sorted(got, key=lambda r: r.slot)
+    assert [r.slot for r in by_slot] == [r.position for r in by_slot] == list(range(6000))
+    counts = Counter(s for _, s in rows)
+    assert [(r.phase, r.source, r.block) for r in by_slot] == list(mixing.dealt(
+        {s: counts[s] for s in counts}, mixing.targets(counts, {"hot": 0.2})))
+    first = [r for r in by_slot if r.phase == 0]
+    assert abs(sum(r.source == "hot" for r in first) - 0.2 * len(first)) < 1
+
+
 def test_schedule_places_every_row_once(spark, monkeypatch):
     monkeypatch.setattr(mixing, "BUCKET_ROWS", 50)  # many buckets in a small table
     rows = [(i, "hot" if i % 3 == 0 else f"s{i % 7}") for i in range(3000)]
