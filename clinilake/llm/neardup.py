@@ -1,7 +1,7 @@
 """Near-duplicate groups: MinHash bands, odd sketches, exact confirmation.
 
 1. One scan makes each document's signature: the size of its shingle set, a
-   128-bit fingerprint of the set, ``BANDS`` keys of ``ROWS`` MinHash values,
+   128-bit fingerprint of the set, keys of bands of MinHash values (:func:`banding`),
    and an odd sketch, the parity bitmap into which all MinHash samples are
    folded.  Documents with one fingerprint form a class; from here on only its
    smallest document counts.
@@ -16,8 +16,8 @@
    components: rows without a partner within the bounds go (a semi join), and
    the rest is joined with full sets, confirmed inside the join and only in the
    first bucket that a pair shares, so that links alone come out.  So each
-   linked pair of one bucket ends in one component; a pair at the threshold
-   shares no bucket once in 10**7.
+   linked pair of one bucket ends in one component; a pair at the threshold,
+   whatever that is, shares no bucket once in 10**7 at most.
 5. Components of the confirmed links by alternating stars.
 
 Defined results: null or empty texts and texts without words have an empty set
@@ -29,6 +29,7 @@ gives no rows; extra columns are ignored by :func:`groups` and kept by
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache, reduce
 
@@ -41,7 +42,8 @@ from pyspark.sql import functions as F
 from . import shingles
 from .common import stored, whole_row
 
-BANDS, ROWS = 22, 4
+#: MinHash values of a band, where the samples are enough for that.
+ROWS = 4
 SAMPLES = 512
 SKETCH_BITS = 1024
 #: Rounds with other pivots, and pivots of a bucket in each.
@@ -56,6 +58,19 @@ _SLOT = np.random.default_rng(8).integers(1, 1 << 63, SAMPLES, dtype=np.uint64)
 SIGNATURE = ("doc_id long, n_shingles long, fp_a long, fp_b long, bands array<long>, sketch array<long>")
 
 
+@lru_cache(maxsize=8)
+def banding(percent: int, miss: float = 1e-7) -> tuple[int, int]:
+    """(bands, values of each): two sets of that similarity share no band with
+    probability ``miss`` at most.  Fewer values where bands of ``ROWS`` would
+    need more than the samples."""
+    for rows in range(ROWS, 0, -1):
+        share = (percent / 100) ** rows
+        bands = 1 if share >= 1 else math.ceil(math.log(miss) / math.log1p(-share)) if share else SAMPLES + 1
+        if bands * rows <= SAMPLES:
+            return bands, rows
+    raise ValueError(f"a threshold of {percent} % needs more than {SAMPLES} samples")
+
+
 @lru_cache(maxsize=8)
 def most_bits(percent: int, miss: float = 1e-8) -> int:
     """The population count that two sketches of that similarity exceed with
@@ -107,7 +122,9 @@ def _long_lists(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
                                     pa.array(values.ravel(), pa.int64()))
 
 
-def _signatures(width: int):
+def _signatures(width: int, percent: int):
+    n_bands, n_rows = banding(percent)
+
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, hashes, rows in _sets(batch, width):
@@ -119,19 +136,19 @@ def _signatures(width: int):
                     own = np.unique(hashes[rows[r]:rows[r + 1]])
                     sizes[r] = len(own)
                     prints[r] = np.frombuffer(xxhash.xxh3_128_digest(own.tobytes()), np.int64)
-                bands = np.zeros((0, BANDS), np.int64)
+                bands = np.zeros((0, n_bands), np.int64)
                 marks = np.zeros((0, SKETCH_BITS // 64), np.int64)
                 if len(some):
                     samples = _samples(hashes, np.append(rows[some], len(hashes)))
-                    keys = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), (len(some), BANDS)).copy()
-                    for k in range(ROWS):
-                        keys = shingles.mixed(keys * np.uint64(0xD6E8FEB86659FD93) + samples[:, k:BANDS * ROWS:ROWS])
+                    keys = np.broadcast_to(np.arange(n_bands, dtype=np.uint64), (len(some), n_bands)).copy()
+                    for k in range(n_rows):
+                        keys = shingles.mixed(keys * np.uint64(0xD6E8FEB86659FD93) + samples[:, k:n_bands * n_rows:n_rows])
                     bands, marks = keys.view(np.int64), _sketches(samples)
                 full = (sizes > 0).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(first, n).cast(pa.int64()), pa.array(sizes),
                      pa.array(prints[:, 0].copy()), pa.array(prints[:, 1].copy()),
-                     _long_lists(bands, full * BANDS), _long_lists(marks, full * (SKETCH_BITS // 64))],
+                     _long_lists(bands, full * n_bands), _long_lists(marks, full * (SKETCH_BITS // 64))],
                     names=["doc_id", "n_shingles", "fp_a", "fp_b", "bands", "sketch"])
     return sign
 
@@ -265,7 +282,7 @@ def groups(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     the row's class to others; links inside a component may stay untested.
     """
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = stored(docs.mapInArrow(_signatures(width), SIGNATURE), "signatures")
+    signed = stored(docs.mapInArrow(_signatures(width, percent), SIGNATURE), "signatures")
     # The smallest document stands for its class; partial aggregation takes the copies.
     classes = stored(
         signed.where("n_shingles > 0 and doc_id is not null").groupBy("fp_a", "fp_b", "n_shingles")

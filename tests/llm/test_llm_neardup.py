@@ -121,3 +121,18 @@ def test_shingle_hashes_do_not_depend_on_the_block():
     assert len(set(map(len, together))) > 3 and sets(["A b"]) == sets([" a\tB "])
     for t, s in zip(texts, together):
         assert len(s) == len(_sets(t, 3))
+
+
+def test_bands_keep_the_miss_bound_at_every_threshold():
+    for percent in range(4, 101):
+        bands, rows = neardup.banding(percent)
+        assert bands * rows <= neardup.SAMPLES and (1 - (percent / 100) ** rows) ** bands <= 1e-7
+    assert neardup.banding(85) == (22, 4)
+
+
+def test_signatures_hold_the_bands_of_their_threshold():
+    import pyarrow as pa
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["one two three four five six seven"])], names=["doc_id", "text"])
+    for percent in (50, 80, 85):
+        out = next(iter(neardup._signatures(5, percent)(iter([batch]))))
+        assert len(out.column("bands")[0]) == neardup.banding(percent)[0]
