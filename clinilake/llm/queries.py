@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, html_text, licences, mixing, neardup, pii, quality, token_counts, vectors
+from . import (bpe, chat, collocations, html_text, licences, mixing, neardup, pii, quality, token_counts, url_rules,
+               variants, vectors)
 from .common import literal_rows
 
 
@@ -81,6 +82,21 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, their forms and roots."""
+    return variants.group(table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best phrases of each language over all documents."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's URL."""
+    return url_rules.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_quality": op2_quality,
@@ -92,6 +108,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licences": op8_licences,
     "op9_token_counts": op9_token_counts,
     "op10_bpe": op10_bpe,
+    "op11_variants": op11_variants,
+    "op12_collocations": op12_collocations,
+    "op13_urls": op13_urls,
 }
 
 
@@ -255,10 +274,151 @@ from ordered group by conv_id
 """
 
 
+def _op11_sql() -> str:
+    # The checksum goes bit by bit, the lowest first; a letter is one or two bytes of UTF-8.
+    letters = "A-Za-z" + chr(0xC0) + "-" + chr(0xFF)
+    return rf"""
+with recursive runs as materialized (
+  select coalesce(doc_id::varchar, '') as d, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run,
+         count(*) as c
+  from (select doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[{letters}]+')) as run from documents)
+  where length(run) >= {variants.LETTERS} group by 1, 2),
+hashed as (
+  select run, c, xor(list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(
+           flatten(list_transform(string_split(d || ':' || run, ''),
+             lambda x: case when unicode(x) < 128 then [unicode(x)] else [192 | (unicode(x) >> 6), 128 | (unicode(x) & 63)] end)),
+           lambda x: list_transform(range(8), lambda i: ((x >> i::integer) & 1)::bigint)))),
+         lambda s, b: xor(s >> 1, 3988292384 * xor(s & 1, b))), 4294967295::bigint) as h
+  from runs),
+slipped as (
+  select case when h % {variants.SLIP} = 0 then run[:h % length(run)] || run[h % length(run) + 2:] else run end as word, c
+  from hashed),
+counted as materialized (
+  select word, sum(c)::bigint as n from slipped where length(word) >= {variants.LETTERS} group by word
+  having sum(c) >= {variants.OCCURRENCES}),
+cuts as materialized (
+  select word, n, i, word[:i - 1] as head, word[i + 1:] as tail
+  from (select word, n, unnest(range(1, length(word) + 1)) as i from counted)),
+pairs as (
+  select a.word, b.word as near, b.n as near_n from cuts a join cuts b
+    on a.i = b.i and a.head = b.head and a.tail = b.tail and a.word <> b.word
+  union select a.word, b.word, b.n from cuts a join counted b on b.word = a.head || a.tail
+  union select b.word, a.word, a.n from cuts a join counted b on b.word = a.head || a.tail),
+nears as (
+  select word, count(*) as n_near, max(near_n) as best_n,
+         arg_min(near, (-near_n, near)) as best from pairs group by word),
+judged as (
+  select c.word, n, coalesce(n_near, 0)::bigint as n_near,
+         case when best_n >= {variants.RATIO} * n then best end as form,
+         case when best_n >= {variants.RATIO} * n then best_n end as form_n
+  from counted c left join nears using (word)),
+ways as (
+  select word, word as root from judged
+  union all select w.word, j.form from ways w join judged j on j.word = w.root where j.form is not null)
+select word, form, root, n, n_near, form_n from ways join judged using (word)
+where root in (select word from judged where form is null)
+"""
+
+
+def _op12_sql() -> str:
+    c = collocations
+    return rf"""
+with pieces as (
+  select lang, row_number() over () as p, regexp_extract_all(piece, '[^\x20\x09]+') as ws
+  from (select lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) as piece
+        from (select coalesce(lang, 'und') as lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                     'abcdefghijklmnopqrstuvwxyz') as t from documents))),
+starts as (
+  select lang, w, lead(w) over z as w2, lead(w, 2) over z as w3
+  from (select lang, p, unnest(ws) as w, generate_subscripts(ws, 1) as i from pieces)
+  window z as (partition by p order by i)),
+f as materialized (
+  select lang, 1 as size, w as phrase, count(*) as f from starts group by all
+  union all select lang, 2, w || ' ' || w2, count(*) from starts where w2 is not null group by all
+  union all select lang, 3, w || ' ' || w2 || ' ' || w3, count(*) from starts where w3 is not null group by all),
+totals as (select lang, sum(f)::bigint as n from f where size = 1 group by lang),
+candidates as (select * from f where size > 1 and f >= {c.OCCURRENCES}),
+cut as (
+  select lang, size, phrase, f, k, array_to_string(string_split(phrase, ' ')[:k], ' ') as head,
+         array_to_string(string_split(phrase, ' ')[k + 1:], ' ') as tail
+  from candidates, (values (1), (2)) x(k) where k < size),
+scored as (
+  select cut.*, x.f as l, y.f as r, (1000000::hugeint * cut.f * cut.f // (x.f::hugeint * y.f))::bigint as score
+  from cut join f x on x.lang = cut.lang and x.phrase = head join f y on y.lang = cut.lang and y.phrase = tail),
+lowest as (select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+inside as (
+  select lang, part, max(f) as f
+  from (select lang, f, unnest([array_to_string(string_split(phrase, ' ')[:2], ' '),
+                                array_to_string(string_split(phrase, ' ')[2:], ' ')]) as part
+        from candidates where size = 3) group by all)
+select o.lang, row_number() over (partition by o.lang order by score desc, o.f desc, phrase) as rank,
+       phrase, o.f as a, l, r, n, score
+from lowest o join totals using (lang) left join inside i on i.lang = o.lang and i.part = o.phrase and o.size = 2
+where i.f is null or 100 * i.f < {c.REPLACED} * o.f
+qualify row_number() over (partition by o.lang order by score desc, o.f desc, phrase) <= {c.TOP}
+"""
+
+
+def _op13_sql() -> str:
+    u = url_rules
+    parts = "(?s)^.*?://([^/?#]*)([^?#]*)(.*)$"
+    low = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+    def marked(mark: str, part: str, between: str) -> str:
+        return (f"list_transform(list_filter(regexp_split_to_array({low.format(part)}, '{between}'), lambda x: x <> ''), "
+                f"lambda x: '{mark}' || case when regexp_full_match(x, '[0-9]+') then '#' else x end)")
+
+    fits = " ".join(
+        f"when (host = '{name}' or ends_with(host, '.{name}')) and starts_with(path, '/{rest}') then '{rule}'"
+        for rule, (name, _, rest) in ((r, r.partition("/")) for r in sorted(u.RULES, key=len, reverse=True)))
+    verdicts = " ".join(f"when '{rule}' then '{verdict}'" for rule, verdict in u.RULES.items())
+    return rf"""
+with parted as (
+  select page_id, url, {low.format("regexp_extract(t, '" + parts + "', 1)")} as host, regexp_extract(t, '{parts}', 2) as path,
+         regexp_extract(t, '{parts}', 3) as ending
+  from (select page_id, url, coalesce(url, '') as t from pages)),
+ruled as (
+  select *, case {fits} end as rule, row_number() over () as row,
+         list_distinct({marked("h:", "host", "[.]")} || {marked("p:", "path", "[/._-]")}
+                       || {marked("q:", "ending", "[?#&=]")}) as tokens,
+         try_cast(regexp_extract(path, '/([0-9]{{1,18}})([.][a-z]+)?/?$', 1) as bigint) as number
+  from parted),
+known as (
+  select doc_id, max((coalesce(quality, 1) <= 0 or coalesce(toxic, 0) > 0)::int) = 1 as bad
+  from labels where doc_id is not null and (quality is not null or toxic is not null) group by doc_id),
+given as (select row, tokens, bad from ruled join known on doc_id = number),
+least as (select greatest({u.SUPPORT}, ceil({u.SUPPORT_SHARE} * count(*) filter (bad)))::bigint as least from given),
+exploded as (select row, bad, unnest(tokens) as token from given),
+counts as (select token, count(*) filter (bad) as n_bad, count(*) as n from exploded group by token
+           having count(*) filter (bad) >= (select least from least)),
+items as (
+  select row, token from exploded join counts using (token) where bad
+  qualify row_number() over (partition by row order by n_bad::double / n desc, n_bad desc, token) <= {u.ITEMS}),
+mined as (
+  select [token] as tokens from items group by all having count(*) >= (select least from least)
+  union all select [a.token, b.token] from items a join items b on a.row = b.row and a.token < b.token
+    group by all having count(*) >= (select least from least)
+  union all select [a.token, b.token, c.token] from items a join items b on a.row = b.row and a.token < b.token
+    join items c on c.row = a.row and b.token < c.token group by all having count(*) >= (select least from least)),
+sure as (
+  select m.tokens from mined m join given g on list_has_all(g.tokens, m.tokens) group by all
+  having count(*) filter (bad) >= (select least from least)
+     and 100 * count(*) filter (bad) >= {u.CONFIDENCE} * count(*))
+select page_id, host, path, rule,
+       case rule {verdicts}
+       else case when exists (select 1 from sure s where list_has_all(r.tokens, s.tokens)) then 'block' else 'allow' end
+       end as verdict
+from ruled r
+"""
+
+
 ORACLE: dict[str, str] = {
     "op2_quality": _op2_sql(),
     "op3_neardup": _op3_sql(),
     "op4_search": _op4_sql(),
     "op6_chat": _op6_sql(),
     "op8_licences": _op8_sql(),
+    "op11_variants": _op11_sql(),
+    "op12_collocations": _op12_sql(),
+    "op13_urls": _op13_sql(),
 }
