@@ -2,12 +2,12 @@
 
 1. A task numbers its words and counts phrases in a :class:`PhraseTrie`: a
    shallow trie over word ids with hash containers below; a container of more
-   than :data:`BURST` phrases bursts into a node and a container for each next word.
+   than :data:`BURST` phrases bursts into a node with a container for each next id.
    When the tries hold more than :data:`HELD` phrases, whole subtrees, the
-   largest first, are spilled as sorted runs, a run for each prefix partition.
-2. A prefix partition (the hash of a phrase's first two words) merges its
-   runs: phrases of enough occurrences go on.  Each task sends a phrase once for
-   each spill, so no frequent phrase or first word makes a task large.
+   largest first, are spilled as sorted runs of rows.
+2. Runs meet in the partition of their prefix (a hash of language and first two
+   words) and are merged there: phrases of enough occurrences go on.  A task sends a
+   phrase once for each spill, so no frequent phrase or first word makes a task large.
 3. Single words and pairs are counted first.  A phrase of three words is as
    frequent as the rarer of its two pairs at most, so the second scan counts
    those whose pairs are both in a bitmap of the frequent pairs.  The bitmap has
@@ -25,11 +25,11 @@ table gives no rows; extra columns are ignored.  Counts below 10**16 are exact.
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, Window
@@ -40,18 +40,19 @@ from .common import stored
 #: Occurrences that a candidate needs, percentage at which a longer one replaces it, rows for each language.
 OCCURRENCES, REPLACED, TOP = 10, 50, 2000
 #: Phrases of a container before it bursts, phrases of a task's tries before they spill.
-BURST, HELD = 4096, 800_000
+BURST, HELD = 1 << 15, 1_000_000
+#: First words of a branch of pairs, as a power of two; the lower id of two packed ones.
+BRANCH, LOW = 8, 0xFFFFFFFF
 #: Words counted at once, bytes of text read at once, distinct words of a task before it starts over.
 AT_ONCE, SLICE, WORDS = 1 << 20, 1 << 20, 500_000
-#: Prefix partitions for each shuffle partition.
-FINER = 16
 #: Bits of the bitmap for each frequent pair, and at most.
 BITS, MOST_BITS = 32, 1 << 27
 
 _SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 _TOKEN = re.compile(rb"[^ \t.,;:!?\n-\r]+|[.,;:!?\n-\r]")
 _SPACE = re.compile(rb"[ \t]")
-_ODD = np.uint64(0x9E3779B97F4A7C15)
+#: The seed of Spark's xxhash64, and how far a second word's hash is turned.
+SEED, TURN = 42, 21
 
 
 class Words(dict):
@@ -69,10 +70,6 @@ class Words(dict):
         return n
 
 
-def _is_word(ids: np.ndarray) -> np.ndarray:
-    return ids >= len(_SEPARATORS)
-
-
 def word_ids(text: bytes, words: Words) -> np.ndarray:
     """The ids of a text's words and separators, a separator at the end."""
     parts, at = [], 0
@@ -85,71 +82,76 @@ def word_ids(text: bytes, words: Words) -> np.ndarray:
 
 
 class PhraseTrie:
-    """Counts phrases of one language: first word id -> container of the rest.
+    """Counts phrases of one language: branch -> hash container -> count.
 
-    A container is a hash of the remaining ids, packed in one number, to a
-    count; a burst one is a node of containers by the next id.
+    A phrase is its branch and two further ids, packed in one number.  The branch
+    of single words and pairs is a block of first-word ids, that of longer phrases
+    the first word itself.  A container that grows too large bursts into a node:
+    a container for each of the next ids.
     """
 
-    def __init__(self, more: int) -> None:
-        self.more = more  # words of a phrase after the first
+    def __init__(self) -> None:
         self.root: dict[int, dict[int, int] | dict[int, dict[int, int]]] = {}
         self.burst: set[int] = set()
         self.sizes: dict[int, int] = {}
 
-    def add(self, first: np.ndarray, rest: np.ndarray, count: np.ndarray) -> None:
-        """Distinct phrases in the order of their first words."""
-        cuts = np.flatnonzero(np.diff(first)) + 1
+    @property
+    def size(self) -> int:
+        return sum(self.sizes.values())
+
+    def add(self, branch: np.ndarray, packed: np.ndarray, count: np.ndarray) -> None:
+        """Distinct phrases in the order of their branches."""
+        if not len(branch):
+            return
+        cuts = np.flatnonzero(np.diff(branch)) + 1
         starts = np.concatenate([[0], cuts])
-        for word, a, b in zip(first[starts].tolist(), starts.tolist(), [*cuts.tolist(), len(first)], strict=True):
-            self._insert(word, rest[a:b].tolist(), count[a:b].tolist())
+        packed, count = packed.tolist(), count.tolist()
+        for at, a, b in zip(branch[starts].tolist(), starts.tolist(), [*cuts.tolist(), len(packed)], strict=True):
+            self._insert(at, packed[a:b], count[a:b])
 
-    def _insert(self, word: int, rest: list[int], count: list[int]) -> None:
-        held = self.root.setdefault(word, {})
-        if word in self.burst:
+    def _insert(self, branch: int, packed: list[int], count: list[int]) -> None:
+        held = self.root.setdefault(branch, {})
+        if branch in self.burst:
             grown = 0
-            for r, n in zip(rest, count, strict=True):
-                below = held.setdefault(r >> 32, {})
-                last = r & 0xFFFFFFFF
+            for p, n in zip(packed, count, strict=True):
+                below = held.setdefault(p >> 32, {})
+                last = p & LOW
                 grown += last not in below
                 below[last] = below.get(last, 0) + n
-            self.sizes[word] += grown
+            self.sizes[branch] += grown
             return
-        for r, n in zip(rest, count, strict=True):
-            held[r] = held.get(r, 0) + n
-        self.sizes[word] = len(held)
-        if self.more > 1 and len(held) > BURST:
+        for p, n in zip(packed, count, strict=True):
+            held[p] = held.get(p, 0) + n
+        self.sizes[branch] = len(held)
+        if len(held) > BURST:
             node: dict[int, dict[int, int]] = {}
-            for r, n in held.items():
-                node.setdefault(r >> 32, {})[r & 0xFFFFFFFF] = n
-            self.root[word] = node
-            self.burst.add(word)
-
-    def take(self, word: int) -> Iterator[tuple[int, int]]:
-        """The (rest, count) of a subtree, which leaves the trie."""
-        held = self.root.pop(word)
-        del self.sizes[word]
-        if word not in self.burst:
-            yield from held.items()
-            return
-        self.burst.discard(word)
-        for following, below in held.items():
-            for last, n in below.items():
-                yield following << 32 | last, n
+            for p, n in held.items():
+                node.setdefault(p >> 32, {})[p & LOW] = n
+            self.root[branch] = node
+            self.burst.add(branch)
 
+    def take(self, branch: int) -> tuple[np.ndarray, np.ndarray]:
+        """The packed ids and counts of a subtree, which leaves the trie."""
+        held, size = self.root.pop(branch), self.sizes.pop(branch)
+        if branch in self.burst:
+            self.burst.discard(branch)
+            packed = np.fromiter((a << 32 | b for a, below in held.items() for b in below), np.int64, size)
+            return packed, np.fromiter((n for below in held.values() for n in below.values()), np.int64, size)
+        return np.fromiter(held.keys(), np.int64, size), np.fromiter(held.values(), np.int64, size)
 
-_RUNS = "part int, lang string, phrases binary, counts binary"
+
+_RUNS = "lang string, w1 string, w2 string, w3 string, n long"
 
 
 class Counter:
-    """One scan: counts the phrases of one length in a task's rows.
+    """One scan: the phrases of a task's rows with their counts, each subtree a sorted run.
 
-    ``more`` words follow the first: 0 and 1 together for single words and
-    pairs, 2 for phrases of three words, whose pairs must be in ``bitmap``.
+    Without a ``bitmap`` single words and pairs are counted, with one the phrases
+    of three words whose pairs are both in it.
     """
 
-    def __init__(self, parts: int, bitmap: Broadcast | None = None) -> None:
-        self.parts, self.bitmap = parts, bitmap
+    def __init__(self, bitmap: Broadcast | None = None) -> None:
+        self.bitmap = bitmap
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, tries, waiting, size = Words(), {}, {}, 0
@@ -167,141 +169,96 @@ class Counter:
                     yield from self._spilled(tries, words, 0)
                     words, tries = Words(), {}
                     self.hashes = np.zeros(0, np.uint64)
-                elif sum(sum(t.sizes.values()) for t in tries.values()) > HELD:
+                elif sum(t.size for t in tries.values()) > HELD:
                     yield from self._spilled(tries, words, HELD // 2)
         self._count(waiting, tries, words)
         yield from self._spilled(tries, words, 0)
 
     def _count(self, waiting: dict[str, list[np.ndarray]], tries: dict, words: Words) -> None:
         if self.bitmap is not None:
-            new = [xxhash.xxh64_intdigest(w) for w in words.names[len(self.hashes):]]
+            new = [xxhash.xxh64_intdigest(w, SEED) for w in words.names[len(self.hashes):]]
             self.hashes = np.concatenate([self.hashes, np.array(new, np.uint64)])
         for lang, parts in waiting.items():
             ids = np.concatenate(parts)
-            word = _is_word(ids)
+            word = ids >= len(_SEPARATORS)
+            pair = word[:-1] & word[1:]
             if self.bitmap is not None:
-                pair = word[:-1] & word[1:]
                 pair[pair] = self._frequent(lang, ids[:-1][pair], ids[1:][pair])
-                self._add(tries.setdefault((lang, 2), PhraseTrie(2)), ids, np.flatnonzero(pair[:-1] & pair[1:]))
+                at = np.flatnonzero(pair[:-1] & pair[1:])
+                pairs, which = np.unique(ids[at] << 32 | ids[at + 1], return_inverse=True)
+                found, count = np.unique(which << 32 | ids[at + 2], return_counts=True)
+                pairs = pairs[found >> 32]
+                tries.setdefault((lang, 3), PhraseTrie()).add(pairs >> 32, (pairs & LOW) << 32 | found & LOW, count)
                 continue
-            single = tries.setdefault((lang, 0), PhraseTrie(0))
             found, count = np.unique(ids[word], return_counts=True)
-            if len(found):
-                single.add(found, np.zeros(len(found), np.int64), count)
-            self._add(tries.setdefault((lang, 1), PhraseTrie(1)), ids, np.flatnonzero(word[:-1] & word[1:]))
+            tries.setdefault((lang, 1), PhraseTrie()).add(found >> BRANCH, found, count)
+            at = np.flatnonzero(pair)
+            found, count = np.unique(ids[at] << 32 | ids[at + 1], return_counts=True)
+            tries.setdefault((lang, 2), PhraseTrie()).add(found >> 32 + BRANCH, found, count)
 
     def _frequent(self, lang: str, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Which pairs have their bit: the hash of :func:`_pair_bit`, in numpy."""
         bits = np.frombuffer(self.bitmap.value, np.uint64)
-        at = pair_hash(lang, self.hashes[a], self.hashes[b]) % np.uint64(64 * len(bits))
+        first, second = self.hashes[a] ^ np.uint64(xxhash.xxh64_intdigest(lang, SEED)), self.hashes[b]
+        h = first ^ (second << np.uint64(TURN) | second >> np.uint64(64 - TURN))
+        at = h & np.uint64(64 * len(bits) - 1)
         return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) != 0
 
     @staticmethod
-    def _add(trie: PhraseTrie, ids: np.ndarray, at: np.ndarray) -> None:
-        """The phrases that start at these places."""
-        if not len(at):
-            return
-        pairs, which, count = np.unique(ids[at] << 32 | ids[at + 1], return_inverse=True, return_counts=True)
-        if trie.more == 1:
-            trie.add(pairs >> 32, pairs & 0xFFFFFFFF, count)
-            return
-        three, count = np.unique(which << 32 | ids[at + 2], return_counts=True)
-        pairs = pairs[three >> 32]
-        trie.add(pairs >> 32, (pairs & 0xFFFFFFFF) << 32 | (three & 0xFFFFFFFF), count)
-
-    def _spilled(self, tries: dict, words: Words, keep: int) -> Iterator[pa.RecordBatch]:
+    def _spilled(tries: dict, words: Words, keep: int) -> Iterator[pa.RecordBatch]:
         """Whole subtrees, the largest first, until ``keep`` phrases are left, as sorted runs."""
-        names = words.names
-        total = sum(sum(t.sizes.values()) for t in tries.values())
-        order = sorted(((n, key, first) for key, t in tries.items() for first, n in t.sizes.items()), reverse=True)
-        runs: dict[tuple[int, str], list[tuple[bytes, int]]] = {}
-        for n, key, first in order:
-            if total <= keep:
-                break
-            total -= n
-            lang, more = key
-            head = names[first]
-            for rest, count in tries[key].take(first):
-                if more == 0:
-                    phrase = prefix = head
-                elif more == 1:
-                    phrase = prefix = head + b" " + names[rest]
-                else:
-                    prefix = head + b" " + names[rest >> 32]
-                    phrase = prefix + b" " + names[rest & 0xFFFFFFFF]
-                runs.setdefault((zlib.crc32(prefix) % self.parts, lang), []).append((phrase, count))
-        rows = sorted(runs)
-        for at in range(0, len(rows), 1024):
-            chosen = rows[at:at + 1024]
-            packed = [sorted(runs.pop(key)) for key in chosen]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([p for p, _ in chosen], pa.int32()), pa.array([lang for _, lang in chosen], pa.string()),
-                 pa.array([b"\n".join(phrase for phrase, _ in run) for run in packed], pa.binary()),
-                 pa.array([np.array([n for _, n in run], "<u8").tobytes() for run in packed], pa.binary())],
-                names=["part", "lang", "phrases", "counts"])
-
-
-def pair_hash(lang: str, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """A hash of pairs from those of their words."""
-    mixed = ((first ^ np.uint64(xxhash.xxh64_intdigest(lang))) * _ODD + second) * _ODD
-    return mixed ^ (mixed >> np.uint64(29))
-
-
-_COUNTED = "lang string, phrase string, size int, f long, total long, h long"
-
-
-def _merged(occurrences: int):
-    """Runs sorted by prefix partition -> frequent phrases, and for each partition
-    and language a row without a phrase that has the total of its single words."""
-    def finished(lang: str, counts: dict[bytes, int]) -> pa.RecordBatch:
-        kept = [(p, p.count(b" ") + 1, n) for p, n in counts.items() if n >= occurrences]
-        total = sum(n for p, n in counts.items() if b" " not in p)
-        hashes: list[int | None] = [None] * len(kept)
-        pairs = [(i, p.split(b" ")) for i, (p, size, _) in enumerate(kept) if size == 2]
-        if pairs:
-            a, b = (np.array([xxhash.xxh64_intdigest(ws[k]) for _, ws in pairs], np.uint64) for k in (0, 1))
-            for (i, _), h in zip(pairs, pair_hash(lang, a, b).astype(np.int64).tolist(), strict=True):
-                hashes[i] = h
-        n = len(kept)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([lang] * (n + 1), pa.string()), pa.array([*[p.decode() for p, _, _ in kept], None], pa.string()),
-             pa.array([*[s for _, s, _ in kept], 0], pa.int32()), pa.array([*[f for *_, f in kept], 0], pa.int64()),
-             pa.array([*[0] * n, total], pa.int64()), pa.array([*hashes, None], pa.int64())],
-            names=["lang", "phrase", "size", "f", "total", "h"])
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, counts = None, {}
-        for batch in batches:
-            columns = [batch.column(c) for c in ("part", "lang", "phrases", "counts")]
-            for part, lang, phrases, numbers in zip(*columns, strict=True):
-                key = (part.as_py(), lang.as_py())
-                if key != at:
-                    if at is not None:
-                        yield finished(at[1], counts)
-                    at, counts = key, {}
-                run = phrases.as_py().split(b"\n")
-                for phrase, n in zip(run, np.frombuffer(numbers.as_py(), "<u8").tolist(), strict=True):
-                    counts[phrase] = counts.get(phrase, 0) + n
-        if at is not None:
-            yield finished(at[1], counts)
-    return merge
-
-
-def _counts(texts: DataFrame, occurrences: int, bitmap: Broadcast | None = None) -> DataFrame:
-    shuffles = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    runs = texts.mapInArrow(Counter(FINER * shuffles, bitmap), _RUNS)
-    return (runs.repartition(shuffles, "part").sortWithinPartitions("part", "lang")
-            .mapInArrow(_merged(occurrences), _COUNTED))
+        names = pa.array(words.names, pa.binary()).cast(pa.string())
+        order = pc.sort_indices(names).to_numpy()
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        names = names.take(pa.array(order))  # by rank
+        total = sum(t.size for t in tries.values())
+        # Subtrees below the least size that makes enough room stay.
+        sizes = np.sort(np.array([n for t in tries.values() for n in t.sizes.values()], np.int64))[::-1]
+        spilled = int(np.searchsorted(np.cumsum(sizes), total - keep)) + 1
+        least = int(sizes[min(spilled, len(sizes)) - 1]) if len(sizes) else 0
+        for (lang, length), trie in tries.items():
+            branches = [b for b, n in trie.sizes.items() if n >= least]
+            if not branches:
+                continue
+            taken = [trie.take(b) for b in branches]
+            packed, count = (np.concatenate(x) for x in zip(*taken, strict=True))
+            parts = [rank[packed & LOW]]
+            if length > 1:
+                parts.insert(0, rank[packed >> 32])
+            if length > 2:
+                parts.insert(0, np.repeat(rank[branches], [len(p) for p, _ in taken]))
+            run = np.lexsort(parts[::-1])
+            for at in range(0, len(run), 1 << 16):
+                chosen = run[at:at + (1 << 16)]
+                texts = [names.take(pa.array(part[chosen])) for part in parts]
+                texts += [pa.nulls(len(chosen), pa.string())] * (3 - len(texts))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang], pa.string()).take(pa.array(np.zeros(len(chosen), np.int64))), *texts,
+                     pa.array(count[chosen])], names=["lang", "w1", "w2", "w3", "n"])
+
+
+def _counts(texts: DataFrame, bitmap: Broadcast | None = None) -> DataFrame:
+    """(lang, w1, w2, w3, f): the tasks' runs, merged in the partition of their first two words."""
+    keys = ["lang", "w1", "w2"]
+    runs = texts.mapInArrow(Counter(bitmap), _RUNS).repartition(*keys)
+    return runs.groupBy(*keys, "w3").agg(F.sum("n").alias("f"))
+
+
+def _pair_bit(size: int) -> Column:
+    """The bit of a pair in a bitmap of that size, a power of two; see :meth:`Counter._frequent`."""
+    second = F.xxhash64("w2")
+    turned = F.shiftleft(second, TURN).bitwiseOR(F.shiftrightunsigned(second, 64 - TURN))
+    return F.xxhash64("w1").bitwiseXOR(F.xxhash64("lang")).bitwiseXOR(turned).bitwiseAND(F.lit(size - 1))
 
 
 def _bitmap(pairs: DataFrame) -> bytes:
-    """The bitmap of the hashes, made by Spark in words of 64 bits, at most MOST_BITS / 64 of them."""
-    size = 1 << 16
-    n = pairs.count()
+    """The bitmap of the pairs, made by Spark in words of 64 bits, at most MOST_BITS / 64 of them."""
+    size, n = 1 << 16, pairs.count()
     while size < min(BITS * n, MOST_BITS):
         size *= 2
-    bit = F.expr(f"h & {size - 1}")  # the size is a power of two: also right for hashes below zero
-    rows = pairs.select(F.shiftrightunsigned(bit, 6).alias("w"),
-                        F.expr("shiftleft(1L, cast(h & 63 as int))").alias("m")).groupBy("w").agg(
+    rows = pairs.select(_pair_bit(size).alias("bit")).select(
+        F.shiftright("bit", 6).alias("w"), F.expr("shiftleft(1L, cast(bit & 63 as int))").alias("m")).groupBy("w").agg(
         F.bit_or("m").alias("m")).toArrow()
     out = np.zeros(size // 64, np.int64)
     out[rows.column("w").to_numpy()] = rows.column("m").to_numpy()
@@ -313,13 +270,14 @@ def phrase_counts(documents: DataFrame, occurrences: int = OCCURRENCES) -> tuple
     (lang, n): the occurrences of all words)."""
     texts = documents.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
                              F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    spark = documents.sparkSession
-    short = stored(_counts(texts, occurrences), "short")
-    bitmap = spark.sparkContext.broadcast(_bitmap(short.where("size = 2").select("h")))
-    long = stored(_counts(texts, occurrences, bitmap), "long")
-    totals = short.where("size = 0").groupBy("lang").agg(F.sum("total").alias("n"))
-    counts = short.unionByName(long).where("size > 0").select("lang", "phrase", "size", "f")
-    return counts, totals
+    enough = F.col("f") >= occurrences
+    short = stored(_counts(texts).where(enough | F.col("w2").isNull()), "short")
+    bitmap = documents.sparkSession.sparkContext.broadcast(_bitmap(short.where("w2 is not null")))
+    long = stored(_counts(texts, bitmap).where(enough), "long")
+    totals = short.where("w2 is null").groupBy("lang").agg(F.sum("f").alias("n"))
+    size = F.lit(1) + F.col("w2").isNotNull().cast("int") + F.col("w3").isNotNull().cast("int")
+    return short.unionByName(long).where(enough).select(
+        "lang", F.concat_ws(" ", "w1", "w2", "w3").alias("phrase"), size.alias("size"), "f"), totals
 
 
 def _score(a: Column, left: Column, right: Column) -> Column:
