@@ -129,3 +129,45 @@ def test_row_index_keeps_a_callers_cache(spark):
     assert row_index(again, ["k", "id"], "rid").count() == 100
     assert df.is_cached and df.storageLevel.useMemory
     df.unpersist()
+
+
+def test_row_index_spreads_texts_that_begin_alike(spark):
+    """300,000 document numbers with one beginning are cut into many even ranges."""
+    from clinilake.operators.ordered import row_index
+    df = spark.range(0, 300_000, numPartitions=4).select(
+        F.concat(F.lit("101"), F.lpad(F.col("id").cast("string"), 9, "0")).alias("t"))
+    got = row_index(df, ["t"], "no", partitions=8, copies=False)
+    assert got.where(F.col("no") != F.substring("t", 4, 9).cast("long") + 1).count() == 0
+    shares = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(shares) == 8 and max(shares) < 2 * 300_000 / 8
+
+
+def test_row_index_counts_copies_before_they_travel(spark):
+    """A row that is a third of the table is cut like any other, and nothing is lost."""
+    from clinilake.operators.ordered import row_index
+    df = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id")).alias("k"))
+    got = row_index(df, ["k"], "no", partitions=8)
+    n, distinct, low, high = got.agg(F.count("*"), F.countDistinct("no"), F.min("no"), F.max("no")).first()
+    assert (n, distinct, low, high) == (60_000, 60_000, 1, 60_000)
+    fives = got.where("k = 5").agg(F.min("no"), F.max("no"), F.count("*")).first()
+    assert tuple(fives) == (4, 4 + 20_000, 20_001)  # 1, 2 and 4 come before
+    shares = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(shares) < 60_000 / 3
+
+
+def test_splitters_are_even_by_weight_and_bounded(spark):
+    from clinilake.operators.ordered import splitters
+    df = spark.range(50_000).withColumn("w", F.when(F.col("id") < 500, F.lit(100)).otherwise(F.lit(1)))
+    cuts = splitters(df, F.struct("id"), F.col("w"), 64).first()["cuts"]
+    assert len(cuts) <= 63 and [c["id"] for c in cuts] == sorted(c["id"] for c in cuts)
+    assert sum(c["id"] < 500 for c in cuts) > 24  # half of the weight
+    assert splitters(df, F.struct("id"), F.col("w"), 1).first()["cuts"] == []
+    few = spark.range(3).withColumn("w", F.lit(1))
+    assert len(splitters(few, F.struct("id"), F.col("w"), 64).first()["cuts"]) <= 3
+
+
+def test_row_index_plans_joins_and_broadcasts_nothing(spark):
+    from clinilake.operators.ordered import row_index
+    from conftest import plan_text
+    text = plan_text(row_index(spark.range(1000).withColumn("x", F.col("id") % 7), ["x", "id"], "no"))
+    assert "Join" not in text and "Broadcast" not in text
