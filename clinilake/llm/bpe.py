@@ -294,10 +294,13 @@ DECODED = "doc_id long, n_tokens long, ids binary, decoded string"
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
-def encode(documents: DataFrame, path: str) -> DataFrame:
-    """(doc_id, ids) of every row: ids as a binary of little-endian integers,
-    two bytes each for vocabularies of up to 65,536 ids, else four."""
-    return _encoded(documents, path, IDS)
+def encode(documents: DataFrame, path: str, carried: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, carried columns, ids) of every row: ids as a binary of little-endian
+    integers, two bytes each for vocabularies of up to 65,536 ids, else four.
+
+    ``carried`` names columns of whole numbers that follow doc_id unchanged.
+    """
+    return _encoded(documents, path, IDS, carried=carried)
 
 
 def encode_decode(documents: DataFrame, path: str, carried: tuple[str, ...] = ()) -> DataFrame:
@@ -325,9 +328,11 @@ def _decoded(path: str, keys: tuple[str, ...] = ("doc_id",)):
     return decode
 
 
-def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """(doc_id, n_tokens, ids, decoded): the text that the ids stand for."""
-    return encoded.mapInArrow(_decoded(path), DECODED)
+def decode(encoded: DataFrame, path: str, carried: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, carried columns, n_tokens, ids, decoded): the text that the ids stand for, rows in their order."""
+    keys = ("doc_id", *carried)
+    schema = DECODED.replace("doc_id long", ", ".join(f"{c} long" for c in keys))
+    return encoded.select(*keys, "ids").mapInArrow(_decoded(path, keys), schema)
 
 
 def _digests(path: str):

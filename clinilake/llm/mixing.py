@@ -193,9 +193,9 @@ def _slots(blocks: dict[str, int], weights: dict[str, float]):
     return deal
 
 
-def _numbered(rows: DataFrame, source: Column, key: Column) -> tuple[DataFrame, dict[str, int]]:
+def _numbered(rows: DataFrame, source: Column, key: Column, print_: Column) -> tuple[DataFrame, dict[str, int]]:
     """``rows`` with ``_source`` and ``_n``, their number within the source from 0."""
-    keyed = rows.select("*", source.alias("_source"), key.alias("_key"))
+    keyed = rows.select("*", source.alias("_source"), key.alias("_key"), print_.alias("_print"))
     counts = {r._source: r.n for r in keyed.groupBy("_source").agg(F.count(F.lit(1)).alias("n")).collect()}
     # Buckets are ranges of the hash, so bucket order is key order; a row for each source.
     buckets = rows.sparkSession.createDataFrame(
@@ -206,14 +206,15 @@ def _numbered(rows: DataFrame, source: Column, key: Column) -> tuple[DataFrame,
     before = Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = stored(sizes.select("_source", "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start")),
                     "bucket_starts")
-    within = Window.partitionBy("_source", "_bucket").orderBy(F.shiftrightunsigned("_key", 1), "_key")
+    within = Window.partitionBy("_source", "_bucket").orderBy(F.shiftrightunsigned("_key", 1), "_key", "_print")
     numbered = cut.withColumn("_rank", F.row_number().over(within)).join(starts, ["_source", "_bucket"])
-    return numbered.withColumn("_n", F.col("_start") + F.col("_rank") - 1).drop("_start", "_rank", "_bucket", "_key"), counts
+    return numbered.withColumn("_n", F.col("_start") + F.col("_rank") - 1).drop(
+        "_start", "_rank", "_bucket", "_key", "_print"), counts
 
 
-def _scheduled(rows: DataFrame, source: Column, key: Column, weights: Mapping[str, float] | None,
+def _scheduled(rows: DataFrame, source: Column, key: Column, print_: Column, weights: Mapping[str, float] | None,
                block_rows: int, cycle: int | None) -> DataFrame:
-    numbered, counts = _numbered(rows, source, key)
+    numbered, counts = _numbered(rows, source, key, print_)
     spark = rows.sparkSession
     want = targets(counts, weights or {s: n ** TEMPER for s, n in counts.items()})
     blocks = {s: -(-n // block_rows) for s, n in counts.items()}
@@ -265,30 +266,47 @@ def schedule(documents: DataFrame, weights: Mapping[str, float] | None = None,
     """One row per row of ``documents``: doc_id, source, number (in the
     source), block, phase, slot and position (the order of the mix).
     """
-    rows = documents.select("doc_id", "source")
-    return _scheduled(rows, _source(), F.xxhash64("doc_id"), weights, block_rows, cycle).select(
+    rows = documents.select("doc_id", "source", _print(documents).alias("print"))
+    return _scheduled(rows, _source(), F.xxhash64("doc_id"), F.col("print"), weights, block_rows, cycle).select(
         "doc_id", F.col("_source").alias("source"), F.col("_n").alias("number"), F.col("_block").alias("block"),
         F.col("_phase").alias("phase"), F.col("_slot").alias("slot"), F.col("_position").alias("position"))
 
 
+def _print(documents: DataFrame) -> Column:
+    """Orders the rows of one doc_id and source, so that a task run again gives them the same places."""
+    return F.xxhash64("text") if "text" in documents.columns else F.lit(0).cast("long")
+
+
+def row_key(documents: DataFrame) -> Column:
+    """A number for each row; rows with one number may swap their places of the mix."""
+    return F.xxhash64("doc_id", "source", _print(documents))
+
+
+def with_positions(rows: DataFrame, key: str, documents: DataFrame,
+                   weights: Mapping[str, float] | None = None) -> DataFrame:
+    """``rows`` and position, the place of each in the mix of ``documents``.
+
+    ``rows`` has one row per row of ``documents``, with its :func:`row_key` in
+    the column ``key``.  The schedule is made of a few numbers a row: whatever
+    ``rows`` carries moves once, by key.
+    """
+    slim = documents.select("doc_id", "source", row_key(documents).alias("_row"), _print(documents).alias("_text"))
+    places = stored(_scheduled(slim, _source(), F.xxhash64("doc_id"), F.col("_text"), weights, BLOCK_ROWS, None).select(
+        "_row", F.col("_position").alias("position")), "places")
+    # Rows that repeat a key take its places in turn.
+    copy = F.row_number()
+    left = rows.withColumn("_copy", copy.over(Window.partitionBy(key).orderBy(key)))
+    right = places.withColumn("_turn", copy.over(Window.partitionBy("_row").orderBy("position")))
+    return left.join(right, (F.col(key) == F.col("_row")) & (F.col("_copy") == F.col("_turn"))).drop("_copy", "_row", "_turn")
+
+
 def mix(documents: DataFrame, weights: Mapping[str, float] | None = None,
         block_rows: int = BLOCK_ROWS, cycle: int | None = None) -> DataFrame:
     """All rows of ``documents``, with their columns, sorted by the mix's order.
 
     The order is that of the rows, so of the files written from them.
     """
-    return (_placed(documents, weights, block_rows, cycle)
-            .select("row", "_position").orderBy("_position").select("row.*"))
-
-
-def placed(documents: DataFrame, weights: Mapping[str, float] | None = None, columns: tuple[str, ...] = ("doc_id", "text"),
-           block_rows: int = BLOCK_ROWS, cycle: int | None = None) -> DataFrame:
-    """These columns of all rows of ``documents``, and position (the order of the mix)."""
-    return _placed(documents, weights, block_rows, cycle).select(
-        *[F.col("row")[c].alias(c) for c in columns], F.col("_position").alias("position"))
-
-
-def _placed(documents: DataFrame, weights: Mapping[str, float] | None, block_rows: int, cycle: int | None) -> DataFrame:
-    rows = documents.select(F.struct(*whole_row(documents)).alias("row"))
+    rows = documents.select(F.struct(*whole_row(documents)).alias("row"), _print(documents).alias("_text"))
     source = F.coalesce(F.col("row.source").cast("string"), F.lit(UNKNOWN))
-    return _scheduled(rows, source, F.xxhash64("row.doc_id"), weights, block_rows, cycle)
+    placed = _scheduled(rows, source, F.xxhash64("row.doc_id"), F.col("_text"), weights, block_rows, cycle)
+    return placed.select("row", "_position").orderBy("_position").select("row.*")

@@ -26,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clinilake.operators.joins import fits_broadcast
+
 from .common import UPPER, let, stored, text_or_empty, whole_row, words
 
 SYMBOLS = "#*$%&|<>"
@@ -204,7 +206,18 @@ def assess(documents: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta:
 
 
 def keep_good(documents: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """The rows of ``documents`` that :func:`assess` keeps, with all their columns."""
-    rows = stored(measured(documents, [F.struct(*whole_row(documents)).alias("row")]), "quality")
-    cutoffs = choose_cutoffs(_labelled(rows, F.col("row.doc_id"), F.col("row.lang"), labels), alpha, delta)
+    """The rows of ``documents`` that :func:`assess` keeps, with all their columns.
+
+    No text is stored or shuffled: the cutoffs come from the labelled rows' counts
+    (a scan whose rows are cut down to the labels' first, where those are shown to
+    be few enough to broadcast), the verdicts from a second scan.
+    """
+    ids = labels.where("doc_id is not null and quality is not null").select(
+        F.col("doc_id").alias("_labelled")).distinct()
+    asked = documents
+    if fits_broadcast(ids):
+        asked = documents.join(F.broadcast(ids), F.col("doc_id") == F.col("_labelled"), "left_semi")
+    counted = measured(asked, [F.col("doc_id"), F.col("lang")])
+    cutoffs = stored(choose_cutoffs(_labelled(counted, F.col("doc_id"), F.col("lang"), labels), alpha, delta), "cutoffs")
+    rows = measured(documents, [F.struct(*whole_row(documents)).alias("row")])
     return _judged(rows, F.col("row.lang"), cutoffs).where("kept").select("row.*")

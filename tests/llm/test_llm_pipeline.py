@@ -95,3 +95,22 @@ def test_empty_documents_and_extra_columns(spark, tmp_path):
                 assert out.columns == frame.columns
             out.write.parquet(path)
             frame = spark.read.parquet(path)
+
+
+def test_each_text_is_encoded_once(spark):
+    """What the last stage sorts, samples and decodes are stored ids, not the encoding."""
+    from conftest import plan_text
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    text = plan_text(corpus_pipeline.encoded(spark, docs, SF_SMALL))
+    assert text.count("MapInArrow") == 1 and text.count("Scan parquet") == 1
+    assert text.index("MapInArrow") < text.index("rangepartitioning") < text.index("Scan parquet")
+
+
+def test_places_of_equal_rows_are_dealt_in_turn(spark):
+    from clinilake.llm import mixing
+    rows = [(7, "same", "a")] * 5 + [(7, "other", "a"), (None, "same", None), (None, "same", None), (8, None, "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    keyed = docs.withColumn("k", mixing.row_key(docs))
+    got = mixing.with_positions(keyed, "k", docs).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in got) == sorted((i or 0, t or "") for i, t, _ in rows)
+    assert sorted(r.position for r in got) == sorted(r.position for r in mixing.schedule(docs).collect())
