@@ -43,10 +43,13 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     and the text they decode to, sorted by position.
 
     The mix keeps every row, so the schedule of its rows is that of the mix
-    itself.  It is stored: all scans of the encoding see the same places.
+    itself.  Each text is encoded once: the ids are stored with their places, and
+    what is sorted and decoded comes from there.
     """
-    placed = stored(mixing.placed(docs, WEIGHTS), "placed")
-    return bpe.encode_decode(placed, vocabulary_path(), carried=("position",)).orderBy("position")
+    keyed = docs.withColumn("row_key", mixing.row_key(docs))
+    ids = bpe.encode(keyed.select("doc_id", "text", "row_key"), vocabulary_path(), carried=("row_key",))
+    placed = stored(mixing.with_positions(ids, "row_key", docs, WEIGHTS).drop("row_key"), "ids")
+    return bpe.decode(placed.orderBy("position"), vocabulary_path(), carried=("position",))
 
 
 STAGES: list[tuple[str, Stage]] = [
