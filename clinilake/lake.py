@@ -24,10 +24,13 @@ class Lake:
     env: str = "dev"
     catalog: str | None = None
     tables: bool = False  # jobs read and write catalog tables instead of zone paths
+    snapshots: bool = False  # zone paths hold published snapshots, audited before readers see them
 
     def __post_init__(self) -> None:
         if self.env not in ENVIRONMENTS:
             raise ValueError(f"env must be one of {ENVIRONMENTS}, got {self.env!r}")
+        if self.tables and self.snapshots:
+            raise ValueError("a lake holds catalog tables or snapshots, not both")
 
     def path(self, zone: str, name: str) -> str:
         if zone not in ZONES:

@@ -38,8 +38,9 @@ def extract_dimension(df: DataFrame, col: str, key: str, value: str | None = Non
     """Turn a coded column into a dimension and a foreign key.
 
     Returns ``(dim, fact)``: ``dim(key, value)`` numbers the distinct non-null
-    codes 1..n in sorted order (long keys, stable across runs); ``fact`` is
-    ``df`` with ``col`` replaced by ``key`` (null stays null).  The join back
+    codes 1..n in sorted order (long keys, stable across runs; across loads of
+    more codes use :func:`extend_dimension`); ``fact`` is ``df`` with ``col``
+    replaced by ``key`` (null stays null).  The join back
     broadcasts the dimension when Spark finds it small and otherwise
     sort-merges; it is never forced.
     """
@@ -63,6 +64,32 @@ def attach_dimension(df: DataFrame, col: str, dim: DataFrame, key: str,
               .select(*[F.col(k).alias(key) if c == col else column(c) for c in df.columns]))
 
 
+def new_codes(df: DataFrame, col: str, dim: DataFrame, key: str, value: str | None = None,
+              partitions: int | None = None) -> DataFrame:
+    """``(key, value)`` rows for the codes of ``df`` that ``dim`` does not have.
+
+    Keys that were given stay: only new codes (an anti join) are numbered, in
+    sorted order, from the dimension's largest key on (1 for an empty one).  Append the
+    rows to the dimension; a load that is repeated finds no new codes.
+    """
+    value = value or col
+    (known,) = fresh(["known"], [col, key, value])
+    codes = df.where(column(col).isNotNull()).select(column(col).alias(value)).distinct()
+    fresh_codes = codes.join(dim.select(column(value).alias(known)), column(value) == F.col(known), "left_anti")
+    last = dim.agg(F.coalesce(F.max(column(key)), F.lit(0))).scalar()
+    return (row_index(fresh_codes, [value], key, partitions, copies=False)
+            .select((column(key) + last).cast("long").alias(key), column(value)))
+
+
+def extend_dimension(df: DataFrame, col: str, dim: DataFrame, key: str, value: str | None = None,
+                     partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Like :func:`extract_dimension` on top of a dimension from earlier loads:
+    ``(dim, fact)``, where every known code keeps its key."""
+    value = value or col
+    whole = dim.select(column(key), column(value)).unionByName(new_codes(df, col, dim, key, value, partitions))
+    return whole, attach_dimension(df, col, whole, key, value)
+
+
 # Typed columns of the bronze tables and the types they get; a value that does
 # not convert makes its row a reject.  Key columns must also be present.
 _ERP_TYPES = {

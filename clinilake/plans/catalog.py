@@ -10,22 +10,25 @@ foreign-key pair, ``events`` = timestamps to turn into month text.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clinilake import sinks, snapshots
 from clinilake import sql as sqlfiles
 from clinilake.functions import (SPANISH_MONTHS, document_text, month_label, month_labels,
                                  month_text_to_date, normalize_text)
 from clinilake.names import col
-from clinilake.operators import gold, normalize, quality
+from clinilake.operators import gold, increment, normalize, quality
 from clinilake.operators.joins import Dim, star_join
 from clinilake.operators.normalize import (diagnosis_matches, extract_dimension,
                                            numbered_diagnoses, split_person_name)
 from clinilake.operators.normalize import diagnosis_rejects as rejected_diagnoses
 from clinilake.operators.reshape import diagnoses_long, unpivot_months, unpivot_to_dates
 from clinilake.plans.jobs import detail_df, detail_sql
+from clinilake.session import checkpoint_dir
 from clinilake.sources import literal_table, read_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -456,7 +459,107 @@ def health_detail_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detail_sql(spark, _health_silver(spark, sf_dir))
 
 
+# --- loads in several batches ----------------------------------------------------
+# Each writes its tables into a new folder of the shared checkpoint folder.
+
+FIRST_LOAD = "o_orderdate < timestamp '1995-06-01'"
+
+
+def _scratch(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/clinilake-{uuid.uuid4().hex}"
+
+
+def stable_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N2, N5 over two loads: customers keyed by the first load keep their key,
+    those that only the whole table has are numbered on."""
+    orders, path = table(spark, sf_dir, "orders"), f"{_scratch(spark)}/dim_customer"
+    first, _ = extract_dimension(orders.where(FIRST_LOAD), "o_custkey", "CUSTOMER_ID")
+    snapshots.write_audited(first, path)
+    whole, _ = normalize.extend_dimension(orders, "o_custkey", snapshots.read(spark, path), "CUSTOMER_ID")
+    snapshots.write_audited(whole, path, lambda dim: quality.count_summary(
+        quality.duplicate_keys(dim, ["CUSTOMER_ID"]), "primary_key", "dim_customer", "CUSTOMER_ID"))
+    return snapshots.read(spark, path)
+
+
+def published_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q6 before publication: a clean part of the orders, a faulty write that the
+    checks refuse, and all orders; what readers see in each version."""
+    orders, path = table(spark, sf_dir, "orders"), f"{_scratch(spark)}/orders"
+
+    def audit(df: DataFrame) -> DataFrame:
+        return quality.report([
+            quality.summary(df, "orders", not_null=["o_orderkey", "o_orderdate"]),
+            quality.count_summary(quality.duplicate_keys(df, ["o_orderkey"]), "primary_key", "orders", "o_orderkey")])
+
+    faulty = orders.withColumn("o_orderdate", F.when(F.col("o_orderpriority") != PRIORITIES[0], F.col("o_orderdate")))
+    for rows in (orders.where(FIRST_LOAD), faulty, orders):
+        try:
+            snapshots.write_audited(rows, path, audit)
+        except quality.QualityError:
+            continue
+    last, _ = snapshots.current(spark, path)
+    return quality.report([
+        snapshots.read(spark, path, v).agg(
+            F.lit(v).cast("long").alias("version"), F.count(F.lit(1)).alias("orders"),
+            F.countDistinct("o_custkey").alias("customers"), F.max("o_orderdate").alias("last_day"))
+        for v in range(1, last + 1)])
+
+
+def upserted_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders partitioned by month; the corrected ones of 1996 and 1997 are
+    loaded on top, twice."""
+    path = f"{_scratch(spark)}/orders_by_month"
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate",
+        F.date_format("o_orderdate", "yyyy-MM").alias("month"))
+    corrected = orders.where(F.year("o_orderdate").isin(1996, 1997) & (F.col("o_orderpriority") == PRIORITIES[0])
+                             ).withColumn("o_orderstatus", F.lit("CORRECTED"))
+    for batch in (orders, corrected, corrected):
+        sinks.upsert_partitions(batch, path, ["o_orderkey", "month"], ["month"])
+    return spark.read.schema(orders.schema).parquet(path)
+
+
+def _two_batches(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    orders = table(spark, sf_dir, "orders")
+    return {"early": orders.where(FIRST_LOAD), "late": orders.where(f"not ({FIRST_LOAD}) or o_orderdate is null")}
+
+
+def merged_mean_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5 from the states of two batches, the second sent twice."""
+    path, batches = f"{_scratch(spark)}/gap_state", _two_batches(spark, sf_dir)
+    for name in ("early", "late", "late"):
+        snapshots.merge_batch(increment.gap_state(batches[name], "o_custkey", "o_orderdate"), path, name,
+                              increment.merge_gap_states)
+    return increment.mean_gap_of(snapshots.read(spark, path))
+
+
+def merged_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A6 from the states of two batches, the first sent twice."""
+    path, batches = f"{_scratch(spark)}/month_state", _two_batches(spark, sf_dir)
+    for name in ("early", "early", "late"):
+        state = increment.month_state(batches[name], "o_orderpriority", "o_orderdate", "n_orders")
+        snapshots.merge_batch(state, path, name, lambda old, new: increment.merge_counts(old, new, "n_orders"))
+    return snapshots.read(spark, path)
+
+
+def patched_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 where the urgent orders, of all dates, come after the others are linked."""
+    orders, path = table(spark, sf_dir, "orders"), f"{_scratch(spark)}/links"
+    late = F.coalesce(F.col("o_orderpriority") == PRIORITIES[0], F.lit(False))
+    snapshots.write_audited(increment.links(orders.where(~late), "o_custkey", "o_orderdate", "o_orderkey"), path)
+    linked = snapshots.read(spark, path)
+    patch = increment.patched_links(linked, orders.where(late))
+    snapshots.write_audited(increment.apply_links(linked, patch), path)
+    return increment.gaps_of(snapshots.read(spark, path))
+
+
 QUERIES: dict[str, Query] = {
+    "stable_keys": stable_keys,
+    "published_orders": published_orders,
+    "upserted_orders": upserted_orders,
+    "merged_mean_gap": merged_mean_gap,
+    "merged_months": merged_months,
+    "patched_gaps": patched_gaps,
     "star_detail": star_detail,
     "star_detail_sql": star_detail_sql,
     "natural_key_dups": natural_key_dups,
@@ -629,6 +732,36 @@ _NULL_AND_LENGTH = " union all ".join(
        "and c_mktsegment not in (" + ", ".join(f"'{s}'" for s in MARKET_SEGMENTS) + ")) from customer"])
 
 ORACLE: dict[str, str] = {
+    "stable_keys": f"""
+        with first as (
+          select o_custkey, row_number() over (order by o_custkey) as CUSTOMER_ID
+          from (select distinct o_custkey from orders where o_custkey is not null and {FIRST_LOAD})),
+        later as (
+          select o_custkey, row_number() over (order by o_custkey) as n
+          from (select distinct o_custkey from orders where o_custkey is not null
+                and o_custkey not in (select o_custkey from first)))
+        select CUSTOMER_ID, o_custkey from first
+        union all select n + (select count(*) from first), o_custkey from later""",
+    "published_orders": f"""
+        select 1::bigint as version, count(*) as orders, count(distinct o_custkey) as customers, max(o_orderdate) as last_day
+        from orders where {FIRST_LOAD}
+        union all select 2, count(*), count(distinct o_custkey), max(o_orderdate) from orders""",
+    "upserted_orders": """
+        select o_orderkey, o_custkey, o_orderpriority, o_orderdate, strftime(o_orderdate, '%Y-%m') as month,
+               case when year(o_orderdate) in (1996, 1997) and o_orderpriority = '1-URGENT' then 'CORRECTED'
+                    else o_orderstatus end as o_orderstatus
+        from orders""",
+    "merged_mean_gap": _mean_gap_sql("select * from orders", "o_custkey", "o_orderdate"),
+    "merged_months": """
+        select o_orderpriority, date_trunc('month', o_orderdate)::date as month, count(*) as n_orders
+        from orders group by all""",
+    "patched_gaps": """
+        select * from (
+          select o_custkey, o_orderkey, o_orderdate, lag(o_orderkey) over w as prev_o_orderkey,
+                 lag(o_orderdate) over w as prev_o_orderdate,
+                 datediff('day', lag(o_orderdate) over w, o_orderdate)::integer as gap_days
+          from orders window w as (partition by o_custkey order by o_orderdate, o_orderkey))
+        where prev_o_orderkey is not null""",
     "star_detail": _STAR,
     "star_detail_sql": _STAR,
     "natural_key_dups": _NATURAL_KEY,

@@ -11,9 +11,11 @@ Run one from the command line::
 from __future__ import annotations
 
 import argparse
+import dataclasses
 import datetime as dt
 import logging
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,13 +49,29 @@ def land_bronze(spark: SparkSession, lake: Lake, fmt: str, path: str, name: str,
     return raw
 
 
+def table_audit(name: str):
+    """The checks of one silver table by itself: not null, length, domain, key."""
+    def audit(df: DataFrame) -> DataFrame:
+        keys = schemas.PRIMARY_KEYS[name]
+        return quality.report([
+            quality.summary(df, name, not_null=[f.name for f in schemas.ALL[name] if not f.nullable],
+                            max_length=schemas.MAX_LENGTH.get(name), domains=schemas.DOMAINS.get(name)),
+            quality.count_summary(quality.duplicate_keys(df, keys), "primary_key", name, ",".join(keys))])
+    return audit
+
+
+def write_silver(df: DataFrame, lake: Lake, name: str, mode: str = "overwrite") -> None:
+    """Write a silver table; a lake of snapshots audits it before readers see it."""
+    sinks.write_zone(df, lake, "silver", name, mode, audit=table_audit(name))
+
+
 def build_silver(spark: SparkSession, lake: Lake, n_patients: int = 20, n_attentions: int = 40,
                  n_diagnoses: int = 30, seed: int = 0, as_of: dt.datetime = synth.DEFAULT_AS_OF
                  ) -> dict[str, DataFrame]:
     """Generate and write the eight silver tables once each."""
     tables = synth.silver(spark, n_patients, n_attentions, n_diagnoses, seed, as_of)
     for name, df in tables.items():
-        sinks.write_zone(df, lake, "silver", name)
+        write_silver(df, lake, name)
     return tables
 
 
@@ -72,7 +90,7 @@ def bucket_silver(spark: SparkSession, lake: Lake, buckets: int) -> list[str]:
     lake.ensure_database(spark, "silver")
     names = []
     for name in PATIENT_KEYED:
-        df = sources.read_table(spark, lake.path("silver", name))  # the zone files
+        df = sources.read_zone(spark, dataclasses.replace(lake, tables=False), "silver", name)  # the zone files
         sinks.save_table(df, lake.table("silver", name), bucket_by=(buckets, ["PACID"]))
         names.append(lake.table("silver", name))
     return names
@@ -190,7 +208,7 @@ def normalize_erp(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     bronze = sources.read_tables(spark, lake, ["patient", "attention", "speciality"], zone="bronze")
 
     def written(name: str, df: DataFrame) -> DataFrame:
-        sinks.write_zone(schemas.conform(df, schemas.ALL[name]), lake, "silver", name)
+        write_silver(schemas.conform(df, schemas.ALL[name]), lake, name)
         return sources.read_zone(spark, lake, "silver", name)
 
     rejects = quality.report([normalize.erp_rejects(df, name) for name, df in bronze.items()])
@@ -219,13 +237,21 @@ def load_diagnoses(spark: SparkSession, lake: Lake, name: str = "diagnosis_catal
     """A bronze catalogue (``CIE10_CODE``, ``DESCRIPTION``) -> silver ``dim_diagnosis``.
 
     Codes are trimmed and upper-cased; of a repeated code the smallest
-    description stays; ``DIAG_ID`` numbers the codes in order.
+    description stays.  ``DIAG_ID`` numbers the codes in order; a code that an
+    earlier load has numbered keeps its row, new codes are numbered on and
+    appended, so facts that were written stay right and a load may be repeated.
     """
     raw = sources.read_zone(spark, lake, "bronze", name)
     codes = raw.select(F.upper(F.trim("CIE10_CODE")).alias("CIE10_CODE"), F.trim("DESCRIPTION").alias("DESCRIPTION"))
     known = codes.where("CIE10_CODE <> ''").groupBy("CIE10_CODE").agg(F.min("DESCRIPTION").alias("DESCRIPTION"))
-    dim = row_index(known, ["CIE10_CODE"], "DIAG_ID")
-    sinks.write_zone(schemas.conform(dim, schemas.DIM_DIAGNOSIS), lake, "silver", "dim_diagnosis")
+    try:
+        old = sources.read_zone(spark, lake, "silver", "dim_diagnosis")
+    except (AnalysisException, FileNotFoundError):
+        dim, mode = row_index(known, ["CIE10_CODE"], "DIAG_ID", copies=False), "overwrite"
+    else:
+        ids = session.checkpointed(normalize.new_codes(known, "CIE10_CODE", old, "DIAG_ID"))
+        dim, mode = known.join(ids, "CIE10_CODE"), "append"
+    write_silver(schemas.conform(dim, schemas.DIM_DIAGNOSIS), lake, "dim_diagnosis", mode)
     return sources.read_zone(spark, lake, "silver", "dim_diagnosis")
 
 
@@ -239,7 +265,7 @@ def link_diagnoses(spark: SparkSession, lake: Lake) -> tuple[DataFrame, DataFram
     with session.reused(matches):
         fact, rejects = normalize.split_diagnoses(matches)
         fact = schemas.conform(fact, schemas.FACT_PATIENT_DIAGNOSIS)
-        sinks.write_zone(fact, lake, "silver", "fact_patient_diagnosis")
+        write_silver(fact, lake, "fact_patient_diagnosis")
         sinks.write_zone(rejects, lake, "bronze", "diagnosis_rejects")
     written = sources.read_tables(spark, lake, ["fact_patient_diagnosis"], zone="silver")
     return written["fact_patient_diagnosis"], sources.read_zone(spark, lake, "bronze", "diagnosis_rejects")
@@ -325,6 +351,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--catalog", help="catalog that holds the zones (with --tables)")
     parser.add_argument("--tables", action="store_true",
                         help="read and write catalog tables <env>_<zone>.<name> instead of zone paths")
+    parser.add_argument("--snapshots", action="store_true",
+                        help="keep each table as published snapshots; silver tables are audited before publication")
     parser.add_argument("--explain", action="store_true",
                         help="print the formatted physical plan of the job's output, do not run it")
     parser.add_argument("--gate", action="store_true",
@@ -336,7 +364,7 @@ def main(argv: list[str] | None = None) -> None:
     if missing:
         parser.error(f"{args.job} needs {', '.join(missing)}")
     spark = session.get(f"clinilake-{args.job}")
-    lake = Lake(args.root, args.env, catalog=args.catalog, tables=args.tables)
+    lake = Lake(args.root, args.env, catalog=args.catalog, tables=args.tables, snapshots=args.snapshots)
     if args.explain:
         explain(spark, lake, args)
         return

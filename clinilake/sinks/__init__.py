@@ -7,7 +7,11 @@ import posixpath
 from urllib.parse import urlparse
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from clinilake.names import col
 
 log = logging.getLogger(__name__)
 
@@ -67,6 +71,49 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", *,
     writer.parquet(path)
 
 
+def upsert_partitions(batch: DataFrame, path: str, key: Sequence[str], partition_by: Sequence[str],
+                      newest: Sequence[str] = (), sort_by: Sequence[str] | None = None) -> None:
+    """Merge ``batch`` into a partitioned parquet table, rewriting only the partitions it touches.
+
+    Of the rows of one ``key`` the batch's replaces the stored one; within the
+    batch the row with the largest ``newest`` columns (then of all columns) stays.
+    ``key`` must hold the partition columns, so that no key has a row in another
+    partition, and these must not be null.  Other partitions are neither read
+    (dynamic partition pruning) nor written (dynamic partition overwrite): new
+    files are written beside the old ones and take their place when all tasks have
+    ended.  Loading a batch again gives the same rows, so a load that was cut off
+    may simply be repeated.
+    """
+    missing = set(partition_by) - set(key)
+    if missing or not partition_by:
+        raise ValueError(f"the key must hold the partition columns {sorted(missing) or list(partition_by)}")
+    spark = batch.sparkSession
+    parts = [col(c) for c in partition_by]
+    given = batch.select(*[F.when(col(c).isNull(), F.raise_error(F.lit(f"{c} is null")).cast(batch.schema[c].dataType))
+                           .otherwise(col(c)).alias(c) if c in partition_by else col(c) for c in batch.columns])
+    whole = F.struct(*[col(c) for c in batch.columns])
+    order = F.struct(*[col(c) for c in [*newest, *batch.columns]]) if newest else whole
+    latest = given.groupBy(*[col(c) for c in key]).agg(F.max_by(whole, order).alias("_row")).select("_row.*")
+    try:
+        old = spark.read.parquet(path)
+    except AnalysisException as absent:
+        if absent.getCondition() != "PATH_NOT_FOUND":
+            raise
+        merged = latest
+    else:
+        touched = given.select(*parts).distinct()
+        same = [(col(c), f"_{i}") for i, c in enumerate(key)]
+        mine = latest.select(*[c.alias(name) for c, name in same])
+        match = F.lit(True)
+        for c, name in same:
+            match = match & c.eqNullSafe(F.col(name))
+        old = old.select(*[col(c) for c in batch.columns]).join(touched, list(partition_by), "left_semi")
+        merged = old.join(mine, match, "left_anti").select(*[col(c) for c in batch.columns]).unionByName(latest)
+    log.info("upserting partitions of %s", path)
+    (_layout(merged, None, partition_by, sort_by).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
+
+
 def save_table(df: DataFrame, name: str, mode: str = "overwrite", *, fmt: str = "parquet",
                partition_by: Sequence[str] | None = None,
                bucket_by: tuple[int, Sequence[str]] | None = None,
@@ -101,10 +148,12 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "overwrite", *,
 
 def write_zone(df: DataFrame, lake, zone: str, name: str, mode: str = "overwrite", *,
                files: int | None = None, partition_by: Sequence[str] | None = None,
-               check_inputs: bool = False) -> None:
+               check_inputs: bool = False, audit=None) -> None:
     """Write a lake table: a catalog table in the zone's database when the lake
-    uses tables (Spark itself refuses to overwrite a table the plan reads),
-    else parquet files at the zone path.
+    uses tables (Spark itself refuses to overwrite a table the plan reads), a
+    snapshot when it uses those (``audit`` makes a report of the written rows,
+    which must be clean before they are published; see
+    :mod:`clinilake.snapshots`), else parquet files at the zone path.
 
     The library's jobs write one table and read others, so the list of input
     files is not brought to the driver unless ``check_inputs`` asks for it.
@@ -112,6 +161,12 @@ def write_zone(df: DataFrame, lake, zone: str, name: str, mode: str = "overwrite
     if lake.tables:
         lake.ensure_database(df.sparkSession, zone)
         save_table(df, lake.table(zone, name), mode, partition_by=partition_by, files=files)
+    elif lake.snapshots:
+        from clinilake import snapshots
+        path = lake.path(zone, name)
+        if mode == "append" and snapshots.current(df.sparkSession, path)[0]:
+            df = snapshots.read(df.sparkSession, path).unionByName(df)
+        snapshots.write_audited(df, path, audit, files=files, partition_by=partition_by)
     else:
         write_table(df, lake.path(zone, name), mode, files=files, partition_by=partition_by,
                     check_inputs=check_inputs)

@@ -43,9 +43,13 @@ def read_tables(spark: SparkSession, root: str | Lake, names: Iterable[str],
 
 def read_zone(spark: SparkSession, lake: Lake, zone: str, name: str) -> DataFrame:
     """A lake table: the catalog table ``lake.table(zone, name)`` when the lake
-    uses tables, else the parquet files at ``lake.path(zone, name)``."""
+    uses tables, the published version at ``lake.path(zone, name)`` when it uses
+    snapshots, else the parquet files there."""
     if lake.tables:
         return spark.table(lake.table(zone, name))
+    if lake.snapshots:
+        from clinilake import snapshots
+        return snapshots.read(spark, lake.path(zone, name))
     return read_table(spark, lake.path(zone, name))
 
 

@@ -1,0 +1,130 @@
+"""Write, audit, publish; and merging batches into a published state."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from clinilake import snapshots, sources
+from clinilake.lake import Lake
+from clinilake.operators import quality
+from clinilake.plans import jobs
+
+from conftest import rows
+
+
+def _audit(df):
+    return quality.report([quality.summary(df, "t", not_null=["id"]),
+                           quality.count_summary(quality.duplicate_keys(df, ["id"]), "primary_key", "t", "id")])
+
+
+def test_versions_follow_each_other_and_stay_readable(spark, scratch):
+    path = f"{scratch}/t"
+    assert snapshots.current(spark, path) == (0, None)
+    with pytest.raises(FileNotFoundError):
+        snapshots.read(spark, path)
+    assert snapshots.write_audited(spark.range(5), path, _audit) == 1
+    first = snapshots.read(spark, path)
+    # The next version may be written from the current one.
+    assert snapshots.write_audited(first.unionByName(spark.range(5, 8)), path, _audit) == 2
+    assert snapshots.read(spark, path).count() == 8
+    assert first.count() == 5 and snapshots.read(spark, path, 1).count() == 5
+    assert [r.version for r in snapshots.versions(spark, path).orderBy("version").collect()] == [1, 2]
+    with pytest.raises(FileNotFoundError, match="version 7"):
+        snapshots.read(spark, path, 7)
+
+
+def test_a_failing_check_leaves_the_old_version(spark, scratch):
+    path = f"{scratch}/t"
+    snapshots.write_audited(spark.range(5), path, _audit)
+    for bad in (spark.range(5).unionByName(spark.range(1)),
+                spark.range(3).select(F.when(F.col("id") > 0, F.col("id")).alias("id"))):
+        with pytest.raises(quality.QualityError):
+            snapshots.write_audited(bad, path, _audit)
+        assert snapshots.current(spark, path)[0] == 1 and snapshots.read(spark, path).count() == 5
+
+
+def test_a_killed_write_leaves_the_old_version(spark, scratch):
+    path = f"{scratch}/t"
+    snapshots.write_audited(spark.range(5), path)
+    broken = spark.range(100).select(F.when(F.col("id") == 77, F.raise_error(F.lit("killed")).cast("long"))
+                                     .otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="killed"):
+        snapshots.write_audited(broken, path)
+    # A driver that dies between the write and the pointer, or while writing the pointer.
+    snapshots.stage(spark.range(50), path)
+    os.makedirs(f"{path}/pointers/000000000002-dead/_temporary/0")
+    assert snapshots.read(spark, path).count() == 5
+    assert snapshots.write_audited(spark.range(9), path) == 2
+    assert snapshots.read(spark, path).count() == 9
+
+
+def test_two_publishers_are_told_apart(spark, scratch):
+    path = f"{scratch}/t"
+    snapshots.write_audited(spark.range(1), path)
+    a, b = snapshots.stage(spark.range(2), path), snapshots.stage(spark.range(3), path)
+    assert snapshots.publish(spark, path, a, expected=1) == 2
+    with pytest.raises(snapshots.StaleVersion, match="at version 2, not 1"):
+        snapshots.publish(spark, path, b, expected=1)
+    # Both wrote version 3: every reader takes the smaller id.
+    for s in ("x2", "x1"):
+        spark.range(1).select(F.lit(3).cast("long").alias("version"), F.lit(s).alias("snapshot"),
+                              F.lit(None).cast("string").alias("batch"), F.current_timestamp().alias("published_at")
+                              ).write.parquet(f"{path}/pointers/000000000003-{s}")
+    assert snapshots.current(spark, path) == (3, "x1")
+
+
+def test_empty_tables_partitions_and_odd_columns(spark, scratch):
+    path = f"{scratch}/t"
+    odd = spark.range(6).select(F.col("id").alias("a.b"), (F.col("id") % 2).alias("version"), F.lit(None).cast("string").alias("c`d"))
+    snapshots.write_audited(odd, path, partition_by=["version"])
+    assert rows(snapshots.read(spark, path).select("`a.b`")) == rows(odd.select("`a.b`"))
+    assert snapshots.write_audited(odd.limit(0), path) == 2
+    assert snapshots.read(spark, path).count() == 0
+
+
+def test_a_batch_is_merged_once(spark, scratch):
+    path = f"{scratch}/state"
+
+    def merge(old, new):
+        return old.unionByName(new).groupBy("k").agg(F.sum("n").alias("n"))
+
+    def batch(lo, hi):
+        return spark.range(lo, hi).groupBy((F.col("id") % 3).alias("k")).agg(F.count("*").alias("n"))
+
+    assert snapshots.merge_batch(batch(0, 30), path, "monday", merge) == 1
+    assert snapshots.merge_batch(batch(30, 90), path, "tuesday", merge) == 2
+    for name, version in (("monday", 1), ("tuesday", 2)):
+        assert snapshots.merge_batch(batch(0, 1000), path, name, merge) == version
+    assert rows(snapshots.read(spark, path)) == [(0, 30), (1, 30), (2, 30)]
+
+
+def test_jobs_on_a_lake_of_snapshots(spark, scratch):
+    lake = Lake(scratch, snapshots=True)
+    tables = jobs.build_silver(spark, lake, n_patients=10, n_attentions=30, n_diagnoses=8)
+    jobs.build_detail(spark, lake)
+    assert sources.read_zone(spark, lake, "gold", "atencion_detalle").count() == 30
+    assert jobs.quality_report(spark, lake).where("violations > 0").count() == 0
+    # A faulty fact is refused before any reader sees it.
+    with pytest.raises(quality.QualityError, match="primary_key fact_attention"):
+        jobs.write_silver(tables["fact_attention"].unionByName(tables["fact_attention"]), lake, "fact_attention")
+    assert sources.read_zone(spark, lake, "silver", "fact_attention").count() == 30
+    with pytest.raises(ValueError):
+        Lake(scratch, tables=True, snapshots=True)
+
+
+@pytest.mark.parametrize("kept_as", ["files", "snapshots"])
+def test_diagnosis_ids_stay_across_loads(spark, scratch, kept_as):
+    from clinilake import sinks
+    lake = Lake(scratch, snapshots=kept_as == "snapshots")
+
+    def load(codes):
+        raw = spark.createDataFrame([(c, f"d {c}") for c in codes], "CIE10_CODE string, DESCRIPTION string")
+        sinks.write_zone(raw, lake, "bronze", "diagnosis_catalogue")
+        return {r.CIE10_CODE: (r.DIAG_ID, r.DESCRIPTION) for r in jobs.load_diagnoses(spark, lake).collect()}
+
+    first = load(["J45", " a00 ", "Z99"])
+    assert first == {"A00": (1, "d  a00"), "J45": (2, "d J45"), "Z99": (3, "d Z99")}
+    second = load(["B20", "A00", "K35"])
+    assert second == first | {"B20": (4, "d B20"), "K35": (5, "d K35")}
+    assert load(["K35", "B20"]) == second
