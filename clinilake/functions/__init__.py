@@ -26,6 +26,19 @@ _LIGATURES = {"Æ": "AE", "Œ": "OE", "Ø": "O", "Đ": "D", "Ð": "D", "Ł": "L"
               "Þ": "TH", "ß": "SS", "ẞ": "SS", "Ħ": "H", "Ŧ": "T", "Ŋ": "N", "Ĳ": "IJ",
               "º": "o", "ª": "a"}
 
+# Capital letters of other scripts and their Latin spelling.
+_GREEK = {"Α": "A", "Β": "B", "Γ": "G", "Δ": "D", "Ε": "E", "Ζ": "Z", "Η": "E", "Θ": "Th", "Ι": "I", "Κ": "K",
+          "Λ": "L", "Μ": "M", "Ν": "N", "Ξ": "X", "Ο": "O", "Π": "P", "Ρ": "R", "Σ": "S", "Τ": "T", "Υ": "U",
+          "Φ": "Ph", "Χ": "Kh", "Ψ": "Ps", "Ω": "O"}
+_CYRILLIC = {"А": "A", "Б": "B", "В": "V", "Г": "G", "Д": "D", "Е": "E", "Ж": "Zh", "З": "Z", "И": "I", "Й": "I",
+             "К": "K", "Л": "L", "М": "M", "Н": "N", "О": "O", "П": "P", "Р": "R", "С": "S", "Т": "T", "У": "U",
+             "Ф": "F", "Х": "Kh", "Ц": "Ts", "Ч": "Ch", "Ш": "Sh", "Щ": "Shch", "Ъ": "'", "Ы": "Y", "Ь": "'",
+             "Э": "E", "Ю": "Iu", "Я": "Ia", "Ё": "Io", "Ђ": "Dj", "Є": "Ie", "Ѕ": "Dz", "І": "I", "Ї": "Yi",
+             "Ј": "J", "Љ": "Lj", "Њ": "Nj", "Ћ": "Tsh", "Ў": "U", "Џ": "Dzh", "Ґ": "G"}
+# Greek, Cyrillic and Greek Extended.
+_OTHER = (range(0x0370, 0x0530), range(0x1F00, 0x2000))
+_OTHER_SCRIPT = "[\\u0370-\\u052F\\u1F00-\\u1FFF]"
+
 # Latin-1, Latin Extended-A and -B, and Latin Extended Additional.
 _LATIN = (range(0x00C0, 0x0250), range(0x1E00, 0x1F00))
 
@@ -46,6 +59,22 @@ def _accent_table() -> tuple[str, str]:
 
 _ACCENTED, _PLAIN = _accent_table()
 
+
+def _script_tables() -> tuple[str, str, dict[str, str]]:
+    """Letters of other scripts with one Latin letter (as two texts) and with several.
+
+    An accented letter that the tables do not name is spelt as the base letter
+    of its canonical decomposition.
+    """
+    named = _GREEK | _CYRILLIC
+    spelt = {chr(c): named[base] for block in _OTHER for c in block
+             if (base := unicodedata.normalize("NFD", chr(c))[0]) in named and chr(c) == chr(c).upper()} | named
+    one = {c: t for c, t in spelt.items() if len(t) == 1}
+    return "".join(one), "".join(one.values()), {c: t for c, t in spelt.items() if len(t) > 1}
+
+
+_SCRIPT, _SCRIPT_PLAIN, _SCRIPT_LONG = _script_tables()
+
 # Java regex: (?U) makes \s match every Unicode space, NBSP included, as
 # Python's str.strip does.
 _EDGE_SPACE = r"(?U)^\s+|\s+$"
@@ -57,11 +86,18 @@ def normalize_text(col: Column | str) -> Column:
     """Strip, upper-case and remove accents (null stays null).
 
     ``" Pediatría "`` -> ``"PEDIATRIA"``; ``"Ñandú"`` -> ``"NANDU"``, composed
-    or decomposed; the ordinal signs become ``o`` and ``a``.
+    or decomposed; the ordinal signs become ``o`` and ``a``.  Greek and Cyrillic
+    letters are spelt in Latin ones, several where need be (``"Жук"`` ->
+    ``"ZhUK"``); other scripts stay as they are.
     """
     c = F.upper(F.regexp_replace(F.col(col) if isinstance(col, str) else col, _EDGE_SPACE, ""))
     for ligature, plain in _LIGATURES.items():
         c = F.replace(c, F.lit(ligature), F.lit(plain))
+    spelt = F.translate(c, _SCRIPT, _SCRIPT_PLAIN)
+    for letter, plain in _SCRIPT_LONG.items():
+        spelt = F.replace(spelt, F.lit(letter), F.lit(plain))
+    # Few texts hold such letters: the others pay one look.
+    c = F.when(c.rlike(_OTHER_SCRIPT), spelt).otherwise(c)
     return F.regexp_replace(F.translate(c, _ACCENTED, _PLAIN), _MARKS, "")
 
 

@@ -21,7 +21,7 @@ from clinilake import sql as sqlfiles
 from clinilake.functions import (SPANISH_MONTHS, document_text, month_label, month_labels,
                                  month_text_to_date, normalize_text)
 from clinilake.names import col
-from clinilake.operators import gold, increment, normalize, quality
+from clinilake.operators import gold, increment, ledger, normalize, quality
 from clinilake.operators.joins import Dim, star_join
 from clinilake.operators.normalize import (diagnosis_matches, extract_dimension,
                                            numbered_diagnoses, split_person_name)
@@ -45,6 +45,10 @@ MARKET_SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINER
 PRIORITY_CATALOGUE = [(1, "1-URGENT", "URGENTE"), (2, "P2", "2-high"), (3, "3-MEDIUM", "MEDIO"),
                       (4, "4-NOT SPECIFIED", "SIN ESPECIFICAR")]
 
+# Greek and Cyrillic letters and their spelling in capitals.
+PLANTED_LETTERS = {"α": "A", "ή": "E", "θ": "Th", "ξ": "X", "ς": "S", "ψ": "Ps", "ώ": "O", "ж": "Zh", "й": "I",
+                   "щ": "Shch", "ы": "Y", "ю": "Iu", "ё": "Io", "є": "Ie", "ї": "Yi", "љ": "Lj"}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One provided table, as any other parquet table of the library is read."""
@@ -189,6 +193,13 @@ def normalize_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", normalize_text(raw).alias("normalized"))
 
 
+def normalize_scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F7 over all documents' texts, each after a letter of another script."""
+    letters = F.array(*[F.lit(c) for c in PLANTED_LETTERS])
+    raw = F.concat(F.get(letters, (F.col("doc_id") % len(PLANTED_LETTERS)).cast("int")), F.lit(" "), F.col("text"), F.lit("e\u0301"))
+    return table(spark, sf_dir, "documents").select("doc_id", normalize_text(raw).alias("normalized"))
+
+
 def document_text_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     return customer.select("c_custkey", document_text(F.col("c_custkey").cast("double")).alias("DOCUMENTO"))
@@ -557,7 +568,35 @@ def patched_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return increment.gaps_of(snapshots.read(spark, path))
 
 
+LEDGER_KEY = ["l_partkey", "l_shipdate"]
+LATE_LINES = "l_shipdate >= date '1997-01-01' or l_linenumber = 1"
+
+
+def _ledger(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """All lines entered in two batches, the second sent twice; the ledger's path and the second batch."""
+    lines, path = table(spark, sf_dir, "lineitem"), f"{_scratch(spark)}/ledger"
+    late = F.coalesce(F.expr(LATE_LINES), F.lit(False))
+    for rows, name in ((lines.where(~late), "early"), (lines.where(late), "late"), (lines.where(late), "late")):
+        ledger.load(rows, path, LEDGER_KEY, name, buckets=8)
+    return path, lines.where(late)
+
+
+def ledger_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 for a batch: its keys that repeat, within it or with lines loaded before."""
+    path, late = _ledger(spark, sf_dir)
+    return ledger.duplicates(late, path, LEDGER_KEY, buckets=8)
+
+
+def ledger_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3 over all batches, from the ledger alone."""
+    path, _ = _ledger(spark, sf_dir)
+    return ledger.verdict(ledger.read(spark, path), LEDGER_KEY, "lineitem")
+
+
 QUERIES: dict[str, Query] = {
+    "normalize_scripts": normalize_scripts,
+    "ledger_duplicates": ledger_duplicates,
+    "ledger_verdict": ledger_verdict,
     "stable_keys": stable_keys,
     "published_orders": published_orders,
     "upserted_orders": upserted_orders,
@@ -736,6 +775,17 @@ _NULL_AND_LENGTH = " union all ".join(
        "and c_mktsegment not in (" + ", ".join(f"'{s}'" for s in MARKET_SEGMENTS) + ")) from customer"])
 
 ORACLE: dict[str, str] = {
+    "normalize_scripts": f"""
+        select doc_id, list_extract({list(PLANTED_LETTERS.values())!r}, doc_id::integer % {len(PLANTED_LETTERS)} + 1) || ' '
+               || upper(strip_accents(replace(text, 'ß', 'ss'))) || 'E' as normalized
+        from documents""",
+    "ledger_duplicates": f"""
+        select l_partkey, l_shipdate, count(*) as conteo from lineitem group by all
+        having count(*) > 1 and bool_or({LATE_LINES})""",
+    "ledger_verdict": """
+        select 'lineitem' as table_name, 'l_partkey,l_shipdate' as key_columns, count(*) as dup_groups,
+               cast(sum(n - 1) as bigint) as dup_rows, count(*) = 0 as is_unique
+        from (select count(*) as n from lineitem group by l_partkey, l_shipdate having count(*) > 1)""",
     "stable_keys": f"""
         with first as (
           select o_custkey, row_number() over (order by o_custkey) as CUSTOMER_ID

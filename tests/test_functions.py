@@ -92,3 +92,10 @@ def test_normalize_strips_tab_and_nbsp(spark):
 def test_normalize_decomposed_extended_and_ordinals(spark):
     df = spark.createDataFrame([("PEDIATRI\u0301A",), ("1\u00ba 2\u00aa",), ("\u1ea4\u01d7\u0219",), ("stra\u00dfe",)], "t string")
     assert [r[0] for r in df.select(normalize_text("t")).collect()] == ["PEDIATRIA", "1o 2a", "AUS", "STRASSE"]
+
+
+def test_normalize_text_spells_greek_and_cyrillic(spark):
+    given = {" Жуковский ": "ZhUKOVSKII", "щука, ёж": "ShchUKA, IoZh", "Київ": "KIYiV", "Ψυχή Θεός": "PsUKhE ThEOS",
+             "άξιος ς": "AXIOS S", "Mixed Ю 北京": "MIXED Iu 北京", "é й": "E I", "Й": "I", "": "", "abc": "ABC"}
+    df = spark.createDataFrame([(t,) for t in given], "t string")
+    assert {r.t: r[1] for r in df.select("t", normalize_text("t")).collect()} == given
