@@ -23,6 +23,8 @@ rejects nothing beyond the base rules.
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -220,4 +222,8 @@ def keep_good(documents: DataFrame, labels: DataFrame, alpha: float = ALPHA, del
     counted = measured(asked, [F.col("doc_id"), F.col("lang")])
     cutoffs = stored(choose_cutoffs(_labelled(counted, F.col("doc_id"), F.col("lang"), labels), alpha, delta), "cutoffs")
     rows = measured(documents, [F.struct(*whole_row(documents)).alias("row")])
-    return _judged(rows, F.col("row.lang"), cutoffs).where("kept").select("row.*")
+    # The same verdict as one comparison with the cutoff: a condition on the counts
+    # alone would be pushed below the join, and all texts counted twice.
+    risk = F.when(F.col("base_failed"), F.lit(float("inf"))).otherwise(F.col("risk"))
+    limit = F.coalesce(F.col("cutoff"), F.lit(sys.float_info.max))
+    return _judged(rows, F.col("row.lang"), cutoffs).where(risk <= limit).select("row.*")
