@@ -25,7 +25,7 @@ corpus.  Documents are independent, nothing shuffles.
 Defined results: a null or empty text has no spans; offsets are code points,
 ends exclusive; rows that repeat each get a row; a null doc_id is kept; extra
 columns are ignored by :func:`find` and kept by :func:`redact`; an active word
-is taken with at most ``REACH`` characters on either side of its first sign.
+is taken whole, up to white space, however long; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -49,10 +49,12 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 SURE = 0.9
-ROUNDS = 20
+#: Messages are passed until none changes by more than TOLERANCE; graphs that do
+#: not settle stop after ROUNDS and four more for each word of the longest document
+#: (damped messages go half a word a round).
+TOLERANCE, ROUNDS = 1e-3, 50
 #: Weight of the squared weights in training.
 DECAY = 0.05
-REACH = 64
 #: Documents whose graphs are solved together.
 TOGETHER = 256
 
@@ -107,7 +109,6 @@ def base_spans(text: str) -> list[Span]:
 # The field's words.
 
 _SIGN = re.compile(r"[0-9@]|[\[(](?:at|dot)[\])]", re.I)
-_BEFORE = re.compile(r"\S*\Z")
 _AFTER = re.compile(r"\S*")
 _SPELT_AT = re.compile(r"[\[(]at[\])]", re.I)
 _SPELT_DOT = re.compile(r"[\[(]dot[\])]", re.I)
@@ -129,9 +130,10 @@ def active_words(text: str) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     at = 0
     while sign := _SIGN.search(text, at):
-        low = max(at, sign.start() - REACH)
-        start = low + _BEFORE.search(text[low:sign.start()]).start()
-        end = _AFTER.match(text, sign.start(), min(len(text), sign.end() + REACH)).end()
+        start = sign.start()
+        while start > at and not text[start - 1].isspace():
+            start -= 1
+        end = _AFTER.match(text, sign.start()).end()
         at = max(end, sign.end())
         while start < end and text[start] in _EDGES:
             start += 1
@@ -251,8 +253,12 @@ class Field:
             out[k] = self.unary[known].sum(axis=0)
         return out
 
-    def marginals(self, scores: np.ndarray, edges: np.ndarray) -> np.ndarray:
-        """Loopy belief propagation: the labels' probabilities of each word."""
+    def marginals(self, scores: np.ndarray, edges: np.ndarray, longest: int | None = None) -> np.ndarray:
+        """Loopy belief propagation: the labels' probabilities of each word.
+
+        ``longest`` is the largest number of words that evidence may have to cross (by
+        default all).
+        """
         belief = scores.copy()
         if len(edges):
             a, b = np.concatenate([edges[:, 0], edges[:, 1]]), np.concatenate([edges[:, 1], edges[:, 0]])
@@ -260,14 +266,17 @@ class Field:
             psi = self.pairs[np.concatenate([edges[:, 2], edges[:, 2]])]
             psi[len(edges):] = psi[len(edges):].transpose(0, 2, 1)
             sent = np.zeros((len(a), scores.shape[1]))
-            for _ in range(ROUNDS):
+            for _ in range(ROUNDS + 4 * (len(scores) if longest is None else longest)):
                 out = psi + (belief[a] - sent[back])[:, :, None]
                 top = out.max(axis=1, keepdims=True)
                 new = np.log(np.exp(out - top).sum(axis=1)) + top[:, 0]
                 new -= new.max(axis=1, keepdims=True)
+                change = np.abs(new - sent).max()
                 sent = 0.5 * sent + 0.5 * new
                 belief = scores.copy()
                 np.add.at(belief, b, sent)
+                if change < TOLERANCE:
+                    break
         belief = np.exp(belief - belief.max(axis=1, keepdims=True))
         return belief / belief.sum(axis=1, keepdims=True)
 
@@ -359,7 +368,9 @@ def found_spans(texts: list[str], field: Field) -> list[tuple[list[Span], list[S
             more, links = features(text, own)
             edges += [(i + len(rows), j + len(rows), t) for i, j, t in links]
             rows += more
-    marginals = field.marginals(field.scores(rows), np.array(edges, int).reshape(-1, 3)) if rows else np.zeros((0, 1))
+    longest = max(map(len, words), default=0)
+    marginals = (field.marginals(field.scores(rows), np.array(edges, int).reshape(-1, 3), longest)
+                 if rows else np.zeros((0, 1)))
     best, sure = marginals.argmax(axis=1), marginals.max(axis=1, initial=0.0)
     out, at = [], 0
     for text, own, known in zip(texts, words, base, strict=True):

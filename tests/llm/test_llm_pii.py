@@ -112,3 +112,32 @@ def test_redact_keeps_columns(spark):
     assert tuple(pii.redact(one).first()) == (1, "to [email] or [phone]!", 22)
     assert pii.redacted("4111111111111111 x", [(0, 2, 16), (3, 3, 18)]) == "[card]"
     assert pii.find(table.limit(0)).count() == 0
+
+
+def test_long_words_are_taken_whole():
+    """A spelt-out address of any length is one active word and one span."""
+    field = pii.default_field()
+    for n in (10, 100, 5000):
+        word = "a" * n + "[at]example[dot]com"
+        text = f"contact {word} today"
+        assert pii.active_words(text) == [(8, 8 + len(word))]
+        base, added = pii.found_spans([text], field)[0]
+        assert (8, 0, 8 + len(word)) in base + added
+    assert pii.active_words("x" * 100_000 + "1") == [(0, 100_001)]
+
+
+def test_messages_reach_every_repeat():
+    """A label that one mention is sure of reaches likes far along their chain."""
+    field = pii.Field({}, np.zeros((0, 2)), np.array([np.zeros((2, 2)), [[3.0, -3.0], [-3.0, 3.0]]]))
+    n = 300
+    scores = np.zeros((n, 2))
+    scores[0] = (0, 9)
+    edges = np.array([(i, i + 1, 1) for i in range(n - 1)])
+    got = field.marginals(scores, edges, n)[:, 1]
+    # Exact on a chain: two states that stay with the odds e^3 : e^-3.
+    stay = 1 / (1 + np.exp(-6))
+    exact, p = [], np.exp(9) / (1 + np.exp(9))
+    for _ in range(n):
+        exact.append(p)
+        p = p * stay + (1 - p) * (1 - stay)
+    assert np.abs(got - exact).max() < 0.02
