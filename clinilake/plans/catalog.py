@@ -29,7 +29,7 @@ from clinilake.operators.normalize import diagnosis_rejects as rejected_diagnose
 from clinilake.operators.reshape import diagnoses_long, unpivot_months, unpivot_to_dates
 from clinilake.plans.jobs import detail_df, detail_sql
 from clinilake.session import checkpoint_dir
-from clinilake.sources import literal_table, read_tables
+from clinilake.sources import literal_table, parse_lines, read_tables, rebuilt
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -568,6 +568,26 @@ def patched_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return increment.gaps_of(snapshots.read(spark, path))
 
 
+ORDER_LINE = "o_orderkey long, o_custkey long, o_orderstatus string"
+
+
+def landed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S11 on all orders as JSON lines, some of them broken, ill-typed, spaced or
+    with a field that the schema does not name; all lines can be rebuilt."""
+    key = F.col("o_orderkey")
+    plain = F.to_json(F.struct("o_orderkey", "o_custkey", "o_orderstatus"))
+    line = (F.when(key % 11 == 0, F.concat(F.lit("{"), key.cast("string")))
+            .when(key % 7 == 0, F.to_json(F.struct("o_orderkey", F.lit("none").alias("o_custkey"), "o_orderstatus")))
+            .when(key % 5 == 0, F.to_json(F.struct("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")))
+            .when(key % 3 == 0, F.replace(plain, F.lit(":"), F.lit(": "))).otherwise(plain))
+    lines = table(spark, sf_dir, "orders").select(key.alias("no"), line.alias("value"), line.alias("sent"))
+    landed = parse_lines(lines, "json", ORDER_LINE)
+    return landed.select("no", "o_orderkey", "o_custkey", "o_orderstatus",
+                         F.array_join(F.array_sort(F.map_keys("_rescued")), ",").alias("rescued"),
+                         F.col("_raw").isNotNull().alias("kept_whole"),
+                         (rebuilt(landed, "json", ORDER_LINE) == F.col("sent")).alias("rebuilt"))
+
+
 LEDGER_KEY = ["l_partkey", "l_shipdate"]
 LATE_LINES = "l_shipdate >= date '1997-01-01' or l_linenumber = 1"
 
@@ -595,6 +615,7 @@ def ledger_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "normalize_scripts": normalize_scripts,
+    "landed_records": landed_records,
     "ledger_duplicates": ledger_duplicates,
     "ledger_verdict": ledger_verdict,
     "stable_keys": stable_keys,
@@ -779,6 +800,15 @@ ORACLE: dict[str, str] = {
         select doc_id, list_extract({list(PLANTED_LETTERS.values())!r}, doc_id::integer % {len(PLANTED_LETTERS)} + 1) || ' '
                || upper(strip_accents(replace(text, 'ß', 'ss'))) || 'E' as normalized
         from documents""",
+    "landed_records": """
+        select o_orderkey as no, case when o_orderkey % 11 <> 0 then o_orderkey end as o_orderkey,
+               case when o_orderkey % 11 <> 0 and o_orderkey % 7 <> 0 then o_custkey end as o_custkey,
+               case when o_orderkey % 11 <> 0 then o_orderstatus end as o_orderstatus,
+               case when o_orderkey % 11 = 0 then null when o_orderkey % 7 = 0 then 'o_custkey'
+                    when o_orderkey % 5 = 0 then 'o_orderpriority' end as rescued,
+               o_orderkey % 11 = 0 or o_orderkey % 7 = 0 or o_orderkey % 5 = 0 or o_orderkey % 3 = 0 as kept_whole,
+               true as rebuilt
+        from orders""",
     "ledger_duplicates": f"""
         select l_partkey, l_shipdate, count(*) as conteo from lineitem group by all
         having count(*) > 1 and bool_or({LATE_LINES})""",

@@ -26,6 +26,7 @@ from clinilake.operators import gold, normalize, quality, synth
 from clinilake.operators.joins import Dim, star_join
 from clinilake.operators.ordered import row_index
 from clinilake.operators.reshape import diagnoses_long, unpivot_to_dates
+from clinilake.sources import rescue
 
 log = logging.getLogger(__name__)
 
@@ -35,14 +36,18 @@ NATURAL_KEY = ["PACDOC", "FECHA_ATENCION"]
 
 
 def land_bronze(spark: SparkSession, lake: Lake, fmt: str, path: str, name: str,
-                data_address: str = "A1", **options: str) -> DataFrame:
+                data_address: str = "A1", schema: str | None = None, **options: str) -> DataFrame:
     """Bronze landing (S11): a faithful copy of a source as parquet, plus the
     source file of every row.  ``fmt="xlsx"`` lands workbooks cell by cell
-    (:func:`clinilake.sources.workbooks.read_workbook_cells`)."""
+    (:func:`clinilake.sources.workbooks.read_workbook_cells`).  With a ``schema``
+    (DDL), JSON or CSV lines land typed, and what does not fit it beside them
+    (:mod:`clinilake.sources.rescue`)."""
     if fmt == "xlsx":
         from clinilake.sources.workbooks import read_workbook_cells
         raw = read_workbook_cells(spark, path, data_address).withColumn(
             "_ingested_at", F.current_timestamp())
+    elif schema is not None and fmt in rescue.FORMATS:
+        raw = rescue.land_lines(spark, fmt, path, schema, **options)
     else:
         raw = sources.land_raw(spark, fmt, path, **options)
     sinks.write_zone(raw, lake, "bronze", name)
@@ -340,6 +345,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--source-format", help="land_bronze: csv, json, parquet, xlsx, ...")
     parser.add_argument("--source-path", help="land_bronze: files to land")
     parser.add_argument("--name", help="land_bronze, load_diagnoses: bronze table name")
+    parser.add_argument("--schema", help="land_bronze: DDL of json or csv lines; what does not fit lands beside them")
     parser.add_argument("--option", action="append", default=[],
                         help="land_bronze: reader option key=value (repeatable)")
     parser.add_argument("--buckets", type=int, default=0,
@@ -371,7 +377,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "land_bronze":
         options = dict(o.split("=", 1) for o in args.option)
         land_bronze(spark, lake, args.source_format, args.source_path, args.name,
-                    args.data_address, **options)
+                    args.data_address, args.schema, **options)
     elif args.job == "build_silver":
         build_silver(spark, lake, args.patients, args.attentions, args.diagnoses)
     elif args.job == "bucket_silver":

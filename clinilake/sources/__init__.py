@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinilake.lake import Lake
+from clinilake.sources.rescue import land_lines, parse_lines, rebuilt  # noqa: F401
 from clinilake.sources.workbooks import read_workbooks  # noqa: F401
 
 log = logging.getLogger(__name__)
