@@ -4,7 +4,7 @@
 holding a third of the data makes one task do a third of the work.  Here rows
 go to *buckets* that are pure functions of the row and follow the sort order,
 and what crosses a bucket boundary is one summary of each bucket: within keys, a
-bucket is a month or the beginning of a text, and the summary a row that joins
+bucket is an hour or the beginning of a text, and the summary a row that joins
 the data and sorts before its bucket; over a whole table, buckets are ranges
 between sampled splitters, and the summaries a one-row subquery.  The data is
 shuffled once, by bucket.
@@ -36,8 +36,10 @@ COPIES = 1024
 def _time_bucket(df: DataFrame, name: str) -> Column:
     """A function of the column that follows its order and cuts it coarsely."""
     kind = dict(df.dtypes)[name]
-    if kind in ("date", "timestamp", "timestamp_ntz"):
-        return F.date_trunc("month", col(name))
+    if kind == "date":
+        return col(name)
+    if kind in ("timestamp", "timestamp_ntz"):
+        return F.date_trunc("hour", col(name))
     if kind == "string":
         return F.substring(col(name), 1, PREFIX)
     return F.floor(col(name) / 1024)
@@ -57,7 +59,7 @@ def lag_within(df: DataFrame, key: str, order: Sequence[str], values: Sequence[s
     Keys with more than ``hot_rows`` rows are found by one aggregation and
     broadcast (at most rows / ``hot_rows`` of them); their rows go to tasks by
     ``(key, bucket)``.  ``bucket`` must be a function of the first order column
-    that follows its order; by default it is the month of a date or timestamp,
+    that follows its order; by default it is a date, the hour of a timestamp,
     the beginning of a text, or a range of 1,024 of a number.
     """
     order, values = list(order), list(values)

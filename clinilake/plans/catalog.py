@@ -212,6 +212,12 @@ def orphans_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.orphans(docs, table(spark, sf_dir, "labels"), "doc_id")
 
 
+def filtered_orphans_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J6 with a filter of the labels' keys ahead of the join."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    return quality.filtered_orphans(docs, table(spark, sf_dir, "labels"), "doc_id")
+
+
 def orphan_doc_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Missing foreign keys with their use count (aggregated before the join)."""
     return quality.orphan_keys(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id")
@@ -616,6 +622,7 @@ def ledger_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "normalize_scripts": normalize_scripts,
     "landed_records": landed_records,
+    "filtered_orphans": filtered_orphans_q,
     "ledger_duplicates": ledger_duplicates,
     "ledger_verdict": ledger_verdict,
     "stable_keys": stable_keys,
@@ -800,6 +807,9 @@ ORACLE: dict[str, str] = {
         select doc_id, list_extract({list(PLANTED_LETTERS.values())!r}, doc_id::integer % {len(PLANTED_LETTERS)} + 1) || ' '
                || upper(strip_accents(replace(text, 'ß', 'ss'))) || 'E' as normalized
         from documents""",
+    "filtered_orphans": """
+        select doc_id, lang, source from documents where doc_id is null or doc_id not in
+          (select doc_id from labels where doc_id is not null)""",
     "landed_records": """
         select o_orderkey as no, case when o_orderkey % 11 <> 0 then o_orderkey end as o_orderkey,
                case when o_orderkey % 11 <> 0 and o_orderkey % 7 <> 0 then o_custkey end as o_custkey,

@@ -1,5 +1,7 @@
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from clinilake.operators import quality
 
 from conftest import plan_text, rows
@@ -82,3 +84,30 @@ def test_null_violations_follow_the_declared_schema(spark):
     out = quality.null_violations(df, schemas.DIM_SPECIALITY, "dim_speciality")
     # SPEID, SPENAME and SPEGRP_ID are declared non-null.
     assert rows(out, "column_name", "violations") == [("SPEGRP_ID", 1), ("SPEID", 1), ("SPENAME", 1)]
+
+
+def test_filtered_orphans_equal_the_plain_ones(spark):
+    fact = spark.range(3000).select(
+        F.when(F.col("id") % 50 != 0, (F.col("id") * 7) % 2000).alias("k"), F.col("id").alias("missing"), F.lit("x").alias("bits"))
+    dim = spark.range(0, 2000, 3).select(F.col("id").cast("int").alias("pk")).unionByName(
+        spark.range(2).select(F.lit(None).cast("int").alias("pk")))
+    want = rows(quality.orphans(fact, dim, "k", "pk"))
+    for bits in (64, 1 << 10, 1 << 16):  # full, crowded and roomy filters
+        assert rows(quality.filtered_orphans(fact, dim, "k", "pk", bits)) == want
+    assert rows(quality.filtered_orphans(fact, dim.limit(0), "k", "pk")) == rows(fact)
+    assert quality.filtered_orphans(fact.limit(0), dim, "k", "pk").count() == 0
+    two = fact.withColumn("t", F.col("k").cast("string"))
+    pairs = dim.select("pk", F.col("pk").cast("string").alias("name"))
+    assert rows(quality.filtered_orphans(two, pairs, ["k", "t"], ["pk", "name"])) == rows(
+        quality.orphans(two, pairs, ["k", "t"], ["pk", "name"]))
+
+
+def test_the_filter_keeps_most_orphans_from_the_join(spark):
+    dim = spark.range(20_000)
+    fact = spark.range(10_000, 50_000).select(F.col("id").alias("k"))
+    told = quality.surely_missing(fact, ["k"], quality.key_filter(dim, 1 << 20), "gone", 1 << 20)
+    assert told.where("gone and k < 20000").count() == 0
+    assert told.where("not gone and k >= 20000").count() < 30_000 * 0.005
+    assert told.columns == ["k", "gone"]
+    row = quality.key_filter(dim, 1 << 12).first()["bits"]
+    assert len(row) == (1 << 12) // 64 and sum(bin(x & (2**64 - 1)).count("1") for x in row) > 4000
