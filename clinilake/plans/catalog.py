@@ -16,10 +16,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinilake import sinks, snapshots
+from clinilake import schemas, sinks, snapshots
 from clinilake import sql as sqlfiles
 from clinilake.functions import (SPANISH_MONTHS, document_text, month_label, month_labels,
                                  month_text_to_date, normalize_text)
+from clinilake.lake import Lake
 from clinilake.names import col
 from clinilake.operators import gold, increment, ledger, normalize, quality
 from clinilake.operators.joins import Dim, star_join
@@ -27,9 +28,10 @@ from clinilake.operators.normalize import (diagnosis_matches, extract_dimension,
                                            numbered_diagnoses, split_person_name)
 from clinilake.operators.normalize import diagnosis_rejects as rejected_diagnoses
 from clinilake.operators.reshape import diagnoses_long, unpivot_months, unpivot_to_dates
+from clinilake.plans import jobs
 from clinilake.plans.jobs import detail_df, detail_sql
 from clinilake.session import checkpoint_dir
-from clinilake.sources import literal_table, parse_lines, read_tables, rebuilt
+from clinilake.sources import literal_table, parse_lines, read_tables, read_zone, rebuilt
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -619,7 +621,42 @@ def ledger_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.verdict(ledger.read(spark, path), LEDGER_KEY, "lineitem")
 
 
+# --- C2, S5-S8: through the lake and back ------------------------------------------
+
+def lake_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Point 4 as a job: the health model's tables published in a lake's silver
+    zone, the view built from there and read back from its gold zone."""
+    lake = Lake(_scratch(spark), snapshots=True)
+    for name, df in _health_silver(spark, sf_dir).items():
+        sinks.write_zone(df, lake, "silver", name)
+    jobs.build_detail(spark, lake, mode="sql")
+    return read_zone(spark, lake, "gold", "atencion_detalle")
+
+
+def written_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by status in sorted files, then one more batch appended, read back."""
+    path, orders = f"{_scratch(spark)}/orders", table(spark, sf_dir, "orders")
+    sinks.write_table(orders.where(FIRST_LOAD), path, partition_by=["o_orderstatus"], sort_by=["o_orderkey"])
+    sinks.write_table(orders.where(f"not ({FIRST_LOAD})"), path, "append", partition_by=["o_orderstatus"])
+    return read_tables(spark, path.rpartition("/")[0], ["orders"])["orders"].groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("orders"), F.sum("o_orderkey").alias("keys"), F.max("o_orderdate").alias("last_day"))
+
+
+def conformed_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as texts brought to the schema of ``dim_patient``, on top of its empty table."""
+    customer = table(spark, sf_dir, "customer")
+    texts = customer.select(
+        F.col("c_custkey").cast("string").alias("PACID"), F.col("c_custkey").alias("PACDOC"), F.col("c_name").alias("FIRST_NAME"),
+        F.lit(None).cast("string").alias("SECOND_NAME"), F.col("c_mktsegment").alias("LAST_NAME"), F.col("c_mktsegment").alias("PACCITY"),
+        F.when(F.col("c_custkey") % 3 == 0, F.lit("2024-01-31 10:00:00")).otherwise(F.lit("no day")).alias("PACINGDAT"),
+        F.lit("left out").alias("extra"))
+    return schemas.empty(spark, "dim_patient").unionByName(schemas.conform(texts, schemas.DIM_PATIENT))
+
+
 QUERIES: dict[str, Query] = {
+    "lake_detail": lake_detail,
+    "written_orders": written_orders,
+    "conformed_patients": conformed_patients,
     "normalize_scripts": normalize_scripts,
     "landed_records": landed_records,
     "filtered_orphans": filtered_orphans_q,
@@ -807,6 +844,15 @@ ORACLE: dict[str, str] = {
         select doc_id, list_extract({list(PLANTED_LETTERS.values())!r}, doc_id::integer % {len(PLANTED_LETTERS)} + 1) || ' '
                || upper(strip_accents(replace(text, 'ß', 'ss'))) || 'E' as normalized
         from documents""",
+    "lake_detail": _HEALTH,
+    "written_orders": """
+        select o_orderstatus, count(*) as orders, cast(sum(o_orderkey) as bigint) as keys, max(o_orderdate) as last_day
+        from orders where o_orderdate is not null group by o_orderstatus""",
+    "conformed_patients": """
+        select c_custkey as PACID, cast(c_custkey as varchar) as PACDOC, c_name as FIRST_NAME,
+               cast(null as varchar) as SECOND_NAME, c_mktsegment as LAST_NAME, c_mktsegment as PACCITY,
+               case when c_custkey % 3 = 0 then timestamp '2024-01-31 10:00:00' end as PACINGDAT
+        from customer""",
     "filtered_orphans": """
         select doc_id, lang, source from documents where doc_id is null or doc_id not in
           (select doc_id from labels where doc_id is not null)""",
