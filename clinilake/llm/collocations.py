@@ -45,6 +45,8 @@ BURST, HELD = 1 << 15, 1_000_000
 BRANCH, LOW = 8, 0xFFFFFFFF
 #: Words counted at once, bytes of text read at once, distinct words of a task before it starts over.
 AT_ONCE, SLICE, WORDS = 1 << 20, 1 << 20, 500_000
+#: Parts of a language that are ranked apart first.
+PARTS = 16
 #: Bits of the bitmap for each frequent pair, and at most.
 BITS, MOST_BITS = 32, 1 << 27
 
@@ -318,8 +320,14 @@ def collocations(documents: DataFrame, occurrences: int = OCCURRENCES, replaced:
     # The lowest score counts, the smallest k among equal ones.
     scored = two.unionByName(three).withColumn("cut", F.array_min("cuts")).select(
         "lang", "phrase", "a", F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), F.col("cut.score").alias("score"))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    # A language's best are among the best of each of its parts, so its last
+    # task sees at most PARTS * top phrases, however many there are.
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    part = F.pmod(F.xxhash64("phrase"), F.lit(PARTS))
+    near = scored.withColumn("rank", F.row_number().over(Window.partitionBy("lang", part).orderBy(*order))).where(
+        F.col("rank") <= top)
+    best = near.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(
+        F.col("rank") <= top)
     return best.join(totals, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n",
         F.col("score").cast("long").alias("score"))

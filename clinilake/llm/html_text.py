@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -51,7 +52,7 @@ LAYOUT_WORDS = frozenset("container has layout no page site with wrap wrapper".s
 
 _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*)"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>?"
+    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')|=)*+)>?"
     r"|<[!?][^>]*+>?", re.S)
 _NAMED = re.compile(r"""(?:^|[\s"'])(?:class|id|role|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _HIDDEN = re.compile(r"""(?:^|[\s"'])hidden(?:[\s=/]|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
@@ -62,12 +63,12 @@ FEATURES = ("words", "link_density", "words_before", "links_before", "words_afte
 
 
 class _Region:
-    """What encloses a block: in the main part, and in furniture (held: for good)."""
+    """What encloses a block: in the main part, in furniture (held: for good), not shown (silent)."""
 
-    __slots__ = ("name", "main", "furniture", "held")
+    __slots__ = ("name", "main", "furniture", "held", "silent")
 
-    def __init__(self, name: str, main: bool, furniture: bool, held: bool) -> None:
-        self.name, self.main, self.furniture, self.held = name, main, furniture, held
+    def __init__(self, name: str, main: bool, furniture: bool, held: bool, silent: bool = False) -> None:
+        self.name, self.main, self.furniture, self.held, self.silent = name, main, furniture, held, silent
 
 
 def _entered(name: str, rest: str, outer: _Region) -> _Region:
@@ -94,6 +95,9 @@ def blocks(page: str) -> list[tuple[str, list[float]]]:
     """The flat text blocks of a page, with their features (see ``FEATURES``)."""
     found: list[list] = []
     stack = [_Region("", False, False, False)]
+    opened: Counter[str] = Counter()  # names on the stack: an end tag without a start costs nothing
+    paragraph: _Region | None = None  # of the last <p>, which may go without an end
+    silent = 0  # open inline elements that are not shown
     text: list[str] = []
     linked: list[str] = []
     kind, in_link, has_main, at, size = "", False, False, 0, len(page)
@@ -104,18 +108,26 @@ def blocks(page: str) -> list[tuple[str, list[float]]]:
             own = " ".join("".join(text).split())
             links = len(" ".join(linked).split())
             n = len(own.split())
-            region = stack[-1]
+            region = paragraph or stack[-1]
             found.append([own, n, min(1.0, links / n), region.main, region.furniture, kind])
         text.clear()
         linked.clear()
 
+    def shown() -> None:
+        """A block begins or ends: inline elements that hide their text are over."""
+        nonlocal silent
+        if silent:
+            silent = 0
+            for region in stack:
+                region.silent = False
+
     while at < size:
         start = page.find("<", at)
         token = _TOKEN.match(page, start) if start >= 0 else None
         end = start if start >= 0 else size
         if start >= 0 and token is None:
             end = start + 1  # a bare sign is text
-        if end > at:
+        if end > at and not silent:
             node = html.unescape(page[at:end])
             text.append(node)
             if in_link:
@@ -131,12 +143,17 @@ def blocks(page: str) -> list[tuple[str, list[float]]]:
         if token["end"]:
             if name in BLOCK_TAGS:
                 flush()
+                shown()
+                paragraph = None
             if name == "a":
                 in_link = False
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].name == name:
-                    del stack[k:]
-                    break
+            if opened[name]:
+                while len(stack) > 1:
+                    left = stack.pop()
+                    opened[left.name] -= 1
+                    silent -= left.silent
+                    if left.name == name:
+                        break
             continue
         rest = token["rest"]
         if name in RAW_TAGS:
@@ -149,19 +166,33 @@ def blocks(page: str) -> list[tuple[str, list[float]]]:
             continue
         if name in BLOCK_TAGS:
             flush()
-            kind = name
+            shown()
+            kind, paragraph = name, None
         if name == "br":
             text.append(" ")
         elif name == "a":
             in_link = True
+        if name == "p" and rest:
+            paragraph = _entered(name, rest, stack[-1])
+            has_main = has_main or (paragraph.main and not paragraph.furniture)
         if name in VOID_TAGS or name == "p" or rest.endswith("/"):
             continue
         if name in BLOCK_TAGS or name in FURNITURE_TAGS or name in ("span", "ins"):
             if name == "body":  # an open head ends here
                 del stack[1:]
+                opened.clear()
+                silent = 0
             region = _entered(name, rest, stack[-1])
+            region.silent = name not in BLOCK_TAGS and (
+                name in FURNITURE_TAGS or bool(rest) and _HIDDEN.search(rest) is not None)
             stack.append(region)
+            opened[name] += 1
+            silent += region.silent
             has_main = has_main or (region.main and not region.furniture)
+        elif rest and _HIDDEN.search(rest):
+            stack.append(_Region(name, stack[-1].main, stack[-1].furniture, stack[-1].held, True))
+            opened[name] += 1
+            silent += 1
     flush()
     out = []
     for k, (own, n, links, main, furniture, tag) in enumerate(found):

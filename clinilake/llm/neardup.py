@@ -352,15 +352,17 @@ def groups(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
 def drop_copies(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``documents`` with one document of each group: the smallest doc_id.
 
-    All columns stay.  Rows without a doc_id stay; of rows that repeat a
-    doc_id the one with the smallest text stays.
+    All columns stay.  Rows without a doc_id stay; of rows that repeat both
+    doc_id and text one stays; rows of one doc_id with different texts are joined
+    as one document and stay or go together.
     """
     found = groups(documents, width, percent)
     gone = stored(found.where("not kept").select("doc_id").distinct(), "gone")
     left = documents.join(gone, "doc_id", "left_anti").select(*whole_row(documents))
-    again = found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1")
+    again = stored(found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"),
+                   "again")
     if again.isEmpty():
         return left
-    one = left.where("doc_id is not null").groupBy("doc_id").agg(
-        F.min_by(F.struct(*whole_row(documents)), F.coalesce("text", F.lit(""))).alias("row")).select("row.*")
-    return one.unionByName(left.where("doc_id is null"))
+    one = left.join(again, "doc_id", "left_semi").select(*whole_row(documents)).groupBy("doc_id", "text").agg(
+        F.min(F.struct(*whole_row(documents))).alias("row")).select("row.*")
+    return one.unionByName(left.join(again, "doc_id", "left_anti").select(*whole_row(documents)))

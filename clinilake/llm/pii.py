@@ -42,6 +42,8 @@ from pyspark.sql import functions as F
 
 # The kinds in their order, and the base patterns.
 KINDS = ("email", "ip", "card", "phone")
+#: The field's labels: the kinds, and one that no base pattern has.
+LABELS = (*KINDS, "secret")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++")
@@ -113,6 +115,7 @@ _AFTER = re.compile(r"\S*")
 _SPELT_AT = re.compile(r"[\[(]at[\])]", re.I)
 _SPELT_DOT = re.compile(r"[\[(]dot[\])]", re.I)
 _FOUR = re.compile(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}")
+_SECRET = re.compile(r"[A-Za-z0-9+/_-]{16,}=*\Z")
 _LAST_WORD = re.compile(r"(\w+)\W*\Z")
 #: Trimmed from the ends of a word.
 _EDGES = ".,;:!?\"'<>[]{}|#*$%&"
@@ -121,7 +124,9 @@ CUES = {
     "email": "mail", "mail": "mail", "contact": "mail", "write": "mail", "ip": "ip", "host": "ip", "server": "ip",
     "address": "ip", "card": "card", "visa": "card", "account": "card", "phone": "phone", "tel": "phone",
     "call": "phone", "fax": "phone", "mobile": "phone", "version": "no", "page": "no", "chapter": "no", "year": "no",
-    "figure": "no", "isbn": "no", "order": "no", "item": "no", "license": "no",
+    "figure": "no", "isbn": "no", "order": "no", "item": "no", "license": "no", "commit": "no", "checksum": "no",
+    "digest": "no", "hash": "no", "md5": "no", "token": "secret", "key": "secret", "secret": "secret",
+    "password": "secret", "passwd": "secret",
 }
 
 
@@ -205,7 +210,9 @@ SENTENCES = (
     "card <card CARD>", "visa <card CARD> paid", "of the <card CARD> and", "account <card SPACED> here",
     "License, Version 9.9", "version 9.9.9 of page 99", "in the year 9999 there were 99 of 999 items",
     "order 99999 item 999 for 99.99", "isbn 999-9-99-999999-9", "on 9999-99-99 at 99:99", "CC BY-NC 9.9.",
-    "token = HEX", "password=HEX", "AKIAHEX and HEX", "figure 9.9 chapter 9", "9 9 9 9", "999,999 and 9/9",
+    "token = \"<secret HEX>\"", "<secret password=HEX>", "key <secret AKIAHEX> here", "api key: <secret HEX>,",
+    "password <secret HEX>", "the secret \"<secret HEX>\" of", "commit HEX", "md5 HEX of it", "the words HEX and",
+    "checksum \"HEX\"", "hash=HEX", "figure 9.9 chapter 9", "9 9 9 9", "999,999 and 9/9",
     "the number 9999999 was 99999999 of 9999999999999", "@N and @ N", "x9 y9 z99 a9b9c9", "99% of 9.9e9",
     "9999999999 is a count", "serial 999999999999999999999", "lot 9999-9999-9999",
 )
@@ -224,7 +231,8 @@ def _filled(rng: np.random.Generator, sentence: str) -> str:
 
     one = card()
     sentence = sentence.replace("SPACED", " ".join(one[k:k + 4] for k in range(0, 16, 4))).replace("CARD", one)
-    sentence = sentence.replace("HEX", "".join(rng.choice(list("0123456789abcdef"), 20)))
+    digits_used = "0123456789abcdef" if rng.random() < 0.7 else "0123456789ABCDEF"
+    sentence = sentence.replace("HEX", "".join(rng.choice(list(digits_used), int(rng.integers(16, 65)))))
     sentence = re.sub(r"(?<![A-Za-z])N(?![A-Za-z])", lambda _: name(), sentence)
     return re.sub(r"9", lambda _: str(rng.integers(0, 10)) if rng.random() < 0.8 else "1", sentence)
 
@@ -232,9 +240,9 @@ def _filled(rng: np.random.Generator, sentence: str) -> str:
 def _example(marked: str) -> tuple[str, list[Span]]:
     """A text without its marks, and the spans that they gave."""
     text, spans = "", []
-    for part in re.split(r"(<(?:email|ip|card|phone) [^>]*>)", marked):
+    for part in re.split(rf"(<(?:{'|'.join(LABELS)}) [^>]*>)", marked):
         if m := re.fullmatch(r"<(\w+) ([^>]*)>", part):
-            spans.append((len(text), KINDS.index(m[1]), len(text) + len(m[2])))
+            spans.append((len(text), LABELS.index(m[1]), len(text) + len(m[2])))
             part = m[2]
         text += part
     return text, spans
@@ -316,7 +324,7 @@ def train(copies: int = 12, seed: int = 5, steps: int = 300) -> Field:
     x = np.zeros((len(rows), len(names)))
     for k, row in enumerate(rows):
         x[k, [names[f] for f in row]] = 1
-    count = 1 + len(KINDS)
+    count = 1 + len(LABELS)
     # Counts of the neighbours' labels: by label and kind of edge.
     side = np.zeros((2, len(rows), count))
     for i, j, t in edges:
@@ -354,6 +362,8 @@ def _possible(kind: int, text: str) -> bool:
         return bool(_FOUR.fullmatch(text)) and all(map(_at_most_255, text.split(".")))
     if kind == 2:
         return 12 <= len(digits) <= 19 and luhn(digits)
+    if kind == 4:
+        return bool(_SECRET.search(text)) and bool(digits) and any(c.isalpha() for c in text)
     return 9 <= len(digits) <= 15 and not any(c.isalpha() for c in text)
 
 
@@ -393,7 +403,7 @@ def found_spans(texts: list[str], field: Field) -> list[tuple[list[Span], list[S
 
 
 def _joined(spans: list[Span]) -> str:
-    return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in sorted(spans))
+    return ",".join(f"{LABELS[k]}:{a}:{b}" for a, k, b in sorted(spans))
 
 
 def _finding(field: Field):
@@ -407,17 +417,18 @@ def _finding(field: Field):
                     [part.column("doc_id"), *[pa.array(c, pa.int64()) for c in counts],
                      pa.array([hashlib.sha256(_joined(base).encode()).hexdigest() for base, _ in found], pa.string()),
                      pa.array([_joined(base + more) for base, more in found], pa.string()),
-                     pa.array([len(more) for _, more in found], pa.int64())],
-                    names=["doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans", "n_added"])
+                     pa.array([len(more) for _, more in found], pa.int64()),
+                     pa.array([len(base) + len(more) for base, more in found], pa.int64())],
+                    names=["doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans", "n_added", "n_spans"])
     return run
 
 
 def find(documents: DataFrame, field: Field | None = None) -> DataFrame:
-    """One row per row of ``documents``: doc_id, base counts, base_sha256, spans, n_added."""
+    """One row per row of ``documents``: doc_id, base counts, base_sha256, spans, n_added, n_spans."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return docs.mapInArrow(
         _finding(field or default_field()), "doc_id long, n_email long, n_ip long, n_card long, n_phone long, "
-        "base_sha256 string, spans string, n_added long")
+        "base_sha256 string, spans string, n_added long, n_spans long")
 
 
 def redacted(text: str, spans: list[Span]) -> str:
@@ -425,7 +436,7 @@ def redacted(text: str, spans: list[Span]) -> str:
     out, done, held = [], 0, 0
     for start, kind, end in sorted(spans):
         if start >= held:
-            out += [text[done:start], f"[{KINDS[kind]}]"]
+            out += [text[done:start], f"[{LABELS[kind]}]"]
         held = done = max(held, end)
     return "".join([*out, text[done:]])
 

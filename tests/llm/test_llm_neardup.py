@@ -136,3 +136,11 @@ def test_signatures_hold_the_bands_of_their_threshold():
     for percent in (50, 80, 85):
         out = next(iter(neardup._signatures(5, percent)(iter([batch]))))
         assert len(out.column("bands")[0]) == neardup.banding(percent)[0]
+
+
+def test_rows_of_one_doc_id_with_other_texts_stay(spark):
+    a, b, c = ("one text that has quite a few words in it", "another text with words of its own to tell", "a third one")
+    rows = [(7, a, "x"), (7, a, "x"), (7, b, "y"), (8, c, "x"), (8, c, "z"), (None, a, "x"), (None, a, "x"), (9, None, "q"), (9, None, "q")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = sorted((r.doc_id or 0, r.text or "", r.source) for r in neardup.drop_copies(docs).collect())
+    assert got == sorted([(0, a, "x"), (0, a, "x"), (7, a, "x"), (7, b, "y"), (8, c, "x"), (9, "", "q")])

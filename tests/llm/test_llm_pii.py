@@ -85,7 +85,7 @@ def test_exact_marginals_on_a_tree():
 def test_clean_text_gets_no_span():
     field = pii.default_field()
     for text in ["", "no data at all", "License, Version 2.0 of 2024, page 12.", "CC BY-NC 4.0.", "12 of 99 items, 3.5%",
-                 'token = "0641917ea4e9feb9cda83477b57ac2654884f485"', "1 2 3 4 5 6 7 8 9 " * 50]:
+                 'commit "0641917ea4e9feb9cda83477b57ac2654884f485"', "1 2 3 4 5 6 7 8 9 " * 50]:
         base, added = pii.found_spans([text], field)[0]
         assert not base and not added, text
 
@@ -141,3 +141,28 @@ def test_messages_reach_every_repeat():
         exact.append(p)
         p = p * stay + (1 - p) * (1 - stay)
     assert np.abs(got - exact).max() < 0.02
+
+
+def test_secrets_are_told_from_other_long_numbers():
+    field = pii.default_field()
+    secret = "0641917ea4e9feb9cda83477b57ac2654884f485"
+    for text in (f'token = "{secret}" of it', f'TOKEN = "{secret.upper()}"!!', f"the secret: {secret}."):
+        base, added = pii.found_spans([text], field)[0]
+        assert not base and [(pii.LABELS[k], text[a:b].lower()) for a, k, b in added] == [("secret", secret)]
+        assert secret not in pii.redacted(text, base + added).lower() and "[secret]" in pii.redacted(text, added)
+    for text in (f"commit {secret}", f"md5 {secret} of it", f"sure {secret[:9]} here", "x" * 60):
+        assert pii.found_spans([text], field)[0] == ([], [])
+
+
+def test_given_tokens_are_found_and_nothing_else_is_called_secret():
+    import pyarrow.parquet as pq
+    texts = [t or "" for t in pq.read_table("/root/testdata/sf0.01/documents.parquet").column("text").to_pylist()]
+    found = pii.found_spans(texts, pii.default_field())
+    want = [{m.span(1) for m in re.finditer('(?i)token = "([0-9a-f]{40})"', t)} for t in texts]
+    got = [{(a, b) for a, k, b in added if pii.LABELS[k] == "secret"} for _, added in found]
+    assert got == want and sum(map(len, want)) > 5
+
+
+def test_empty_table(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string, n_chars long")
+    assert pii.find(empty).count() == 0 and pii.redact(empty).count() == 0
