@@ -37,6 +37,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -294,13 +295,34 @@ DECODED = "doc_id long, n_tokens long, ids binary, decoded string"
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
-def encode(documents: DataFrame, path: str, carried: tuple[str, ...] = ()) -> DataFrame:
+def encode(documents: DataFrame, path: str, carried: tuple[str, ...] = (), packed: bool = False) -> DataFrame:
     """(doc_id, carried columns, ids) of every row: ids as a binary of little-endian
     integers, two bytes each for vocabularies of up to 65,536 ids, else four.
 
     ``carried`` names columns of whole numbers that follow doc_id unchanged.
+    With ``packed`` the binaries are compressed, for ids that move further.
     """
-    return _encoded(documents, path, IDS, carried=carried)
+    keys = ("doc_id", *carried)
+    return _encoded(documents, path, IDS, _mapped(keys, _press) if packed else None, carried)
+
+
+def _press() -> Callable[[bytes], bytes]:
+    return zstandard.ZstdCompressor().compress
+
+
+def _expand() -> Callable[[bytes], bytes]:
+    return zstandard.ZstdDecompressor().decompress
+
+
+def _mapped(keys: tuple[str, ...], make: Callable[[], Callable[[bytes], bytes]]) -> Step:
+    """A step that rewrites the ids' binaries."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        change = make()
+        for part in _parts(batches):
+            yield pa.RecordBatch.from_arrays(
+                [*map(part.column, keys), pa.array([change(x.as_buffer()) for x in part.column("ids")], pa.binary())],
+                names=[*keys, "ids"])
+    return run
 
 
 def encode_decode(documents: DataFrame, path: str, carried: tuple[str, ...] = ()) -> DataFrame:
@@ -328,11 +350,12 @@ def _decoded(path: str, keys: tuple[str, ...] = ("doc_id",)):
     return decode
 
 
-def decode(encoded: DataFrame, path: str, carried: tuple[str, ...] = ()) -> DataFrame:
+def decode(encoded: DataFrame, path: str, carried: tuple[str, ...] = (), packed: bool = False) -> DataFrame:
     """(doc_id, carried columns, n_tokens, ids, decoded): the text that the ids stand for, rows in their order."""
     keys = ("doc_id", *carried)
+    step = _decoded(path, keys)
     schema = DECODED.replace("doc_id long", ", ".join(f"{c} long" for c in keys))
-    return encoded.select(*keys, "ids").mapInArrow(_decoded(path, keys), schema)
+    return encoded.select(*keys, "ids").mapInArrow(_then(_mapped(keys, _expand), step) if packed else step, schema)
 
 
 def _digests(path: str):

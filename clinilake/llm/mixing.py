@@ -38,12 +38,14 @@ from __future__ import annotations
 
 import heapq
 from collections import defaultdict
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from fractions import Fraction
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 from .common import stored, whole_row
 
@@ -193,28 +195,38 @@ def _slots(blocks: dict[str, int], weights: dict[str, float]):
     return deal
 
 
-def _numbered(rows: DataFrame, source: Column, key: Column, print_: Column) -> tuple[DataFrame, dict[str, int]]:
-    """``rows`` with ``_source`` and ``_n``, their number within the source from 0."""
-    keyed = rows.select("*", source.alias("_source"), key.alias("_key"), print_.alias("_print"))
-    counts = {r._source: r.n for r in keyed.groupBy("_source").agg(F.count(F.lit(1)).alias("n")).collect()}
+def _numbered(rows: DataFrame, source: Column, key: Column, print_: Column,
+              slim: DataFrame | None = None) -> tuple[DataFrame, dict[str, int]]:
+    """``rows`` with ``_source`` and ``_n``, their number within the source from 0.
+
+    What is counted ahead is counted over ``slim``: the same rows, without what is
+    dear to make.
+    """
+    def keyed(df: DataFrame) -> DataFrame:
+        return df.select("*", source.alias("_source"), key.alias("_key"), print_.alias("_print"))
+
+    slim = rows if slim is None else slim
+    counts = {r._source: r.n for r in keyed(slim).groupBy("_source").agg(F.count(F.lit(1)).alias("n")).collect()}
     # Buckets are ranges of the hash, so bucket order is key order; a row for each source.
     buckets = rows.sparkSession.createDataFrame(
         [(s, -(-n // BUCKET_ROWS)) for s, n in counts.items()], "_source string, _buckets long")
     bucket = F.floor(F.shiftrightunsigned("_key", 32) * F.col("_buckets") / F.lit(1 << 32)).cast("long")
-    cut = keyed.join(F.broadcast(buckets), "_source").withColumn("_bucket", bucket).drop("_buckets")
-    sizes = cut.groupBy("_source", "_bucket").agg(F.count(F.lit(1)).alias("_size"))
+    def cut(df: DataFrame) -> DataFrame:
+        return keyed(df).join(F.broadcast(buckets), "_source").withColumn("_bucket", bucket).drop("_buckets")
+
+    sizes = cut(slim).groupBy("_source", "_bucket").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = stored(sizes.select("_source", "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start")),
                     "bucket_starts")
     within = Window.partitionBy("_source", "_bucket").orderBy(F.shiftrightunsigned("_key", 1), "_key", "_print")
-    numbered = cut.withColumn("_rank", F.row_number().over(within)).join(starts, ["_source", "_bucket"])
+    numbered = cut(rows).withColumn("_rank", F.row_number().over(within)).join(starts, ["_source", "_bucket"])
     return numbered.withColumn("_n", F.col("_start") + F.col("_rank") - 1).drop(
         "_start", "_rank", "_bucket", "_key", "_print"), counts
 
 
 def _scheduled(rows: DataFrame, source: Column, key: Column, print_: Column, weights: Mapping[str, float] | None,
-               block_rows: int, cycle: int | None) -> DataFrame:
-    numbered, counts = _numbered(rows, source, key, print_)
+               block_rows: int, cycle: int | None, slim: DataFrame | None = None) -> DataFrame:
+    numbered, counts = _numbered(rows, source, key, print_, slim)
     spark = rows.sparkSession
     want = targets(counts, weights or {s: n ** TEMPER for s, n in counts.items()})
     blocks = {s: -(-n // block_rows) for s, n in counts.items()}
@@ -293,11 +305,43 @@ def with_positions(rows: DataFrame, key: str, documents: DataFrame,
     slim = documents.select("doc_id", "source", row_key(documents).alias("_row"), _print(documents).alias("_text"))
     places = stored(_scheduled(slim, _source(), F.xxhash64("doc_id"), F.col("_text"), weights, BLOCK_ROWS, None).select(
         "_row", F.col("_position").alias("position")), "places")
+    again = stored(places.groupBy("_row").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(
+        F.col("_row").alias("_again")), "again")
+    here, there = F.col(key) == F.col("_again"), F.col("_row") == F.col("_again")
+    if again.isEmpty():
+        return rows.join(places, F.col(key) == F.col("_row")).drop("_row")
     # Rows that repeat a key take its places in turn.
+    rows = stored(rows, "rows")
     copy = F.row_number()
-    left = rows.withColumn("_copy", copy.over(Window.partitionBy(key).orderBy(key)))
-    right = places.withColumn("_turn", copy.over(Window.partitionBy("_row").orderBy("position")))
-    return left.join(right, (F.col(key) == F.col("_row")) & (F.col("_copy") == F.col("_turn"))).drop("_copy", "_row", "_turn")
+    left = rows.join(again, here, "left_semi").withColumn("_copy", copy.over(Window.partitionBy(key).orderBy(key)))
+    right = places.join(again, there, "left_semi").withColumn("_turn", copy.over(Window.partitionBy("_row").orderBy("position")))
+    repeated = left.join(right, (F.col(key) == F.col("_row")) & (F.col("_copy") == F.col("_turn"))).drop(
+        "_copy", "_row", "_turn")
+    single = rows.join(again, here, "left_anti").join(places.join(again, there, "left_anti"), F.col(key) == F.col("_row"))
+    return single.drop("_row").unionByName(repeated)
+
+
+def _rewriting(at: int, make: Callable[[], Callable], kind: pa.DataType) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A step that rewrites one column's values that are not null."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        change = make()
+        for batch in batches:
+            for first in range(0, batch.num_rows, 256):
+                part = batch.slice(first, 256)
+                columns = list(part.columns)
+                columns[at] = pa.array([None if x is None else change(x) for x in columns[at].to_pylist()], kind)
+                yield pa.RecordBatch.from_arrays(columns, names=part.schema.names)
+    return run
+
+
+def _press() -> Callable[[str], bytes]:
+    pack = zstandard.ZstdCompressor().compress
+    return lambda text: pack(text.encode())
+
+
+def _expand() -> Callable[[bytes], str]:
+    unpack = zstandard.ZstdDecompressor().decompress
+    return lambda data: unpack(data).decode()
 
 
 def mix(documents: DataFrame, weights: Mapping[str, float] | None = None,
@@ -306,7 +350,18 @@ def mix(documents: DataFrame, weights: Mapping[str, float] | None = None,
 
     The order is that of the rows, so of the files written from them.
     """
-    rows = documents.select(F.struct(*whole_row(documents)).alias("row"), _print(documents).alias("_text"))
-    source = F.coalesce(F.col("row.source").cast("string"), F.lit(UNKNOWN))
-    placed = _scheduled(rows, source, F.xxhash64("row.doc_id"), F.col("_text"), weights, block_rows, cycle)
-    return placed.select("row", "_position").orderBy("_position").select("row.*")
+    names, kinds = documents.columns, [f.dataType for f in documents.schema]
+    places = [f"c{i}" for i in range(len(names))]
+    given = documents.select(
+        *[c.alias(p) for c, p in zip(whole_row(documents), places, strict=True)], _source().alias("_from"),
+        F.xxhash64("doc_id").alias("_hash"), _print(documents).alias("_text"))
+    rows, at = given, names.index("text") if "text" in names and documents.schema["text"].dataType == StringType() else -1
+    if at >= 0:  # texts move twice, to be numbered and to be sorted: compressed
+        packed = StructType([StructField(f.name, BinaryType() if i == at else f.dataType) for i, f in enumerate(given.schema)])
+        rows = given.mapInArrow(_rewriting(at, _press, pa.binary()), packed)
+    placed = _scheduled(rows, F.col("_from"), F.col("_hash"), F.col("_text"), weights, block_rows, cycle, given)
+    ordered = placed.select(*places, "_position").orderBy("_position").select(*places)
+    if at >= 0:
+        ordered = ordered.mapInArrow(_rewriting(at, _expand, pa.string()), StructType(
+            [StructField(p, kind) for p, kind in zip(places, kinds, strict=True)]))
+    return ordered.toDF(*names)
