@@ -47,9 +47,9 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     what is sorted and decoded comes from there.
     """
     keyed = docs.withColumn("row_key", mixing.row_key(docs))
-    ids = bpe.encode(keyed.select("doc_id", "text", "row_key"), vocabulary_path(), carried=("row_key",))
+    ids = bpe.encode(keyed.select("doc_id", "text", "row_key"), vocabulary_path(), carried=("row_key",), packed=True)
     placed = stored(mixing.with_positions(ids, "row_key", docs, WEIGHTS).drop("row_key"), "ids")
-    return bpe.decode(placed.orderBy("position"), vocabulary_path(), carried=("position",))
+    return bpe.decode(placed.orderBy("position"), vocabulary_path(), carried=("position",), packed=True)
 
 
 STAGES: list[tuple[str, Stage]] = [
