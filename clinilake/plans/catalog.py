@@ -839,6 +839,10 @@ _NULL_AND_LENGTH = " union all ".join(
     + ["select 'domain', 'customer', 'c_mktsegment', count(*) filter (where c_mktsegment is not null "
        "and c_mktsegment not in (" + ", ".join(f"'{s}'" for s in MARKET_SEGMENTS) + ")) from customer"])
 
+#: Queries that load tables in several steps: they write before they return.
+LOADS = {"lake_detail", "written_orders", "stable_keys", "published_orders", "upserted_orders", "merged_mean_gap",
+         "merged_months", "patched_gaps", "ledger_duplicates", "ledger_verdict"}
+
 ORACLE: dict[str, str] = {
     "normalize_scripts": f"""
         select doc_id, list_extract({list(PLANTED_LETTERS.values())!r}, doc_id::integer % {len(PLANTED_LETTERS)} + 1) || ' '

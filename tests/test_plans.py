@@ -59,6 +59,8 @@ def test_building_a_query_starts_no_job(spark):
     from clinilake.plans import catalog
     sc = spark.sparkContext
     for name, query in catalog.QUERIES.items():
+        if name in catalog.LOADS:
+            continue
         sc.setJobGroup(f"build-{name}", name)
         query(spark, SF_SMALL)
         jobs = sc.statusTracker().getJobIdsForGroup(f"build-{name}")
