@@ -60,8 +60,8 @@ def _accent_table() -> tuple[str, str]:
 _ACCENTED, _PLAIN = _accent_table()
 
 
-def _script_tables() -> tuple[str, str, dict[str, str]]:
-    """Letters of other scripts with one Latin letter (as two texts) and with several.
+def _script_table() -> str:
+    """Letters of other scripts and their Latin spelling, as one text for ``str_to_map``.
 
     An accented letter that the tables do not name is spelt as the base letter
     of its canonical decomposition.
@@ -69,11 +69,10 @@ def _script_tables() -> tuple[str, str, dict[str, str]]:
     named = _GREEK | _CYRILLIC
     spelt = {chr(c): named[base] for block in _OTHER for c in block
              if (base := unicodedata.normalize("NFD", chr(c))[0]) in named and chr(c) == chr(c).upper()} | named
-    one = {c: t for c, t in spelt.items() if len(t) == 1}
-    return "".join(one), "".join(one.values()), {c: t for c, t in spelt.items() if len(t) > 1}
+    return ",".join(f"{c}:{t}" for c, t in spelt.items())
 
 
-_SCRIPT, _SCRIPT_PLAIN, _SCRIPT_LONG = _script_tables()
+_SCRIPT = _script_table()
 
 # Java regex: (?U) makes \s match every Unicode space, NBSP included, as
 # Python's str.strip does.
@@ -93,11 +92,12 @@ def normalize_text(col: Column | str) -> Column:
     c = F.upper(F.regexp_replace(F.col(col) if isinstance(col, str) else col, _EDGE_SPACE, ""))
     for ligature, plain in _LIGATURES.items():
         c = F.replace(c, F.lit(ligature), F.lit(plain))
-    spelt = F.translate(c, _SCRIPT, _SCRIPT_PLAIN)
-    for letter, plain in _SCRIPT_LONG.items():
-        spelt = F.replace(spelt, F.lit(letter), F.lit(plain))
-    # Few texts hold such letters: the others pay one look.
-    c = F.when(c.rlike(_OTHER_SCRIPT), spelt).otherwise(c)
+    # Few texts hold letters of other scripts: the others pay one look.
+    table = F.str_to_map(F.lit(_SCRIPT), F.lit(","), F.lit(":"))
+    spelt = F.array_join(F.transform(F.regexp_extract_all(c, F.lit("(?s)."), F.lit(0)),
+                                     lambda ch: F.coalesce(F.try_element_at(table, ch), ch)), "")
+    given = F.col(col) if isinstance(col, str) else col
+    c = F.when(given.rlike(_OTHER_SCRIPT), spelt).otherwise(c)
     return F.regexp_replace(F.translate(c, _ACCENTED, _PLAIN), _MARKS, "")
 
 
