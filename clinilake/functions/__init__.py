@@ -60,25 +60,43 @@ def _accent_table() -> tuple[str, str]:
 _ACCENTED, _PLAIN = _accent_table()
 
 
-def _script_table() -> str:
-    """Letters of other scripts and their Latin spelling, as one text for ``str_to_map``.
+def _script_table() -> tuple[dict[str, str], dict[str, str]]:
+    """Letters of other scripts: those spelt in one Latin letter (or looked up as
+    another letter) with it, and those spelt in several with these.
 
     An accented letter that the tables do not name is spelt as the base letter
     of its canonical decomposition.
     """
     named = _GREEK | _CYRILLIC
-    spelt = {chr(c): named[base] for block in _OTHER for c in block
-             if (base := unicodedata.normalize("NFD", chr(c))[0]) in named and chr(c) == chr(c).upper()} | named
-    return ",".join(f"{c}:{t}" for c, t in spelt.items())
+    base = {chr(c): unicodedata.normalize("NFD", chr(c))[0] for block in _OTHER for c in block if chr(c) == chr(c).upper()}
+    spelt = {c: b for c, b in base.items() if b in named} | {c: c for c in named}
+    several = {c: t for c, t in named.items() if len(t) > 1}
+    return {c: b if b in several else named[b] for c, b in spelt.items() if c not in several}, several
 
 
-_SCRIPT = _script_table()
+_SCRIPT, _SCRIPT_SEVERAL = _script_table()
+_SINGLE = {c: t for c, t in _LIGATURES.items() if len(t) == 1} | dict(zip(_ACCENTED, _PLAIN))
+_SEVERAL = {c: t for c, t in _LIGATURES.items() if len(t) > 1}
 
 # Java regex: (?U) makes \s match every Unicode space, NBSP included, as
 # Python's str.strip does.
 _EDGE_SPACE = r"(?U)^\s+|\s+$"
 # Combining marks: what is left of letters written in decomposed form.
-_MARKS = "[\\u0300-\\u036F]"
+_MARKS = "".join(map(chr, range(0x0300, 0x0370)))
+
+
+def _spelt(c: Column, single: dict[str, str], several: dict[str, str]) -> Column:
+    """``c`` with letters replaced by one or by several, and marks dropped.
+
+    One pass puts letter for letter (and drops the marks, that have none), then one
+    search of the bytes each does the few letters spelt in several.  The text is
+    never cut into letters: Spark's ``regexp_extract_all`` may copy the whole text for
+    each match, and its maps are searched from the start.
+    """
+    c = F.translate(c, "".join(single) + _MARKS, "".join(single.values()))
+    for letter, letters in several.items():
+        c = F.replace(c, F.lit(letter), F.lit(letters))
+    return c
 
 
 def normalize_text(col: Column | str) -> Column:
@@ -89,16 +107,11 @@ def normalize_text(col: Column | str) -> Column:
     letters are spelt in Latin ones, several where need be (``"Жук"`` ->
     ``"ZhUK"``); other scripts stay as they are.
     """
-    c = F.upper(F.regexp_replace(F.col(col) if isinstance(col, str) else col, _EDGE_SPACE, ""))
-    for ligature, plain in _LIGATURES.items():
-        c = F.replace(c, F.lit(ligature), F.lit(plain))
-    # Few texts hold letters of other scripts: the others pay one look.
-    table = F.str_to_map(F.lit(_SCRIPT), F.lit(","), F.lit(":"))
-    spelt = F.array_join(F.transform(F.regexp_extract_all(c, F.lit("(?s)."), F.lit(0)),
-                                     lambda ch: F.coalesce(F.try_element_at(table, ch), ch)), "")
     given = F.col(col) if isinstance(col, str) else col
-    c = F.when(given.rlike(_OTHER_SCRIPT), spelt).otherwise(c)
-    return F.regexp_replace(F.translate(c, _ACCENTED, _PLAIN), _MARKS, "")
+    c = F.upper(F.regexp_replace(given, _EDGE_SPACE, ""))
+    # Few texts hold letters of other scripts: the others pay one look.
+    return F.when(given.rlike(_OTHER_SCRIPT), _spelt(c, _SINGLE | _SCRIPT, _SEVERAL | _SCRIPT_SEVERAL)
+                  ).otherwise(_spelt(c, _SINGLE, _SEVERAL))
 
 
 def document_text(col: Column | str) -> Column:

@@ -99,3 +99,25 @@ def test_normalize_text_spells_greek_and_cyrillic(spark):
              "άξιος ς": "AXIOS S", "Mixed Ю 北京": "MIXED Iu 北京", "é й": "E I", "Й": "I", "": "", "abc": "ABC"}
     df = spark.createDataFrame([(t,) for t in given], "t string")
     assert {r.t: r[1] for r in df.select("t", normalize_text("t")).collect()} == given
+
+
+def test_normalize_text_spells_every_letter_of_the_tables(spark):
+    import unicodedata
+
+    from clinilake import functions as f
+    named = f._GREEK | f._CYRILLIC
+    base = {chr(c): unicodedata.normalize("NFD", chr(c))[0] for block in f._OTHER for c in block if chr(c) == chr(c).upper()}
+    given = {c: named[b] for c, b in base.items() if b in named} | named
+    df = spark.createDataFrame([(c, f"x{c}\u0301{c} \u00b5") for c in given], "c string, t string")
+    assert {r.c: r[1] for r in df.select("c", normalize_text("t")).collect()} == {c: f"X{t}{t} M" for c, t in given.items()}
+    # without a letter of another script, the micro sign keeps its Greek capital
+    assert spark.createDataFrame([("\u00b5 \u00e6\u0133",)], "t string").select(normalize_text("t")).first()[0] == "\u039c AEIJ"
+
+
+def test_normalize_text_never_cuts_texts_into_letters(spark):
+    """Each letter was an array item, looked up in a map, after a copy of the whole text."""
+    plan = plan_text(spark.createDataFrame([("\u0436",)], "t string").select(normalize_text("t")), "optimized")
+    assert "regexp_extract_all" not in plan and "str_to_map" not in plan and "transform" not in plan
+    long = "\u0436 \u00e9\u043b " * 50_000
+    got = spark.createDataFrame([(long,)], "t string").select(normalize_text("t")).first()[0]
+    assert got == ("Zh EL " * 50_000).rstrip()
