@@ -40,28 +40,61 @@ def _printed(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     return df.withColumn(name, print_of(keys, dict(df.dtypes)))
 
 
+def _prints(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Each row's (bucket, print)."""
+    rows = df.select(print_of(keys, dict(df.dtypes)).alias("print"))
+    return rows.select(F.pmod(F.xxhash64("print"), F.lit(buckets)).cast("int").alias("bucket"), "print")
+
+
+def _touched(prints: DataFrame) -> DataFrame:
+    """The buckets of a batch.  They are few whatever the batch's size: broadcast, so
+    that the ledger's rows are not dealt by bucket, with a task for each."""
+    return F.broadcast(prints.select("bucket").distinct())
+
+
 def entries(df: DataFrame, keys: Sequence[str], batch: str, buckets: int) -> DataFrame:
     """The ledger's rows of one batch: (bucket, print, batch, n)."""
-    (p,) = fresh(["print"], df.columns)
-    counted = _printed(df.select(*[col(k) for k in keys]), keys, p).groupBy(p).agg(F.count(F.lit(1)).alias("n"))
-    bucket = F.pmod(F.xxhash64(p), F.lit(buckets)).cast("int")
-    return counted.select(bucket.alias("bucket"), F.col(p).alias("print"), F.lit(batch).alias("batch"), "n")
+    counted = _prints(df, keys, buckets).groupBy("bucket", "print").agg(F.count(F.lit(1)).alias("n"))
+    return counted.select("bucket", "print", F.lit(batch).alias("batch"), "n")
 
 
 def load(df: DataFrame, path: str, keys: Sequence[str], batch: str, buckets: int = 256) -> None:
     """Enter a batch.  ``buckets`` must be the same for all loads of a ledger:
-    about the ledger's expected size / 256 MB."""
-    sinks.upsert_partitions(entries(df, keys, batch, buckets), path, ["bucket", "print", "batch"], ["bucket"])
-
+    about the ledger's expected size / 256 MB.
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """The ledger; empty before the first load."""
+    The batch's keys are counted together with its own stored rows, in one hash
+    aggregate; the other batches' rows of its buckets are copied.  Files take
+    their place as in :func:`clinilake.sinks.upsert_partitions`.
+    """
+    old = _stored(df.sparkSession, path)
+    if old is None:
+        rows = entries(df, keys, batch, buckets)
+    else:
+        new = _prints(df, keys, buckets)
+        old = old.join(_touched(new), "bucket", "left_semi")
+        own = F.col("batch").eqNullSafe(F.lit(batch))
+        both = new.select("bucket", "print", F.lit(1).alias("sent"), F.lit(None).cast("long").alias("stored")).unionByName(
+            old.where(own).select("bucket", "print", F.lit(None).cast("int").alias("sent"), F.col("n").alias("stored")))
+        counted = both.groupBy("bucket", "print").agg(
+            F.coalesce(F.nullif(F.count("sent"), F.lit(0)), F.max("stored")).alias("n"))
+        rows = counted.select("bucket", "print", F.lit(batch).alias("batch"), "n").unionByName(
+            old.where(~own).select("bucket", "print", "batch", "n"))
+    sinks.replace_partitions(rows, path, ["bucket"])
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.schema(SCHEMA).parquet(path).select("bucket", "print", "batch", "n")
     except AnalysisException as absent:
         if absent.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], SCHEMA)
+        return None
+
+
+def read(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger; empty before the first load."""
+    stored = _stored(spark, path)
+    return spark.createDataFrame([], SCHEMA) if stored is None else stored
 
 
 def duplicates(df: DataFrame, path: str, keys: Sequence[str], buckets: int = 256,

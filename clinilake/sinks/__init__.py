@@ -101,7 +101,7 @@ def upsert_partitions(batch: DataFrame, path: str, key: Sequence[str], partition
             raise
         merged = latest
     else:
-        touched = given.select(*parts).distinct()
+        touched = F.broadcast(given.select(*parts).distinct())  # few, however large the batch
         same = [(col(c), f"_{i}") for i, c in enumerate(key)]
         mine = latest.select(*[c.alias(name) for c, name in same])
         match = F.lit(True)
@@ -109,8 +109,17 @@ def upsert_partitions(batch: DataFrame, path: str, key: Sequence[str], partition
             match = match & c.eqNullSafe(F.col(name))
         old = old.select(*[col(c) for c in batch.columns]).join(touched, list(partition_by), "left_semi")
         merged = old.join(mine, match, "left_anti").select(*[col(c) for c in batch.columns]).unionByName(latest)
-    log.info("upserting partitions of %s", path)
-    (_layout(merged, None, partition_by, sort_by).write.mode("overwrite")
+    replace_partitions(merged, path, partition_by, sort_by)
+
+
+def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
+                       sort_by: Sequence[str] | None = None) -> None:
+    """Write the partitions that ``df`` has rows of in place of the stored ones; the others stay.
+
+    ``df`` may read the same path: files are exchanged when all tasks have ended.
+    """
+    log.info("replacing partitions of %s", path)
+    (_layout(df, None, partition_by, sort_by).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clinilake.operators import ledger, quality
 
-from conftest import rows
+from conftest import plan_text, rows
 
 KEYS = ["doc", "day"]
 
@@ -56,3 +56,40 @@ def test_prints_tell_values_apart_and_odd_columns(spark, scratch):
     assert ledger.duplicates(df, path, ["x.y", "print"]).count() == 0
     ledger.load(df.limit(0), path, ["x.y", "print"], "empty")
     assert ledger.read(spark, path).agg(F.sum("n")).first()[0] == 5
+
+
+def test_a_smaller_resend_keeps_the_other_entries_and_other_batches(spark, scratch):
+    path = f"{scratch}/l"
+
+    def load(ids, batch):
+        ledger.load(spark.createDataFrame([(i,) for i in ids], "id long"), path, ["id"], batch, buckets=2)
+
+    def counts():
+        prints = {r.p: r.id for r in spark.range(9).select("id", ledger.print_of(["id"], {"id": "bigint"}).alias("p")).collect()}
+        return sorted((prints[r.print], r.batch, r.n) for r in ledger.read(spark, path).collect())
+    load([1, 1, 2, 3], "one")
+    load([1, 4], "two")
+    load([1, 2, 2], "one")
+    assert counts() == [(1, "one", 1), (1, "two", 1), (2, "one", 2), (3, "one", 1), (4, "two", 1)]
+
+
+def _written_plan(monkeypatch, load):
+    plans = []
+    monkeypatch.setattr(ledger.sinks, "replace_partitions", lambda df, *_: plans.append(plan_text(df)))
+    load()
+    return plans[0]
+
+
+def test_a_load_hashes_its_keys_once_and_deals_nothing_by_bucket(spark, scratch, monkeypatch):
+    """Keys were grouped twice (the second time sorted), joined again with themselves, and
+    stored rows dealt by bucket, with a task for each, wherever tables were large."""
+    path = f"{scratch}/l"
+    df = spark.range(100)
+    ledger.load(df, path, ["id"], "one", buckets=2)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _written_plan(monkeypatch, lambda: ledger.load(df, path, ["id"], "one", buckets=2))
+        found = plan_text(ledger.duplicates(df, path, ["id"], 2))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortAggregate" not in plan and "SortMergeJoin" not in plan
