@@ -103,12 +103,10 @@ def duplicates(df: DataFrame, path: str, keys: Sequence[str], buckets: int = 256
 
     Reads the buckets of the batch's keys (dynamic partition pruning).
     """
-    p, b, seen, n = fresh(["print", "bucket", "seen", "n"], df.columns)
-    mine = _printed(df.select(*[col(k) for k in keys]).distinct(), keys, p).withColumn(
-        b, F.pmod(F.xxhash64(p), F.lit(buckets)).cast("int"))
+    p, seen, n = fresh(["print", "seen", "n"], df.columns)
+    mine = _printed(df.select(*[col(k) for k in keys]).distinct(), keys, p)
     known = read(df.sparkSession, path)
-    touched = mine.select(F.col(b).alias("bucket")).distinct()
-    counts = known.join(touched, "bucket", "left_semi").groupBy(F.col("print").alias(seen)).agg(
+    counts = known.join(_touched(_prints(df, keys, buckets)), "bucket", "left_semi").groupBy(F.col("print").alias(seen)).agg(
         F.sum("n").alias(n)).where(F.col(n) > 1)
     return mine.join(counts, F.col(p) == F.col(seen)).select(*[col(k) for k in keys], F.col(n).alias(count_col))
 

@@ -93,3 +93,4 @@ def test_a_load_hashes_its_keys_once_and_deals_nothing_by_bucket(spark, scratch,
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortAggregate" not in plan and "SortMergeJoin" not in plan
+    assert found.count("SortMergeJoin") == 1 and "BroadcastHashJoin" in found
