@@ -18,7 +18,8 @@
    first bucket that a pair shares, so that links alone come out.  So each
    linked pair of one bucket ends in one component; a pair at the threshold,
    whatever that is, shares no bucket once in 10**7 at most.
-5. Components of the confirmed links by alternating stars.
+5. Components of the confirmed links by alternating stars; links found later
+   tie components, so that later rounds work on these links alone.
 
 Defined results: null or empty texts and texts without words have an empty set
 and link with nothing; rows that repeat a doc_id are joined as one node and
@@ -49,7 +50,7 @@ SKETCH_BITS = 1024
 #: Rounds with other pivots, and pivots of a bucket in each.
 PIVOT_ROUNDS, PIVOTS = 1, 4
 #: Rows of a bucket that one task compares to the others.
-CHUNK_ROWS = 256
+CHUNK_ROWS = 64
 
 _SEEDS = np.random.default_rng(7).integers(1, 1 << 32, (2, SAMPLES), dtype=np.uint32)
 _TIMES, _PLUS = _SEEDS[0] | np.uint32(1), _SEEDS[1]
@@ -165,16 +166,25 @@ def _full_sets(width: int):
     return full
 
 
-def _bits_apart(a: Column, b: Column) -> Column:
+def _marks() -> Column:
+    """Set size and sketch as a struct of numbers that are never null.
+
+    Conditions on pairs then need no tests for nulls or bounds: with these their
+    code outgrows what the JVM compiles.
+    """
+    return F.struct(F.coalesce("n", F.lit(0)).alias("n"), *[
+        F.coalesce(F.get("sketch", F.lit(i)), F.lit(0)).alias(f"w{i}") for i in range(SKETCH_BITS // 64)])
+
+
+def _bits_apart(a: str, b: str) -> Column:
     return reduce(lambda x, y: x + y, [
-        F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(SKETCH_BITS // 64)])
+        F.bit_count(F.col(f"{a}.w{i}").bitwiseXOR(F.col(f"{b}.w{i}"))) for i in range(SKETCH_BITS // 64)])
 
 
 def _may_link(a: str, b: str, percent: int) -> Column:
     """The size bound, and the sketch bound: both hold for (almost) every linked pair."""
     small, large = F.least(f"{a}.n", f"{b}.n"), F.greatest(f"{a}.n", f"{b}.n")
-    return (100 * small >= percent * large) & (
-        _bits_apart(F.col(f"{a}.sketch"), F.col(f"{b}.sketch")) <= most_bits(percent))
+    return (100 * small >= percent * large) & (_bits_apart(a, b) <= most_bits(percent))
 
 
 def _sets_of(ids: DataFrame, texts: DataFrame, width: int) -> DataFrame:
@@ -185,8 +195,9 @@ def _sets_of(ids: DataFrame, texts: DataFrame, width: int) -> DataFrame:
 
 def _linked(a: str, b: str, percent: int) -> Column:
     """Whether two full sets reach the similarity."""
-    both = F.size(F.array_intersect(a, b))
-    return 100 * both >= percent * (F.size(a) + F.size(b) - both)
+    # Named once: a join's condition computes each mention of the intersection anew.
+    both = F.size(F.array_intersect(a, b)).cast("long")
+    return (100 + percent) * both >= percent * (F.size(a).cast("long") + F.size(b))
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -208,21 +219,19 @@ def _across(open_rows: DataFrame, classes: DataFrame, texts: DataFrame, width: i
     ``major`` is one component of the bucket, most likely its largest: only the
     rows outside it look for partners, in it and among each other.
     """
-    marks = classes.select("doc_id", F.struct("n", "sketch", "bands").alias("s"))
+    marks = classes.select("doc_id", _marks().alias("s"), "bands")
+    # The band keys before this bucket's, made once for a row and not for each
+    # pair; none if the row's doc_id has another text that is not in the bucket.
+    earlier = F.slice("bands", F.lit(1), F.greatest(F.array_position("bands", F.col("key")).cast("int") - 1, F.lit(0)))
 
     def side(rows: DataFrame, x: str) -> DataFrame:
         more = [c for c in ("major", "shingles") if c in rows.columns]
         return rows.join(marks, "doc_id").select(
             "key", F.col("doc_id").alias(x), F.col("component").alias(f"c{x}"), F.col("s").alias(f"s{x}"),
-            *[F.col(c).alias(f"{c}_{x}") for c in more]).alias(x)
-
-    def earlier(x: str) -> Column:
-        """The band keys before this bucket's."""
-        bands = F.col(f"s{x}.bands")
-        return F.slice(bands, F.lit(1), F.array_position(bands, F.col(f"{x}.key")).cast("int") - 1)
+            earlier.alias(f"earlier_{x}"), *[F.col(c).alias(f"{c}_{x}") for c in more]).alias(x)
 
     near = ((F.col("a.key") == F.col("b.key")) & ((F.col("cb") == F.col("major_a")) | (F.col("ca") < F.col("cb")))
-            & _may_link("sa", "sb", percent) & ~F.arrays_overlap(earlier("a"), earlier("b")))
+            & _may_link("sa", "sb", percent) & ~F.arrays_overlap("earlier_a", "earlier_b"))
     minor = open_rows.where("component <> major")
     asking = stored(side(minor, "a").join(side(open_rows, "b"), near, "left_semi").select(
         "key", F.col("a").alias("doc_id"), F.col("ca").alias("component"), F.col("major_a").alias("major")), "asking")
@@ -274,6 +283,23 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 
+def joined_components(found: DataFrame, links: DataFrame) -> DataFrame:
+    """``found`` (as :func:`components` gives it) after more links.
+
+    Links become edges between components, few beside the links behind
+    ``found``; whole components then move to the smallest they reach.
+    """
+    def of(x: str) -> DataFrame:
+        return found.select(F.col("node").alias(x), F.col("component").alias(f"c{x}"))
+
+    ties = links.select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left").select(
+        F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    moved = components(ties)
+    # A component's smallest node is no node of ``found``: it comes with ``moved``.
+    return stored(found.join(moved.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left")
+                  .select("node", F.coalesce("to", "component").alias("component")).unionByName(moved), "joined")
+
+
 def groups(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of ``documents``: doc_id, n_shingles, component_id, kept, n_links.
 
@@ -288,7 +314,7 @@ def groups(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
         signed.where("n_shingles > 0 and doc_id is not null").groupBy("fp_a", "fp_b", "n_shingles")
         .agg(F.min(F.struct("doc_id", "bands", "sketch")).alias("c"))
         .select("fp_a", "fp_b", F.col("n_shingles").alias("n"), "c.*"), "classes")
-    marks = classes.select("doc_id", F.struct("n", "sketch").alias("s"))
+    marks = classes.select("doc_id", _marks().alias("s"))
 
     rows = classes.select(F.explode("bands").alias("key"), "doc_id")
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("pivot")).where("n > 1")
@@ -337,7 +363,7 @@ def groups(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
                                     F.get("pivots", F.lit(0))["component"].alias("major"))
             more = stored(_across(rows, classes, texts, width, percent), "links_across")
         links = links.unionByName(more)
-        found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+        found = joined_components(found, more)
 
     degree = (links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep")
               .agg(F.count(F.lit(1)).alias("n_links")))

@@ -144,3 +144,63 @@ def test_rows_of_one_doc_id_with_other_texts_stay(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = sorted((r.doc_id or 0, r.text or "", r.source) for r in neardup.drop_copies(docs).collect())
     assert got == sorted([(0, a, "x"), (0, a, "x"), (7, a, "x"), (7, b, "y"), (8, c, "x"), (9, "", "q")])
+
+
+def _loose_copies(rng, n, words=120, changed=4):
+    """Copies of one text that share buckets but seldom reach 85 %."""
+    base = prose(rng, words).split()
+    out = []
+    for i in range(n):
+        own = list(base)
+        for k in rng.sample(range(len(own)), changed):
+            own[k] = f"other{i}x{k}"
+        out.append(" ".join(own))
+    return out
+
+
+def test_later_rounds_work_on_ties_between_components_alone(spark, monkeypatch):
+    """A crowd of loose copies: only the first round sees the links of the copies."""
+    rng = random.Random(12)
+    loose = _loose_copies(rng, 40)
+    rows = [(i, t) for i, t in enumerate(loose)] + [(100 + i, f"{t} one more") for i, t in enumerate(loose)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    seen, components = [], neardup.components
+
+    def counted(edges):
+        seen.append(edges.where("a <> b").distinct().count())
+        return components(edges)
+
+    monkeypatch.setattr(neardup, "components", counted)
+    got = {r.doc_id: r.component_id for r in neardup.groups(table, 3, 85).collect()}
+    want = _brute(rows, 3, 85)
+    assert got == want and len(set(want.values())) > 20
+    assert seen[0] >= 20 and all(n < seen[0] / 2 for n in seen[1:])
+
+
+def test_more_links_join_whole_components(spark):
+    rng = random.Random(4)
+    links = [(rng.randrange(80), rng.randrange(80)) for _ in range(60)]
+    frame = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    found = neardup.components(frame(links[:30]))
+    got = neardup.joined_components(found, frame(links[30:])).collect()
+    want = neardup.components(frame(links)).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(want) > 20
+
+
+def test_a_pair_is_compared_by_lean_code(spark):
+    """One intersection a pair, and marks whose code needs no tests for nulls."""
+    pair = spark.createDataFrame([([1, 2, 3], [2, 3, 4])], "a array<long>, b array<long>")
+    plan = pair.select(neardup._linked("a", "b", 50).alias("x"), neardup._linked("a", "b", 51).alias("y"))
+    assert plan.first() == (True, False)
+    assert str(neardup._linked("a", "b", 50)).count("array_intersect") == 1
+    marks = spark.createDataFrame([(1, [0] * 16)], "n long, sketch array<long>").select(neardup._marks().alias("s"))
+    assert not any(f.nullable for f in marks.schema["s"].dataType.fields)
+
+
+def test_ids_with_two_loose_copies(spark):
+    """Rows of one doc_id in different buckets of one crowd."""
+    rng = random.Random(21)
+    rows = [(i % 30, t) for i, t in enumerate(_loose_copies(rng, 60))]
+    got = {r.doc_id: r.component_id for r in neardup.groups(
+        spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()}
+    assert got == _brute(rows, 3, 85)
